@@ -116,7 +116,7 @@ def build_all(spark: SparkSession, lake: Lake, full_refresh: bool = False, check
         staging(spark, lake), lake.facts, feed.day, full_refresh, lake.clustering())
     facts = spark.table(lake.facts)
     passed = quality.gate(quality.report(facts, quality.model_checks() if checks is None else checks))
-    tables.rebuild(summarise(facts, feed, round_digits), lake.summary)
+    tables.rebuild(summarise(facts, feed, round_digits), lake.summary, feed.day, list(feed.keys))
     reconciled = quality.ReconcileCheck("summary_reconciles_source", spark.table(lake.summary))
     return landed, passed + quality.gate(quality.report(facts, [reconciled]))
 
