@@ -12,6 +12,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from dayloom.operators.rollup import absent_days, rows_per_day
+from dayloom.session import setting
 
 
 def create_table(spark: SparkSession, table: str, schema: T.StructType, day: str) -> None:
@@ -108,8 +109,8 @@ def refresh_dates_in_source(df: DataFrame, table: str) -> None:
     rows in ``df`` is not touched: to empty a day use ``refresh_one_date``.
     """
     target = df.sparkSession.table(table)
-    (df.select(*target.columns).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").insertInto(table))
+    with setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        df.select(*target.columns).write.insertInto(table, overwrite=True)
 
 
 def refresh_one_date(df: DataFrame, table: str, day: str, run_date: str | date) -> None:

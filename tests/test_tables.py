@@ -1,0 +1,160 @@
+from datetime import date
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from dayloom.operators import tables
+from dayloom.operators.rollup import absent_days, daily_rollup, min_rows, on_day, present_days, rows_per_day, with_day
+
+COLUMNS = "city string, value double, load_date string"
+
+
+def rows_of(spark, *rows):
+    return spark.createDataFrame(list(rows), COLUMNS)
+
+
+def four(spark, day):
+    return rows_of(spark, *[(c, 1.0, day) for c in ("Vilnius", "Riga", "Tallinn", "Warsaw")])
+
+
+@pytest.fixture
+def fact(spark, database):
+    name = f"{database}.fact"
+    tables.create_table(spark, name, rows_of(spark).schema, "load_date")
+    return name
+
+
+def content(spark, table):
+    return sorted(tuple(r) for r in spark.table(table).select("load_date", "city", "value").collect())
+
+
+@pytest.mark.parametrize("cluster_by", [None, ["city"]])
+def test_append_twice_doubles_and_truncate_empties(spark, fact, cluster_by):
+    for _ in range(2):
+        tables.append(four(spark, "2026-07-12").select("load_date", "value", "city"), fact, cluster_by=cluster_by)
+    assert spark.table(fact).count() == 8
+    assert content(spark, fact)[0] == ("2026-07-12", "Riga", 1.0)
+    tables.truncate(spark, fact)
+    assert spark.table(fact).count() == 0
+    assert spark.table(fact).columns == ["city", "value", "load_date"]
+
+
+def test_append_to_a_missing_table_fails(spark, database):
+    with pytest.raises(AnalysisException):
+        tables.append(four(spark, "2026-07-12"), f"{database}.nowhere")
+    assert not spark.catalog.tableExists(f"{database}.nowhere")
+
+
+@pytest.mark.parametrize("cluster_by", [None, ["city"]])
+def test_append_new_days(spark, database, cluster_by):
+    name = f"{database}.incremental"
+    first = tables.append_new_days(four(spark, "2026-07-12"), name, cluster_by=cluster_by)
+    assert (first.appended_rows, first.skipped_rows) == (4, 0)
+    again = tables.append_new_days(four(spark, "2026-07-12"), name, cluster_by=cluster_by)
+    assert (again.appended_rows, again.skipped_rows) == (0, 4)
+    assert spark.table(name).count() == 4
+    late = rows_of(spark, ("Riga", 2.0, "2026-07-12")).unionAll(four(spark, "2026-07-13"))
+    assert [r.value for r in tables.late_rows(late, name).collect()] == [2.0]
+    third = tables.append_new_days(late, name, cluster_by=cluster_by)
+    assert (third.appended_rows, third.skipped_rows) == (4, 1)
+    assert [r.row_count for r in rows_per_day(spark.table(name), "load_date").collect()] == [4, 4]
+    full = tables.append_new_days(late, name, full_refresh=True, cluster_by=cluster_by)
+    assert (full.appended_rows, full.skipped_rows) == (5, 0)
+    assert spark.table(name).count() == 5
+
+
+def summary_of(spark, *rows):
+    return rows_of(spark, *rows)
+
+
+def test_refresh_dates_in_source_leaves_other_days(spark, fact):
+    tables.append(rows_of(spark, ("Riga", 1.0, "2026-07-01"), ("Riga", 2.0, "2026-07-02")), fact)
+    for _ in range(2):
+        tables.refresh_dates_in_source(rows_of(spark, ("Warsaw", 9.0, "2026-07-02")), fact)
+    assert content(spark, fact) == [("2026-07-01", "Riga", 1.0), ("2026-07-02", "Warsaw", 9.0)]
+    tables.refresh_dates_in_source(rows_of(spark), fact)
+    assert spark.table(fact).count() == 2
+
+
+def test_refresh_one_date_can_empty_the_date(spark, fact):
+    tables.append(rows_of(spark, ("Riga", 1.0, "2026-07-01"), ("Riga", 2.0, "2026-07-02")), fact)
+    new = rows_of(spark, ("Warsaw", 9.0, "2026-07-02"), ("Warsaw", 8.0, "2026-07-03"))
+    for _ in range(2):
+        tables.refresh_one_date(new, fact, "load_date", "2026-07-02")
+    assert content(spark, fact) == [("2026-07-01", "Riga", 1.0), ("2026-07-02", "Warsaw", 9.0)]
+    tables.refresh_one_date(rows_of(spark), fact, "load_date", "2026-07-02")
+    assert content(spark, fact) == [("2026-07-01", "Riga", 1.0)]
+    with pytest.raises(ValueError):
+        tables.refresh_one_date(new, fact, "load_date", "2026-07-02' OR '1")
+
+
+def test_date_typed_days(spark, database):
+    name = f"{database}.by_date"
+    df = rows_of(spark, ("Riga", 1.0, "2026-07-01"), ("Riga", 2.0, "2026-07-02")).withColumn(
+        "load_date", F.to_date("load_date"))
+    tables.rebuild(df, name, "load_date")
+    tables.refresh_one_date(df.where("false"), name, "load_date", date(2026, 7, 1))
+    assert [r.load_date for r in spark.table(name).collect()] == [date(2026, 7, 2)]
+    assert on_day(spark.table(name), "load_date", date(2026, 7, 2)).count() == 1
+    assert tables.append_new_days(df, name).appended_rows == 1
+
+
+def test_rebuild_replaces_everything(spark, database):
+    name = f"{database}.rebuilt"
+    tables.rebuild(four(spark, "2026-07-01"), name)
+    tables.rebuild(four(spark, "2026-07-02").limit(1), name)
+    assert spark.table(name).count() == 1
+
+
+def test_expire(spark, fact):
+    tables.append(rows_of(spark, *[("Riga", 1.0, f"2026-07-{n:02d}") for n in range(1, 11)]), fact)
+    kept = tables.within_retention(spark.table(fact), "load_date", "2026-07-10").count()
+    assert tables.expire(spark, fact, "load_date", "2026-07-10") == ["2026-07-01", "2026-07-02", "2026-07-03"]
+    assert spark.table(fact).count() == kept == 7
+    assert tables.expire(spark, fact, "load_date", "2026-07-10") == []
+
+
+def test_required_columns_are_not_enforced_by_the_table(spark, database, weather):
+    """Why records are validated before they are written."""
+    name = f"{database}.typed"
+    tables.create_table(spark, name, weather.fact_schema(), "load_date")
+    nulls = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in weather.fact_schema()])
+    tables.append(nulls.withColumn("load_date", F.lit("2026-07-01")), name)
+    assert spark.table(name).where("city IS NULL").count() == 1
+
+
+@pytest.mark.parametrize("most", [0, 100])
+def test_days_absent_and_present(spark, most):
+    df = rows_of(spark, ("a", 1.0, "1"), ("b", 1.0, "2"), ("c", 1.0, None))
+    known = rows_of(spark, ("x", 1.0, "2"))
+    with_null = rows_of(spark, ("x", 1.0, "2"), ("y", 1.0, None))
+    nothing = rows_of(spark)
+
+    def cities(result):
+        return sorted(r.city for r in result.collect())
+
+    assert cities(present_days(df, known, "load_date", most)) == ["b"]
+    assert cities(present_days(df, with_null, "load_date", most)) == ["b"]
+    assert cities(absent_days(df, known, "load_date", True, most)) == ["a"]
+    assert cities(absent_days(df, with_null, "load_date", True, most)) == []
+    assert cities(absent_days(df, nothing, "load_date", True, most)) == ["a", "b", "c"]
+    assert cities(absent_days(df, known, "load_date", False, most)) == ["a", "c"]
+    assert cities(absent_days(df, with_null, "load_date", False, most)) == ["a", "c"]
+
+
+def test_rollup_counts_rows_and_averages_values(spark):
+    df = rows_of(spark, ("Riga", 1.0, "d1"), ("Riga", None, "d1"), ("Riga", 2.005, "d1"), ("Warsaw", None, "d1"))
+    got = {r.city: r for r in daily_rollup(df, "load_date", ["city"], ["value"], 2).collect()}
+    assert (got["Riga"].record_count, got["Riga"].avg_value) == (3, 1.5)
+    assert (got["Warsaw"].record_count, got["Warsaw"].avg_value) == (1, None)
+    assert daily_rollup(df, "load_date", ["city"], ["value"]).where("city = 'Riga'").first().avg_value == 3.005 / 2
+
+
+def test_day_comes_last_and_min_rows(spark):
+    df = spark.sql("SELECT timestamp'2026-07-11 23:45:00' AS ts, 'x' AS city")
+    assert with_day(df, "ts").first() == ("2026-07-11 23:45:00", "x", "2026-07-11") or \
+        with_day(df, "ts").columns == ["ts", "city", "load_date"]
+    assert with_day(df, "ts", "d", "date").first().d == date(2026, 7, 11)
+    assert tuple(min_rows(df, 1).first()) == (1, True)
+    assert tuple(min_rows(df.where("false"), 1).first()) == (0, False)
