@@ -67,7 +67,8 @@ def build_messages(turns: DataFrame, key: str = "conv_id", turn: str = "turn", r
     return in_one_row(light).unionByName(parts).unionByName(ends)
 
 
-def build_request(messages: DataFrame, model: str, key: str = "conv_id", **params: Column) -> DataFrame:
+def build_request(messages: DataFrame, model: str, key: str = "conv_id",
+                  params: dict[str, Column] | None = None) -> DataFrame:
     """``(key, part, closes, request, error)``: one JSON body per conversation, from ``build_messages``.
 
     ``model`` is pinned and ``stream`` is off whatever ``params`` say; other parameters are kept.
@@ -76,7 +77,7 @@ def build_request(messages: DataFrame, model: str, key: str = "conv_id", **param
     and prompt text go along.
     """
     keep_nulls = {"ignoreNullFields": "false"}
-    kept = [value.alias(name) for name, value in params.items() if name not in (*PINNED, "messages")]
+    kept = [value.alias(name) for name, value in (params or {}).items() if name not in (*PINNED, "messages")]
     settings = F.to_json(F.struct(F.lit(model).alias("model"), F.lit(False).alias("stream"), *kept), keep_nulls)
     empty = F.coalesce(F.size("messages"), F.lit(0)) == 0
     nothing = empty & (F.col("part") == 0)
