@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from dayloom.functions.numbers import round_scaled
 from dayloom.functions.timestamps import day_of
 
 MANY_DAYS = 40_000  # over a century of days: beyond this a "day" list is not taken to the driver
@@ -30,7 +31,7 @@ def daily_rollup(df: DataFrame, day: str, keys: list[str], measures: list[str],
     """
     def average(measure: str) -> Column:
         mean = F.avg(measure)
-        return (mean if round_digits is None else F.round(mean, round_digits)).alias(f"avg_{measure}")
+        return (mean if round_digits is None else round_scaled(mean, round_digits)).alias(f"avg_{measure}")
 
     return (
         df.groupBy(day, *keys)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from dayloom.functions.timestamps import day_of, run_stamp, to_milliseconds, utc_marked
 from dayloom.operators.rollup import rows_per_day
 from dayloom.operators.validate import accepted, classify, rejected, require
 from dayloom.plans.bindings import (
-    JUDGED_SQL, OBSERVATIONS_SQL, RAW_SQL, STAGED_SQL, landed_lines, observations, raw_records, reading,
+    JUDGED_SQL, RAW_SQL, STAGED_SQL, landed_lines, raw_records, reading,
 )
 from dayloom.plans.registry import query, table
 from dayloom.schemas import WEATHER
@@ -31,7 +33,12 @@ def sql_text_of(name: str) -> str:
 
 
 MEASURES = ["latitude", "longitude", "temperature_c", "humidity_pct", "wind_speed_kmh"]
-TYPED = [text_of("observed_at"), text_of("ingested_at"), "city", "country", *MEASURES, "load_date"]
+
+
+def typed(rows: DataFrame) -> DataFrame:
+    return rows.select(text_of("observed_at"), text_of("ingested_at"), "city", "country", *MEASURES, "load_date")
+
+
 TYPED_SQL = (f"{sql_text_of('observed_at')}, {sql_text_of('ingested_at')}, city, country, "
              f"{', '.join(MEASURES)}, load_date")
 
@@ -130,7 +137,7 @@ def reject_reasons(spark, folder):
 @query("typed_observations", f"WITH {STAGED_SQL} SELECT {TYPED_SQL} FROM staged")
 def typed_observations(spark, folder):
     """Accepted lines, typed, with the event-time day as day key."""
-    return accepted(judged(spark, folder), WEATHER).select(*TYPED)
+    return typed(accepted(judged(spark, folder), WEATHER))
 
 
 @query("typed_observations_milliseconds", f"""WITH {STAGED_SQL}
@@ -229,8 +236,6 @@ def flatten_payloads(spark, folder):
     FROM flat WHERE reason IS NULL""")
 def land_flattened(spark, folder):
     """Payloads flattened, landed as the NDJSON of one run, and read back."""
-    from datetime import datetime
-
     flat = flatten_payload(payloads(spark, folder), event_types(spark), as_of="2026-07-12 07:44:07", mode="reject")
     root = fresh_folder(spark, "landing")
     landing.land_ndjson(flat.where("reason IS NULL").drop("reason"), root, datetime(2026, 7, 12, 7, 44, 7))
@@ -241,8 +246,6 @@ def land_flattened(spark, folder):
 @query("landing_count", """SELECT 'load_date=2026-07-12' AS folder, count(*) AS records FROM events""")
 def landing_count(spark, folder):
     """What a landing run reports: its folder and how many records it wrote."""
-    from datetime import datetime
-
     told = landing.land_ndjson(
         raw_records(spark, folder).drop("k", "load_date"), fresh_folder(spark, "landing"), datetime(2026, 7, 12))
     return spark.createDataFrame([(told["folder"], told["records"])], "folder string, records bigint")
@@ -277,7 +280,7 @@ def ingest_twice(spark, folder):
     facts, log = fresh_folder(spark, "ingested"), fresh_folder(spark, "ingest-log")
     for _ in range(2):
         ingest_available(spark, root, facts, log, WEATHER)
-    return ingested(spark, facts, WEATHER).select(*TYPED)
+    return typed(ingested(spark, facts, WEATHER))
 
 
 @query("ingest_rejects", f"""WITH {JUDGED_SQL}

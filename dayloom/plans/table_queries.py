@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from dayloom.functions.numbers import round_scaled
 from dayloom.operators import tables
 from dayloom.operators.rollup import (
     absent_days, daily_rollup, landed_days, min_rows, on_day, present_days, rows_per_day, with_day,
@@ -13,13 +14,12 @@ from dayloom.plans.registry import query, table
 from dayloom.session import fresh_database
 
 MEASURES = ["temperature_c", "humidity_pct", "wind_speed_kmh"]
-AVERAGES = [f"avg_{m}" for m in MEASURES]
 DIGITS = 6  # averages are compared to this many digits: the order of a sum is the engine's choice
 
 
 def compared(rollup: DataFrame) -> DataFrame:
     averages = [c for c in rollup.columns if c.startswith("avg_")]
-    return rollup.select(*[F.round(c, DIGITS).alias(c) if c in averages else F.col(c) for c in rollup.columns])
+    return rollup.select(*[round_scaled(F.col(c), DIGITS).alias(c) if c in averages else F.col(c) for c in rollup.columns])
 
 
 def summary(facts: DataFrame, round_digits: int | None = None) -> DataFrame:

@@ -151,6 +151,12 @@ def test_rollup_counts_rows_and_averages_values(spark):
     assert daily_rollup(df, "load_date", ["city"], ["value"]).where("city = 'Riga'").first().avg_value == 3.005 / 2
 
 
+def test_rounding_scales_like_a_warehouse(spark):
+    df = rows_of(spark, ("a", 1.005, "d"), ("b", 2.675, "d"), ("c", -0.125, "d"), ("d", 0.125, "d"))
+    got = [r.avg_value for r in daily_rollup(df, "load_date", ["city"], ["value"], 2).orderBy("city").collect()]
+    assert got == [1.0, 2.68, -0.13, 0.13]
+
+
 def test_day_comes_last_and_min_rows(spark):
     df = spark.sql("SELECT timestamp'2026-07-11 23:45:00' AS ts, 'x' AS city")
     assert with_day(df, "ts").columns == ["ts", "city", "load_date"]
