@@ -1,7 +1,9 @@
 """The provided tables seen as the operators' inputs, in Spark and as the same rows in SQL.
 
-``events`` plays the observations: ``event_type`` is the city, ``value`` the temperature and the
-wind speed, ``props.k`` (0..99) the humidity. The landed text has faults that ``k`` decides on.
+``events`` plays the observations: ``event_type`` is the city, ``value`` in steps of a quarter the
+temperature and the wind speed, ``props.k`` (0..99) the humidity. Sums of quarters are exact, so
+averages do not depend on the order in which an engine adds. The landed text has faults that
+``k`` decides on.
 """
 
 from __future__ import annotations
@@ -18,6 +20,13 @@ def reading(name: str = "props") -> Column:
     return F.get_json_object(name, "$.k").cast("int")
 
 
+def quarters(name: str = "value") -> Column:
+    return F.floor(F.col(name) * 4) / 4
+
+
+QUARTERS_SQL = "floor(value * 4) / 4"
+
+
 def observations(spark: SparkSession, folder: str) -> DataFrame:
     """``events`` as a typed fact table with the columns of the weather feed."""
     return table(spark, folder, "events").select(
@@ -27,20 +36,20 @@ def observations(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("country"),
         (F.col("user_id") / 100).alias("latitude"),
         (F.col("event_id") / 100).alias("longitude"),
-        F.col("value").alias("temperature_c"),
+        quarters().alias("temperature_c"),
         reading().alias("humidity_pct"),
-        F.col("value").alias("wind_speed_kmh"),
+        quarters().alias("wind_speed_kmh"),
         F.lit("events").alias("source_file"),
         F.date_format("ts", "yyyy-MM-dd").alias("load_date"),
     )
 
 
-OBSERVATIONS_SQL = """observations AS (
+OBSERVATIONS_SQL = f"""observations AS (
   SELECT ts AS observed_at, ts + INTERVAL 20 MINUTE AS ingested_at, event_type AS city,
          'user ' || CAST(user_id AS VARCHAR) AS country, user_id / 100.0 AS latitude,
-         event_id / 100.0 AS longitude, value AS temperature_c,
+         event_id / 100.0 AS longitude, {QUARTERS_SQL} AS temperature_c,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS humidity_pct,
-         value AS wind_speed_kmh, strftime(ts, '%Y-%m-%d') AS load_date
+         {QUARTERS_SQL} AS wind_speed_kmh, strftime(ts, '%Y-%m-%d') AS load_date
   FROM events)"""
 
 
@@ -61,16 +70,16 @@ def raw_records(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("country"),
         (F.col("user_id") / 100).alias("latitude"),
         (F.col("event_id") / 100).alias("longitude"),
-        F.when(k == 9, "n/a").otherwise(F.col("value").cast("string")).alias("temperature_c"),
+        F.when(k == 9, "n/a").otherwise(quarters().cast("string")).alias("temperature_c"),
         F.when(k == 10, "71.5").otherwise(k.cast("string")).alias("humidity_pct"),
-        F.when(k != 11, F.col("value")).alias("wind_speed_kmh"),
+        F.when(k != 11, quarters()).alias("wind_speed_kmh"),
         F.date_format(landed_at, "yyyy-MM-dd").alias("load_date"),
         "k",
     )
 
 
 # The same records in SQL, how each is judged, and the typed rows of the accepted ones.
-RAW_SQL = """raw_records AS (
+RAW_SQL = f"""raw_records AS (
   SELECT k, CASE WHEN k = 1 THEN '' WHEN k = 2 THEN NULL
               WHEN k = 3 THEN strftime(ts, '%Y-%m-%dT%H:%M+02:00')
               WHEN event_type = 'click' THEN strftime(ts, '%Y-%m-%dT%H:%M')
@@ -81,9 +90,9 @@ RAW_SQL = """raw_records AS (
          CASE WHEN k = 6 THEN NULL WHEN k = 7 THEN '' WHEN k = 8 THEN ' ' ELSE event_type END AS city,
          'user ' || CAST(user_id AS VARCHAR) AS country, user_id / 100.0 AS latitude,
          event_id / 100.0 AS longitude,
-         CASE WHEN k = 9 THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS temperature_c,
+         CASE WHEN k = 9 THEN 'n/a' ELSE CAST({QUARTERS_SQL} AS VARCHAR) END AS temperature_c,
          CASE WHEN k = 10 THEN '71.5' ELSE CAST(k AS VARCHAR) END AS humidity_pct,
-         CASE WHEN k <> 11 THEN value END AS wind_speed_kmh,
+         CASE WHEN k <> 11 THEN {QUARTERS_SQL} END AS wind_speed_kmh,
          strftime(landed_at, '%Y-%m-%d') AS load_date
   FROM (SELECT *, ts + INTERVAL 20 MINUTE AS landed_at,
                CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events))"""
