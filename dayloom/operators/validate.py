@@ -40,24 +40,25 @@ def classify(records: DataFrame, feed: Feed, mode: str = "quarantine",
     """
     if mode not in ("quarantine", "strict"):
         raise ValueError("mode must be 'quarantine' or 'strict'")
-    typed = {f.name: _typed(f, timestamp_rule, milliseconds) for f in feed.fields}
-    missing = _faults("missing", [(c, ~present(F.col(c))) for c in feed.required])
+    raw = {f.name: f"raw_{f.name}" for f in feed.fields if f.type != "string" or f.required}
+    typed = records.select(
+        *[_typed(f, timestamp_rule, milliseconds).alias(f.name) for f in feed.fields],
+        *[F.col(name).alias(alias) for name, alias in raw.items()],
+        "source_file", "load_date", "line", "malformed",
+    )
+    missing = _faults("missing", [(c, ~present(F.col(raw[c]))) for c in feed.required])
     invalid = _faults("invalid", [
-        (f.name, F.col(f.name).isNotNull() & typed[f.name].isNull())
+        (f.name, F.col(raw[f.name]).isNotNull() & F.col(f.name).isNull())
         for f in feed.fields if f.type != "string"
     ])
     if mode == "strict":
         invalid = F.when(invalid.isNotNull(), F.raise_error(
             F.concat(invalid, F.lit(" in "), F.col("line"))).cast("string"))
     reason = F.when(F.col("malformed"), "malformed").otherwise(F.coalesce(missing, invalid))
-    return (
-        records.select(
-            *[typed[f.name].alias(f.name) for f in feed.fields],
-            "source_file", "load_date", "line", reason.alias("reason"),
-        )
-        .withColumn("raw_line", F.when(F.col("reason").isNotNull(), F.col("line")))
-        .drop("line")
-    )
+    # a filter on the reason must not pull the casts below: they would run twice for every record
+    judged = typed.select(
+        *feed.names, "source_file", "load_date", "line", F.inline(F.array(F.struct(reason.alias("reason")))))
+    return judged.withColumn("raw_line", F.when(F.col("reason").isNotNull(), F.col("line"))).drop("line")
 
 
 def accepted(classified: DataFrame, feed: Feed) -> DataFrame:

@@ -82,7 +82,9 @@ def _source_file(lineage: str, pattern: str) -> Column:
 
 
 def not_blank(line: str = "line") -> Column:
-    return F.btrim(F.col(line), F.lit(" \t\r")) != ""
+    """The line holds more than white space; the first test settles all lines that are records."""
+    text = F.col(line)
+    return text.startswith("{") | text.rlike("\\S")
 
 
 def scan_lines(spark: SparkSession, root: str, start: str | date | None = None,
@@ -113,10 +115,10 @@ LINE_END = "end of line"  # field of the marker object that must directly follow
 def parse_lines(lines: DataFrame, feed: Feed) -> DataFrame:
     """Decode one JSON object per line into text columns and a ``malformed`` flag.
 
-    A line is one object and nothing else. Spark's JSON reader stops after the first value, so
-    text behind it would pass unseen; a line whose first brace-close is also its last character
-    has nothing behind it, any other line must decode as ``[<line>,<marker>]``. Decoding sits in
-    a generator because filters are not pushed through one: each line is decoded once.
+    A line is one object and nothing else. Spark's JSON decoder stops after the first value, so
+    text behind it would pass unseen. A line whose first closing brace is also its last character
+    has nothing behind its object; any other line must decode as ``[<line>,<marker>]``. Decoding
+    sits in a generator because filters are not pushed through one: each line is decoded once.
     """
     strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
     record = T.StructType([*feed.raw_schema().fields, T.StructField(CORRUPT, T.StringType())])
@@ -126,12 +128,12 @@ def parse_lines(lines: DataFrame, feed: Feed) -> DataFrame:
         T.ArrayType(T.StructType([T.StructField(LINE_END, T.BooleanType())])), strict,
     )
     ended = F.coalesce(F.get(marked, F.lit(1)).getField(LINE_END), F.lit(False))
-    trimmed = F.btrim(F.col("line"), F.lit(" \t\r"))
-    alone = F.when(F.instr(trimmed, "}") == F.length(trimmed), True).otherwise(ended)
+    alone = F.when(F.instr("line", "}") == F.length("line"), True).otherwise(ended)
     return (
-        lines.select(*lines.columns, F.inline(F.array(decoded)))
-        .withColumn("malformed", F.col(CORRUPT).isNotNull() | ~alone)
-        .drop(CORRUPT)
+        lines.select(*lines.columns, alone.alias("alone"))
+        .select("*", F.inline(F.array(decoded)))
+        .withColumn("malformed", F.col(CORRUPT).isNotNull() | ~F.col("alone"))
+        .drop(CORRUPT, "alone")
     )
 
 
