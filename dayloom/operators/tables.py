@@ -11,8 +11,8 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from dayloom.operators.rollup import absent_days, rows_per_day
-from dayloom.session import setting
+from dayloom.operators.rollup import absent_days, present_days
+from dayloom.session import setting, staged
 
 
 def create_table(spark: SparkSession, table: str, schema: T.StructType, day: str) -> None:
@@ -82,24 +82,21 @@ def append_new_days(df: DataFrame, table: str, day: str = "load_date", full_refr
         return Landed(spark.table(table).count(), 0)
     present = spark.table(table)
     source = df.select(*present.columns)
+    if not present.where(F.col(day).isNull()).isEmpty():
+        return Landed(0, source.count())  # NOT IN: beside a NULL day no day is known to be absent
+    # map-only: the counts come from the tasks that commit the rows, so a task that runs again counts once
+    fresh = absent_days(source.observe(seen, rows), present, day).observe(kept, rows)
     if cluster_by is None:
-        # one map-only job: the counts come from the tasks that commit the rows
-        fresh = absent_days(source.observe(seen, rows), present, day).observe(kept, rows)
         fresh.write.insertInto(table)
-        return Landed(kept.get["rows"], seen.get["rows"] - kept.get["rows"])
-    # with a shuffle in between, tasks before it may run again and count twice: count the days apart
-    counts = rows_per_day(source, day)
-    late = absent_days(counts, present, day)
-    totals = (counts.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("seen"))
-              .crossJoin(late.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("kept")))).first()
-    clustered(absent_days(source, present, day), day, cluster_by).write.insertInto(table)
-    return Landed(totals["kept"], totals["seen"] - totals["kept"])
+    else:
+        with staged(fresh, "new-days") as once:
+            clustered(once, day, cluster_by).write.insertInto(table)
+    return Landed(kept.get["rows"], seen.get["rows"] - kept.get["rows"])
 
 
 def late_rows(df: DataFrame, table: str, day: str = "load_date") -> DataFrame:
     """The rows ``append_new_days`` would leave out."""
-    landed = df.sparkSession.table(table)
-    return df.where(F.col(day).isin(landed.select(day).distinct()))
+    return present_days(df, df.sparkSession.table(table), day)
 
 
 def refresh_dates_in_source(df: DataFrame, table: str) -> None:

@@ -11,7 +11,7 @@ from dayloom.operators import quality, tables
 from dayloom.operators.rollup import daily_rollup, on_day
 from dayloom.operators.validate import accepted, classify, rejected
 from dayloom.schemas import WEATHER, Feed
-from dayloom.session import use_utc, written
+from dayloom.session import staged, use_utc
 from dayloom.sources.landing import land_ndjson, parse_lines, scan_lines, scan_run_date
 
 
@@ -70,10 +70,16 @@ def load_run_date(spark: SparkSession, lake: Lake, run_date: str | date, on_miss
     """
     use_utc(spark)
     classified = _classified(scan_run_date(spark, lake.root, run_date, lake.lineage, on_missing), lake)
-    if lake.rejects:
-        classified = written(classified, "classified")
-        tables.append(rejected(classified), lake.rejects, "load_date")
-    tables.append(accepted(classified, lake.feed), lake.facts, lake.feed.day, lake.clustering())
+
+    def fill_facts(rows: DataFrame) -> None:
+        tables.append(accepted(rows, lake.feed), lake.facts, lake.feed.day, lake.clustering())
+
+    if not lake.rejects:
+        fill_facts(classified)
+        return
+    with staged(classified, "classified") as once:
+        tables.append(rejected(once), lake.rejects, "load_date")
+        fill_facts(once)
 
 
 def run_daily(spark: SparkSession, lake: Lake, run_date: str | date, incoming: DataFrame | None = None,

@@ -16,8 +16,9 @@ from dayloom.plans.registry import query, table
 from dayloom.schemas import WEATHER
 from dayloom.session import fresh_folder, written
 from dayloom.sources import landing
+from dayloom.sources.landing import FOLDER_DAY
 from dayloom.sources.payloads import flatten_payload, lookup
-from dayloom.streaming.ingest import ingest_available, ingested
+from dayloom.streaming.ingest import ingest_available, ingest_rejects, ingested
 
 SOME_DAY = "2024-01-15"
 FROM_DAY, TO_DAY = "2024-01-10", "2024-01-19"
@@ -284,9 +285,10 @@ def ingest_twice(spark, folder):
 
 
 @query("ingest_rejects", f"""WITH {JUDGED_SQL}
-    SELECT reason, count(*) AS line_count FROM judged WHERE reason IS NOT NULL GROUP BY reason""")
-def ingest_rejects(spark, folder):
+    SELECT load_date, reason, count(*) AS line_count FROM judged WHERE reason IS NOT NULL GROUP BY ALL""")
+def ingest_reject_log(spark, folder):
     """The reject log of the incremental ingest."""
-    root, bad = landed_lines(spark, folder), fresh_folder(spark, "ingest-rejects")
-    ingest_available(spark, root, fresh_folder(spark, "ingested"), fresh_folder(spark, "ingest-log"), WEATHER, bad)
-    return spark.read.parquet(bad).groupBy("reason").agg(F.count("raw_line").alias("line_count"))
+    target = fresh_folder(spark, "ingested")
+    ingest_available(spark, landed_lines(spark, folder), target, fresh_folder(spark, "ingest-log"), WEATHER)
+    log = ingest_rejects(spark, target, WEATHER)
+    return log.groupBy(FOLDER_DAY, "reason").agg(F.count("raw_line").alias("line_count"))

@@ -76,13 +76,30 @@ def fresh_database(spark: SparkSession, label: str) -> str:
     return name
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage: what was computed is not computed again, neither for a second consumer nor
-    after an executor is lost.
+    after an executor is lost. The folder stays for as long as the result may be read.
     """
     spark = df.sparkSession
     path = fresh_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``written`` for the statements inside; the folder is removed afterwards."""
+    spark = df.sparkSession
+    path = fresh_folder(spark, label)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove_folder(spark, path)

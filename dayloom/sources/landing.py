@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from dayloom.schemas import Feed
+from dayloom.session import remove_folder
 
 FOLDER_DAY = "load_date"
 CORRUPT = "_corrupt"
@@ -171,13 +172,10 @@ def land_by_day(df: DataFrame, root: str, day: str = FOLDER_DAY) -> None:
 def expire_landing(spark: SparkSession, root: str, as_of: str | date, days: int = 7) -> list[str]:
     """Delete day folders up to ``days`` days before ``as_of``; returns the days removed."""
     oldest_kept = (_as_date(as_of) - timedelta(days - 1)).isoformat()
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    base = hadoop.Path(root)
-    files = base.getFileSystem(spark._jsc.hadoopConfiguration())
-    removed = []
-    for status in files.globStatus(hadoop.Path(base, f"{FOLDER_DAY}=*")) or []:
-        day = status.getPath().getName().split("=", 1)[1]
-        if day < oldest_kept:
-            files.delete(status.getPath(), True)
-            removed.append(day)
-    return sorted(removed)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    folders = path(root).getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path(f"{root}/{FOLDER_DAY}=*"))
+    landed = [status.getPath().getName().split("=", 1)[1] for status in folders or []]
+    old = sorted(day for day in landed if day < oldest_kept)
+    for day in old:
+        remove_folder(spark, f"{root}/{FOLDER_DAY}={day}")
+    return old

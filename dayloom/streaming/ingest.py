@@ -4,42 +4,58 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from dayloom.operators.validate import accepted, classify, rejected
+from dayloom.functions.timestamps import day_of
+from dayloom.operators.validate import classify
 from dayloom.schemas import Feed
 from dayloom.sources.landing import FOLDER_DAY, not_blank, parse_lines
 
+OUTCOME = "outcome"  # first partition column of the target: accepted or rejected
+FOLDER = "folder_day"
+
+
+def _landed(spark: SparkSession, root: str, files_per_batch: int | None) -> DataFrame:
+    schema = T.StructType([T.StructField("line", T.StringType()), T.StructField(FOLDER_DAY, T.StringType())])
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.text(root).select(
+        "line", FOLDER_DAY, F.col("_metadata.file_path").alias("source_file")).where(not_blank())
+
 
 def ingest_available(spark: SparkSession, root: str, path: str, checkpoint: str, feed: Feed,
-                     rejects_path: str | None = None, files_per_batch: int | None = None,
-                     mode: str = "quarantine") -> None:
+                     files_per_batch: int | None = None, mode: str = "quarantine") -> None:
     """Process the files landed since the last call, then return.
 
-    Valid rows go to Parquet below ``path``, partitioned by the event-time day; read them with
-    ``spark.read.parquet(path)``, which follows the sink's commit log, so a batch that failed and ran
-    again counts once. Late rows of an old day are taken like any others. Files are told apart,
-    not readings: two files with the same reading give two rows, for the uniqueness check to find.
-    Rejected lines go to ``rejects_path`` if given, by a stream with a checkpoint of its own.
+    Each line is decoded once and goes to Parquet below ``path``, accepted rows by event-time
+    day, rejected lines by folder day. Read them with ``ingested`` and ``ingest_rejects``, which
+    follow the sink's commit log, so a batch that failed and ran again counts once. Late rows of
+    an old day are taken like any others. Files are told apart, not readings: two files with the
+    same reading give two rows, for the uniqueness check to find.
     """
-    schema = T.StructType([T.StructField("line", T.StringType()), T.StructField(FOLDER_DAY, T.StringType())])
-
-    def classified() -> DataFrame:
-        reader = spark.readStream.schema(schema)
-        if files_per_batch is not None:
-            reader = reader.option("maxFilesPerTrigger", files_per_batch)
-        lines = reader.text(root).select("line", FOLDER_DAY, F.col("_metadata.file_path").alias("source_file"))
-        return classify(parse_lines(lines.where(not_blank()), feed), feed, mode)
+    classified = classify(parse_lines(_landed(spark, root, files_per_batch), feed), feed, mode)
+    good = F.col("reason").isNull()
+    day = F.when(good, day_of(F.col(feed.event_time), feed.day_type)).otherwise(
+        F.col(FOLDER_DAY).cast(feed.day_field().dataType))
+    rows = classified.select(
+        *feed.names, "source_file", F.col(FOLDER_DAY).alias(FOLDER), "raw_line", "reason",
+        F.when(good, "accepted").otherwise("rejected").alias(OUTCOME), day.alias(feed.day))
+    (rows.writeStream.format("parquet").outputMode("append").partitionBy(OUTCOME, feed.day)
+     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path).awaitTermination())
 
-    def run(rows: DataFrame, target: str, log: str, *partitions: str) -> None:
-        writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", log)
-        if partitions:
-            writer = writer.partitionBy(*partitions)
-        writer.trigger(availableNow=True).start(target).awaitTermination()
 
-    run(accepted(classified(), feed), path, f"{checkpoint}/valid", feed.day)
-    if rejects_path is not None:
-        run(rejected(classified()), rejects_path, f"{checkpoint}/rejects")
+def _taken(spark: SparkSession, path: str, feed: Feed, outcome: str) -> DataFrame:
+    facts = feed.fact_schema()
+    text = [T.StructField(name, T.StringType()) for name in (FOLDER, "raw_line", "reason", OUTCOME)]
+    rows = spark.read.schema(T.StructType([*facts.fields[:-1], *text, facts.fields[-1]])).parquet(path)
+    return rows.where(F.col(OUTCOME) == outcome)
 
 
 def ingested(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
-    """The rows ingested so far."""
-    return spark.read.schema(feed.fact_schema()).parquet(path)
+    """The accepted rows so far, in the layout of the fact table."""
+    return _taken(spark, path, feed, "accepted").select(*feed.fact_schema().names)
+
+
+def ingest_rejects(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
+    """The rejected lines so far."""
+    return _taken(spark, path, feed, "rejected").select(
+        "source_file", F.col(FOLDER).alias(FOLDER_DAY), "raw_line", "reason")

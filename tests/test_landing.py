@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from dayloom.operators.validate import accepted, classify, rejected, require
 from dayloom.sources import landing
-from dayloom.sources.payloads import city_dimension, flatten_payload
+from dayloom.sources.payloads import city_dimension, flatten_payload, is_small, lookup
 from edge_lines import LINES, NOT_ONE_OBJECT, RIGA, write_folder
+from plan_text import executed_plan
 
 DAY = "2026-07-12"
 
@@ -156,3 +157,14 @@ def test_payload_without_time(spark):
     assert reasons == ["None", "None", "invalid:humidity_pct", "missing:time", "missing:time", "missing:time"]
     with pytest.raises(Exception, match="payload of Riga"):
         flatten_payload(payloads, city_dimension(spark)).collect()
+
+
+def test_dimension_is_broadcast_only_when_small(spark):
+    """The dimension is the broadcast side although the facts are smaller still."""
+    facts = spark.createDataFrame([("Riga", 1), ("Warsaw", 2), ("Oslo", 3)], "city string, n int")
+    cities = city_dimension(spark)
+    assert is_small(cities) and not is_small(cities, most_rows=3) and not is_small(cities, most_bytes=10)
+    small, large = lookup(facts, cities, "city"), lookup(facts, cities, "city", most_rows=3)
+    assert "BuildRight" in executed_plan(small) and "SortMergeJoin" not in executed_plan(small)
+    assert "SortMergeJoin" in executed_plan(large)
+    assert sorted(small.collect()) == sorted(large.collect()) and small.count() == 2

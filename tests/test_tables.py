@@ -64,8 +64,22 @@ def test_append_new_days(spark, database, cluster_by):
     assert spark.table(name).count() == 5
 
 
-def summary_of(spark, *rows):
-    return rows_of(spark, *rows)
+@pytest.mark.parametrize("cluster_by", [None, ["city"]])
+def test_append_new_days_without_input(spark, database, cluster_by):
+    name = f"{database}.idle"
+    tables.append_new_days(four(spark, "2026-07-12"), name)
+    for nothing in (rows_of(spark), four(spark, "2026-07-13").where("false")):
+        landed = tables.append_new_days(nothing, name, cluster_by=cluster_by)
+        assert (landed.appended_rows, landed.skipped_rows) == (0, 0)
+    assert spark.table(name).count() == 4
+
+
+def test_append_new_days_with_a_null_day_in_the_table(spark, database):
+    """SQL's NOT IN: once the table has a NULL day, no day is known to be absent."""
+    name = f"{database}.with_null"
+    tables.append_new_days(rows_of(spark, ("a", 1.0, "2026-07-12"), ("b", 1.0, None)), name)
+    landed = tables.append_new_days(four(spark, "2026-07-13"), name)
+    assert (landed.appended_rows, landed.skipped_rows) == (0, 4)
 
 
 def test_refresh_dates_in_source_leaves_other_days(spark, fact):
