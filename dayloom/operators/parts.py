@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from dayloom.operators.sizes import MOST_BROADCAST_ROWS, broadcast_if_small, is_small
 from dayloom.session import written
 
-MOST_BROADCAST_KEYS = 500_000
 SALTS = 64
 
 
@@ -20,14 +20,14 @@ def heavy_keys(rows: DataFrame, key: str, weight: Column, limit: int) -> DataFra
 
 
 def split_by_keys(rows: DataFrame, keys: DataFrame, key: str,
-                  most: int = MOST_BROADCAST_KEYS) -> tuple[DataFrame, DataFrame]:
+                  most: int = MOST_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
     """``(rows of other keys, rows of these keys)``; a NULL key matches a NULL key.
 
-    ``keys`` is broadcast when its counted rows are few enough. Beyond that the join shuffles,
+    ``keys`` is measured, and broadcast when small. Beyond that the join shuffles,
     with each key spread over salts so that no task gets all rows of one key.
     """
     listed = keys.select(F.col(key).alias("_listed"))
-    if keys.count() <= most:
+    if is_small(keys, most):
         listed = F.broadcast(listed)
         match = F.col(key).eqNullSafe(F.col("_listed"))
         return rows.join(listed, match, "left_anti"), rows.join(listed, match, "left_semi")
@@ -58,6 +58,7 @@ def weight_before(rows: DataFrame, key: str, order: list[str], weight: Column) -
         .select(F.col(key).alias("_key"), F.col("slice").alias("_slice"),
                 F.coalesce(F.sum("in_slice").over(earlier_slices), F.lit(0)).alias("offset"))
     )
+    offsets = broadcast_if_small(written(offsets, "offsets"))
     inside = Window.partitionBy(key, "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     placed = sliced.withColumn("inside", F.coalesce(F.sum("weight").over(inside), F.lit(0)))
     return (

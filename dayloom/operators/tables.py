@@ -12,6 +12,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from dayloom.operators.rollup import absent_days, present_days
+from dayloom.operators.sizes import clustered
 from dayloom.session import setting, staged
 
 
@@ -22,20 +23,6 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType, day: str
     spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (`{day}`)")
 
 
-def clustered(df: DataFrame, day: str, cluster_by: list[str]) -> DataFrame:
-    """Gather rows by day for few, well-filled files, ordered by the clustering columns.
-
-    ``rebalance`` lets adaptive execution split a day that holds much of the data over several
-    tasks and merge small days, where a plain repartition by day would make one task of the
-    largest day. Sorted files give narrow min/max statistics for the clustering columns.
-    """
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        gathered = df.hint("rebalance", day)
-    else:
-        gathered = df.repartition(day, *cluster_by)
-    return gathered.sortWithinPartitions(day, *cluster_by)
-
-
 def _arranged(df: DataFrame, day: str, cluster_by: list[str] | None) -> DataFrame:
     return df if cluster_by is None else clustered(df, day, cluster_by)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from dayloom.operators.sizes import gathered
 from dayloom.plans.registry import table
 from dayloom.session import fresh_folder
 
@@ -137,6 +138,6 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
 def landed_lines(spark: SparkSession, folder: str) -> str:
     """Write the lines to a new landing zone, one folder per day; returns its root."""
     root = fresh_folder(spark, "landing")
-    (raw_lines(spark, folder).hint("rebalance", "load_date")
+    (gathered(raw_lines(spark, folder), "load_date")
      .write.partitionBy("load_date").text(root))
     return root

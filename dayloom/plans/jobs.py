@@ -111,15 +111,15 @@ def run_daily(spark: SparkSession, lake: Lake, run_date: str | date, incoming: D
 
 
 def build_all(spark: SparkSession, lake: Lake, full_refresh: bool = False, checks: list | None = None,
-              round_digits: int | None = 2) -> tuple[tables.Landed, list]:
+              round_digits: int | None = 2, start: str | date | None = None) -> tuple[tables.Landed, list]:
     """Append the new days of the landing zone, test the facts, rebuild the summary, reconcile it.
 
-    A failing fact test raises before the summary is touched. Returns what was appended and the
-    rows of both reports.
+    A failing fact test raises before the summary is touched. ``start`` leaves older landing
+    folders unread. Returns what was appended and the rows of both reports.
     """
     feed = lake.feed
     landed = tables.append_new_days(
-        staging(spark, lake), lake.facts, feed.day, full_refresh, lake.clustering())
+        staging(spark, lake, start), lake.facts, feed.day, full_refresh, lake.clustering())
     facts = spark.table(lake.facts)
     passed = quality.gate(quality.report(facts, quality.model_checks() if checks is None else checks))
     tables.rebuild(summarise(facts, feed, round_digits), lake.summary, feed.day, list(feed.keys))

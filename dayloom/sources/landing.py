@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
+from dayloom.operators.sizes import gathered
 from dayloom.schemas import Feed
 from dayloom.session import remove_folder
 
@@ -160,11 +161,10 @@ def land_ndjson(df: DataFrame, root: str, run_ts: datetime | None = None) -> dic
 def land_by_day(df: DataFrame, root: str, day: str = FOLDER_DAY) -> None:
     """Backfill form of landing: each row goes to the folder of its own ``day`` column.
 
-    Rows are gathered by day first so that every folder gets few files; days of any size are
-    spread over as many tasks as their bytes need.
+    Rows are gathered by day first so that every folder gets few files.
     """
     (
-        df.withColumnRenamed(day, FOLDER_DAY).hint("rebalance", FOLDER_DAY)
+        gathered(df.withColumnRenamed(day, FOLDER_DAY), FOLDER_DAY)
         .write.partitionBy(FOLDER_DAY).mode("append").option("ignoreNullFields", "false").json(root)
     )
 

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from dayloom.operators.sizes import MOST_BROADCAST_ROWS, broadcast_if_small
 from dayloom.schemas import CITIES, CITY_SCHEMA
 
 # Payload field -> record field and type. ``time`` is mandatory, the rest optional.
@@ -16,29 +17,17 @@ CURRENT_FIELDS = {
 }
 
 
-MOST_DIMENSION_ROWS = 100_000
-MOST_DIMENSION_BYTES = 32 * 1024 * 1024
-
-
 def city_dimension(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(CITIES, CITY_SCHEMA)
 
 
-def is_small(dimension: DataFrame, most_rows: int = MOST_DIMENSION_ROWS,
-             most_bytes: int = MOST_DIMENSION_BYTES) -> bool:
-    """Whether a table is small enough to send to every task; reads at most ``most_rows`` + 1 rows."""
-    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
-    measured = dimension.limit(most_rows + 1).agg(F.count(F.lit(1)).alias("rows"), size.alias("bytes")).first()
-    return measured["rows"] <= most_rows and (measured["bytes"] or 0) <= most_bytes
-
-
-def lookup(facts: DataFrame, dimension: DataFrame, key: str, most_rows: int = MOST_DIMENSION_ROWS) -> DataFrame:
+def lookup(facts: DataFrame, dimension: DataFrame, key: str, most_rows: int = MOST_BROADCAST_ROWS) -> DataFrame:
     """Attach dimension attributes by ``key``.
 
     The dimension is measured first and broadcast when small, so that no fact moves. A larger one
     is joined by shuffle, where adaptive execution splits keys that hold much of the facts.
     """
-    return facts.join(F.broadcast(dimension) if is_small(dimension, most_rows) else dimension, key, "inner")
+    return facts.join(broadcast_if_small(dimension, most_rows), key, "inner")
 
 
 def utc_now(as_of: datetime | str | None) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from dayloom.operators.validate import accepted, classify, rejected, require
 from dayloom.sources import landing
-from dayloom.sources.payloads import city_dimension, flatten_payload, is_small, lookup
+from dayloom.operators.sizes import is_small
+from dayloom.sources.payloads import city_dimension, flatten_payload, lookup
 from edge_lines import LINES, NOT_ONE_OBJECT, RIGA, write_folder
 from plan_text import executed_plan
 
