@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from dayloom.functions.casts import to_type
 from dayloom.functions.predicates import all_of, present
 from dayloom.functions.timestamps import day_of, to_milliseconds, utc_marked
 from dayloom.schemas import Feed, Field
@@ -16,11 +17,9 @@ def require(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def _typed(field: Field, timestamp_rule: str, milliseconds: bool) -> Column:
     text = F.col(field.name)
-    if field.type == "string":
-        return text
     if field.completed:
         text = utc_marked(text, timestamp_rule)
-    value = text.try_cast(field.type)
+    value = to_type(text, field.type)
     return to_milliseconds(value) if milliseconds and field.type == "timestamp" else value
 
 

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from dayloom.functions.casts import to_type
 from dayloom.operators.sizes import MOST_BROADCAST_ROWS, broadcast_if_small
 from dayloom.schemas import CITIES, CITY_SCHEMA
 
@@ -52,8 +53,9 @@ def flatten_payload(payloads: DataFrame, dimension: DataFrame, key: str = "city"
     values = []
     for source, (name, type_name) in CURRENT_FIELDS.items():
         text = F.col(f"p.current.{source}")
-        values.append(text.try_cast(type_name).alias(name))
-        faults.append(F.when(text.isNotNull() & text.try_cast(type_name).isNull(), f"invalid:{name}"))
+        value = to_type(text, type_name)
+        values.append(value.alias(name))
+        faults.append(F.when(text.isNotNull() & value.isNull(), f"invalid:{name}"))
     reason = F.nullif(F.concat_ws(",", *faults), F.lit(""))
     attributes = [c for c in dimension.columns if c != key]
     flat = lookup(

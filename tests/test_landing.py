@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from dayloom.functions.casts import to_type
 from dayloom.operators.validate import accepted, classify, rejected, require
 from dayloom.sources import landing
 from dayloom.operators.sizes import is_small
@@ -85,6 +86,20 @@ def test_text_table_keeps_number_text(spark, edge_root, weather):
     assert len(table.collect()) == 21
 
 
+@pytest.mark.parametrize("kind, good, bad", [
+    ("timestamp", ["2026-07-12T07:44:07+00:00", "2026-07-12 07:44:07.123", "2026-07-12", "2026-7-2T7:4:7Z"],
+     ["12:30", "T12:30:00", "2026", "2026-07", "12345", "yesterday", "+12026-01-01T00:00:00Z", "20260712T074407Z"]),
+    ("double", ["23.3", "-1e3", "5", ".5", " 7 ", "NaN", "-Infinity", "inf"],
+     ["23.3f", "1.5d ", "0x1p3", "1_0", "", "n/a", "true"]),
+    ("int", ["71", "-3", "+5"], ["71.5", "71.0", "7e1", "2147483648", "", "0x10"]),
+    ("string", ["", "x"], []),
+])
+def test_text_to_types(spark, kind, good, bad):
+    df = spark.createDataFrame([(text,) for text in good + bad], "text string")
+    read = {r.text for r in df.where(to_type(F.col("text"), kind).isNotNull()).collect()}
+    assert read == set(good)
+
+
 def test_require_treats_blank_and_zero_as_present(spark):
     df = spark.createDataFrame([("a",), ("",), (None,), (" ",), ("0",)], "x string")
     assert sorted(r.x for r in require(df, ["x"]).collect()) == [" ", "0", "a"]
