@@ -127,13 +127,14 @@ IN_PARTS = "the request body comes in several parts; join them in part order to
 
 
 def score(requests: DataFrame, connect: Callable[[], Callable[[list[str]], list[str]]],
-          key: str = "conv_id", concurrency: int | None = None) -> DataFrame:
+          key: str = "conv_id", concurrency: int | None = None, profile=None) -> DataFrame:
     """``(key, part, response, error)``: send every body, return the response body unchanged.
 
     ``connect`` is called once per task and returns ``complete(bodies) -> responses``; an
     exception in it fails the job. Error records are passed on unsent, as are the fragments of
-    bodies too large for one row. ``concurrency`` caps the number of tasks that call the model.
-    Each evaluation of the result calls the model anew, so write it before using it twice.
+    bodies too large for one row. ``concurrency`` caps the number of tasks that call the model;
+    where the cluster schedules by resource, a ``profile`` with several cores per task caps it too
+    and leaves the tasks small, so that less is sent again when an executor is lost. Each evaluation of the result calls the model anew, so write it before using it twice.
     """
     if "part" not in requests.columns:
         requests = requests.withColumn("part", F.lit(0).cast("bigint")).withColumn("closes", F.lit(True))
@@ -159,7 +160,7 @@ def score(requests: DataFrame, connect: Callable[[], Callable[[list[str]], list[
         requests.schema[key], T.StructField("part", T.LongType()),
         T.StructField("response", T.StringType()), T.StructField("error", T.StringType()),
     ])
-    return prompts.mapInPandas(send, schema)
+    return prompts.mapInPandas(send, schema, profile=profile)
 
 
 def http_connect(url: str, timeout: float = TIMEOUT_SECONDS) -> Callable[[], Callable[[list[str]], list[str]]]:

@@ -62,6 +62,22 @@ def daily_summary_orders(spark, folder):
     return rollup.withColumn("order_day", F.col("order_day").cast("string"))
 
 
+@query("summary_by_sql", """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS observation_date, event_type AS city,
+    count(*) AS record_count, round(avg(floor(value * 4) / 4), 2) AS avg_temperature_c,
+    CASE WHEN max(floor(value * 4) / 4) > 300 THEN 'high' ELSE 'normal' END AS level,
+    coalesce(sum(CASE WHEN event_type = 'error' THEN 1 END), 0)::BIGINT AS errors
+    FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-15' GROUP BY ALL""")
+def summary_by_sql(spark, folder):
+    """The rollup in SQL over a view: grouping by ordinals, date literals, conditionals, final order."""
+    observations(spark, folder).createOrReplaceTempView("observed")
+    return spark.sql("""
+        SELECT CAST(date(observed_at) AS STRING) AS observation_date, city, count(*) AS record_count,
+               round(avg(temperature_c) * 100) / 100 AS avg_temperature_c,
+               if(max(temperature_c) > 300, 'high', 'normal') AS level,
+               ifnull(sum(CASE WHEN city = 'error' THEN 1 END), 0) AS errors
+        FROM observed WHERE date(observed_at) <> DATE'2024-01-15' GROUP BY 1, 2 ORDER BY city, 1""")
+
+
 @query("rows_per_day", """SELECT strftime(l_shipdate, '%Y-%m-%d') AS load_date, count(*) AS row_count
     FROM lineitem GROUP BY ALL""")
 def rows_of_days(spark, folder):

@@ -125,11 +125,12 @@ def parse_lines(lines: DataFrame, feed: Feed) -> DataFrame:
     strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
     record = T.StructType([*feed.raw_schema().fields, T.StructField(CORRUPT, T.StringType())])
     decoded = F.from_json("line", record, {**strict, "columnNameOfCorruptRecord": CORRUPT})
+    mark = F.xxhash64("line")  # of the line itself, so that no line can bring its own marker
     marked = F.from_json(
-        F.concat(F.lit("["), F.col("line"), F.lit(f',{{"{LINE_END}":true}}]')),
-        T.ArrayType(T.StructType([T.StructField(LINE_END, T.BooleanType())])), strict,
+        F.concat(F.lit("["), F.col("line"), F.lit(f',{{"{LINE_END}":'), mark.cast("string"), F.lit("}]")),
+        T.ArrayType(T.StructType([T.StructField(LINE_END, T.LongType())])), strict,
     )
-    ended = F.coalesce(F.get(marked, F.lit(1)).getField(LINE_END), F.lit(False))
+    ended = F.coalesce(F.get(marked, F.lit(1)).getField(LINE_END) == mark, F.lit(False))
     alone = F.when(F.instr("line", "}") == F.length("line"), True).otherwise(ended)
     return (
         lines.select(*lines.columns, alone.alias("alone"))
