@@ -8,20 +8,18 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 os.environ["PYTHONPATH"] = os.pathsep.join(
     [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.environ.get("PYTHONPATH", "")])
 
-from dayloom.session import build_session, fresh_database, fresh_folder  # noqa: E402
+from dayloom.session import build_session, fresh_database  # noqa: E402
 from dayloom.schemas import WEATHER  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     session = build_session(
         "dayloom-tests", "local[8]",
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "4g",
-            "spark.checkpoint.dir": f"{folder}/shared",
-            "spark.sql.warehouse.dir": f"{folder}/warehouse",
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
             "spark.ui.showConsoleProgress": "false",
         },
     )
@@ -35,11 +33,6 @@ def database(spark):
     return fresh_database(spark, "test")
 
 
-@pytest.fixture
-def folder(spark, tmp_path):
-    return str(tmp_path)
-
-
 @pytest.fixture
 def weather():
     return WEATHER

@@ -8,7 +8,6 @@ import decimal
 import glob
 import os
 import sys
-import tempfile
 import time
 
 import duckdb
@@ -67,10 +66,8 @@ if __name__ == "__main__":
 
     tables = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:] or list(QUERIES)
-    scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     session = build_session("oracle", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
-        "spark.checkpoint.dir": f"{scratch}/shared", "spark.sql.warehouse.dir": f"{scratch}/warehouse",
         "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
     database = connect(tables)

@@ -1,8 +1,22 @@
+import os
+
 from dayloom.operators import quality
 from dayloom.streaming.ingest import ingest_available, ingest_rejects, ingested
 from edge_lines import LINES, RIGA, write_folder
 
 
+def test_a_batch_that_runs_again_counts_once(spark, tmp_path, weather):
+    """The stream stops after the sink has committed a batch and before the checkpoint says so."""
+    raw, out, log = (str(tmp_path / n) for n in ("raw", "facts", "log"))
+    write_folder(tmp_path / "raw", "2026-07-12", [line for line, _ in LINES])
+    ingest_available(spark, raw, out, log, weather)
+    for name in os.listdir(f"{log}/commits"):
+        os.unlink(f"{log}/commits/{name}")
+    ingest_available(spark, raw, out, log, weather)
+    assert ingested(spark, out, weather).count() == 9
+    assert ingest_rejects(spark, out, weather).count() == 12
+
+
 def test_each_file_once_across_restarts(spark, tmp_path, weather):
     raw, out, log = (str(tmp_path / n) for n in ("raw", "facts", "log"))
     write_folder(tmp_path / "raw", "2026-07-12", [line for line, _ in LINES])
