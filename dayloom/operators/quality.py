@@ -151,8 +151,8 @@ def gate(checked: DataFrame) -> list:
     return rows
 
 
-def warehouse_checks(summary: DataFrame) -> list[Check]:
-    """The report card over a fact table and its summary."""
+def warehouse_checks(summary: DataFrame, day: str | None = None, days: tuple | None = None) -> list[Check]:
+    """The report card over a fact table and its summary; ``days`` limits what is reconciled."""
     # Check names and bounds.
     return [
         not_null("no_null_required", "observed_at", "ingested_at", "city"),
@@ -160,7 +160,7 @@ def warehouse_checks(summary: DataFrame) -> list[Check]:
         in_range("temperature_in_range", "temperature_c", -60, 60),
         in_range("humidity_in_range", "humidity_pct", 0, 100),
         non_negative("wind_speed_non_negative", "wind_speed_kmh"),
-        ReconcileCheck("summary_reconciles_source", summary),
+        ReconcileCheck("summary_reconciles_source", summary, day=day, days=days),
     ]
 
 

@@ -17,7 +17,7 @@ from dayloom.schemas import WEATHER
 from dayloom.session import fresh_folder, written
 from dayloom.sources import landing
 from dayloom.sources.landing import FOLDER_DAY
-from dayloom.sources.payloads import flatten_payload, lookup
+from dayloom.sources.payloads import flatten_payload, lookup, place_dimension
 from dayloom.streaming.ingest import ingest_available, ingest_rejects, ingested
 
 SOME_DAY = "2024-01-15"
@@ -197,10 +197,6 @@ EVENT_TYPES_SQL = "event_types(city, country, latitude, longitude) AS (VALUES {}
     ", ".join(f"('{c}', '{g}', CAST({a} AS DOUBLE), CAST({o} AS DOUBLE))" for c, g, a, o in EVENT_TYPES))
 
 
-def event_types(spark):
-    return spark.createDataFrame(EVENT_TYPES, "city string, country string, latitude double, longitude double")
-
-
 def payloads(spark, folder):
     """``events`` as API payloads: some readings lack the time, some lack a metric."""
     k = reading()
@@ -227,7 +223,7 @@ FLAT_SQL = f"""WITH {EVENT_TYPES_SQL}, r AS (
 @query("flatten_payload", FLAT_SQL)
 def flatten_payloads(spark, folder):
     """Payloads to flat records; a missing time is named, a missing metric is NULL."""
-    return flatten_payload(payloads(spark, folder), event_types(spark), as_of="2026-07-12 07:44:07", mode="reject")
+    return flatten_payload(payloads(spark, folder), place_dimension(spark, EVENT_TYPES), as_of="2026-07-12 07:44:07", mode="reject")
 
 
 @query("land_flattened", f"""WITH flat AS ({FLAT_SQL})
@@ -237,7 +233,7 @@ def flatten_payloads(spark, folder):
     FROM flat WHERE reason IS NULL""")
 def land_flattened(spark, folder):
     """Payloads flattened, landed as the NDJSON of one run, and read back."""
-    flat = flatten_payload(payloads(spark, folder), event_types(spark), as_of="2026-07-12 07:44:07", mode="reject")
+    flat = flatten_payload(payloads(spark, folder), place_dimension(spark, EVENT_TYPES), as_of="2026-07-12 07:44:07", mode="reject")
     root = fresh_folder(spark, "landing")
     landing.land_ndjson(flat.where("reason IS NULL").drop("reason"), root, datetime(2026, 7, 12, 7, 44, 7))
     return landing.scan_ndjson(spark, root, WEATHER).select(

@@ -94,4 +94,4 @@ CITIES = [
     ("Tallinn", "Estonia", 59.4370, 24.7536),
     ("Warsaw", "Poland", 52.2297, 21.0122),
 ]
-CITY_SCHEMA = "city string, country string, latitude double, longitude double"
+PLACE_COLUMNS = ("city", "country", "latitude", "longitude")

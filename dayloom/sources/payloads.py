@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dayloom.functions.casts import to_type
 from dayloom.operators.sizes import MOST_BROADCAST_ROWS, broadcast_if_small
-from dayloom.schemas import CITIES, CITY_SCHEMA
+from dayloom.schemas import CITIES, PLACE_COLUMNS
 
 # Payload field -> record field and type. ``time`` is mandatory, the rest optional.
 CURRENT_FIELDS = {
@@ -18,8 +19,13 @@ CURRENT_FIELDS = {
 }
 
 
+def place_dimension(spark: SparkSession, places: list[tuple]) -> DataFrame:
+    """A dimension of places given in code. Through Arrow it is a local relation of known size."""
+    return spark.createDataFrame(pa.table(dict(zip(PLACE_COLUMNS, zip(*places)))))
+
+
 def city_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CITIES, CITY_SCHEMA)
+    return place_dimension(spark, CITIES)
 
 
 def lookup(facts: DataFrame, dimension: DataFrame, key: str, most_rows: int = MOST_BROADCAST_ROWS) -> DataFrame:

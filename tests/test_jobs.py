@@ -71,6 +71,16 @@ def test_edge_folder_end_to_end(spark, lake, tmp_path):
                       "humidity_in_range": 1, "wind_speed_non_negative": 1, "summary_reconciles_source": 0}
 
 
+def test_refresh_and_report_of_some_days(spark, lake, tmp_path):
+    write_folder(tmp_path / "raw", DAY, [line for line, _ in LINES])
+    jobs.load_run_date(spark, lake, DAY)
+    jobs.refresh_summary(spark, lake, days=["2026-07-11"])
+    assert {r.load_date for r in spark.table(lake.summary).collect()} == {"2026-07-11"}
+    assert [r.status for r in jobs.quality_report(spark, lake, days=["2026-07-11"]).collect()] == ["PASS"] * 6
+    of_day = {r.check_name: r.violations for r in jobs.quality_report(spark, lake, days=[DAY]).collect()}
+    assert of_day["summary_reconciles_source"] == 8 and of_day["temperature_in_range"] == 1
+
+
 def test_gate_position(spark, lake):
     with pytest.raises(quality.DataQualityError, match="min_rows_of_day"):
         jobs.run_daily(spark, lake, DAY, readings(spark), least_rows=5, gate_at="before_summary")
