@@ -134,7 +134,9 @@ def score(requests: DataFrame, connect: Callable[[], Callable[[list[str]], list[
     exception in it fails the job. Error records are passed on unsent, as are the fragments of
     bodies too large for one row. ``concurrency`` caps the number of tasks that call the model;
     where the cluster schedules by resource, a ``profile`` with several cores per task caps it too
-    and leaves the tasks small, so that less is sent again when an executor is lost. Each evaluation of the result calls the model anew, so write it before using it twice.
+    and leaves the tasks small, so that less is sent again when an executor is lost. Each evaluation
+    of the result calls the model anew, so write it before using it twice. ``complete`` gets as
+    many bodies at a time as Spark puts into one Arrow batch (64 MiB by default).
     """
     if "part" not in requests.columns:
         requests = requests.withColumn("part", F.lit(0).cast("bigint")).withColumn("closes", F.lit(True))
@@ -182,7 +184,8 @@ def http_connect(url: str, timeout: float = TIMEOUT_SECONDS) -> Callable[[], Cal
 
 CHOICE = "finish_reason: string, index: bigint, text: string, message: struct<role: string, content: string>"
 USAGE = "usage: struct<total_tokens: bigint>"
-RESPONSE = f"choices: array<struct<{CHOICE}>>, {USAGE}, output: array<struct<choices: array<struct<{CHOICE}>>, {USAGE}>>"
+ANSWERS = f"choices: array<struct<{CHOICE}>>, {USAGE}"
+RESPONSE = f"struct<{ANSWERS}, output: array<struct<{ANSWERS}>>>"
 
 
 def parse_response(responses: DataFrame, response: str = "response") -> DataFrame:
@@ -191,7 +194,7 @@ def parse_response(responses: DataFrame, response: str = "response") -> DataFram
     The chat shape has ``choices[].message.content``, the legacy one wraps
     ``choices[].text`` in an ``output`` array. Decoding sits in a generator so that it runs once.
     """
-    decoded = responses.select(*responses.columns, F.explode(F.array(F.from_json(response, f"struct<{RESPONSE}>"))).alias("r"))
+    decoded = responses.select(*responses.columns, F.explode(F.array(F.from_json(response, RESPONSE))).alias("r"))
     first, legacy = F.get("r.choices", F.lit(0)), F.get("r.output", F.lit(0))
     legacy_first = F.get(legacy["choices"], F.lit(0))
     return decoded.select(

@@ -20,7 +20,8 @@ MESSAGES_SQL = """listed AS (
     FROM conversations GROUP BY conv_id)"""
 
 
-@query("chat_messages", f"WITH {MESSAGES_SQL} SELECT conv_id, CAST(0 AS BIGINT) AS part, CAST(messages AS VARCHAR) AS messages FROM listed")
+@query("chat_messages", f"""WITH {MESSAGES_SQL}
+    SELECT conv_id, CAST(0 AS BIGINT) AS part, CAST(messages AS VARCHAR) AS messages FROM listed""")
 def chat_messages(spark, folder):
     """The messages of every conversation in turn order."""
     return messages(spark, folder).select("conv_id", "part", F.to_json("messages").alias("messages"))

@@ -223,7 +223,8 @@ FLAT_SQL = f"""WITH {EVENT_TYPES_SQL}, r AS (
 @query("flatten_payload", FLAT_SQL)
 def flatten_payloads(spark, folder):
     """Payloads to flat records; a missing time is named, a missing metric is NULL."""
-    return flatten_payload(payloads(spark, folder), place_dimension(spark, EVENT_TYPES), as_of="2026-07-12 07:44:07", mode="reject")
+    return flatten_payload(
+        payloads(spark, folder), place_dimension(spark, EVENT_TYPES), as_of="2026-07-12 07:44:07", mode="reject")
 
 
 @query("land_flattened", f"""WITH flat AS ({FLAT_SQL})
@@ -233,7 +234,7 @@ def flatten_payloads(spark, folder):
     FROM flat WHERE reason IS NULL""")
 def land_flattened(spark, folder):
     """Payloads flattened, landed as the NDJSON of one run, and read back."""
-    flat = flatten_payload(payloads(spark, folder), place_dimension(spark, EVENT_TYPES), as_of="2026-07-12 07:44:07", mode="reject")
+    flat = flatten_payloads(spark, folder)
     root = fresh_folder(spark, "landing")
     landing.land_ndjson(flat.where("reason IS NULL").drop("reason"), root, datetime(2026, 7, 12, 7, 44, 7))
     return landing.scan_ndjson(spark, root, WEATHER).select(
