@@ -26,7 +26,7 @@ def message_bytes() -> Column:
 
 def _collected(rows: DataFrame, by: list[str], entry: list[str], unpack: Callable) -> DataFrame:
     """One array of entries per group, ordered by turn, role and content."""
-    entries = F.array_sort(F.collect_list(F.struct(*entry)))
+    entries = F.sort_array(F.collect_list(F.struct(*entry)))
     return rows.groupBy(*by).agg(entries.alias("entries")).withColumn("messages", unpack(F.col("entries")))
 
 

@@ -49,6 +49,7 @@ class Landed:
 
     appended_rows: int
     skipped_rows: int
+    new_days: tuple = ()
 
 
 def append_new_days(df: DataFrame, table: str, day: str = "load_date", full_refresh: bool = False,
@@ -61,24 +62,24 @@ def append_new_days(df: DataFrame, table: str, day: str = "load_date", full_refr
     spark = df.sparkSession
     exists = spark.catalog.tableExists(table)
     seen, kept = Observation(), Observation()
-    rows = F.count(F.lit(1)).alias("rows")
+    rows, days = F.count(F.lit(1)).alias("rows"), F.collect_set(day).alias("days")
     if full_refresh or not exists:
-        rebuild(df.observe(kept, rows), table, day, cluster_by)
-        if cluster_by is None:
-            return Landed(kept.get["rows"], 0)
-        return Landed(spark.table(table).count(), 0)
+        rebuild(df.observe(kept, rows, days), table, day, cluster_by)
+        # behind a shuffle a task may run twice and count its rows twice: ask the table instead
+        appended = kept.get["rows"] if cluster_by is None else spark.table(table).count()
+        return Landed(appended, 0, tuple(sorted(kept.get["days"])))
     present = spark.table(table)
     source = df.select(*present.columns)
     if not present.where(F.col(day).isNull()).isEmpty():
         return Landed(0, source.count())  # NOT IN: beside a NULL day no day is known to be absent
     # map-only: the counts come from the tasks that commit the rows, so a task that runs again counts once
-    fresh = absent_days(source.observe(seen, rows), present, day).observe(kept, rows)
+    fresh = absent_days(source.observe(seen, rows), present, day).observe(kept, rows, days)
     if cluster_by is None:
         fresh.write.insertInto(table)
     else:
         with staged(fresh, "new-days") as once:
             clustered(once, day, cluster_by).write.insertInto(table)
-    return Landed(kept.get["rows"], seen.get["rows"] - kept.get["rows"])
+    return Landed(kept.get["rows"], seen.get["rows"] - kept.get["rows"], tuple(sorted(kept.get["days"])))
 
 
 def late_rows(df: DataFrame, table: str, day: str = "load_date") -> DataFrame:

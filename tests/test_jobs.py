@@ -1,6 +1,8 @@
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from dayloom.operators import quality, tables
 from dayloom.operators.rollup import rows_per_day
@@ -124,6 +126,22 @@ def test_late_file_is_skipped_until_full_refresh(spark, models):
     assert jobs.lost_records(spark, models).first().lost_rows == 0
 
 
+def test_only_new_days_gives_the_same_tables(spark, models, tmp_path):
+    others = replace(models, facts=models.facts + "_full", summary=models.summary + "_full")
+    for day in ("2026-07-12", "2026-07-13", "2026-07-13", "2026-07-14"):
+        rows = readings(spark).withColumn("observed_at", F.lit(f"{day}T07:30"))
+        if day == "2026-07-13":
+            rows = rows.withColumn("observed_at", F.concat(F.lit(f"{day}T0"), F.length("city").cast("string"), F.lit(":30")))
+        write = jobs.land_ndjson if not (tmp_path / "raw" / f"load_date={day}").exists() else None
+        if write:
+            write(rows, models.root, datetime.fromisoformat(day))
+        landed, checks = jobs.build_all(spark, models, only_new_days=True)
+        assert landed.new_days == ((day,) if write else ()) and {r.status for r in checks} == {"PASS"}
+        jobs.build_all(spark, others)
+        assert sorted(spark.table(models.summary).collect()) == sorted(spark.table(others.summary).collect())
+    assert spark.table(models.facts).count() == 12
+
+
 def test_failing_fact_test_leaves_the_summary(spark, models):
     jobs.land_ndjson(readings(spark), models.root, datetime(2026, 7, 12, 7, 44))
     jobs.build_all(spark, models)
