@@ -13,26 +13,30 @@ OUTCOME = "outcome"  # first partition column of the target: accepted or rejecte
 FOLDER = "folder_day"
 
 
-def _landed(spark: SparkSession, root: str, files_per_batch: int | None) -> DataFrame:
+def _landed(spark: SparkSession, root: str, files_per_batch: int | None, bytes_per_batch: int | None) -> DataFrame:
     schema = T.StructType([T.StructField("line", T.StringType()), T.StructField(FOLDER_DAY, T.StringType())])
     reader = spark.readStream.schema(schema)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.text(root).select(
         "line", FOLDER_DAY, F.col("_metadata.file_path").alias("source_file")).where(not_blank())
 
 
 def ingest_available(spark: SparkSession, root: str, path: str, checkpoint: str, feed: Feed,
-                     files_per_batch: int | None = None, mode: str = "quarantine") -> None:
+                     files_per_batch: int | None = None, bytes_per_batch: int | None = None,
+                     mode: str = "quarantine") -> None:
     """Process the files landed since the last call, then return.
 
     Each line is decoded once and goes to Parquet below ``path``, accepted rows by event-time
     day, rejected lines by folder day. Read them with ``ingested`` and ``ingest_rejects``, which
     follow the sink's commit log, so a batch that failed and ran again counts once. Late rows of
     an old day are taken like any others. Files are told apart, not readings: two files with the
-    same reading give two rows, for the uniqueness check to find.
+    same reading give two rows, for the uniqueness check to find. A large backlog is best taken in
+    batches, by number of files or by bytes: what a batch has committed is kept.
     """
-    classified = classify(parse_lines(_landed(spark, root, files_per_batch), feed), feed, mode)
+    classified = classify(parse_lines(_landed(spark, root, files_per_batch, bytes_per_batch), feed), feed, mode)
     good = F.col("reason").isNull()
     day = F.when(good, day_of(F.col(feed.event_time), feed.day_type)).otherwise(
         F.col(FOLDER_DAY).cast(feed.day_field().dataType))

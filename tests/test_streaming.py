@@ -9,7 +9,7 @@ def test_a_batch_that_runs_again_counts_once(spark, tmp_path, weather):
     """The stream stops after the sink has committed a batch and before the checkpoint says so."""
     raw, out, log = (str(tmp_path / n) for n in ("raw", "facts", "log"))
     write_folder(tmp_path / "raw", "2026-07-12", [line for line, _ in LINES])
-    ingest_available(spark, raw, out, log, weather)
+    ingest_available(spark, raw, out, log, weather, bytes_per_batch=1_000_000)
     for name in os.listdir(f"{log}/commits"):
         os.unlink(f"{log}/commits/{name}")
     ingest_available(spark, raw, out, log, weather)
