@@ -131,7 +131,8 @@ def parse_lines(lines: DataFrame, feed: Feed) -> DataFrame:
         T.ArrayType(T.StructType([T.StructField(LINE_END, T.LongType())])), strict,
     )
     ended = F.coalesce(F.get(marked, F.lit(1)).getField(LINE_END) == mark, F.lit(False))
-    alone = F.when(F.instr("line", "}") == F.length("line"), True).otherwise(ended)
+    close = F.instr("line", "}")  # counted in characters; in plain ASCII the byte length spares counting them
+    alone = F.when(close == F.octet_length("line"), True).when(close == F.length("line"), True).otherwise(ended)
     return (
         lines.select(*lines.columns, alone.alias("alone"))
         .select("*", F.inline(F.array(decoded)))
