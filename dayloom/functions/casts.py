@@ -6,6 +6,9 @@ January, and Java's number suffixes and hexadecimal digits pass as doubles. Such
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, functions as F
 
 # Words that stand for a double.
@@ -14,12 +17,15 @@ DOUBLE_WORDS = ("nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinit
 
 def to_instant(text: Column) -> Column:
     """An instant from text that starts with a full date; UTC unless the text names a zone."""
-    return F.when(text.like("____-%-%"), text.try_cast("timestamp"))
+    def dash(position: int) -> Column:
+        return F.substring(text, position, 1) == "-"
+
+    return F.when(dash(5) & (dash(8) | dash(7)), text.try_cast("timestamp"))
 
 
 def to_double(text: Column) -> Column:
-    plain = F.translate(text, "fFdDxX", "") == text
-    return F.when(plain | F.lower(F.trim(text)).isin(*DOUBLE_WORDS), text.try_cast("double"))
+    letters = reduce(or_, [text.contains(letter) for letter in "fFdDxX"])
+    return F.when(~letters | F.lower(F.trim(text)).isin(*DOUBLE_WORDS), text.try_cast("double"))
 
 
 def to_type(text: Column, type_name: str) -> Column:

@@ -89,7 +89,8 @@ def test_text_table_keeps_number_text(spark, edge_root, weather):
 
 @pytest.mark.parametrize("kind, good, bad", [
     ("timestamp", ["2026-07-12T07:44:07+00:00", "2026-07-12 07:44:07.123", "2026-07-12", "2026-7-2T7:4:7Z"],
-     ["12:30", "T12:30:00", "2026", "2026-07", "12345", "yesterday", "+12026-01-01T00:00:00Z", "20260712T074407Z"]),
+     ["12:30", "T12:30:00", "2026", "2026-07", "12345", "yesterday", "+12026-01-01T00:00:00Z", "20260712T074407Z",
+      "12:3-02:00", "2026-07-"]),
     ("double", ["23.3", "-1e3", "5", ".5", " 7 ", "NaN", "-Infinity", "inf"],
      ["23.3f", "1.5d ", "0x1p3", "1_0", "", "n/a", "true"]),
     ("int", ["71", "-3", "+5"], ["71.5", "71.0", "7e1", "2147483648", "", "0x10"]),
