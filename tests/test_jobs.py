@@ -1,5 +1,5 @@
 from dataclasses import replace
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +8,7 @@ from dayloom.operators import quality, tables
 from dayloom.operators.rollup import rows_per_day
 from dayloom.plans import jobs
 from dayloom.sources.payloads import city_dimension, flatten_payload
+from dayloom.streaming.ingest import ingest_available, ingest_rejects, ingested
 from edge_lines import LINES, RIGA, write_folder
 
 DAY = "2026-07-12"
@@ -156,3 +157,33 @@ def test_staging_view(spark, models):
     jobs.land_ndjson(readings(spark), models.root, datetime(2026, 7, 12, 7, 44))
     jobs.staging(spark, models, view="staged")
     assert spark.sql("SELECT count(*) AS n FROM staged WHERE humidity_pct = 71").first().n == 4
+
+
+def test_a_feed_with_date_days(spark, database, tmp_path, weather):
+    """The warehouse layout: a DATE day key, lineage by pattern, unrounded script summary."""
+    feed = replace(weather, day="observation_date", day_type="date")
+    lake = jobs.Lake(str(tmp_path / "raw"), f"{database}.observations", f"{database}.daily", f"{database}.rejects",
+                     feed=feed, lineage="pattern", cluster_by=("city",))
+    write_folder(tmp_path / "raw", DAY, [line for line, _ in LINES])
+    jobs.create_tables(spark, lake)
+    day = jobs.run_daily(spark, lake, DAY)
+    assert dict(spark.table(lake.facts).dtypes)["observation_date"] == "date"
+    assert {r.observation_date for r in day.collect()} == {date(2026, 7, 12)} and day.count() == 6
+    assert spark.table(lake.facts).where("observation_date = DATE'2026-07-11'").first().source_file.endswith(f"{DAY}/*")
+    jobs.refresh_summary(spark, lake, days=[date(2026, 7, 11)])
+    assert spark.table(lake.summary).count() == 7
+    report = {r.check_name: r.violations for r in jobs.quality_report(spark, lake, days=[date(2026, 7, 12)]).collect()}
+    assert report["summary_reconciles_source"] == 0 and report["no_duplicate_observation"] == 1
+    models = replace(lake, facts=f"{database}.incremental", summary=f"{database}.incremental_daily")
+    passing = [quality.not_null("city", "city")]
+    landed, _ = jobs.build_all(spark, models, checks=passing)
+    assert landed.new_days == (date(2026, 7, 11), date(2026, 7, 12))
+    write_folder(tmp_path / "raw", "2026-07-13", [RIGA.replace("2026-07-12T07:30", "2026-07-13T07:30")])
+    landed, _ = jobs.build_all(spark, models, checks=passing, only_new_days=True, start="2026-07-13")
+    assert (landed.appended_rows, landed.skipped_rows, landed.new_days) == (1, 0, (date(2026, 7, 13),))
+    assert spark.table(models.summary).count() == 8
+    assert tables.expire(spark, models.facts, feed.day, "2026-07-19") == ["2026-07-11", "2026-07-12"]
+    target = str(tmp_path / "ingested")
+    ingest_available(spark, lake.root, target, f"{target}-log", feed)
+    assert ingested(spark, target, feed).where("observation_date = DATE'2026-07-12'").count() == 8
+    assert ingest_rejects(spark, target, feed).count() == 12
