@@ -72,7 +72,11 @@ def absent_days(df: DataFrame, other: DataFrame, day: str, null_aware: bool = Tr
     ``null_aware`` is SQL's ``NOT IN``: a NULL day is never kept once ``other`` has rows, and one
     NULL day in ``other`` empties the result. Without it NULL equals nothing, as in an anti join.
     """
-    days = day_list(other, day, most)
+    return days_not_in(df, day_list(other, day, most), other, day, null_aware)
+
+
+def days_not_in(df: DataFrame, days: list | None, other: DataFrame, day: str, null_aware: bool = True) -> DataFrame:
+    """``absent_days`` when ``days``, the result of ``day_list(other)``, is at hand."""
     if null_aware:
         return df.where(~F.col(day).isin(landed_days(other, day) if days is None else days))
     if days is None:

@@ -11,7 +11,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from dayloom.operators.rollup import absent_days, present_days
+from dayloom.operators.rollup import day_list, days_not_in, present_days
 from dayloom.operators.sizes import clustered
 from dayloom.session import setting, staged
 
@@ -70,10 +70,11 @@ def append_new_days(df: DataFrame, table: str, day: str = "load_date", full_refr
         return Landed(appended, 0, tuple(sorted(kept.get["days"])))
     present = spark.table(table)
     source = df.select(*present.columns)
-    if not present.where(F.col(day).isNull()).isEmpty():
+    known = day_list(present, day)
+    if not present.where(F.col(day).isNull()).isEmpty() if known is None else None in known:
         return Landed(0, source.count())  # NOT IN: beside a NULL day no day is known to be absent
     # map-only: the counts come from the tasks that commit the rows, so a task that runs again counts once
-    fresh = absent_days(source.observe(seen, rows), present, day).observe(kept, rows, days)
+    fresh = days_not_in(source.observe(seen, rows), known, present, day).observe(kept, rows, days)
     if cluster_by is None:
         fresh.write.insertInto(table)
     else:
