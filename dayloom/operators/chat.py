@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from dayloom.operators.parts import heavy_keys, ordered_parts, split_by_keys
+from dayloom.operators.sizes import measured
 
 # Fixed value: the answer to a request without messages.
 MISSING_MESSAGES = "input.messages is required (OpenAI chat format)."
@@ -52,10 +53,11 @@ def build_messages(turns: DataFrame, key: str = "conv_id", turn: str = "turn", r
             conversations, [key], ["turn", "role", "content"], lambda e: F.transform(e, message),
         ).select(key, F.lit(0).cast("bigint").alias("part"), F.lit(True).alias("closes"), "messages")
 
-    if heavy.isEmpty():
+    size = measured(heavy)
+    if size.rows == 0:
         return in_one_row(rows)
-    light, oversized = split_by_keys(rows, heavy, key)
-    cut = ordered_parts(oversized, key, ["turn", "role", "content"], message_bytes(), max_bytes)
+    light, oversized = split_by_keys(rows, heavy, key, size.is_small())
+    cut = ordered_parts(oversized, key, ["turn", "role", "content"], message_bytes(), max_bytes, size.is_small())
     parts = _collected(
         cut, [key, "part"], ["turn", "role", "content", "copies"],
         lambda e: F.flatten(F.transform(

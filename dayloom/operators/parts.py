@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from dayloom.operators.sizes import MOST_BROADCAST_ROWS, broadcast_if_small, is_small
 from dayloom.session import written
 
 SALTS = 64
@@ -19,15 +18,14 @@ def heavy_keys(rows: DataFrame, key: str, weight: Column, limit: int) -> DataFra
     return written(totals.where(F.col("total") > limit), "heavy-keys")
 
 
-def split_by_keys(rows: DataFrame, keys: DataFrame, key: str,
-                  most: int = MOST_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+def split_by_keys(rows: DataFrame, keys: DataFrame, key: str, few: bool) -> tuple[DataFrame, DataFrame]:
     """``(rows of other keys, rows of these keys)``; a NULL key matches a NULL key.
 
-    ``keys`` is measured, and broadcast when small. Beyond that the join shuffles,
-    with each key spread over salts so that no task gets all rows of one key.
+    ``few`` says that ``keys`` was measured and is small: then it is broadcast. Otherwise the join
+    shuffles, with each key spread over salts so that no task gets all rows of one key.
     """
     listed = keys.select(F.col(key).alias("_listed"))
-    if is_small(keys, most):
+    if few:
         listed = F.broadcast(listed)
         match = F.col(key).eqNullSafe(F.col("_listed"))
         return rows.join(listed, match, "left_anti"), rows.join(listed, match, "left_semi")
@@ -38,14 +36,15 @@ def split_by_keys(rows: DataFrame, keys: DataFrame, key: str,
             salted.join(listed, match, "left_semi").drop("_row_salt"))
 
 
-def weight_before(rows: DataFrame, key: str, order: list[str], weight: Column) -> DataFrame:
+def weight_before(rows: DataFrame, key: str, order: list[str], weight: Column, few: bool) -> DataFrame:
     """Adds ``weight`` and ``before``, the weight of all earlier rows of the same key in ``order``.
 
     A window over the key would sort one hot key in one task. Instead the rows are range
     partitioned by (key, order), so a hot key spans many slices; each slice is summed, the slice
     totals are run up per key (at most one row per slice), and only the rest is computed inside a
     slice. ``order`` must tell the rows of a key apart. The slices are written once: their
-    borders come from a sample and must not change between the two uses.
+    borders come from a sample and must not change between the two uses. There are at most as
+    many (key, slice) pairs as keys and slices, so with ``few`` keys their offsets are broadcast.
     """
     sliced = written(
         rows.withColumn("weight", weight).repartitionByRange(key, *order)
@@ -58,7 +57,8 @@ def weight_before(rows: DataFrame, key: str, order: list[str], weight: Column) -
         .select(F.col(key).alias("_key"), F.col("slice").alias("_slice"),
                 F.coalesce(F.sum("in_slice").over(earlier_slices), F.lit(0)).alias("offset"))
     )
-    offsets = broadcast_if_small(written(offsets, "offsets"))
+    if few:
+        offsets = F.broadcast(offsets)
     inside = Window.partitionBy(key, "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     placed = sliced.withColumn("inside", F.coalesce(F.sum("weight").over(inside), F.lit(0)))
     return (
@@ -67,7 +67,8 @@ def weight_before(rows: DataFrame, key: str, order: list[str], weight: Column) -
     )
 
 
-def ordered_parts(rows: DataFrame, key: str, order: list[str], weight: Column, limit: int) -> DataFrame:
+def ordered_parts(rows: DataFrame, key: str, order: list[str], weight: Column, limit: int,
+                  few: bool = False) -> DataFrame:
     """Adds ``part``, the weight before a row divided by ``limit``, and ``copies``.
 
     ``order`` names all columns but the key. Equal rows are counted first, so that any number of
@@ -75,7 +76,7 @@ def ordered_parts(rows: DataFrame, key: str, order: list[str], weight: Column, l
     part weighs at most ``limit`` plus one row.
     """
     distinct = rows.groupBy(key, *order).agg(F.count(F.lit(1)).alias("copies"))
-    placed = weight_before(distinct, key, order, weight * F.col("copies")).withColumn(
+    placed = weight_before(distinct, key, order, weight * F.col("copies"), few).withColumn(
         "each", F.expr("weight div copies"))
     spread = placed.withColumn("part", F.explode(F.sequence(
         F.expr(f"before div {limit}"), F.expr(f"(before + (copies - 1) * each) div {limit}"))))

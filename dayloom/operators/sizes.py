@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
 MOST_BROADCAST_ROWS = 500_000
 MOST_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+@dataclass(frozen=True)
+class Size:
+    rows: int
+    bytes: int
+
+    def is_small(self, most_rows: int = MOST_BROADCAST_ROWS, most_bytes: int = MOST_BROADCAST_BYTES) -> bool:
+        return self.rows <= most_rows and self.bytes <= most_bytes
+
+
+def measured(df: DataFrame, most_rows: int = MOST_BROADCAST_ROWS) -> Size:
+    """Rows and bytes of a table, counted up to ``most_rows`` + 1 rows."""
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    return Size(*df.limit(most_rows + 1).agg(F.count(F.lit(1)), size).first())
+
+
 def is_small(df: DataFrame, most_rows: int = MOST_BROADCAST_ROWS, most_bytes: int = MOST_BROADCAST_BYTES) -> bool:
-    """Whether a table is small enough to broadcast; reads at most ``most_rows`` + 1 rows."""
-    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
-    measured = df.limit(most_rows + 1).agg(F.count(F.lit(1)).alias("rows"), size.alias("bytes")).first()
-    return measured["rows"] <= most_rows and (measured["bytes"] or 0) <= most_bytes
+    """Whether a table is small enough to broadcast."""
+    return measured(df, most_rows).is_small(most_rows, most_bytes)
 
 
 def broadcast_if_small(df: DataFrame, most_rows: int = MOST_BROADCAST_ROWS) -> DataFrame:
