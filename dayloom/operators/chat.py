@@ -26,7 +26,7 @@ def message_bytes() -> Column:
 
 
 def _collected(rows: DataFrame, by: list[str], entry: list[str], unpack: Callable) -> DataFrame:
-    """One array of entries per group, ordered by turn, role and content."""
+    """One array of entries per group, in the order of their fields."""
     entries = F.sort_array(F.collect_list(F.struct(*entry)))
     return rows.groupBy(*by).agg(entries.alias("entries")).withColumn("messages", unpack(F.col("entries")))
 
@@ -38,11 +38,13 @@ def build_messages(turns: DataFrame, key: str = "conv_id", turn: str = "turn", r
     A conversation of up to ``max_bytes`` is one row: part 0, and it closes. A longer one comes
     as parts that follow each other, cut at every ``max_bytes``, and an empty last part that
     closes, so that no task ever holds a whole one. The parts in order are the conversation:
-    nothing is dropped. Conversations are measured first; without long ones, the usual case, the
-    rest is a single shuffle.
+    nothing is dropped. Messages of one turn are ordered by role and a hash of the text.
+    Conversations are measured first; without long ones, the usual case, the rest is a single
+    shuffle.
     """
     rows = turns.select(F.col(key), F.col(turn).alias("turn"), F.col(role).alias("role"),
-                        F.col(text).alias("content"))
+                        F.xxhash64(text).alias("tie"), F.col(text).alias("content"))
+    order = ["turn", "role", "tie"]
     heavy = heavy_keys(rows, key, message_bytes(), max_bytes)
 
     def message(entry: Column) -> Column:
@@ -50,16 +52,16 @@ def build_messages(turns: DataFrame, key: str = "conv_id", turn: str = "turn", r
 
     def in_one_row(conversations: DataFrame) -> DataFrame:
         return _collected(
-            conversations, [key], ["turn", "role", "content"], lambda e: F.transform(e, message),
+            conversations, [key], [*order, "content"], lambda e: F.transform(e, message),
         ).select(key, F.lit(0).cast("bigint").alias("part"), F.lit(True).alias("closes"), "messages")
 
     size = measured(heavy)
     if size.rows == 0:
         return in_one_row(rows)
     light, oversized = split_by_keys(rows, heavy, key, size.is_small())
-    cut = ordered_parts(oversized, key, ["turn", "role", "content"], message_bytes(), max_bytes, size.is_small())
+    cut = ordered_parts(oversized, key, order, message_bytes(), max_bytes, size.is_small())
     parts = _collected(
-        cut, [key, "part"], ["turn", "role", "content", "copies"],
+        cut, [key, "part"], [*order, "content", "copies"],
         lambda e: F.flatten(F.transform(
             e, lambda entry: F.array_repeat(message(entry), entry["copies"].cast("int")))),
     ).select(key, "part", F.lit(False).alias("closes"), "messages")

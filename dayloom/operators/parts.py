@@ -42,10 +42,12 @@ def weight_before(rows: DataFrame, key: str, order: list[str], weight: Column, f
     A window over the key would sort one hot key in one task. Instead the rows are range
     partitioned by (key, order), so a hot key spans many slices; each slice is summed, the slice
     totals are run up per key (at most one row per slice), and only the rest is computed inside a
-    slice. ``order`` must tell the rows of a key apart. The slices are written once: their
-    borders come from a sample and must not change between the two uses. There are at most as
+    slice. ``order`` should tell the rows of a key apart; its columns must be short, because Spark
+    samples them to the driver to place the borders. Other columns only break ties. The slices
+    are written once: their borders must not change between the two uses. There are at most as
     many (key, slice) pairs as keys and slices, so with ``few`` keys their offsets are broadcast.
     """
+    others = [c for c in rows.columns if c not in (key, *order)]
     sliced = written(
         rows.withColumn("weight", weight).repartitionByRange(key, *order)
         .withColumn("slice", F.spark_partition_id()),
@@ -59,7 +61,7 @@ def weight_before(rows: DataFrame, key: str, order: list[str], weight: Column, f
     )
     if few:
         offsets = F.broadcast(offsets)
-    inside = Window.partitionBy(key, "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(key, "slice").orderBy(*order, *others).rowsBetween(Window.unboundedPreceding, -1)
     placed = sliced.withColumn("inside", F.coalesce(F.sum("weight").over(inside), F.lit(0)))
     return (
         placed.join(offsets, (F.col("slice") == F.col("_slice")) & F.col(key).eqNullSafe(F.col("_key")))
@@ -71,11 +73,10 @@ def ordered_parts(rows: DataFrame, key: str, order: list[str], weight: Column, l
                   few: bool = False) -> DataFrame:
     """Adds ``part``, the weight before a row divided by ``limit``, and ``copies``.
 
-    ``order`` names all columns but the key. Equal rows are counted first, so that any number of
-    copies travels as one row; copies that reach over a border are shared out by arithmetic. A
-    part weighs at most ``limit`` plus one row.
+    Equal rows are counted first, so that any number of copies travels as one row; copies that
+    reach over a border are shared out by arithmetic. A part weighs at most ``limit`` plus one row.
     """
-    distinct = rows.groupBy(key, *order).agg(F.count(F.lit(1)).alias("copies"))
+    distinct = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
     placed = weight_before(distinct, key, order, weight * F.col("copies"), few).withColumn(
         "each", F.expr("weight div copies"))
     spread = placed.withColumn("part", F.explode(F.sequence(

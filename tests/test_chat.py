@@ -4,6 +4,7 @@ import urllib.error
 from urllib import request as urllib_request
 
 import pytest
+import xxhash
 
 from dayloom.operators import chat
 from dayloom.operators.parts import heavy_keys, ordered_parts, split_by_keys
@@ -62,6 +63,12 @@ def hot_rows():
     return rows
 
 
+def in_order(row):
+    """Turn, role, then the signed hash of the text that settles the order within a turn."""
+    tie = xxhash.xxh64_intdigest(row[3], seed=42)
+    return row[1], row[2], tie - 2**64 if tie >= 2**63 else tie
+
+
 def size(row):
     return len((row[2] or "").encode()) + len((row[3] or "").encode()) + chat.FRAMING_BYTES
 
@@ -75,7 +82,7 @@ def test_long_conversations_come_in_parts_and_stay_whole(spark, limit):
         got.setdefault(row.conv_id, {})[row.part] = (row.closes, [tuple(m) for m in row.messages])
     expected = {}
     for key in {r[0] for r in rows}:
-        ordered = sorted((r for r in rows if r[0] == key), key=lambda r: r[1:])
+        ordered = sorted((r for r in rows if r[0] == key), key=in_order)
         total, parts, before = sum(map(size, ordered)), {}, 0
         for row in ordered:
             part = before // limit if total > limit else 0
