@@ -28,13 +28,14 @@ def city_dimension(spark: SparkSession) -> DataFrame:
     return place_dimension(spark, CITIES)
 
 
-def lookup(facts: DataFrame, dimension: DataFrame, key: str, most_rows: int = MOST_BROADCAST_ROWS) -> DataFrame:
-    """Attach dimension attributes by ``key``.
+def lookup(facts: DataFrame, dimension: DataFrame, key: str, how: str = "inner",
+           most_rows: int = MOST_BROADCAST_ROWS) -> DataFrame:
+    """Attach dimension attributes by ``key``, which is unique in the dimension.
 
     The dimension is measured first and broadcast when small, so that no fact moves. A larger one
     is joined by shuffle, where adaptive execution splits keys that hold much of the facts.
     """
-    return facts.join(broadcast_if_small(dimension, most_rows), key, "inner")
+    return facts.join(broadcast_if_small(dimension, most_rows), key, how)
 
 
 def utc_now(as_of: datetime | str | None) -> Column:
@@ -47,36 +48,32 @@ def flatten_payload(payloads: DataFrame, dimension: DataFrame, key: str = "city"
                     mode: str = "strict") -> DataFrame:
     """``(key, payload JSON)`` to flat records; attributes come from the dimension, not the payload.
 
-    ``strict`` fails the job on a payload without ``current.time`` or with an unreadable number;
-    ``reject`` keeps such rows and names the fault in a ``reason`` column.
+    ``strict`` fails the job on a payload without ``current.time``, with an unreadable number or
+    of a key the dimension lacks; ``reject`` keeps such rows and names the fault in ``reason``.
     """
     if mode not in ("strict", "reject"):
         raise ValueError("mode must be 'strict' or 'reject'")
     current = ", ".join(["time: string"] + [f"{name}: string" for name in CURRENT_FIELDS])
     decoded = F.from_json(payload, f"current struct<{current}>")
-    parsed = payloads.select(key, F.explode(F.array(decoded)).alias("p"))
-    faults = [F.when(F.col("p.current.time").isNull(), "missing:time")]
+    parsed = lookup(
+        payloads.select(key, F.explode(F.array(decoded)).alias("p")),
+        dimension.withColumn("known", F.lit(True)), key, "left")
+    faults = [F.when(F.col("known").isNull(), f"unknown:{key}"),
+              F.when(F.col("p.current.time").isNull(), "missing:time")]
     values = []
     for source, (name, type_name) in CURRENT_FIELDS.items():
         text = F.col(f"p.current.{source}")
         value = to_type(text, type_name)
         values.append(value.alias(name))
         faults.append(F.when(text.isNotNull() & value.isNull(), f"invalid:{name}"))
-    reason = F.nullif(F.concat_ws(",", *faults), F.lit(""))
-    attributes = [c for c in dimension.columns if c != key]
-    flat = lookup(
-        parsed.select(
-            key,
-            F.col("p.current.time").alias("observed_at"),
-            F.date_format(utc_now(as_of), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("ingested_at"),
-            *values,
-            reason.alias("reason"),
-        ),
-        dimension, key,
-    ).select("observed_at", "ingested_at", key, *attributes,
-             *[name for name, _ in CURRENT_FIELDS.values()], "reason")
+    flat = parsed.select(
+        F.col("p.current.time").alias("observed_at"),
+        F.date_format(utc_now(as_of), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("ingested_at"),
+        key, *[c for c in dimension.columns if c != key],
+        *values, F.nullif(F.concat_ws(",", *faults), F.lit("")).alias("reason"),
+    )
     if mode == "reject":
         return flat
-    checked = F.when(F.col("reason").isNull(), F.col("observed_at")).otherwise(
-        F.raise_error(F.concat(F.lit("payload of "), F.col(key).cast("string"), F.lit(": "), F.col("reason"))))
-    return flat.withColumn("observed_at", checked).drop("reason")
+    message = F.concat(F.lit("payload of "), F.col(key).cast("string"), F.lit(": "), F.col("reason"))
+    sound = F.when(F.col("reason").isNull(), True).otherwise(F.raise_error(message).cast("boolean"))
+    return flat.where(sound).drop("reason")  # a filter: it is evaluated whichever columns are used

@@ -168,13 +168,17 @@ def test_payload_is_flattened_with_dimension_attributes(spark):
 
 def test_payload_without_time(spark):
     bad = [("Riga", '{"current": {"temperature_2m": 1.0}}'), ("Riga", "{}"), ("Riga", "no json"),
-           ("Riga", '{"current": {"time": "t", "relative_humidity_2m": 71.5}}')]
+           ("Riga", '{"current": {"time": "t", "relative_humidity_2m": 71.5}}'),
+           ("Oslo", PAYLOADS[0][1])]
     payloads = spark.createDataFrame(PAYLOADS + bad, "city string, payload string")
     reasons = sorted(str(r.reason) for r in flatten_payload(
         payloads, city_dimension(spark), mode="reject").collect())
-    assert reasons == ["None", "None", "invalid:humidity_pct", "missing:time", "missing:time", "missing:time"]
-    with pytest.raises(Exception, match="payload of Riga"):
-        flatten_payload(payloads, city_dimension(spark)).collect()
+    assert reasons == ["None", "None", "invalid:humidity_pct", "missing:time", "missing:time", "missing:time",
+                       "unknown:city"]
+    for faulty in bad:
+        one = spark.createDataFrame([faulty], "city string, payload string")
+        with pytest.raises(Exception, match=f"payload of {faulty[0]}"):
+            flatten_payload(one, city_dimension(spark)).count()
 
 
 def test_dimension_is_broadcast_only_when_small(spark):
