@@ -15,6 +15,10 @@ TYPES = {
 }
 
 
+# Columns the operators add beside the fields of a record.
+RESERVED = ("line", "source_file", "malformed", "reason", "raw_line", "alone", "folder_day", "outcome")
+
+
 @dataclass(frozen=True)
 class Field:
     """One field of a landed record. ``completed`` timestamps get the UTC mark before the cast."""
@@ -36,6 +40,13 @@ class Feed:
     day: str = "load_date"
     day_type: str = "string"
 
+    def __post_init__(self) -> None:
+        taken = [n for n in self.names if n in (*RESERVED, "load_date", self.day)]
+        unknown = [f.name for f in self.fields if f.type not in TYPES]
+        absent = [n for n in (self.event_time, *self.keys, *self.measures) if n not in self.names]
+        if taken or unknown or absent or len(set(self.names)) != len(self.names):
+            raise ValueError(f"names taken: {taken}; types unknown: {unknown}; no such field: {absent}; or a name twice")
+
     @property
     def names(self) -> list[str]:
         return [f.name for f in self.fields]

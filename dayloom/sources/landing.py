@@ -17,6 +17,8 @@ LONGEST_DAY_LIST = 400  # days named one by one in a path; longer ranges filter
 
 
 def _as_date(day: str | date) -> date:
+    if isinstance(day, datetime):
+        return day.date()
     return day if isinstance(day, date) else date.fromisoformat(day)
 
 
@@ -64,6 +66,8 @@ def scan_ndjson(spark: SparkSession, root: str, feed: Feed, start: str | date |
     """The landed records as a table of text columns plus the folder day, projected on read.
 
     Numbers keep their text, unknown keys are dropped, a line that is no JSON fills ``_corrupt``.
+    This is the quick reader: it takes an array of objects for its objects and does not see text
+    behind a record. ``parse_lines`` is the strict one.
     """
     schema = T.StructType([*feed.raw_schema().fields, T.StructField(CORRUPT, T.StringType())])
     return _read_days(

@@ -138,6 +138,9 @@ def test_landing_writes_null_and_counts(spark, tmp_path, weather):
     lines = landing.scan_run_date(spark, root, DAY)
     assert lines.count() == 10
     assert all('"temperature_c":null' in r.line for r in lines.collect())
+    for nothing in (df.where("false"), df.limit(0), spark.createDataFrame([], df.schema)):
+        assert landing.land_ndjson(nothing, root, datetime(2026, 7, 12, 23, 50))["records"] == 0
+    assert landing.scan_run_date(spark, root, datetime(2026, 7, 12, 5)).count() == 10
 
 
 def test_landing_retention(spark, tmp_path):
