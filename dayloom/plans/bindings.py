@@ -116,7 +116,8 @@ STAGED_SQL = JUDGED_SQL + """, staged AS (
   SELECT CAST(replace(replace(marked_at, 'T', ' '), 'Z', '') AS TIMESTAMP) AS observed_at,
          CAST(replace(left(ingested_at, 26), 'T', ' ') AS TIMESTAMP) AS ingested_at,
          city, country, latitude, longitude, CAST(temperature_c AS DOUBLE) AS temperature_c,
-         CAST(humidity_pct AS INTEGER) AS humidity_pct, wind_speed_kmh, left(marked_at, 10) AS load_date
+         CAST(humidity_pct AS INTEGER) AS humidity_pct, wind_speed_kmh, left(marked_at, 10) AS load_date,
+         load_date AS folder_day
   FROM judged WHERE reason IS NULL)"""
 
 
@@ -138,6 +139,9 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
 def landed_lines(spark: SparkSession, folder: str) -> str:
     """Write the lines to a new landing zone, one folder per day; returns its root."""
     root = fresh_folder(spark, "landing")
-    (gathered(raw_lines(spark, folder), "load_date")
-     .write.partitionBy("load_date").text(root))
+    land_lines(raw_lines(spark, folder), root)
     return root
+
+
+def land_lines(lines: DataFrame, root: str) -> None:
+    gathered(lines, "load_date").write.partitionBy("load_date").mode("append").text(root)
