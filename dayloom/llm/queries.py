@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dayloom.llm import exact, licenses, quality, toxicity
+import public_tokenizers
+
+from dayloom.llm import bpe, exact, html, licenses, packing, quality, toxicity
 from dayloom.llm.common import table
 from dayloom.session import written
 
@@ -20,6 +22,15 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def vocabulary() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op1_best_fit_packing")
+def best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
+
+
 @query("op3_quality_rules")
 def quality_rules(spark, sf_dir):
     entries = written(quality.ledger(table(spark, sf_dir, "documents")), "ledger")
@@ -27,6 +38,16 @@ def quality_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed")
 
 
+@query("op6_bpe")
+def bpe_round_trip(spark, sf_dir):
+    return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query("op7_html_text")
+def html_text(spark, sf_dir):
+    return html.main_text(table(spark, sf_dir, "pages"))
+
+
 @query("op8_toxicity")
 def toxic_scores(spark, sf_dir):
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
