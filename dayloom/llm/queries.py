@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from dayloom.llm import bpe, exact, html, licenses, packing, quality, toxicity
+from dayloom.llm import bpe, exact, html, licenses, neardup, packing, quality, toxicity
 from dayloom.llm.common import table
 from dayloom.session import written
 
@@ -38,6 +38,11 @@ def quality_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed")
 
 
+@query("op5_minhash_near_dup")
+def minhash_near_dup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 @query("op6_bpe")
 def bpe_round_trip(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
