@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from dayloom.llm import bpe, exact, html, licenses, neardup, packing, quality, toxicity
+from dayloom.llm import bpe, exact, html, katz, licenses, neardup, packing, quality, toxicity
 from dayloom.llm.common import table
 from dayloom.session import written
 
@@ -31,6 +31,12 @@ def best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
+@query("op2_katz_backoff")
+def katz_scores(spark, sf_dir):
+    return katz.scores(table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op3_quality_rules")
 def quality_rules(spark, sf_dir):
     entries = written(quality.ledger(table(spark, sf_dir, "documents")), "ledger")
