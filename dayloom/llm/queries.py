@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from dayloom.llm import bpe, exact, html, katz, licenses, neardup, packing, quality, toxicity
+from dayloom.llm import bpe, exact, html, katz, licenses, neardup, packing, quality, suffix, toxicity
 from dayloom.llm.common import table
 from dayloom.session import written
 
@@ -44,6 +44,11 @@ def quality_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed")
 
 
+@query("op4_suffix_array_dedup")
+def suffix_array_dedup(spark, sf_dir):
+    return suffix.removals(table(spark, sf_dir, "documents"))
+
+
 @query("op5_minhash_near_dup")
 def minhash_near_dup(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
