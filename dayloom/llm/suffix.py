@@ -17,7 +17,7 @@ The screen and the merge compare 64-bit hashes of the windows, the arrays their
 
 Defined cases: a null or empty text has nothing to remove; a row without doc_id comes after all others; rows that
 repeat a doc_id are in the order of their shards; an empty table gives an empty result; other columns come back as
-they are, but for ``removed_*`` names of this module. A document must fit a task, at about 100 bytes of memory a byte.
+they are. A document must fit a task, at about 100 bytes of memory a byte.
 """
 
 from __future__ import annotations
@@ -548,7 +548,8 @@ def cleaned(docs: DataFrame) -> DataFrame:
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    columns, marked = docs.columns, "removed_null"
+    columns = docs.columns
+    marked = "removed_null" + "_" * max(map(len, columns))  # longer than any other name
     frame = docs.withColumn(marked, F.col("text").isNull())
     scans, buckets = merged_scans(frame)
     schema = to_arrow_schema(docs.schema)
