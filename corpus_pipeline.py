@@ -1,18 +1,26 @@
-"""A corpus pipeline over ``documents``: toxicity, exact dedup."""
+"""A corpus pipeline over ``documents``: toxic ones out, copies out, near copies out, repeated passages out, packed.
+
+Each stage takes all that the one before has kept, with all its columns; only the last one returns something else,
+the packed pieces. Rows survive nulls in any column: a null text counts as empty, a row without doc_id is no one's copy
+but in exact dedup, where texts alone decide.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dayloom.llm import exact, toxicity
+from dayloom.llm import exact, neardup, packing, suffix, toxicity
 from dayloom.llm.common import table
 from dayloom.session import written
 
+#: No SQL can train the classifier; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not predicted toxic; a score of 0.3 or more rejects."""
+    """Documents that are not predicted toxic: a score of 0.3 or more rejects."""
     return toxicity.kept_rows(docs, table(spark, sf_dir, "labels"))
 
 
@@ -21,7 +29,23 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.kept_rows(docs)
 
 
-STAGES = [("toxicity", drop_toxic), ("exact dedup", drop_copies)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (five-word shingles, 0.8 in common) the document with the lowest doc_id."""
+    return neardup.kept_rows(docs, size=5, percent=80)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document without the strings of 100 bytes or more that stand earlier; n_chars follows the text."""
+    return suffix.cleaned(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 4096 tokens with their sequence and offset."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("toxicity", drop_toxic), ("exact dedup", drop_copies), ("MinHash near-dedup", drop_near_copies),
+          ("suffix-array dedup", cut_repeats), ("best-fit packing", pack)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
