@@ -23,6 +23,7 @@ from pyspark.sql.window import Window
 
 from dayloom.llm.common import documents, hashes, owners, per_slice, translated, window_hashes, words
 from dayloom.operators.sizes import broadcast_if_small
+from dayloom.session import written
 
 K = 3
 #: Diagonals of one template so close together are one candidate: words put in or left out.
@@ -144,7 +145,7 @@ def scan(docs: DataFrame) -> DataFrame:
                            for x in (i, least_votes(line.split()))))
     spans = candidates(docs).where(F.col("votes") >= least[F.col("template")]).groupBy("doc_id").agg(
         F.collect_list(F.struct("template", "low", "high")).alias("spans"))
-    spans = spans.withColumnRenamed("doc_id", "span_id")
+    spans = written(spans.withColumnRenamed("doc_id", "span_id"), "spans")
     joined = frame.join(broadcast_if_small(spans), F.col("doc_id") == F.col("span_id"), "left").select(
         "doc_id", "text", "spans")
     lines = [(label, line.split()) for label, line in statements()]
