@@ -6,7 +6,7 @@ belong to; a bucket adds them up, and answers each shard in the order of its que
 
 * Words are numbered by falling count, so a word's count follows from its number and the short list of distinct
   counts (at most about the square root of twice the tokens), and pairs of numbers compress well.
-* Pairs (context, word) go to the bucket of their context. The HOT commonest words are spread over all buckets by the
+* Pairs (context, word) go to the bucket of their context. The HOT commonest words (``most``) are spread over all buckets by the
   pair; what their contexts sum to is added up afterwards, HOT rows at most.
 * A pair seen r times counts as r * d(r), d by Good-Turing from the numbers of pairs seen r and r + 1 times, up to
   KATZ times. What a context's pairs leave goes to the unseen words in proportion to their base probability, with
@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -206,11 +206,8 @@ def numbered(questions: DataFrame, table: DataFrame, levels: Levels) -> DataFram
             counts = unpack_plain(held["counts"].iloc[0], np.int64)
             numbers = np.zeros(len(words), np.int64)
             before_of = {o["count"]: o["before"] for o in (held["offsets"].iloc[0] if held["offsets"].iloc[0] is not None else ())}
-            order = np.argsort(counts, kind="stable")
-            edges = np.flatnonzero(np.diff(counts[order], prepend=-1))
-            for start, stop in zip(edges, [*edges[1:], len(order)], strict=True):
-                count = int(counts[order[start]])
-                numbers[order[start:stop]] = start_of[count] + before_of[count] + np.arange(stop - start)
+            for count, at in by_bucket(counts):
+                numbers[at] = start_of[count] + before_of[count] + np.arange(len(at))
         answers = []
         for asked_words in asked["words"]:
             own = unpack_plain(asked_words, np.uint64)
@@ -256,13 +253,13 @@ def pairs_of(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     return context << np.uint64(32) | word, taught(row["held"], starts), starts, word
 
 
-def pair_bucket(pairs: np.ndarray, buckets: int) -> np.ndarray:
-    """By context; pairs of BEGIN and the commonest contexts by the whole pair."""
+def pair_bucket(pairs: np.ndarray, buckets: int, most: int) -> np.ndarray:
+    """By context; pairs of BEGIN and the ``most`` commonest contexts by the whole pair."""
     context = pairs >> np.uint64(32)
-    return bucket_of(np.where(context <= HOT, mixed(pairs) ^ np.uint64(5), context), buckets)
+    return bucket_of(np.where(context <= most, mixed(pairs) ^ np.uint64(5), context), buckets)
 
 
-def pair_questions(parts: DataFrame, buckets: int) -> DataFrame:
+def pair_questions(parts: DataFrame, buckets: int, most: int) -> DataFrame:
     """bucket, shard, pairs (distinct, sorted, of known contexts), counts among training tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +270,7 @@ def pair_questions(parts: DataFrame, buckets: int) -> DataFrame:
                 distinct, number = np.unique(pairs[known], return_inverse=True)
                 counts = np.bincount(number, weights=teaches[known], minlength=len(distinct)).astype(np.uint32)
                 made = [(b, row["shard"], pack(distinct[at].view(np.int64)), pack_plain(counts[at]))
-                        for b, at in by_bucket(pair_bucket(distinct, buckets))]
+                        for b, at in by_bucket(pair_bucket(distinct, buckets, most))]
                 if made:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, k) for c, k in zip(zip(*made, strict=True), (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)],
@@ -328,14 +325,14 @@ def weights(tokens: np.ndarray, kept: np.ndarray, base: np.ndarray) -> tuple[np.
     return scale, np.maximum(left, least) / np.maximum(1 - base, 1e-300)
 
 
-def context_table(pairs: DataFrame, levels: Levels, d: np.ndarray) -> DataFrame:
+def context_table(pairs: DataFrame, levels: Levels, d: np.ndarray, most: int) -> DataFrame:
     """bucket, contexts (sorted), tokens, scale, alpha: normalised backoff weights of all but the HOT contexts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             for row in frame.itertuples(index=False):
                 context, tokens, kept, base = context_sums(unpack(row.pairs), unpack_plain(row.counts, np.int64), levels, d)
-                own = context > HOT
+                own = context > most
                 scale, alpha = weights(tokens[own], kept[own], base[own])
                 yield pd.DataFrame({"bucket": [row.bucket], "contexts": [pack(context[own])], "tokens": [pack_plain(tokens[own])],
                                     "scale": [pack_plain(scale)], "alpha": [pack_plain(alpha)]})
@@ -343,14 +340,14 @@ def context_table(pairs: DataFrame, levels: Levels, d: np.ndarray) -> DataFrame:
     return pairs.mapInPandas(run, "bucket int, contexts binary, tokens binary, scale binary, alpha binary")
 
 
-def hot_contexts(pairs: DataFrame, levels: Levels, d: np.ndarray) -> list[tuple[int, int, float, float]]:
+def hot_contexts(pairs: DataFrame, levels: Levels, d: np.ndarray, most: int) -> list[tuple[int, int, float, float]]:
     """context, tokens, scale, alpha of BEGIN and the HOT commonest words: HOT + 1 rows at most."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             for row in frame.itertuples(index=False):
                 found, counts = unpack(row.pairs), unpack_plain(row.counts, np.int64)
-                own = found >> 32 <= HOT
+                own = found >> 32 <= most
                 yield pd.DataFrame(dict(zip(("context", "tokens", "kept", "base"), context_sums(found[own], counts[own], levels, d), strict=True)))
 
     summed = pairs.mapInPandas(run, "context long, tokens long, kept double, base double").groupBy("context").agg(
@@ -389,7 +386,7 @@ def looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing)
 
 
 def score_shards(parts: DataFrame, answers: DataFrame, buckets: int, levels: Levels, d: np.ndarray,
-                 hot: list[tuple[int, int, float, float]]) -> DataFrame:
+                 hot: list[tuple[int, int, float, float]], most: int) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, base_score, score."""
     collected = answers.groupBy("shard").agg(F.collect_list(F.struct("bucket", "seen", "tokens", "scale", "alpha")).alias("answers"))
     hot_numbers = np.array([h[0] for h in hot], np.int64)
@@ -407,14 +404,14 @@ def score_shards(parts: DataFrame, answers: DataFrame, buckets: int, levels: Lev
                 seen = np.zeros(len(distinct), np.int64)
                 values = [np.zeros(len(distinct)), np.ones(len(distinct)), np.ones(len(distinct))]
                 own = {a["bucket"]: a for a in row["answers"] or ()}
-                for b, at in by_bucket(pair_bucket(distinct, buckets)):
+                for b, at in by_bucket(pair_bucket(distinct, buckets, most)):
                     seen[at] = unpack_plain(own[b]["seen"], np.uint32)
                     _, place = np.unique(distinct[at] >> np.uint64(32), return_inverse=True)
                     for value, name, kind in zip(values, ("tokens", "scale", "alpha"), (np.int64, float, float), strict=True):
                         value[at] = unpack_plain(own[b][name], kind)[place]
                 of = (distinct >> np.uint64(32)).astype(np.int64)
                 for value, given, missing in zip(values, hot_values, (0, 1, 1), strict=True):
-                    value[of <= HOT] = looked_up(hot_numbers, given, of[of <= HOT], missing)
+                    value[of <= most] = looked_up(hot_numbers, given, of[of <= most], missing)
                 base = np.log10(levels.base(word.astype(np.int64)))
                 log = base.copy()
                 tokens, scale, alpha = values
@@ -439,7 +436,7 @@ def score_shards(parts: DataFrame, answers: DataFrame, buckets: int, levels: Lev
         run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
 
 
-def model(spark: SparkSession, parts: DataFrame):
+def model(parts: DataFrame, most: int = HOT):
     """The shards in numbers, and the model's tables: levels, discounts, pairs, contexts, hot contexts, questions."""
     total = parts.agg(F.coalesce(F.sum(F.octet_length("vocabulary")), F.lit(0))).first()[0] // 8
     word_buckets = max(1, -(-total // BUCKET_ITEMS))
@@ -448,16 +445,16 @@ def model(spark: SparkSession, parts: DataFrame):
     levels = Levels([(r["count"], r["n"]) for r in counts_of_counts(words).collect()])
     coded = written(in_numbers(parts, numbered(asked, words, levels), word_buckets), "shards")
     pair_buckets = max(1, -(-5 * total // BUCKET_ITEMS))
-    questions = written(pair_questions(coded, pair_buckets), "pair-questions")
+    questions = written(pair_questions(coded, pair_buckets, most), "pair-questions")
     pairs = written(pair_table(questions), "pairs")
     d = discounts({r["count"]: r["n"] for r in counts_of_counts(pairs).where(F.col("count") <= KATZ + 1).collect()})
-    contexts = written(context_table(pairs, levels, d), "contexts")
-    return coded, levels, d, pairs, contexts, hot_contexts(pairs, levels, d), questions, pair_buckets
+    contexts = written(context_table(pairs, levels, d, most), "contexts")
+    return coded, levels, d, pairs, contexts, hot_contexts(pairs, levels, d, most), questions, pair_buckets
 
 
-def scores(docs: DataFrame, modulus: int = 10, remainder: int = 0) -> DataFrame:
+def scores(docs: DataFrame, modulus: int = 10, remainder: int = 0, most: int = HOT) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     parts = written(shards(docs, held_out("doc_id", modulus, remainder)), "texts")
-    coded, levels, d, pairs, contexts, hot, questions, buckets = model(docs.sparkSession, parts)
-    made = score_shards(coded, answered(questions, pairs, contexts), buckets, levels, d, hot)
+    coded, levels, d, pairs, contexts, hot, questions, buckets = model(parts, most)
+    made = score_shards(coded, answered(questions, pairs, contexts), buckets, levels, d, hot, most)
     return made.withColumn("train_tokens", F.lit(levels.tokens).cast("long"))

@@ -152,7 +152,7 @@ def suffix_order(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     numbers = numbers[order]
     head = np.ones(n, bool)
     head[1:] = numbers[1:] != numbers[:-1]
-    rank = np.zeros(n + 128, np.int64)
+    rank = np.full(n + 128, n + 1)  # what lies beyond is all gap bytes, the highest
     slots = np.arange(n)
     rank[order] = np.maximum.accumulate(np.where(head, slots, 0)) + 1
     split = head.copy()
