@@ -1,0 +1,65 @@
+import html as references
+import os
+import re
+
+import pytest
+
+from dayloom.llm import html
+from llm_rows import collected
+
+PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{margin:0}</style><script>var a="</p>";</script></head>
+<body class="k12"><header class="site"><a href="/">Home</a></header><nav><ul><li><a href="/a">A</a></ul></nav>
+<div class="cookie-notice">We use cookies.</div><div class="ad">Buy now, best prices here.</div>
+<div class="content7"><h1>Title</h1><p>First   paragraph &lt;one&gt;,\nlong enough to count &#233;.<p><b>Second<br>paragraph</b> with words, unclosed
+<ul><li>item one<li>item two</ul><form><p>Your mail</p><input name=a></form><blockquote>A quoted line.</blockquote></div>
+<div id="comments"><p>First! A reader's comment that is quite long, longer than the article itself, again and again and again.</p></div>
+<aside><p>More to read in the side bar of this page.</p></aside><footer>&copy; 2020 - all of it</footer></body></html>"""
+TEXT = "Title\n\nFirst paragraph <one>, long enough to count é.\n\nSecond paragraph with words, unclosed\n\nitem one\n\nitem two\n\nA quoted line."
+
+
+def pages(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' AS host", "'y' AS path", "1 AS paths")
+
+
+def test_article_without_its_surroundings():
+    assert html.best_path(PAGE)[0] == "html>body.k#>div.content#"
+    assert html.extract(PAGE, []) == TEXT
+    assert html.extract(PAGE, ["html>body.k#>div.content#"]) == TEXT
+
+
+def test_the_host_decides(spark):
+    """A page whose own best container is another one is read by the path that its host has chosen."""
+    short = "<html><body><div class='story'><p>Only a short text here.</p></div><div class='teasers'><p>" + "Long teaser text, many words. " * 20 + "</p></div></body></html>"
+    usual = "<html><body><div class='story'><p>" + "An article of many words. " * 30 + "</p></div><div class='teasers'><p>Short.</p></div></body></html>"
+    rows = [(i, f"https://One.example/{i}?q=1", usual) for i in range(5)] + [(9, "http://one.example:80/x", short), (10, "http://two.example/", short)]
+    of = {r.page_id: r.text for r in html.main_text(pages(spark, rows)).collect()}
+    assert of[9] == "Only a short text here."
+    assert of[10].startswith("Long teaser text")
+
+
+def test_odd_pages(spark):
+    rows = [(1, "http://a/", None), (2, None, ""), (None, "http://a/", "plain text"), (4, "x", "<p>a < b & c</p"), (5, "x", "<div><p>x"),
+            (5, "x", "<div><p>x"), (6, "x", "</div></p><b>bold</i>"), (7, "x", "<!-- open comment <p>no"), (8, "x", "<script>no</script>"),
+            (9, "x", "<p>" + "word " * 50_000), (10, "x", "<div>" * 3000 + "deep")]
+    got = html.main_text(pages(spark, rows)).collect()
+    assert sorted(str(r.page_id) for r in got) == sorted(str(r[0]) for r in rows)
+    of = {r.page_id: r for r in got}
+    assert of[1].text == of[2].text == of[7].text == of[8].text == "" and of[1].n_chars == 0
+    assert of[None].text == "plain text" and of[6].text == "bold"
+    assert of[9].n_chars == 5 * 50_000 - 1 and of[10].text == "deep"
+    assert html.main_text(pages(spark, [])).collect() == []
+    assert collected(html.main_text(pages(spark, rows)).select("page_id", "url")) == sorted(((r[0], r[1]) for r in rows), key=repr)
+
+
+TABLES = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="the provided tables are not there")
+def test_provided_pages_agree_with_their_articles(spark):
+    given = spark.read.parquet(f"{TABLES}/pages.parquet")
+    of = {r.page_id: r for r in html.main_text(given).collect()}
+    for page in given.collect():
+        article = re.search(r"<article>(.*?)</article>", page.html, re.S)[1].replace("<br>", " ")
+        blocks = (" ".join(references.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", article))
+        assert of[page.page_id].text == "\n\n".join(b for b in blocks if b)
+        assert of[page.page_id].n_chars == len(of[page.page_id].text)
