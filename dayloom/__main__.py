@@ -14,7 +14,7 @@ from dayloom.operators.quality import DataQualityError, gate
 from dayloom.plans import jobs
 from dayloom.session import build_session
 from dayloom.sources.landing import expire_landing
-from dayloom.streaming.ingest import ingest_available
+from dayloom.streaming.ingest import create_ingest_tables, ingest_available, ingest_into_tables
 
 
 def parser() -> argparse.ArgumentParser:
@@ -43,11 +43,12 @@ def parser() -> argparse.ArgumentParser:
     build.add_argument("--full-refresh", action="store_true")
     build.add_argument("--only-new-days", action="store_true")
     build.add_argument("--start", type=date.fromisoformat, help="leave older landing folders unread")
+    build.add_argument("--end", type=date.fromisoformat, help="leave later landing folders unread")
     refresh = command("refresh-summary", "recompute the summary of the days the facts have")
     refresh.add_argument("--round-digits", type=int)
     command("report", "print the data-quality report; fails when a check does")
     ingest = command("ingest", "process the files landed since the last call, each exactly once")
-    ingest.add_argument("--target", required=True, help="folder of the ingested rows")
+    ingest.add_argument("--target", help="folder of the ingested rows; without it they go to the tables, by day and batch")
     ingest.add_argument("--checkpoint", required=True, help="folder that remembers the files taken")
     expire = command("expire", "drop landed folders and fact partitions older than some days", dated=True)
     expire.add_argument("--days", type=int, default=7)
@@ -67,7 +68,7 @@ def run(given: argparse.Namespace) -> None:
         jobs.run_daily(spark, lake, given.date, least_rows=given.least_rows, gate_at=given.gate_at)
     elif given.command == "build-all":
         landed, rows = jobs.build_all(
-            spark, lake, given.full_refresh, start=given.start, only_new_days=given.only_new_days)
+            spark, lake, given.full_refresh, start=given.start, end=given.end, only_new_days=given.only_new_days)
         print(f"appended {landed.appended_rows} rows, skipped {landed.skipped_rows}; {len(rows)} checks passed")
     elif given.command == "refresh-summary":
         jobs.refresh_summary(spark, lake, given.round_digits)
@@ -76,7 +77,14 @@ def run(given: argparse.Namespace) -> None:
         for row in gate(checked):
             print(f"{row.status} {row.check_name} {row.violations}")
     elif given.command == "ingest":
-        ingest_available(spark, lake.root, given.target, given.checkpoint, lake.feed, mode=lake.mode)
+        if given.target:
+            ingest_available(spark, lake.root, given.target, given.checkpoint, lake.feed, mode=lake.mode)
+        else:
+            if not lake.rejects:
+                raise SystemExit("--rejects names the table of the rejected lines")
+            if not spark.catalog.tableExists(lake.facts):
+                create_ingest_tables(spark, lake.facts, lake.rejects, lake.feed)
+            ingest_into_tables(spark, lake.root, lake.facts, lake.rejects, given.checkpoint, lake.feed, mode=lake.mode)
     elif given.command == "expire":
         folders = expire_landing(spark, lake.root, given.date, given.days)
         parts = tables.expire(spark, lake.facts, lake.feed.day, given.date, given.days)

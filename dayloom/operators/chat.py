@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import urllib.request
 from collections.abc import Callable, Iterator
+from itertools import chain, groupby
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -17,6 +19,7 @@ MISSING_MESSAGES = "input.messages is required (OpenAI chat format)."
 REQUEST_BYTES = 64 * 1024 * 1024  # one row holds at most this much of a conversation
 FRAMING_BYTES = 32  # quotes, braces and names around one message
 TIMEOUT_SECONDS = 300
+LONGEST_STRING = str(2**31 - 1)  # of the decoder; its default is 20 million characters
 PINNED = ("model", "stream")
 
 
@@ -55,9 +58,9 @@ def build_messages(turns: DataFrame, key: str = "conv_id", turn: str = "turn", r
             conversations, [key], [*order, "content"], lambda e: F.transform(e, message),
         ).select(key, F.lit(0).cast("bigint").alias("part"), F.lit(True).alias("closes"), "messages")
 
-    size = measured(heavy)
-    if size.rows == 0:
+    if heavy is None:
         return in_one_row(rows)
+    size = measured(heavy)
     light, oversized = split_by_keys(rows, heavy, key, size.is_small())
     cut = ordered_parts(oversized, key, order, message_bytes(), max_bytes, size.is_small())
     parts = _collected(
@@ -72,17 +75,30 @@ def build_messages(turns: DataFrame, key: str = "conv_id", turn: str = "turn", r
 
 
 def build_request(messages: DataFrame, model: str, key: str = "conv_id",
-                  params: dict[str, Column] | None = None) -> DataFrame:
+                  params: dict[str, Column] | None = None, fields: DataFrame | None = None) -> DataFrame:
     """``(key, part, closes, request, error)``: one JSON body per conversation, from ``build_messages``.
 
     ``model`` is pinned and ``stream`` is off whatever ``params`` say; other parameters are kept.
+    ``fields`` has the key and the fields that each conversation's caller has set, one row per
+    conversation; a NULL there is a field not set, and a field set wins over ``params``.
     Without messages there is the error record instead of a body. The body of a conversation in
     several parts is cut with it: the fragments joined in part order are the body. Only the key
     and prompt text go along.
     """
     keep_nulls = {"ignoreNullFields": "false"}
-    kept = [value.alias(name) for name, value in (params or {}).items() if name not in (*PINNED, "messages")]
-    settings = F.to_json(F.struct(F.lit(model).alias("model"), F.lit(False).alias("stream"), *kept), keep_nulls)
+    reserved = (*PINNED, "messages")
+    own = [] if fields is None else [c for c in fields.columns if c not in (key, *reserved)]
+    kept = [value.alias(name) for name, value in (params or {}).items() if name not in (*reserved, *own)]
+    plain = settings = F.to_json(F.struct(F.lit(model).alias("model"), F.lit(False).alias("stream"), *kept), keep_nulls)
+    if own:
+        # a field that is set, else the parameter of that name, else nothing
+        chosen = [F.coalesce(F.col(f"_own.{c}"), params[c]) if c in (params or {}) else F.col(f"_own.{c}") for c in own]
+        extra = F.to_json(F.struct(*(v.alias(c) for c, v in zip(own, chosen, strict=True))), {"ignoreNullFields": "true"})
+        settings = F.when(extra == "{}", F.col("_settings")).otherwise(
+            F.concat(F.expr("left(_settings, length(_settings) - 1)"), F.lit(","), F.substring(extra, 2, 2**31 - 1)))
+        given = fields.select(F.col(key).alias("_key"), F.struct(*own).alias("_own"))
+        messages = messages.join(given, F.col(key).eqNullSafe(F.col("_key")), "left").withColumn(
+            "_settings", plain)
     empty = F.coalesce(F.size("messages"), F.lit(0)) == 0
     nothing = empty & (F.col("part") == 0)
     opening = F.when(F.col("part") == 0, F.concat(
@@ -104,16 +120,42 @@ FALSY_JSON = ("null", "false", "0", "0.0", '""', "[]", "{}")
 NOT_AN_OBJECT = "input must be a JSON object."
 
 
+def _pinned_by_hand(text: str, model: str) -> tuple[str | None, str | None]:
+    """``(request, error)`` of one body, for those that the JVM's decoder refuses."""
+    try:
+        given = json.loads(text)
+    except (ValueError, RecursionError):
+        return None, NOT_AN_OBJECT
+    if not given:
+        return None, MISSING_MESSAGES
+    if not isinstance(given, dict):
+        return None, NOT_AN_OBJECT
+    if not given.get("messages"):
+        return None, MISSING_MESSAGES
+    return json.dumps({**given, "model": model, "stream": False}, ensure_ascii=False, separators=(",", ":")), None
+
+
 def pin_request(bodies: DataFrame, model: str, key: str = "conv_id", body: str = "input") -> DataFrame:
     """``(key, request, error)`` from caller-made JSON bodies: ``model`` and ``stream`` are overwritten.
 
     Every other field is kept with its JSON type. A body that is NULL or empty, or has no
-    messages, gives the error record; so does one that is no JSON object.
+    messages, gives the error record; so does one that is no JSON object. Of repeated names the
+    last one counts. Bodies that the JVM's decoder refuses or would round (too large, names that
+    repeat, very long numbers) go through a decoder without those limits; others do not leave it.
     """
-    value = F.try_parse_json(F.coalesce(body, F.lit("{}")))
+    @F.pandas_udf("request string, error string")
+    def by_hand(refused: pd.Series) -> pd.DataFrame:
+        made = [(None, None) if text is None else _pinned_by_hand(text, model) for text in refused]
+        return pd.DataFrame(made, columns=["request", "error"])
+
+    given = F.coalesce(body, F.lit("{}"))
+    value = F.try_parse_json(given)
+    decoded = bodies.select(key, given.alias("given"), F.explode(F.array(value)).alias("value"))
+    refused = F.col("value").isNull() | F.col("given").rlike("[0-9]{39}")
+    # one pass: a body that was decoded goes by as NULL
+    both = decoded.select(key, "value", by_hand(F.when(refused, F.col("given"))).alias("other"), refused.alias("refused"))
     fields = (
-        bodies.select(key, F.explode(F.array(value)).alias("value"))
-        .select(key, F.coalesce(F.to_json("value"), F.lit("?")).isin(*FALSY_JSON).alias("nothing"),
+        both.select(key, "other", "refused", F.coalesce(F.to_json("value"), F.lit("?")).isin(*FALSY_JSON).alias("nothing"),
                 F.when(F.coalesce(F.schema_of_variant("value").startswith("OBJECT"), F.lit(False)),
                        F.col("value").cast("map<string,variant>")).alias("fields"))
     )
@@ -123,11 +165,12 @@ def pin_request(bodies: DataFrame, model: str, key: str = "conv_id", body: str =
     given = F.coalesce(F.to_json(F.try_element_at("fields", F.lit("messages"))), F.lit("null"))
     error = F.when(F.col("nothing"), MISSING_MESSAGES).when(F.col("fields").isNull(), NOT_AN_OBJECT).when(
         given.isin(*FALSY_JSON), MISSING_MESSAGES)
-    return fields.select(key, F.to_json(F.map_concat(others, pinned)).alias("request"), error.alias("error")).select(
-        key, F.when(F.col("error").isNull(), F.col("request")).alias("request"), "error")
-
-
-IN_PARTS = "the request body comes in several parts; join them in part order to send it."
+    made = fields.select(
+        key, "refused", "other", F.to_json(F.map_concat(others, pinned)).alias("request"), error.alias("error"))
+    return made.select(
+        key, F.when(F.col("refused"), F.col("other.request")).otherwise(
+            F.when(F.col("error").isNull(), F.col("request"))).alias("request"),
+        F.when(F.col("refused"), F.col("other.error")).otherwise(F.col("error")).alias("error"))
 
 
 def score(requests: DataFrame, connect: Callable[[], Callable[[list[str]], list[str]]],
@@ -135,8 +178,9 @@ def score(requests: DataFrame, connect: Callable[[], Callable[[list[str]], list[
     """``(key, part, response, error)``: send every body, return the response body unchanged.
 
     ``connect`` is called once per task and returns ``complete(bodies) -> responses``; an
-    exception in it fails the job. Error records are passed on unsent, as are the fragments of
-    bodies too large for one row. ``concurrency`` caps the number of tasks that call the model;
+    exception in it fails the job. Error records are passed on unsent. A body in several parts is
+    sent as one, and has one row: ``complete`` gets it as an iterator of its fragments in order,
+    which are read as they are sent, so that no task holds a whole one. ``concurrency`` caps the number of tasks that call the model;
     where the cluster schedules by resource, a ``profile`` with several cores per task caps it too
     and leaves the tasks small, so that less is sent again when an executor is lost. Each evaluation
     of the result calls the model anew, so write it before using it twice. ``complete`` gets as
@@ -145,10 +189,12 @@ def score(requests: DataFrame, connect: Callable[[], Callable[[list[str]], list[
     if "part" not in requests.columns:
         requests = requests.withColumn("part", F.lit(0).cast("bigint")).withColumn("closes", F.lit(True))
     whole = (F.col("part") == 0) & F.col("closes")
-    error = F.coalesce(F.col("error"), F.when(~whole, F.lit(IN_PARTS)))
-    prompts = requests.select(key, "part", "request", error.alias("error"))
+    prompts = requests.where(whole).select(key, "part", "request", "error")
+    fragments = requests.where(~whole).select(key, "part", "request")
     if concurrency is not None:
-        prompts = prompts.repartition(concurrency)
+        prompts, fragments = prompts.repartition(concurrency), fragments.repartition(concurrency, key)
+    else:
+        fragments = fragments.repartition(key)
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         complete = connect()
@@ -162,22 +208,36 @@ def score(requests: DataFrame, connect: Callable[[], Callable[[list[str]], list[
             response.loc[ready] = answers
             yield batch[[key, "part", "error"]].assign(response=response)[[key, "part", "response", "error"]]
 
+    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        complete = connect()
+        rows = (row for batch in batches for row in batch.itertuples(index=False, name=None))
+        for _, parts in groupby(rows, lambda row: row[0] if row[0] == row[0] else None):
+            first = next(parts)
+            answers = complete([chain([first[2]], (row[2] for row in parts))])
+            if len(answers) != 1 or next(parts, None) is not None:
+                raise ValueError("a request in parts was not read to its end, or got no response of its own")
+            yield pd.DataFrame({key: [first[0]], "part": [0], "response": answers, "error": pd.Series([None], dtype=object)})
+
     schema = T.StructType([
         requests.schema[key], T.StructField("part", T.LongType()),
         T.StructField("response", T.StringType()), T.StructField("error", T.StringType()),
     ])
-    return prompts.mapInPandas(send, schema, profile=profile)
+    ordered = fragments.sortWithinPartitions(key, "part")
+    return prompts.mapInPandas(send, schema, profile=profile).unionByName(
+        ordered.mapInPandas(stream, schema, profile=profile))
 
 
 def http_connect(url: str, timeout: float = TIMEOUT_SECONDS) -> Callable[[], Callable[[list[str]], list[str]]]:
     """``connect`` for ``score`` that posts each body to a chat-completions endpoint.
 
-    A status outside 2xx raises; the response body comes back as it is.
+    A status outside 2xx raises; the response body comes back as it is. The fragments of a body
+    in parts are sent one by one, as chunks of one request.
     """
     def connect() -> Callable[[list[str]], list[str]]:
-        def post(body: str) -> str:
+        def post(body: str | Iterator[str]) -> str:
+            data = body.encode("utf-8") if isinstance(body, str) else (part.encode("utf-8") for part in body if part)
             call = urllib.request.Request(
-                url, data=body.encode("utf-8"), headers={"Content-Type": "application/json"}, method="POST")
+                url, data=data, headers={"Content-Type": "application/json"}, method="POST")
             with urllib.request.urlopen(call, timeout=timeout) as answer:
                 return answer.read().decode("utf-8")
 
@@ -198,7 +258,8 @@ def parse_response(responses: DataFrame, response: str = "response") -> DataFram
     The chat shape has ``choices[].message.content``, the legacy one wraps
     ``choices[].text`` in an ``output`` array. Decoding sits in a generator so that it runs once.
     """
-    decoded = responses.select(*responses.columns, F.explode(F.array(F.from_json(response, RESPONSE))).alias("r"))
+    decoded = responses.select(*responses.columns, F.explode(F.array(F.from_json(
+        response, RESPONSE, {"maxStringLen": LONGEST_STRING}))).alias("r"))
     first, legacy = F.get("r.choices", F.lit(0)), F.get("r.output", F.lit(0))
     legacy_first = F.get(legacy["choices"], F.lit(0))
     return decoded.select(

@@ -9,13 +9,14 @@ from dayloom.session import written
 SALTS = 64
 
 
-def heavy_keys(rows: DataFrame, key: str, weight: Column, limit: int) -> DataFrame:
-    """``(key, total)`` of the keys whose weight exceeds ``limit``.
+def heavy_keys(rows: DataFrame, key: str, weight: Column, limit: int) -> DataFrame | None:
+    """``(key, total)`` of the keys whose weight exceeds ``limit``; None when there are none, the usual case.
 
-    Totals are combined before the shuffle. The result is written: it is used several times.
+    Totals are combined before the shuffle. The result is written, as it is used several times, but
+    only if the weights say that there can be one.
     """
-    totals = rows.groupBy(key).agg(F.sum(weight).alias("total"))
-    return written(totals.where(F.col("total") > limit), "heavy-keys")
+    totals = rows.groupBy(key).agg(F.sum(weight).alias("total")).where(F.col("total") > limit)
+    return None if totals.isEmpty() else written(totals, "heavy-keys")
 
 
 def split_by_keys(rows: DataFrame, keys: DataFrame, key: str, few: bool) -> tuple[DataFrame, DataFrame]:
@@ -30,7 +31,8 @@ def split_by_keys(rows: DataFrame, keys: DataFrame, key: str, few: bool) -> tupl
         match = F.col(key).eqNullSafe(F.col("_listed"))
         return rows.join(listed, match, "left_anti"), rows.join(listed, match, "left_semi")
     listed = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = rows.withColumn("_row_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    # copies of a row are dealt out too, or a row with very many of them would be one task's
+    salted = rows.withColumn("_row_salt", F.floor(F.rand(7) * SALTS).cast("int"))
     match = F.col(key).eqNullSafe(F.col("_listed")) & (F.col("_row_salt") == F.col("_salt"))
     return (salted.join(listed, match, "left_anti").drop("_row_salt"),
             salted.join(listed, match, "left_semi").drop("_row_salt"))

@@ -101,13 +101,20 @@ def reconcile(facts: DataFrame, summary: DataFrame, count: str = "record_count")
         F.col("fact_rows") != F.col("summary_rows"))
 
 
-def reconcile_landing(valid_records: DataFrame, facts: DataFrame) -> DataFrame:
-    """One row: valid landed records, fact rows, and how many records the fact table lacks."""
-    return (
-        valid_records.agg(F.count(F.lit(1)).alias("landed_rows"))
-        .crossJoin(facts.agg(F.count(F.lit(1)).alias("fact_rows")))
-        .withColumn("lost_rows", F.col("landed_rows") - F.col("fact_rows"))
-    )
+def reconcile_landing(valid_records: DataFrame, facts: DataFrame, by: list[str]) -> DataFrame:
+    """Per group of ``by`` that differs: valid landed records, fact rows, lost rows and surplus rows.
+
+    Group by day and source file: rows lost in one never hide behind rows doubled in another.
+    Groups that agree have no row. NULL is a group like any other.
+    """
+    landed = valid_records.groupBy(*by).agg(F.count(F.lit(1)).alias("landed_rows"), F.lit(0).cast("bigint").alias("fact_rows"))
+    held = facts.groupBy(*by).agg(F.lit(0).cast("bigint").alias("landed_rows"), F.count(F.lit(1)).alias("fact_rows"))
+    both = landed.unionByName(held).groupBy(*by).agg(
+        F.sum("landed_rows").alias("landed_rows"), F.sum("fact_rows").alias("fact_rows"))
+    gap = F.col("landed_rows") - F.col("fact_rows")
+    zero = F.lit(0).cast("bigint")
+    return both.where(gap != 0).select(*by, "landed_rows", "fact_rows", F.greatest(gap, zero).alias("lost_rows"),
+                                       F.greatest(-gap, zero).alias("surplus_rows"))
 
 
 def report(facts: DataFrame, checks: list[Check]) -> DataFrame:

@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from dayloom.functions.numbers import round_scaled
 from dayloom.functions.timestamps import day_of
+from dayloom.session import use_utc
 
 MANY_DAYS = 40_000  # over a century of days: beyond this a "day" list is not taken to the driver
 
 
 def with_day(df: DataFrame, instant: str, day: str = "load_date", day_type: str = "string") -> DataFrame:
     """Derive the partition column from the event time; it comes last, as partitioned tables need it."""
+    use_utc(df.sparkSession)
     return df.select(*[c for c in df.columns if c != day], day_of(F.col(instant), day_type).alias(day))
 
 
@@ -76,11 +78,22 @@ def absent_days(df: DataFrame, other: DataFrame, day: str, null_aware: bool = Tr
 
 
 def days_not_in(df: DataFrame, days: list | None, other: DataFrame, day: str, null_aware: bool = True) -> DataFrame:
-    """``absent_days`` when ``days``, the result of ``day_list(other)``, is at hand."""
-    if null_aware:
-        return df.where(~F.col(day).isin(landed_days(other, day) if days is None else days))
+    """``absent_days`` when ``days``, the result of ``day_list(other)``, is at hand.
+
+    Beyond a list a plain anti join does it, which may shuffle; a NOT IN subquery would broadcast
+    the days whatever their number. What NULL means is settled by counting first.
+    """
     if days is None:
-        return df.join(landed_days(other, day), day, "left_anti")
+        if not null_aware:
+            return df.join(landed_days(other, day), day, "left_anti")
+        rows, nulls = other.agg(F.count(F.lit(1)), F.count_if(F.col(day).isNull())).first()
+        if not rows:
+            return df
+        if nulls:
+            return df.where(F.lit(False))
+        return df.where(F.col(day).isNotNull()).join(landed_days(other, day), day, "left_anti")
+    if null_aware:
+        return df.where(~F.col(day).isin(days))
     known = [d for d in days if d is not None]
     return df.where(F.col(day).isNull() | ~F.col(day).isin(known))
 

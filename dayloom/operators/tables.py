@@ -6,14 +6,15 @@ Parquet tables have no transactions: one writer per table at a time.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date, timedelta
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from dayloom.operators.rollup import day_list, days_not_in, present_days
+from dayloom.operators.rollup import present_days
 from dayloom.operators.sizes import clustered
-from dayloom.session import setting, staged
 
 
 def create_table(spark: SparkSession, table: str, schema: T.StructType, day: str) -> None:
@@ -57,57 +58,105 @@ def append_new_days(df: DataFrame, table: str, day: str = "load_date", full_refr
     """Append only the rows of days the table does not have yet; the first run creates the table.
 
     Days are taken or left whole: a late row of a landed day is NOT appended. Such rows are
-    counted in ``skipped_rows``; ``streaming.ingest`` is the way that loses none.
+    counted in ``skipped_rows``, ``late_rows`` shows them, and ``streaming.ingest`` is the way that
+    loses none. The days at hand are the catalog's partitions; of those, only the ones that
+    the source offers too are looked into, since a partition without rows is no day at hand.
     """
     spark = df.sparkSession
-    exists = spark.catalog.tableExists(table)
-    seen, kept = Observation(), Observation()
-    rows, days = F.count(F.lit(1)).alias("rows"), F.collect_set(day).alias("days")
-    if full_refresh or not exists:
-        rebuild(df.observe(kept, rows, days), table, day, cluster_by)
-        # behind a shuffle a task may run twice and count its rows twice: ask the table instead
-        appended = kept.get["rows"] if cluster_by is None else spark.table(table).count()
-        return Landed(appended, 0, tuple(sorted(kept.get["days"])))
+    if full_refresh or not spark.catalog.tableExists(table):
+        rebuild(df, table, day, cluster_by)
+        return Landed(spark.table(table).count(), 0, _typed(spark, table, day, partition_days(spark, table, day)))
     present = spark.table(table)
     source = df.select(*present.columns)
-    known = day_list(present, day)
-    if not present.where(F.col(day).isNull()).isEmpty() if known is None else None in known:
+    before = [] if present.isEmpty() else partition_days(spark, table, day)
+    if NULL_DAY in before and not present.where(F.col(day).isNull()).isEmpty():
         return Landed(0, source.count())  # NOT IN: beside a NULL day no day is known to be absent
-    # map-only: the counts come from the tasks that commit the rows, so a task that runs again counts once
-    fresh = days_not_in(source.observe(seen, rows), known, present, day).observe(kept, rows, days)
-    if cluster_by is None:
-        fresh.write.insertInto(table)
-    else:
-        with staged(fresh, "new-days") as once:
-            clustered(once, day, cluster_by).write.insertInto(table)
-    return Landed(kept.get["rows"], seen.get["rows"] - kept.get["rows"], tuple(sorted(kept.get["days"])))
+    known = list(_typed(spark, table, day, before))
+    met = F.collect_set(F.when(F.col(day).isin(known), F.col(day)))  # at most the days at hand
+    seen = Observation()
+    observed = source.observe(seen, F.count(F.lit(1)).alias("rows"), met.alias("met"))
+    wanted = observed.where(observed[day].isNotNull() & ~observed[day].isin(known)) if known else observed
+    _arranged(wanted, day, cluster_by).write.insertInto(table)
+    try:
+        rows, offered = seen.get["rows"], [d for d in seen.get["met"] if d is not None]
+    except Py4JJavaError:  # nothing is new: a shuffle without rows is planned away, and what it observed
+        rows, offered = source.agg(F.count(F.lit(1)), met).first()
+    empty = [d for d in offered if present.where(F.col(day) == d).isEmpty()]
+    if empty:  # partitions without rows, as a failed write leaves them: the rows are new after all
+        _arranged(source.where(F.col(day).isin(empty)), day, cluster_by).write.insertInto(table)
+    after = _typed(spark, table, day, partition_days(spark, table, day))
+    new = tuple(sorted({*after} - {*known} | {*empty}, key=str))
+    # from the new partitions: tasks behind a shuffle may run twice and count their rows twice
+    written_days = spark.table(table).where(F.col(day).isin(list(new)) if known else F.lit(True))
+    appended = written_days.count() if new else 0
+    return Landed(appended, rows - appended, new)
+
+
+NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _typed(spark: SparkSession, table: str, day: str, days: list[str]) -> tuple:
+    """Catalog days in the type of the column; the partition of NULL days is left out."""
+    days = sorted(d for d in days if d != NULL_DAY)
+    if isinstance(spark.table(table).schema[day].dataType, T.DateType):
+        return tuple(date.fromisoformat(d) for d in days)
+    return tuple(days)
 
 
 def late_rows(df: DataFrame, table: str, day: str = "load_date") -> DataFrame:
-    """The rows ``append_new_days`` would leave out."""
-    return present_days(df, df.sparkSession.table(table), day)
+    """The rows that ``append_new_days`` leaves out and the table lacks, with their number of copies.
+
+    Both sides are counted by row, on the days they share only.
+    """
+    present = df.sparkSession.table(table)
+    source = present_days(df.select(*present.columns), present, day)
+    return source.exceptAll(present_days(present, source, day))
 
 
-def refresh_dates_in_source(df: DataFrame, table: str) -> None:
+def refresh_dates_in_source(df: DataFrame, table: str, day: str = "load_date", cluster_by: list[str] | None = None) -> None:
     """Replace exactly the days that occur in ``df``; other days keep their rows.
 
-    The new files are staged and swapped in by partition when the job commits. A day without
-    rows in ``df`` is not touched: to empty a day use ``refresh_one_date``.
+    The new files are staged and swapped in by partition when the job commits. Rows are gathered
+    by day first, so a day gets few files. A day without rows in ``df`` is not touched: to empty a
+    day use ``refresh_one_date``.
     """
-    target = df.sparkSession.table(table)
-    with setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        df.select(*target.columns).write.insertInto(table, overwrite=True)
+    overwrite_partitions(clustered(df, day, cluster_by or []), table)
+
+
+def overwrite_partitions(df: DataFrame, table: str) -> None:
+    """Replace the partitions that occur in ``df``, in a session of its own.
+
+    Which partitions an overwrite replaces is a setting of the session, not of the write; another
+    thread's overwrite in the caller's session must not see it change.
+    """
+    spark = df.sparkSession
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    view = f"rows_{uuid.uuid4().hex}"
+    df.select(*spark.table(table).columns).createGlobalTempView(view)
+    try:
+        own.table(f"global_temp.{view}").write.insertInto(table, overwrite=True)
+    finally:
+        spark.catalog.dropGlobalTempView(view)
+        spark.catalog.refreshTable(table)
 
 
 def refresh_one_date(df: DataFrame, table: str, day: str, run_date: str | date) -> None:
-    """Replace the rows of one date, whether or not ``df`` has any: without rows the date ends empty."""
+    """Replace the rows of one date, whether or not ``df`` has any: without rows the date ends empty.
+
+    Rows are gathered first: few files, split over tasks only where the day is large.
+    """
     spark = df.sparkSession
     run_date = run_date if isinstance(run_date, date) else date.fromisoformat(run_date)
     target = spark.table(table)
     of_day = df.where(F.col(day) == F.lit(run_date.isoformat()).cast(target.schema[day].dataType))
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION (`{day}` = '{run_date.isoformat()}') SELECT * FROM {{rows}}",
-        rows=of_day.select(*[c for c in target.columns if c != day]),
+        rows=of_day.select(*[c for c in target.columns if c != day]).hint("rebalance"),
     )
 
 
@@ -119,7 +168,8 @@ def truncate(spark: SparkSession, table: str) -> None:
 def partition_days(spark: SparkSession, table: str, day: str) -> list[str]:
     """The days a table has a partition for, from the catalog."""
     prefix = f"{day}="
-    return sorted(row[0][len(prefix):] for row in spark.sql(f"SHOW PARTITIONS {table}").collect())
+    found = (row[0].split("/")[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect())
+    return sorted({part[len(prefix):] for part in found})
 
 
 def within_retention(df: DataFrame, day: str, as_of: str | date, days: int = 7) -> DataFrame:
@@ -136,6 +186,8 @@ def expire(spark: SparkSession, table: str, day: str, as_of: str | date, days: i
     limit = (as_of - timedelta(days)).isoformat()
     old = [d for d in partition_days(spark, table, day) if d <= limit]
     if old:
-        specs = ", ".join(f"PARTITION (`{day}` = '{d}')" for d in old)
+        parts = [[p.split("=", 1) for p in row[0].split("/")] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+        specs = ", ".join("PARTITION (" + ", ".join(f"`{k}` = '{v}'" for k, v in part) + ")"
+                          for part in parts if dict(part).get(day) in old)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
     return old

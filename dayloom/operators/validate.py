@@ -8,6 +8,7 @@ from dayloom.functions.casts import to_type
 from dayloom.functions.predicates import all_of, present
 from dayloom.functions.timestamps import day_of, to_milliseconds, utc_marked
 from dayloom.schemas import Feed, Field
+from dayloom.session import use_utc
 
 
 def require(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -39,6 +40,7 @@ def classify(records: DataFrame, feed: Feed, mode: str = "quarantine",
     """
     if mode not in ("quarantine", "strict"):
         raise ValueError("mode must be 'quarantine' or 'strict'")
+    use_utc(records.sparkSession)
     raw = {f.name: f"raw_{f.name}" for f in feed.fields if f.type != "string" or f.required}
     typed = records.select(
         *[_typed(f, timestamp_rule, milliseconds).alias(f.name) for f in feed.fields],

@@ -120,6 +120,10 @@ STAGED_SQL = JUDGED_SQL + """, staged AS (
          load_date AS folder_day
   FROM judged WHERE reason IS NULL)"""
 
+# The same for the records as a collector hands them over: no line of theirs is malformed.
+MALFORMED_SQL = "WHEN k BETWEEN 12 AND 15 THEN 'malformed' "
+JUDGED_RECORDS_SQL, STAGED_RECORDS_SQL = (sql.replace(MALFORMED_SQL, "") for sql in (JUDGED_SQL, STAGED_SQL))
+
 
 def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The records as lines; some are cut short, followed by more text, or no object."""

@@ -64,16 +64,32 @@ def chat_requests(spark, folder):
     return requests(spark, folder).select("conv_id", "request", "error")
 
 
-@query("chat_request_parts", f"""WITH {PARTS_SQL} SELECT conv_id, part, closes,
-    part = 0 AS opens, message_count FROM parts""")
+@query("chat_request_parts", f"""WITH {MESSAGES_SQL}, {PARTS_SQL}, counted AS (
+    SELECT conv_id, count(*) AS parts, max(part) AS last_part FROM parts GROUP BY conv_id)
+    SELECT conv_id, parts, last_part, '{{"model":"{MODEL}","stream":false,"messages":' || CAST(messages AS VARCHAR) || '}}' AS request
+    FROM listed JOIN counted USING (conv_id)""")
 def chat_request_parts(spark, folder):
-    """The bodies of long conversations as fragments: where they open, close, and what they hold."""
+    """The bodies of long conversations as fragments, which joined in order are the whole body."""
     fragments = chat.build_request(messages(spark, folder, max_bytes=PART_BYTES), MODEL)
-    return fragments.select(
-        "conv_id", "part", "closes",
-        F.col("request").startswith(f'{{"model":"{MODEL}","stream":false,"messages":[').alias("opens"),
-        F.expr("""CAST((length(request) - length(replace(request, '{"role":"', ''))) / 9 AS BIGINT)""")
-        .alias("message_count"))
+    in_order = F.array_sort(F.collect_list(F.struct("part", "request")))
+    return fragments.groupBy("conv_id").agg(
+        F.count(F.lit(1)).alias("parts"), F.max("part").alias("last_part"),
+        F.array_join(F.transform(in_order, lambda f: f["request"]), "").alias("request"))
+
+
+@query("chat_request_fields", f"""WITH {MESSAGES_SQL} SELECT conv_id,
+    '{{"model":"{MODEL}","stream":false,"max_tokens":64'
+    || CASE WHEN conv_id % 3 = 0 THEN ',"temperature":0.5' ELSE ',"temperature":0.2' END
+    || CASE WHEN conv_id % 2 = 0 THEN ',"user":"u' || conv_id || '"' ELSE '' END
+    || ',"messages":' || CAST(messages AS VARCHAR) || '}}' AS request FROM listed""")
+def chat_request_fields(spark, folder):
+    """Bodies with fields that each conversation's caller has set, beside the common ones."""
+    own = table(spark, folder, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).select(
+        "conv_id", F.when(F.col("conv_id") % 3 == 0, F.lit(0.5)).alias("temperature"),
+        F.when(F.col("conv_id") % 2 == 0, F.concat(F.lit("u"), F.col("conv_id").cast("string"))).alias("user"))
+    built = chat.build_request(messages(spark, folder), MODEL, fields=own,
+                               params={"max_tokens": F.lit(64), "temperature": F.lit(0.2)})
+    return built.select("conv_id", "request")
 
 
 def caller_bodies(spark, folder) -> DataFrame:
@@ -106,8 +122,11 @@ def measuring_connect():
     def connect():
         def complete(bodies: list[str]) -> list[str]:
             return ['{"choices":[{"finish_reason":"stop","index":0,"message":{"role":"assistant","content":"%d"}}],'
-                    '"usage":{"total_tokens":%d}}' % (len(body), len(body) // 4) for body in bodies]
+                    '"usage":{"total_tokens":%d}}' % (size, size // 4) for size in map(length, bodies)]
         return complete
+
+    def length(body) -> int:
+        return len(body) if isinstance(body, str) else sum(map(len, body))
     return connect
 
 
@@ -116,7 +135,18 @@ def measuring_connect():
     FROM requests""")
 def chat_score(spark, folder):
     """Every request sent to a model, and the responses read."""
-    scored = chat.score(requests(spark, folder), measuring_connect(), concurrency=8)
+    scored = chat.score(requests(spark, folder), measuring_connect())
+    return chat.parse_response(scored).select("conv_id", "answer", "finish_reason", "total_tokens", "error")
+
+
+@query("chat_score_parts", f"""WITH {MESSAGES_SQL}, bodies AS (
+    SELECT conv_id, length('{{"model":"{MODEL}","stream":false,"messages":' || CAST(messages AS VARCHAR) || '}}') AS size FROM listed)
+    SELECT conv_id, CAST(size AS VARCHAR) AS answer, 'stop' AS finish_reason, CAST(size // 4 AS BIGINT) AS total_tokens,
+           CAST(NULL AS VARCHAR) AS error FROM bodies""")
+def chat_score_parts(spark, folder):
+    """Long conversations sent in parts, as one body each, with one response."""
+    built = chat.build_request(messages(spark, folder, max_bytes=PART_BYTES), MODEL)
+    scored = chat.score(built, measuring_connect())
     return chat.parse_response(scored).select("conv_id", "answer", "finish_reason", "total_tokens", "error")
 
 

@@ -8,11 +8,11 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dayloom.operators import quality, tables
-from dayloom.operators.rollup import daily_rollup, on_day
+from dayloom.operators.rollup import daily_rollup, on_day, rows_per_day
 from dayloom.operators.validate import accepted, classify, rejected
 from dayloom.schemas import WEATHER, Feed
 from dayloom.session import staged, use_utc
-from dayloom.sources.landing import land_ndjson, parse_lines, scan_lines, scan_run_date
+from dayloom.sources.landing import FOLDER_DAY, land_ndjson, parse_lines, scan_lines, scan_run_date
 
 
 @dataclass(frozen=True)
@@ -111,32 +111,44 @@ def run_daily(spark: SparkSession, lake: Lake, run_date: str | date, incoming: D
 
 
 def build_all(spark: SparkSession, lake: Lake, full_refresh: bool = False, checks: list | None = None,
-              round_digits: int | None = 2, start: str | date | None = None,
+              round_digits: int | None = 2, start: str | date | None = None, end: str | date | None = None,
               only_new_days: bool = False) -> tuple[tables.Landed, list]:
     """Append the new days of the landing zone, test the facts, rebuild the summary, reconcile it.
 
-    A failing fact test raises before the summary is touched. ``start`` leaves older landing
-    folders unread. ``only_new_days`` tests, summarises and reconciles just the days appended:
-    earlier days are whole and unchanged since they passed, so the outcome is the same. Returns
-    what was appended and the rows of both reports.
+    A failing fact test raises before the summary is touched. ``start`` and ``end`` leave older
+    and later landing folders unread. ``only_new_days`` tests, summarises and reconciles the days
+    appended and those whose rows the summary does not have: a day whose test failed, or that a
+    crash left without its summary, stays in the next run until it has passed. Other days are
+    unchanged since they passed. Returns what was appended and the rows of both reports.
     """
     feed = lake.feed
     landed = tables.append_new_days(
-        staging(spark, lake, start), lake.facts, feed.day, full_refresh, lake.clustering())
+        staging(spark, lake, start, end), lake.facts, feed.day, full_refresh, lake.clustering())
     scoped = only_new_days and not full_refresh and spark.catalog.tableExists(lake.summary)
-    facts = _facts(spark, lake, list(landed.new_days) if scoped else None)
+    days = sorted({*landed.new_days, *unsummarised_days(spark, lake)}, key=str) if scoped else None
+    facts = _facts(spark, lake, days)
     passed = quality.gate(quality.report(facts, quality.model_checks() if checks is None else checks))
     rollup = summarise(facts, feed, round_digits)
     if scoped:
-        tables.refresh_dates_in_source(rollup, lake.summary)
+        tables.refresh_dates_in_source(rollup, lake.summary, feed.day, list(feed.keys))
     else:
         tables.rebuild(rollup, lake.summary, feed.day, list(feed.keys))
     reconciled = quality.ReconcileCheck(
         "summary_reconciles_source", spark.table(lake.summary), day=feed.day,
-        days=landed.new_days if scoped else None)
+        days=tuple(days) if scoped else None)
     return landed, passed + quality.gate(quality.report(facts, [reconciled]))
 
 
+def unsummarised_days(spark: SparkSession, lake: Lake) -> list:
+    """Fact days whose number of rows is not the one in the summary; days are few, as a calendar is."""
+    day = lake.feed.day
+    counted = rows_per_day(spark.table(lake.facts), day)
+    held = spark.table(lake.summary).groupBy(F.col(day).alias("held_day")).agg(F.sum("record_count").alias("held"))
+    differ = counted.join(held, F.col(day) == F.col("held_day"), "left").where(
+        F.col(day).isNotNull() & ~F.col("row_count").eqNullSafe(F.col("held")))
+    return [row[0] for row in differ.select(day).collect()]
+
+
 def _facts(spark: SparkSession, lake: Lake, days: list | None) -> DataFrame:
     facts = spark.table(lake.facts)
     return facts if days is None else facts.where(F.col(lake.feed.day).isin(list(days)))
@@ -149,7 +161,9 @@ def refresh_summary(spark: SparkSession, lake: Lake, round_digits: int | None =
     ``days`` recomputes only those and reads only their partitions.
     """
     use_utc(spark)
-    tables.refresh_dates_in_source(summarise(_facts(spark, lake, days), lake.feed, round_digits), lake.summary)
+    feed = lake.feed
+    tables.refresh_dates_in_source(
+        summarise(_facts(spark, lake, days), feed, round_digits), lake.summary, feed.day, list(feed.keys))
 
 
 def quality_report(spark: SparkSession, lake: Lake, checks: list | None = None,
@@ -165,6 +179,19 @@ def quality_report(spark: SparkSession, lake: Lake, checks: list | None = None,
     return quality.report(_facts(spark, lake, days), checks)
 
 
-def lost_records(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Valid landed records against fact rows: shows what the day skip left out."""
-    return quality.reconcile_landing(staging(spark, lake).select(F.lit(1)), spark.table(lake.facts))
+def lost_records(spark: SparkSession, lake: Lake, start: str | date | None = None,
+                 end: str | date | None = None) -> DataFrame:
+    """Valid landed records against fact rows, per day and source file: those lost and those doubled.
+
+    ``start`` and ``end`` bound the landing folders and the fact days: give the days that landing
+    still keeps, as facts outlive it. A record late in the day of its folder may be of the day
+    before, so facts count by their file where the file is one of a folder read.
+    """
+    feed = lake.feed
+    rows = staging(spark, lake, start, end).select(feed.day, "source_file")
+    facts = spark.table(lake.facts).select(feed.day, "source_file")
+    if start is not None or end is not None:
+        folder = F.regexp_extract("source_file", f"{FOLDER_DAY}=([^/]+)", 1)
+        first, last = "" if start is None else str(start), "~" if end is None else str(end)
+        facts = facts.where(folder.between(first, last))
+    return quality.reconcile_landing(rows, facts, [feed.day, "source_file"])

@@ -118,7 +118,9 @@ def lineage_pattern(spark, folder):
     WHERE observed_at <> '' AND ingested_at <> '' AND city <> ''""")
 def validate_required(spark, folder):
     """Records whose required fields are present; a blank city passes."""
-    kept = require(raw_records(spark, folder), WEATHER.required)
+    records = raw_records(spark, folder)
+    # behind a generator: filters are not pushed through it, so the records are made once
+    kept = require(records.select(F.inline(F.array(F.struct(*records.columns)))), WEATHER.required)
     return kept.select("observed_at", "ingested_at", "city", "country", "humidity_pct", "load_date")
 
 
@@ -142,12 +144,15 @@ def typed_observations(spark, folder):
 
 
 @query("typed_observations_milliseconds", f"""WITH {STAGED_SQL}
-    SELECT strftime(date_trunc('millisecond', ingested_at), '%Y-%m-%d %H:%M:%S.%f') AS ingested_at, city, country
+    SELECT strftime(date_trunc('millisecond', observed_at), '%Y-%m-%d %H:%M:%S.%f') AS observed_at,
+           strftime(date_trunc('millisecond', ingested_at), '%Y-%m-%d %H:%M:%S.%f') AS ingested_at, city, country,
+           latitude, longitude, temperature_c, humidity_pct, wind_speed_kmh, load_date
     FROM staged""")
 def typed_observations_milliseconds(spark, folder):
     """The same with instants cut to three fractional digits."""
     rows = accepted(judged(spark, folder, milliseconds=True), WEATHER)
-    return rows.select(text_of("ingested_at"), "city", "country")
+    return rows.select(text_of("observed_at"), text_of("ingested_at"), "city", "country", "latitude", "longitude",
+                       "temperature_c", "humidity_pct", "wind_speed_kmh", "load_date")
 
 
 @query("valid_and_rejected", f"""WITH {JUDGED_SQL}

@@ -8,11 +8,13 @@ from dayloom.operators import quality, tables
 from dayloom.operators.rollup import on_day
 from dayloom.plans import jobs
 from dayloom.plans.bindings import (
-    JUDGED_SQL, OBSERVATIONS_SQL, STAGED_SQL, land_lines, landed_lines, observations, raw_lines, raw_records,
+    JUDGED_RECORDS_SQL, OBSERVATIONS_SQL, STAGED_RECORDS_SQL, STAGED_SQL, land_lines, landed_lines, observations,
+    raw_lines, raw_records,
 )
 from dayloom.plans.registry import query, table
 from dayloom.plans.table_queries import RUN_DATE, summary, summary_sql
 from dayloom.session import fresh_database, fresh_folder
+from dayloom.streaming import ingest
 
 REPORT_SQL = "SELECT check_name, violations, CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM checks"
 
@@ -193,17 +195,23 @@ def dq_gate(spark, folder):
 
 
 @query("reconcile_landing", f"""WITH {STAGED_SQL}
-    SELECT count(*) AS landed_rows, count(*) FILTER (WHERE load_date > '2024-01-05' OR city <> 'error') AS fact_rows,
-           count(*) FILTER (WHERE load_date <= '2024-01-05' AND city = 'error') AS lost_rows
-    FROM staged""")
+    SELECT load_date, folder_day, count(*) AS landed_rows,
+           count(*) FILTER (WHERE load_date > '2024-01-05' OR city <> 'error') + CAST(coalesce(sum(1) FILTER (WHERE load_date = '2024-01-08'), 0) AS BIGINT) AS fact_rows,
+           count(*) FILTER (WHERE load_date <= '2024-01-05' AND city = 'error') AS lost_rows,
+           count(*) FILTER (WHERE load_date = '2024-01-08') AS surplus_rows
+    FROM staged GROUP BY load_date, folder_day HAVING lost_rows + surplus_rows > 0""")
 def reconcile_landing(spark, folder):
-    """Valid landed records the fact table lacks, after the day skip has left late rows out."""
+    """Landed records that the facts lack or have twice, by day and folder: late rows left out, a day appended again."""
     lake = new_lake(spark, folder)
     staged = jobs.staging(spark, lake)
     early = (F.col("load_date") <= "2024-01-05") & (F.col("city") != "error")
     tables.append_new_days(staged.where(early), lake.facts, cluster_by=["city"])
     tables.append_new_days(staged, lake.facts, cluster_by=["city"])
-    return jobs.lost_records(spark, lake)
+    tables.append(staged.where("load_date = '2024-01-08'"), lake.facts)
+    by_file = jobs.lost_records(spark, lake)
+    folder_day = F.regexp_extract("source_file", "load_date=([^/]+)", 1).alias("folder_day")
+    counts = ["landed_rows", "fact_rows", "lost_rows", "surplus_rows"]
+    return by_file.groupBy("load_date", folder_day).agg(*(F.sum(c).alias(c) for c in counts))
 
 
 # ---- whole jobs
@@ -224,27 +232,26 @@ def staging_view(spark, folder):
                         FROM staged_observations GROUP BY load_date""")
 
 
-@query("run_daily", f"WITH {STAGED_SQL} {summary_sql('staged', 2, where=f'''load_date = '{RUN_DATE}' ''')}")
+@query("run_daily", f"WITH {STAGED_RECORDS_SQL} {summary_sql('staged', 2, where=f'''load_date = '{RUN_DATE}' ''')}")
 def run_daily(spark, folder):
     """One scheduled run: land the records, append them, refresh the date, gate on its rows."""
     lake = new_lake(spark, folder, fresh_folder(spark, "landing"), rejects=True)
     jobs.create_tables(spark, lake)
-    return jobs.run_daily(spark, lake, RUN_DATE, decodable(spark, folder))
+    return jobs.run_daily(spark, lake, RUN_DATE, collected(spark, folder))
 
 
-def decodable(spark, folder) -> DataFrame:
-    """The records whose lines decode, as a collector hands them over."""
-    return raw_records(spark, folder).where("k NOT BETWEEN 12 AND 15").drop("k", "load_date")
+def collected(spark, folder) -> DataFrame:
+    """The records as a collector hands them over."""
+    return raw_records(spark, folder).drop("k", "load_date")
 
 
-@query("run_daily_rejects", f"""WITH {JUDGED_SQL}
-    SELECT reason, count(*) AS line_count FROM judged
-    WHERE reason IS NOT NULL AND reason <> 'malformed' GROUP BY reason""")
+@query("run_daily_rejects", f"""WITH {JUDGED_RECORDS_SQL}
+    SELECT reason, count(*) AS line_count FROM judged WHERE reason IS NOT NULL GROUP BY reason""")
 def run_daily_rejects(spark, folder):
     """The reject table of a run."""
     lake = new_lake(spark, folder, fresh_folder(spark, "landing"), rejects=True)
     jobs.create_tables(spark, lake)
-    jobs.run_daily(spark, lake, RUN_DATE, decodable(spark, folder))
+    jobs.run_daily(spark, lake, RUN_DATE, collected(spark, folder))
     return spark.table(lake.rejects).groupBy("reason").agg(F.count("raw_line").alias("line_count"))
 
 
@@ -296,6 +303,32 @@ def build_all_in_two_steps(spark, folder):
     return spark.table(lake.summary)
 
 
+@query("build_all_after_a_crash", f"WITH {STAGED_SQL} {summary_sql('staged', 2)}")
+def build_all_after_a_crash(spark, folder):
+    """A run that appended and died before the summary: the next one, of new days only, makes up for it."""
+    lake = new_lake(spark, folder)
+    jobs.create_tables(spark, lake)
+    tables.append_new_days(jobs.staging(spark, lake), lake.facts, cluster_by=["city"])
+    jobs.build_all(spark, lake, checks=passing_checks(), only_new_days=True)
+    return spark.table(lake.summary)
+
+
+@query("ingest_then_refresh", f"""WITH {STAGED_SQL}
+    {summary_sql('staged', where="load_date > '2024-01-10'")}""")
+def ingest_then_refresh(spark, folder):
+    """The incremental ingest fills the tables in batches; expiry, refresh and report work on them."""
+    lake = new_lake(spark, folder, rejects=True)
+    tables.create_table(spark, lake.summary, lake.feed.summary_schema(), lake.feed.day)
+    ingest.create_ingest_tables(spark, lake.facts, lake.rejects, lake.feed)
+    log = fresh_folder(spark, "ingest-log")
+    for _ in range(2):
+        ingest.ingest_into_tables(spark, lake.root, lake.facts, lake.rejects, log, lake.feed, files_per_batch=40)
+    tables.expire(spark, lake.facts, lake.feed.day, "2024-01-17")
+    jobs.refresh_summary(spark, lake)
+    quality.gate(quality.report(spark.table(lake.facts), passing_checks()))
+    return spark.table(lake.summary)
+
+
 @query("refresh_summary_of_days", f"""WITH {STAGED_SQL}
     {summary_sql('staged', where="load_date IN ('2024-01-03', '2024-01-04')")}""")
 def refresh_summary_of_days(spark, folder):

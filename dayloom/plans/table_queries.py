@@ -173,9 +173,8 @@ def append_full_refresh(spark, folder):
 
 @query("late_rows", f"WITH {EVENTS_SQL} SELECT * FROM e WHERE {LATE}")
 def late_rows(spark, folder):
-    """The rows the day skip would lose."""
-    errors = daily_events(spark, folder).where("event_type = 'error'")
-    return tables.late_rows(errors, seeded(spark, folder))
+    """The rows the day skip would lose: all events are offered, those at hand are no late ones."""
+    return tables.late_rows(daily_events(spark, folder), seeded(spark, folder))
 
 
 def scaled(facts: DataFrame) -> DataFrame:

@@ -35,17 +35,6 @@ def use_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-@contextmanager
-def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """A session setting for the statements inside, for what tables do not take as a write option."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` as the cluster names it.
 

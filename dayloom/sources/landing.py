@@ -13,7 +13,7 @@ from dayloom.session import remove_folder
 
 FOLDER_DAY = "load_date"
 CORRUPT = "_corrupt"
-LONGEST_DAY_LIST = 400  # days named one by one in a path; longer ranges filter the whole root
+LONGEST_STRING = 2**31 - 1  # the decoder refuses longer strings; its default is 20 million characters
 
 
 def _as_date(day: str | date) -> date:
@@ -36,31 +36,38 @@ def day_paths(root: str, start: str | date, end: str | date) -> str:
 
 def _read_days(spark: SparkSession, root: str, schema: T.StructType, load,
                start, end, on_missing: str) -> DataFrame:
-    """Read the day folders ``start..end`` through ``load(reader, path)``."""
+    """Read the day folders ``start..end``, either end open, through ``load(reader, paths)``.
+
+    The folders that exist are listed by name and only those in the range are read. A range with
+    none of them is an error or empty, as ``on_missing`` says, however long it is.
+    """
     if on_missing not in ("fail", "empty"):
         raise ValueError("on_missing must be 'fail' or 'empty'")
     schema = T.StructType([*schema.fields, T.StructField(FOLDER_DAY, T.StringType())])
-    reader = spark.read.schema(schema).option("basePath", root)
-    in_range = F.lit(True)
-    path = root
-    if start is not None and end is not None:
-        if _as_date(start) > _as_date(end):
-            return spark.createDataFrame([], schema)
-        if (_as_date(end) - _as_date(start)).days < LONGEST_DAY_LIST:
-            path = day_paths(root, start, end)
-    if path == root:
-        if start is not None:
-            in_range = in_range & (F.col(FOLDER_DAY) >= _as_date(start).isoformat())
-        if end is not None:
-            in_range = in_range & (F.col(FOLDER_DAY) <= _as_date(end).isoformat())
+    paths = [root]
+    if start is not None or end is not None:
+        first = "" if start is None else _as_date(start).isoformat()
+        last = "~" if end is None else _as_date(end).isoformat()
+        paths = [f"{root}/{FOLDER_DAY}={day}" for day in landed_folders(spark, root) if first <= day <= last]
+        if not paths:
+            if on_missing == "empty" or first > last:
+                return spark.createDataFrame([], schema)
+            raise FileNotFoundError(f"PATH_NOT_FOUND: no day folder of {start or '...'} to {end or '...'} below {root}")
     try:
-        return load(reader, path).where(in_range)
+        return load(spark.read.schema(schema).option("basePath", root), paths)
     except AnalysisException as error:
         if on_missing == "empty" and error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
         raise
 
 
+def landed_folders(spark: SparkSession, root: str) -> list[str]:
+    """The days that have a folder below ``root``, in order."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    found = path(root).getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path(f"{root}/{FOLDER_DAY}=*"))
+    return sorted(status.getPath().getName().split("=", 1)[1] for status in found or [])
+
+
 def scan_ndjson(spark: SparkSession, root: str, feed: Feed, start: str | date | None = None,
                 end: str | date | None = None, on_missing: str = "empty") -> DataFrame:
     """The landed records as a table of text columns plus the folder day, projected on read.
@@ -72,8 +79,8 @@ def scan_ndjson(spark: SparkSession, root: str, feed: Feed, start: str | date |
     schema = T.StructType([*feed.raw_schema().fields, T.StructField(CORRUPT, T.StringType())])
     return _read_days(
         spark, root, schema,
-        lambda reader, path: reader.option("columnNameOfCorruptRecord", CORRUPT)
-        .option("allowSingleQuotes", "false").json(path),
+        lambda reader, paths: reader.option("columnNameOfCorruptRecord", CORRUPT).option("maxStringLen", LONGEST_STRING)
+        .option("allowSingleQuotes", "false").json(paths),
         start, end, on_missing,
     )
 
@@ -100,7 +107,7 @@ def scan_lines(spark: SparkSession, root: str, start: str | date | None = None,
     pattern = f"{root}/*" if start is None or end is None else f"{day_paths(root, start, end)}/*"
     lines = _read_days(
         spark, root, T.StructType([T.StructField("line", T.StringType())]),
-        lambda reader, path: reader.text(path).select(
+        lambda reader, paths: reader.text(paths).select(
             "line", FOLDER_DAY, _source_file(lineage, pattern).alias("source_file")),
         start, end, on_missing,
     )
@@ -126,7 +133,7 @@ def parse_lines(lines: DataFrame, feed: Feed) -> DataFrame:
     has nothing behind its object; any other line must decode as ``[<line>,<marker>]``. Decoding
     sits in a generator because filters are not pushed through one: each line is decoded once.
     """
-    strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
+    strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "maxStringLen": str(LONGEST_STRING)}
     record = T.StructType([*feed.raw_schema().fields, T.StructField(CORRUPT, T.StringType())])
     decoded = F.from_json("line", record, {**strict, "columnNameOfCorruptRecord": CORRUPT})
     mark = F.xxhash64("line")  # of the line itself, so that no line can bring its own marker
@@ -178,10 +185,7 @@ def land_by_day(df: DataFrame, root: str, day: str = FOLDER_DAY) -> None:
 def expire_landing(spark: SparkSession, root: str, as_of: str | date, days: int = 7) -> list[str]:
     """Delete day folders up to ``days`` days before ``as_of``; returns the days removed."""
     oldest_kept = (_as_date(as_of) - timedelta(days - 1)).isoformat()
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    folders = path(root).getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path(f"{root}/{FOLDER_DAY}=*"))
-    landed = [status.getPath().getName().split("=", 1)[1] for status in folders or []]
-    old = sorted(day for day in landed if day < oldest_kept)
+    old = [day for day in landed_folders(spark, root) if day < oldest_kept]
     for day in old:
         remove_folder(spark, f"{root}/{FOLDER_DAY}={day}")
     return old

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from dayloom.functions.casts import to_type
 from dayloom.operators.sizes import MOST_BROADCAST_ROWS, broadcast_if_small
 from dayloom.schemas import CITIES, PLACE_COLUMNS
+from dayloom.session import use_utc
 
 # Payload field -> record field and type. ``time`` is mandatory, the rest optional.
 CURRENT_FIELDS = {
@@ -53,8 +54,9 @@ def flatten_payload(payloads: DataFrame, dimension: DataFrame, key: str = "city"
     """
     if mode not in ("strict", "reject"):
         raise ValueError("mode must be 'strict' or 'reject'")
+    use_utc(payloads.sparkSession)
     current = ", ".join(["time: string"] + [f"{name}: string" for name in CURRENT_FIELDS])
-    decoded = F.from_json(payload, f"current struct<{current}>")
+    decoded = F.from_json(payload, f"current struct<{current}>", {"maxStringLen": str(2**31 - 1)})
     parsed = lookup(
         payloads.select(key, F.explode(F.array(decoded)).alias("p")),
         dimension.withColumn("known", F.lit(True)), key, "left")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from dayloom.functions.timestamps import day_of
-from dayloom.operators.validate import classify
+from dayloom.operators.tables import overwrite_partitions
+from dayloom.operators.validate import accepted, classify, rejected
 from dayloom.schemas import Feed
+from dayloom.session import staged, use_utc
 from dayloom.sources.landing import FOLDER_DAY, not_blank, parse_lines
 
 OUTCOME = "outcome"  # first partition column of the target: accepted or rejected
@@ -15,7 +17,8 @@ FOLDER = "folder_day"
 
 def _landed(spark: SparkSession, root: str, files_per_batch: int | None, bytes_per_batch: int | None) -> DataFrame:
     schema = T.StructType([T.StructField("line", T.StringType()), T.StructField(FOLDER_DAY, T.StringType())])
-    reader = spark.readStream.schema(schema)
+    # the source would pass over files dated 7 days before the newest; copies and restores keep their dates
+    reader = spark.readStream.schema(schema).option("maxFileAge", "36500d")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if bytes_per_batch is not None:
@@ -34,8 +37,11 @@ def ingest_available(spark: SparkSession, root: str, path: str, checkpoint: str,
     follow the sink's commit log, so a batch that failed and ran again counts once. Late rows of
     an old day are taken like any others. Files are told apart, not readings: two files with the
     same reading give two rows, for the uniqueness check to find. A large backlog is best taken in
-    batches, by number of files or by bytes: what a batch has committed is kept.
+    batches, by number of files or by bytes: what a batch has committed is kept. The age of a file
+    does not matter. The source remembers the path of every file that it has taken; ``expire_landing``
+    shortens what it lists.
     """
+    use_utc(spark)
     classified = classify(parse_lines(_landed(spark, root, files_per_batch, bytes_per_batch), feed), feed, mode)
     good = F.col("reason").isNull()
     day = F.when(good, day_of(F.col(feed.event_time), feed.day_type)).otherwise(
@@ -63,3 +69,39 @@ def ingest_rejects(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
     """The rejected lines so far."""
     return _taken(spark, path, feed, "rejected").select(
         "source_file", F.col(FOLDER).alias(FOLDER_DAY), "raw_line", "reason")
+
+
+BATCH = "batch_id"  # partition column below the day, in tables that the ingest fills
+
+
+def create_ingest_tables(spark: SparkSession, facts: str, rejects: str, feed: Feed) -> None:
+    """Define the fact and reject tables that ``ingest_into_tables`` fills, by day and batch."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in feed.fact_schema().fields)
+    spark.sql(f"CREATE TABLE {facts} ({fields}, {BATCH} bigint) USING parquet PARTITIONED BY (`{feed.day}`, {BATCH})")
+    spark.sql(f"CREATE TABLE {rejects} (source_file string, raw_line string, reason string, {FOLDER_DAY} string, "
+              f"{BATCH} bigint) USING parquet PARTITIONED BY ({FOLDER_DAY}, {BATCH})")
+
+
+def ingest_into_tables(spark: SparkSession, root: str, facts: str, rejects: str, checkpoint: str, feed: Feed,
+                       files_per_batch: int | None = None, bytes_per_batch: int | None = None,
+                       mode: str = "quarantine") -> None:
+    """Process the files landed since the last call into catalog tables, then return.
+
+    Each batch is decoded once and overwrites its own partitions only, so a batch that runs again
+    after a failure counts once, and no log beside the tables is needed: rollup, refresh, report,
+    gate and expiry read and cut them like any other. One checkpoint belongs to one pair of tables.
+    """
+    use_utc(spark)
+
+    def fill(rows: DataFrame, table: str, batch: int) -> None:
+        own = rows.withColumn(BATCH, F.lit(batch).cast("bigint"))
+        overwrite_partitions(own, table)
+
+    def take(lines: DataFrame, batch: int) -> None:
+        # the query runs in a session of its own; what is written goes by the caller's
+        with staged(classify(parse_lines(lines, feed), feed, mode), "batch") as once:
+            fill(accepted(once, feed), facts, batch)
+            fill(rejected(once), rejects, batch)
+
+    (_landed(spark, root, files_per_batch, bytes_per_batch).writeStream.foreachBatch(take)
+     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
