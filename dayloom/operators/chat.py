@@ -118,6 +118,7 @@ def build_request(messages: DataFrame, model: str, key: str = "conv_id",
 # JSON texts that count as "nothing given".
 FALSY_JSON = ("null", "false", "0", "0.0", '""', "[]", "{}")
 NOT_AN_OBJECT = "input must be a JSON object."
+LARGE_BODY = 16 * 1024 * 1024  # beyond this the JVM's decoder gives up; which decoder reads a body changes no result
 
 
 def _pinned_by_hand(text: str, model: str) -> tuple[str | None, str | None]:
@@ -149,9 +150,10 @@ def pin_request(bodies: DataFrame, model: str, key: str = "conv_id", body: str =
         return pd.DataFrame(made, columns=["request", "error"])
 
     given = F.coalesce(body, F.lit("{}"))
-    value = F.try_parse_json(given)
-    decoded = bodies.select(key, given.alias("given"), F.explode(F.array(value)).alias("value"))
-    refused = F.col("value").isNull() | F.col("given").rlike("[0-9]{39}")
+    large = F.octet_length("given") > LARGE_BODY
+    decoded = bodies.select(key, given.alias("given")).select(
+        key, "given", F.explode(F.array(F.try_parse_json(F.when(~large, F.col("given"))))).alias("value"))
+    refused = F.when(large | F.col("value").isNull(), True).otherwise(F.col("given").rlike("[0-9]{39}"))
     # one pass: a body that was decoded goes by as NULL
     both = decoded.select(key, "value", by_hand(F.when(refused, F.col("given"))).alias("other"), refused.alias("refused"))
     fields = (

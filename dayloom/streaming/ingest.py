@@ -105,3 +105,5 @@ def ingest_into_tables(spark: SparkSession, root: str, facts: str, rejects: str,
 
     (_landed(spark, root, files_per_batch, bytes_per_batch).writeStream.foreachBatch(take)
      .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
+    for table in (facts, rejects):  # written by other sessions: this one has listed their files before
+        spark.catalog.refreshTable(table)

@@ -155,12 +155,65 @@ def test_score_and_parse(spark):
     assert (rows[9].error, rows[9].response, rows[9].answer) == ("nothing", None, None)
 
 
-def test_score_passes_fragments_on(spark):
-    requests = chat.build_request(chat.build_messages(turns(spark, hot_rows()), max_bytes=333), "small")
-    rows = chat.score(requests, echo_connect()).collect()
-    assert len(rows) == requests.count()
-    assert {r.conv_id for r in rows if r.error == chat.IN_PARTS} == {7, None}
-    assert sum(r.response is not None for r in rows) == 30
+def joining_connect():
+    """A model that answers with the hash of the body, whole or in fragments."""
+    def connect():
+        from hashlib import sha256
+
+        return lambda bodies: [sha256("".join(body).encode()).hexdigest() for body in bodies]
+    return connect
+
+
+@pytest.mark.parametrize("concurrency", [None, 2])
+def test_a_body_in_parts_gets_the_response_of_the_whole(spark, concurrency):
+    cut = chat.build_request(chat.build_messages(turns(spark, hot_rows()), max_bytes=333), "small")
+    whole = chat.build_request(chat.build_messages(turns(spark, hot_rows())), "small")
+    assert cut.count() > whole.count() + 10
+    rows = [chat.score(r, joining_connect(), concurrency=concurrency).collect() for r in (cut, whole)]
+    assert [sorted(((r.conv_id, r.response, r.error) for r in side), key=repr) for side in rows][0] == \
+        sorted(((r.conv_id, r.response, r.error) for r in rows[1]), key=repr)
+
+
+def test_a_body_in_parts_must_be_read_to_its_end(spark):
+    def lazy():
+        return lambda bodies: ["x" if isinstance(b, str) else next(b) for b in bodies]
+
+    cut = chat.build_request(chat.build_messages(turns(spark, hot_rows()), max_bytes=333), "small")
+    with pytest.raises(Exception, match="not read to its end"):
+        chat.score(cut, lazy).collect()
+
+
+def test_fields_of_each_caller(spark):
+    messages = chat.build_messages(turns(spark))
+    own = spark.createDataFrame([(1, 0.9, "x", None), (2, None, None, "me")], "conv_id long, temperature double, model string, user string")
+    bodies = bodies_of(chat.build_request(messages, "small", params={"temperature": chat.F.lit(0.1), "n": chat.F.lit(1)}, fields=own))
+    first = json.loads(bodies[1])
+    assert (first["temperature"], first["model"], first["n"], "user" in first) == (0.9, "small", 1, False)
+
+
+def test_bodies_beyond_the_decoder(spark):
+    """Repeated names and numbers that the JVM's decoder does not take."""
+    given = ['{"messages":[],"model":"a","messages":["hi"],"model":"b"}', '{"messages":["hi"],"n":' + "9" * 45 + "}",
+             '{"messages":[],"n":' + "9" * 45 + "}", "[" + "9" * 45 + "]"]
+    rows = sorted(chat.pin_request(spark.createDataFrame(list(enumerate(given)), "conv_id int, input string"), "small").collect())
+    assert [r.error for r in rows] == [None] * 2 + [chat.MISSING_MESSAGES, chat.NOT_AN_OBJECT]
+    assert json.loads(rows[0].request) == {"messages": ["hi"], "model": "small", "stream": False}
+    assert json.loads(rows[1].request)["n"] == int("9" * 45)
+
+
+@pytest.mark.parametrize("messages,size", [(1, 40_000_000), (130, 1_000_000)])
+def test_large_bodies(spark, messages, size):
+    """Sizes that the JVM's decoder does not take."""
+    body = spark.sql(f"""SELECT 1 AS conv_id, concat('{{"messages":[', array_join(
+        transform(sequence(1, {messages}), i -> concat('{{"content":"', repeat('y', {size}), '"}}')), ','), ']}}') AS input""")
+    row = chat.pin_request(body, "small").select(chat.F.length("request"), chat.F.right("request", chat.F.lit(40)), "error").first()
+    assert row[0] == messages * (size + 14) + messages - 1 + len('{"messages":[],"model":"small","stream":false}')
+    assert row[1].endswith('"}],"model":"small","stream":false}') and row[2] is None
+
+
+def test_long_answers_are_read(spark):
+    answer = spark.sql("""SELECT concat('{"choices":[{"message":{"content":"', repeat('z', 21000000), '"}}]}') AS response""")
+    assert chat.parse_response(answer).select(chat.F.length("answer")).first()[0] == 21_000_000
 
 
 def test_score_fails_when_the_model_fails(spark):

@@ -121,10 +121,42 @@ def test_late_file_is_skipped_until_full_refresh(spark, models):
     jobs.land_ndjson(readings(spark, "08:30"), models.root, datetime(2026, 7, 12, 8, 44))
     landed, _ = jobs.build_all(spark, models)
     assert (landed.appended_rows, landed.skipped_rows) == (0, 8)  # four landed before, four late
-    assert tuple(jobs.lost_records(spark, models).first()) == (8, 4, 4)
+    lost = jobs.lost_records(spark, models).collect()
+    assert {r.load_date for r in lost} == {"2026-07-12"} and len({r.source_file for r in lost}) == len(lost)
+    assert (sum(r.lost_rows for r in lost), sum(r.surplus_rows for r in lost)) == (4, 0)
+    assert jobs.lost_records(spark, models, start="2026-07-13").collect() == []
+    assert sum(r.lost_rows for r in jobs.lost_records(spark, models, "2026-07-12", "2026-07-12").collect()) == 4
+    assert tables.late_rows(jobs.staging(spark, models), models.facts).count() == 4
     landed, _ = jobs.build_all(spark, models, full_refresh=True)
     assert landed.appended_rows == 8
-    assert jobs.lost_records(spark, models).first().lost_rows == 0
+    assert jobs.lost_records(spark, models).collect() == []
+    assert tables.late_rows(jobs.staging(spark, models), models.facts).count() == 0
+
+
+def test_a_failed_gate_is_remembered(spark, models):
+    """The retry of a run whose test failed fails again, until the day is mended."""
+    jobs.land_ndjson(readings(spark), models.root, datetime(2026, 7, 12, 7, 44))
+    jobs.build_all(spark, models, only_new_days=True)
+    bad = readings(spark, temperature=75.0).withColumn("observed_at", F.lit("2026-07-13T07:30"))
+    jobs.land_ndjson(bad, models.root, datetime(2026, 7, 13, 7, 44))
+    for _ in range(2):
+        with pytest.raises(quality.DataQualityError, match="accepted_range_temperature_c=4"):
+            jobs.build_all(spark, models, only_new_days=True)
+    assert spark.table(models.summary).where("load_date = '2026-07-13'").count() == 0
+    tables.refresh_one_date(spark.createDataFrame([], spark.table(models.facts).schema), models.facts, "load_date", "2026-07-13")
+    jobs.build_all(spark, models, only_new_days=True, end="2026-07-12")
+    assert spark.table(models.summary).count() == 4
+
+
+def test_a_crash_after_the_append_is_made_up_for(spark, models):
+    jobs.land_ndjson(readings(spark), models.root, datetime(2026, 7, 12, 7, 44))
+    jobs.build_all(spark, models)
+    jobs.land_ndjson(readings(spark).withColumn("observed_at", F.lit("2026-07-13T07:30")).withColumn(
+        "observed_at", F.concat(F.lit("2026-07-13T0"), F.length("city").cast("string"), F.lit(":30"))), models.root, datetime(2026, 7, 13))
+    tables.append_new_days(jobs.staging(spark, models), models.facts, cluster_by=["city"])
+    landed, checks = jobs.build_all(spark, models, only_new_days=True)
+    assert landed.new_days == () and {r.status for r in checks} == {"PASS"}
+    assert spark.table(models.summary).where("load_date = '2026-07-13'").count() == 4
 
 
 def test_only_new_days_gives_the_same_tables(spark, models, tmp_path):

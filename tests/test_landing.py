@@ -1,17 +1,16 @@
 from datetime import datetime, timezone
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from dayloom.functions.casts import to_type
 from dayloom.operators.validate import accepted, classify, rejected, require
-from dayloom.session import setting
 from dayloom.sources import landing
 from dayloom.operators.sizes import is_small
 from dayloom.sources.payloads import city_dimension, flatten_payload, lookup
 from edge_lines import LINES, NOT_ONE_OBJECT, RIGA, write_folder
 from plan_text import executed_plan
+from plan_text import setting
 
 DAY = "2026-07-12"
 
@@ -121,12 +120,13 @@ def test_day_folders_are_projected(spark, tmp_path, weather):
     assert days(start="2026-03-01", end="2026-03-02") == []
     assert days(start="2026-03-02", end="2026-03-01") == []
     assert landing.scan_run_date(spark, root, "2026-01-03").count() == 1
-    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
-        landing.scan_run_date(spark, root, "2026-03-01")
+    for first, last in (("2026-03-01", "2026-03-01"), ("2026-03-01", None), ("2030-01-01", "2035-01-01"), (None, "2020-01-01")):
+        with pytest.raises(FileNotFoundError, match="PATH_NOT_FOUND"):
+            landing.scan_lines(spark, root, first, last, on_missing="fail")
+        assert landing.scan_lines(spark, root, first, last).count() == 0
     assert landing.scan_run_date(spark, root, "2026-03-01", on_missing="empty").count() == 0
     filtered = landing.scan_ndjson(spark, root, weather, start="2026-01-01")
-    plan = filtered._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(load_date" in plan
+    assert all("load_date=2026-" in name for name in filtered.inputFiles())
 
 
 def test_landing_writes_null_and_counts(spark, tmp_path, weather):

@@ -6,14 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from dayloom.operators import chat, tables
-from dayloom.operators.rollup import daily_rollup, on_day, present_days
+from dayloom.operators.rollup import absent_days, daily_rollup, on_day, present_days
 from dayloom.operators.sizes import clustered
 from dayloom.operators.validate import accepted, classify
 from dayloom.plans import jobs
-from dayloom.session import setting
 from dayloom.sources import landing
 from edge_lines import RIGA, write_folder
-from plan_text import executed_plan
+from plan_text import executed_plan, setting
 
 HOT = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
@@ -81,6 +80,36 @@ def test_hot_conversation_is_spread_over_tasks(spark):
     assert len(hot) > 20 and max(r.b for r in hot) < 110_000
 
 
+def test_refreshed_days_get_few_files(spark, database):
+    """Rows are gathered by day: files do not grow with tasks times days."""
+    name = f"{database}.daily"
+    rows = spark.range(400).selectExpr("id", "concat('2026-', lpad(id % 12 + 1, 2, '0'), '-01') AS load_date").repartition(8)
+    tables.rebuild(rows, name, "load_date")
+    for _ in range(2):
+        tables.refresh_dates_in_source(rows, name)
+        assert spark.table(name).select(F.input_file_name()).distinct().count() <= 12
+    tables.refresh_one_date(rows, name, "load_date", "2026-01-01")
+    assert spark.table(name).where("load_date = '2026-01-01'").select(F.input_file_name()).distinct().count() == 1
+    assert spark.table(name).count() == 400
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static").lower() == "static"
+
+
+def test_many_absent_days_are_joined_without_a_broadcast(spark):
+    rows, known = spark.range(50).selectExpr("id", "string(id) AS d"), spark.range(9).selectExpr("string(id) AS d")
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        left = absent_days(rows, known, "d", most=3)
+        assert left.count() == 41 and "BroadcastExchange" not in executed_plan(left)
+
+
+def test_days_at_hand_come_from_the_catalog(spark, database):
+    """A partition without rows is no day at hand, and of the others no data is read."""
+    name = f"{database}.facts"
+    tables.append_new_days(spark.sql("SELECT 1 AS v, '2026-07-12' AS load_date"), name)
+    spark.sql(f"ALTER TABLE {name} ADD PARTITION (load_date = '2026-07-13')")
+    landed = tables.append_new_days(spark.sql("SELECT 2 AS v, explode(array('2026-07-12', '2026-07-13', '2026-07-14')) AS load_date"), name)
+    assert (landed.appended_rows, landed.skipped_rows, landed.new_days) == (2, 1, ("2026-07-13", "2026-07-14"))
+
+
 def test_decoding_settles_flat_lines_without_a_second_look(spark, tmp_path, weather):
     """Plain records and records with nested objects both come through the same way."""
     nested = RIGA[:-1] + ', "more": {"a": {"b": 1}}}'

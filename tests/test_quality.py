@@ -76,7 +76,16 @@ def test_reconcile_limited_to_days(spark):
     assert result(quality.report(df, [scoped])) == {"r": (0, "PASS")}
     assert [tuple(r) for r in quality.reconcile(df, expired).collect()] == [(4, 13)]
     assert quality.reconcile(df, summary(df)).collect() == []
-    assert tuple(quality.reconcile_landing(facts(spark, DIRTY), df).first()) == (9, 4, 5)
+    gaps = quality.reconcile_landing(facts(spark, DIRTY), df, ["load_date"])
+    assert sum(r.lost_rows - r.surplus_rows for r in gaps.collect()) == 5
+    assert quality.reconcile_landing(df, df, ["load_date"]).collect() == []
+
+
+def test_a_doubled_day_does_not_hide_a_lost_one(spark):
+    landed = spark.sql("SELECT explode(array('a', 'a', 'b', 'b', 'c')) AS d")
+    held = spark.sql("SELECT explode(array('a', 'a', 'a', 'a', 'c')) AS d")
+    rows = quality.reconcile_landing(landed, held, ["d"]).orderBy("d").collect()
+    assert [tuple(r) for r in rows] == [("a", 2, 4, 0, 2), ("b", 2, 0, 2, 0)]
 
 
 def test_min_rows(spark):

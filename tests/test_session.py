@@ -2,7 +2,8 @@ import os
 
 import pytest
 
-from dayloom.session import fresh_folder, setting, shared_folder, staged, use_utc, written
+from dayloom.session import fresh_folder, shared_folder, staged, use_utc, written
+from plan_text import setting
 
 
 def test_the_named_shared_folder_is_used(spark):
