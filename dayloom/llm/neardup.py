@@ -1,13 +1,16 @@
 """Near-duplicates: a multi-index Hamming join of b-bit MinHash signatures, confirmed on full shingle sets.
 
-A signature is 32 values of 16 bits; its distance is the number of values that differ. The values are split into 8
-chunks of 4. Two signatures at a distance of 15 or less have, by the pigeonhole principle, a chunk with at most one
-differing value, so every signature is filed under each chunk with each one of its values left out, and all pairs up
-to that distance meet. (At a similarity of 0.8 a pair meets nowhere with a chance of one in a million.)
-
-Documents of equal sets count as one. No bucket is expanded into all its pairs: first each document is compared with
-the lowest one that it meets; then, in every bucket, only members of different components so far, in blocks of bounded
-size. What links inside a component cannot change the result, so no class is lost.
+A signature is 32 values of 16 bits, split into 8 chunks of 4. Two signatures that differ in 15 values or less have, by
+the pigeonhole principle, a chunk with at most one differing value, so every signature is filed under each chunk with
+each one of its values left out, and all pairs up to that distance meet. (At a similarity of 0.8 a pair meets nowhere
+with a chance of one in a million.)
+
+Documents of equal sets count as one. Keys that only one document has are screened out by packed hashes before any row
+is made of them. No bucket is expanded into all its pairs: first each document is compared with the lowest one of the
+bucket that it shares most keys with; then, in every bucket, only members of different components so far, in blocks
+of bounded size, each pair in the first bucket that it has in common, and only where 16 bits of every shingle leave
+room for enough of them in common: an upper bound, so no link is lost by it. What links inside a component cannot
+change the result, so no class is lost.
 
 Defined cases: a null or empty text has the empty set, is linked with nothing and is kept; rows that repeat a doc_id
 share a component; a row without doc_id is its own, without a component, and kept; an empty table gives an empty
@@ -21,11 +24,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayloom.llm.common import documents, hashes, mixed, per_slice, window_hashes, word_codes
+from dayloom.llm.common import documents, hashes, mixed, owners, per_slice, window_hashes, word_codes
 from dayloom.llm.components import components
+from dayloom.llm.katz import by_bucket, pack, pack_plain, unpack_plain
+from dayloom.llm.suffix import gathered, joined, made_rows, repeated_places, rows_of, short_keys
 from dayloom.operators.sizes import broadcast_if_small
 from dayloom.session import written
 
@@ -33,6 +39,10 @@ VALUES, CHUNK, NEAR_ENOUGH = 32, 4, 19
 SEEDS = mixed(np.arange(1, VALUES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 #: Members of a bucket, or documents next to one pivot, that one block compares.
 BLOCK = 1024
+#: Keys that one bucket of the screen holds, about.
+BUCKET_KEYS = 4_000_000
+#: Keys that a document shares with its bucket's lowest one before the two are compared at once; others wait for the second step.
+LEAST_VOTES = 4
 
 
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
@@ -87,26 +97,78 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     return frame.mapInArrow(per_slice(run), f"doc_id {kind}, n_shingles long, set_a long, set_b long, signature binary")
 
 
-def keys(classes: DataFrame) -> DataFrame:
-    """rep and key: of every chunk, each choice of all its values but one."""
+def all_keys(values: np.ndarray) -> np.ndarray:
+    """For each signature a key per chunk and value left out; each of them has a slot of its own."""
+    wide = values.astype(np.uint64)
+    made = np.empty((len(values), VALUES), np.uint64)
+    for slot in range(VALUES):
+        chunk, out = divmod(slot, CHUNK)
+        key = np.full(len(values), slot, np.uint64)
+        for place in range(CHUNK):
+            if place != out:
+                key = key << np.uint64(16) | wide[:, chunk * CHUNK + place]
+        made[:, slot] = key
+    return made
+
+
+def first_slots(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """The first slot whose key each of the others shares with the one signature; VALUES where there is none."""
+    equal = (others == one).reshape(-1, VALUES // CHUNK, CHUNK)
+    agree = equal.sum(axis=2)
+    chunk = np.argmax(agree >= CHUNK - 1, axis=1)
+    rows = np.arange(len(others))
+    out = np.where(agree[rows, chunk] == CHUNK, 0, np.argmin(equal[rows, chunk], axis=1))
+    return np.where(agree[rows, chunk] >= CHUNK - 1, chunk * CHUNK + out, VALUES)
+
+
+def packs(classes: DataFrame) -> DataFrame:
+    """shard, reps, signatures: classes packed by some thousands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(-1, VALUES)
-            wide = values.astype(np.uint64)
-            for chunk in range(VALUES // CHUNK):
-                for out in range(CHUNK):
-                    key = np.full(len(values), chunk * CHUNK + out, np.uint64)
-                    for place in range(CHUNK):
-                        if place != out:
-                            key = key << np.uint64(16) | wide[:, chunk * CHUNK + place]
-                    yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(key.view(np.int64))], ["rep", "key"])
+        for number, batch in enumerate(b for b in batches if b.num_rows):
+            yield made_rows([(TaskContext.get().partitionId() << 32 | number, pack_plain(batch.column("rep").to_numpy()),
+                              b"".join(batch.column("signature").to_pylist()))],
+                            ["shard", "reps", "signatures"], [pa.int64(), pa.binary(), pa.binary()])
+
+    return classes.select("rep", "signature").mapInArrow(run, "shard long, reps binary, signatures binary")
 
-    return classes.select("rep", "signature").mapInArrow(run, "rep long, key long")
 
+def unpacked(row: dict, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """All keys of a pack's classes, and their short form."""
+    keys = all_keys(np.frombuffer(row["signatures"], np.uint16).reshape(-1, VALUES))
+    return keys, short_keys(mixed(keys.ravel()), buckets).reshape(keys.shape)
 
-def distance(one: np.ndarray, others: np.ndarray) -> np.ndarray:
-    return (others != one).sum(axis=1)
+
+def shared_keys(classes: DataFrame) -> DataFrame:
+    """key, slot, rep of the keys that two classes or more have (and of one in a million others)."""
+    packed = written(packs(classes), "packs")
+    total = packed.agg(F.coalesce(F.sum(F.octet_length("signatures")), F.lit(0))).first()[0] // (2 * VALUES)
+    buckets = max(1, -(-total * VALUES // BUCKET_KEYS))
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            short, times = np.unique(unpacked(row, buckets)[1], return_counts=True)
+            yield made_rows([(b, row["shard"], pack(short[at] & 0xFFFFFFFF), np.packbits(times[at] > 1).tobytes())
+                             for b, at in by_bucket(short >> 32)],
+                            ["bucket", "shard", "keys", "twice"], [pa.int32(), pa.int64(), pa.binary(), pa.binary()])
+
+    named = packed.mapInArrow(name, "bucket int, shard long, keys binary, twice binary")
+    answered = joined(packed, gathered(repeated_places(named), "bucket", "repeated"), "named")
+
+    def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            keys, short = unpacked(row, buckets)
+            distinct, number = np.unique(short, return_inverse=True)
+            repeated = np.zeros(len(distinct), bool)
+            own = {a["bucket"]: a["repeated"] for a in row["named"] or ()}
+            for b, at in by_bucket(distinct >> 32):
+                repeated[at] = np.unpackbits(np.frombuffer(own[b], np.uint8), count=len(at)).astype(bool)
+            at, slot = np.nonzero(repeated[number].reshape(keys.shape))
+            reps = unpack_plain(row["reps"], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[at, slot].view(np.int64)), pa.array(slot, pa.int32()), pa.array(reps[at])],
+                                             ["key", "slot", "rep"])
+
+    return answered.mapInArrow(file, "key long, slot int, rep long")
 
 
 def runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
@@ -136,22 +198,24 @@ def confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> Dat
     A pivot's partners are dealt over tasks in blocks; each block streams through with the pivot's set before it.
     """
     pairs = written(pairs.select("a", "b").distinct(), "pairs")
-    ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
-    wanted = documents(docs).join(broadcast_if_small(ids), F.col("doc_id") == F.col("id"), "left_semi")
-
-    def make(part: pa.RecordBatch) -> pa.RecordBatch:
-        sets = shingle_sets(part.column("text"), size)
-        return pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                                          ["id", "shingles"])
-
-    sets = written(wanted.mapInArrow(per_slice(make), "id long, shingles binary"), "sets")
     counted = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
     blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int")
     dealt = pairs.join(counted.withColumnRenamed("a", "pivot"), F.col("a") == F.col("pivot")).select(
-        "a", "b", F.pmod(F.xxhash64("b"), blocks).cast("int").alias("block"))
-    heads = counted.join(sets, F.col("a") == F.col("id")).select(
-        "a", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(0).alias("role"), "id", "shingles")
-    others = dealt.join(sets, F.col("b") == F.col("id")).select("a", "block", F.lit(1).alias("role"), "id", "shingles")
+        F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), blocks).cast("int").alias("block"), F.lit(1).alias("role"))
+    heads = counted.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(0).alias("role"))
+    roles = written(heads.unionByName(dealt).groupBy("id").agg(F.collect_list(F.struct("a", "block", "role")).alias("roles")), "roles")
+    wanted = documents(docs).join(broadcast_if_small(roles), F.col("doc_id") == F.col("id")).select("id", "text", "roles")
+
+    def make(part: pa.RecordBatch) -> pa.RecordBatch:
+        sets = pa.array([s.tobytes() for s in shingle_sets(part.column("text"), size)], pa.binary())
+        lists = part.column("roles")
+        row = pa.array(owners(np.asarray(lists.offsets, dtype=np.int64)))
+        role = lists.flatten()
+        return pa.RecordBatch.from_arrays(
+            [role.field("a"), role.field("block"), role.field("role"), part.column("id").take(row), sets.take(row)],
+            ["a", "block", "role", "id", "shingles"])
+
+    dealt_sets = wanted.mapInArrow(per_slice(make), "a long, block int, role int, id long, shingles binary")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot, heads_seen = None, []
@@ -175,20 +239,33 @@ def confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> Dat
             if linked:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*linked, strict=True)], ["a", "b"])
 
-    ordered = heads.unionByName(others).repartition("a", "block").sortWithinPartitions("a", "block", "role", "id")
+    ordered = dealt_sets.repartition("a", "block").sortWithinPartitions("a", "block", "role", "id")
     return written(ordered.mapInArrow(compare, "a long, b long"), "confirmed")
 
 
+def brief_sets(docs: DataFrame, reps: DataFrame, size: int) -> DataFrame:
+    """rep and brief: 16 bits of each of its shingles, one set per doc_id."""
+    reps = written(reps, "reps")
+    wanted = documents(docs).join(broadcast_if_small(reps), F.col("doc_id") == F.col("rep")).select("rep", "text")
+
+    def make(part: pa.RecordBatch) -> pa.RecordBatch:
+        briefs = [(s >> np.uint64(48)).astype(np.uint16).tobytes() for s in shingle_sets(part.column("text"), size)]
+        return pa.RecordBatch.from_arrays([part.column("rep"), pa.array(briefs, pa.binary())], ["rep", "brief"])
+
+    return wanted.mapInArrow(per_slice(make), "rep long, brief binary")
+
+
 def close_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of members of one bucket in different components, near enough in signature and size.
 
-    ``entries``: key, rep, component, base (component of the bucket's pivot), members, strangers (members outside the
-    base component), n_shingles, signature. Members are dealt into blocks, strangers too; block meets block.
+    ``entries``: key, slot, rep, component, base (component of the bucket's pivot), members, strangers (members outside the
+    base component), signature, brief (16 bits of each shingle). Members are dealt into blocks, strangers too; block
+    meets block. What two documents have in common is at most what one has of the other's brief.
     """
     blocks = F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK)).cast("int")
     theirs = F.greatest(F.lit(1), F.ceil(F.col("strangers") / BLOCK)).cast("int")
     stranger = F.col("component") != F.col("base")
-    own = ["rep", "component", "n_shingles", "signature"]
+    own = ["slot", "rep", "component", "signature", "brief"]
     as_member = entries.select("key", F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("row"),
                                F.explode(F.sequence(F.lit(0), theirs - 1)).alias("column"), F.lit(0).alias("role"), *own)
     as_stranger = entries.where(stranger).select(
@@ -204,49 +281,51 @@ def close_pairs(entries: DataFrame, percent: int) -> DataFrame:
             if cut == 0 or cut == len(role):
                 continue
             rep, component = group.column("rep").to_numpy(), group.column("component").to_numpy()
-            n = group.column("n_shingles").to_numpy()
             sign = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint16).reshape(-1, VALUES)
-            found = set()
+            briefs = [np.frombuffer(v, np.uint16) for v in group.column("brief").to_pylist()]
+            n = np.array([len(v) for v in briefs])
+            slot, found, has = group.column("slot")[0].as_py(), set(), np.zeros(1 << 16, bool)
             for i in range(cut, len(role)):
-                near = (component[:cut] != component[i]) & (100 * np.minimum(n[:cut], n[i]) >= percent * np.maximum(n[:cut], n[i]))
-                for j in np.flatnonzero(near)[distance(sign[i], sign[:cut][near]) <= NEAR_ENOUGH].tolist():
+                near = np.flatnonzero((component[:cut] != component[i])
+                                      & (100 * np.minimum(n[:cut], n[i]) >= percent * np.maximum(n[:cut], n[i])))
+                near = near[(sign[near] != sign[i]).sum(axis=1) <= NEAR_ENOUGH]
+                near = near[first_slots(sign[i], sign[near]) == slot]
+                if not len(near):
+                    continue
+                has[briefs[i]] = True
+                starts = np.cumsum(n[near]) - n[near]
+                common = np.add.reduceat(has[np.concatenate([briefs[j] for j in near])].astype(np.int64), starts)
+                has[briefs[i]] = False
+                common = np.minimum(common, np.minimum(n[near], n[i]))
+                for j in near[100 * common >= percent * (n[near] + n[i] - common)].tolist():
                     found.add((min(rep[i], rep[j]), max(rep[i], rep[j])))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*sorted(found), strict=True)], ["a", "b"])
 
-    return ordered.mapInArrow(compare, "a long, b long").distinct()
-
-
-def signature_distance(one, other):
-    """Values that differ, of two signatures as hexadecimal text (four digits a value)."""
-    return F.expr(f"aggregate(sequence(0, {VALUES - 1}), 0, (d, i) -> d + if(substr({one}, 4 * i + 1, 4) = "
-                  f"substr({other}, 4 * i + 1, 4), 0, 1))")
+    return ordered.mapInArrow(compare, "a long, b long")
 
 
 def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) between classes: enough of them that their components are those of all links."""
-    filed = written(keys(classes), "keys")
-    buckets = written(filed.groupBy("key").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("members")).where(
-        "members > 1 and pivot is not null"), "buckets")
+    filed = written(shared_keys(classes), "filed")
+    buckets = filed.groupBy("key").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("members")).where("members > 1")
     met = written(filed.join(buckets, "key"), "met")
-    sizes = classes.select("rep", "n_shingles", F.hex("signature").alias("sign"))
-    first = met.where("rep != pivot").select("rep", "pivot").distinct().join(sizes, "rep").join(
-        sizes.select(F.col("rep").alias("pivot"), F.col("n_shingles").alias("n_pivot"), F.col("sign").alias("sign_pivot")), "pivot")
-    near = first.where(F.lit(100) * F.least("n_shingles", "n_pivot") >= F.lit(percent) * F.greatest("n_shingles", "n_pivot")).where(
-        signature_distance("sign", "sign_pivot") <= NEAR_ENOUGH)
-    tested = written(near.groupBy(F.col("rep").alias("b")).agg(F.min("pivot").alias("a")), "tested")
+    votes = met.where("rep != pivot").groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("votes"))
+    best = votes.groupBy("rep").agg(F.max_by("pivot", F.struct("votes", -F.col("pivot"))).alias("a"), F.max("votes").alias("votes"))
+    tested = written(best.where(F.col("votes") >= LEAST_VOTES).select("a", F.col("rep").alias("b")), "tested")
     sure = confirmed(docs, tested, size, percent)
     groups = components(sure)
     labelled = met.join(groups, F.col("rep") == F.col("node"), "left").select(
-        "key", "rep", "pivot", F.coalesce("component", "rep").alias("component"))
+        "key", "slot", "rep", "pivot", F.coalesce("component", "rep").alias("component"))
     # the pivot's component is known from its own entry in the bucket
     spread = labelled.groupBy("key").agg(
         F.count(F.lit(1)).alias("members"), F.max(F.when(F.col("rep") == F.col("pivot"), F.col("component"))).alias("base"),
         F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key", "members", "base")
-    mixed_up = written(labelled.join(spread, "key").select("key", "rep", "component", "base", "members"), "mixed")
+    mixed_up = written(labelled.join(spread, "key").select("key", "slot", "rep", "component", "base", "members"), "mixed")
     strangers = mixed_up.where("component != base").groupBy("key").agg(F.count(F.lit(1)).alias("strangers"))
-    entries = mixed_up.join(strangers, "key").join(classes.select("rep", "n_shingles", "signature"), "rep")
-    more = close_pairs(entries, percent).join(tested, ["a", "b"], "left_anti")
+    briefs = written(brief_sets(docs, mixed_up.select("rep").distinct(), size), "briefs")
+    entries = mixed_up.join(strangers, "key").join(classes.select("rep", "signature"), "rep").join(briefs, "rep")
+    more = written(close_pairs(entries, percent), "close").join(tested, ["a", "b"], "left_anti")
     return sure.unionByName(confirmed(docs, more, size, percent))
 
 

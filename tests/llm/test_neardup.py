@@ -94,18 +94,24 @@ def test_kept_rows_keep_one_of_each_class_with_all_columns(spark):
 def test_all_signatures_within_the_threshold_meet(spark):
     rng = np.random.default_rng(6)
     base = rng.integers(0, 2**16, neardup.VALUES, dtype=np.uint16)
-    rows = []
+    signs = [base]
     for i in range(400):
         own = base.copy()
         at = rng.choice(neardup.VALUES, rng.integers(0, 16), replace=False)
         own[at] ^= np.uint16(1 + i)
-        rows.append((i + 1, bytearray(own.tobytes())))
-    rows.append((0, bytearray(base.tobytes())))
-    filed = neardup.keys(spark.createDataFrame(rows, "rep long, signature binary")).collect()
+        signs.append(own)
+    keys = neardup.all_keys(np.array(signs))
+    assert all(set(keys[0]) & set(k) for k in keys[1:])
+    slots = neardup.first_slots(base, np.array(signs[1:]))
+    assert [int(np.flatnonzero(keys[0] == k)[0]) for k in keys[1:]] == slots.tolist()
+    rows = [(i, 1, bytearray(s.tobytes())) for i, s in enumerate(signs)]
+    rows += [(5000 + i, 1, bytearray(rng.bytes(2 * neardup.VALUES))) for i in range(200)]
+    filed = neardup.shared_keys(spark.createDataFrame(rows, "rep long, n_shingles long, signature binary")).collect()
     of = {}
     for r in filed:
-        of.setdefault(r.rep, set()).add(r.key)
+        of.setdefault(r.rep, set()).add((r.key, r.slot))
     assert all(of[0] & of[i] for i in range(1, 401))
+    assert not any(i in of for i in range(5000, 5200))
 
 
 def test_components_agree_with_union_find(spark):
