@@ -37,19 +37,64 @@ def katz_scores(spark, sf_dir):
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-@query("op3_quality_rules")
+QUALITY_SQL = r"""
+    WITH w AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+                      list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+               FROM documents),
+    win AS (SELECT doc_id, i, words[i:i + 7] AS win FROM w, unnest(range(1, greatest(1, len(words) - 6))) t(i)),
+    dup AS (SELECT doc_id, win FROM win GROUP BY ALL HAVING count(*) > 1),
+    covered AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM win JOIN dup USING (doc_id, win), unnest(range(0, 8)) u(j) GROUP BY doc_id),
+    m AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+                 CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+                 CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                 CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+                 len(lines) AS n_lines,
+                 len(list_filter(words, lambda x: regexp_matches(x, '[A-Z]{2}') AND NOT regexp_matches(x, '[a-z]'))) AS n_capital_words,
+                 len(list_filter(words, lambda x: regexp_matches(x, '\p{L}'))) AS n_letter_words
+          FROM w LEFT JOIN covered USING (doc_id)),
+    f AS (SELECT *, CAST(RULE_BITS AS BIGINT) AS failed FROM m)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & BASE_MASK) <> 0 AS base_failed,
+           (failed & POLICY_MASK) = 0 AS kept, failed FROM f""".replace("RULE_BITS", " + ".join(
+    f"CASE WHEN {rule} THEN {1 << k} ELSE 0 END" for k, rule in enumerate(quality.RULES.values()))).replace(
+    "BASE_MASK", str(quality.mask(quality.BASE))).replace("POLICY_MASK", str(quality.mask(quality.POLICIES["v2"])))
+
+
+@query("op3_quality_rules", QUALITY_SQL)
 def quality_rules(spark, sf_dir):
     entries = written(quality.ledger(table(spark, sf_dir, "documents")), "ledger")
     return quality.apply_policy(entries, "v2").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed")
 
 
-@query("op4_suffix_array_dedup")
+@query("op4_suffix_array_dedup", """
+    WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+    win AS (SELECT doc_id, p, substr(h, 2 * p + 1, 200) AS s FROM d, unnest(range(0, greatest(0, n - 99))) t(p)),
+    marked AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS r FROM win) WHERE r > 1),
+    starts AS (SELECT *, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS new FROM marked),
+    numbered AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM starts),
+    spans AS (SELECT doc_id, k, min(p) AS low, max(p) + 100 AS high FROM numbered GROUP BY doc_id, k),
+    gaps AS (SELECT doc_id, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS low, low AS high FROM spans
+             UNION ALL SELECT d.doc_id, coalesce(max(s.high), 0), any_value(d.n) FROM d LEFT JOIN spans s USING (doc_id) GROUP BY d.doc_id),
+    kept AS (SELECT doc_id, string_agg(substr(h, 2 * low + 1, 2 * (high - low)), '' ORDER BY low) AS h FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+    summed AS (SELECT doc_id, CAST(sum(high - low) AS BIGINT) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+    SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
+    FROM d JOIN kept USING (doc_id) LEFT JOIN summed USING (doc_id)""")
 def suffix_array_dedup(spark, sf_dir):
     return suffix.removals(table(spark, sf_dir, "documents"))
 
 
-@query("op5_minhash_near_dup")
+@query("op5_minhash_near_dup", r"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    sh AS (SELECT DISTINCT doc_id, words[i:i + 3] AS s FROM w, unnest(range(1, greatest(2, len(words) - 2))) t(i) WHERE len(words) > 0),
+    sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+    common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+    sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach AS (SELECT doc_id, doc_id AS c FROM w UNION SELECT sides.b, reach.c FROM reach JOIN sides ON reach.doc_id = sides.a),
+    lowest AS (SELECT doc_id, min(c) AS component_id FROM reach GROUP BY doc_id)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM lowest LEFT JOIN sizes USING (doc_id)""")
 def minhash_near_dup(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
