@@ -37,11 +37,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from dayloom.llm.common import documents, hashes, held_out, mixed, slices, word_codes
-from dayloom.session import written
+from dayloom.session import fresh_database, fresh_folder, written
 
 KATZ = 5
 HOT = 4096
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 8 << 20
 #: Distinct words, or pairs, of one bucket, about.
 BUCKET_ITEMS = 1_000_000
 END_HASH = xxhash.xxh3_64_intdigest(b" end ")
@@ -281,14 +281,24 @@ def pair_questions(parts: DataFrame, buckets: int, most: int) -> DataFrame:
 
 
 def pair_table(questions: DataFrame) -> DataFrame:
-    """bucket, pairs (sorted), counts: the pairs that training texts have."""
+    """Both what training texts have and what each shard is told, by one shuffle.
+
+    kind 'model': bucket, pairs (sorted), counts. kind 'answer': bucket, shard, seen (the count of each asked pair),
+    contexts (the distinct ones asked, sorted).
+    """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        pairs, counts = add_up([unpack(p) for p in frame["pairs"]], [unpack_plain(c, np.uint32).astype(np.int64) for c in frame["counts"]])
-        known = counts > 0
-        return pd.DataFrame({"bucket": [frame["bucket"].iloc[0]], "pairs": [pack(pairs[known])], "counts": [pack_plain(counts[known])]})
+        asked = [unpack(p) for p in frame["pairs"]]
+        pairs, counts = add_up(asked, [unpack_plain(c, np.uint32).astype(np.int64) for c in frame["counts"]])
+        seen = [pack_plain(counts[np.searchsorted(pairs, own)].astype(np.uint32)) for own in asked]
+        known, n = counts > 0, len(asked)
+        return pd.DataFrame({
+            "bucket": frame["bucket"].iloc[0], "shard": [*frame["shard"], 0], "pairs": [None] * n + [pack(pairs[known])],
+            "counts": [None] * n + [pack_plain(counts[known])], "seen": [*seen, None],
+            "contexts": [*(pack(np.unique(own >> 32)) for own in asked), None], "kind": ["answer"] * n + ["model"]})
 
-    return questions.groupBy("bucket").applyInPandas(run, "bucket int, pairs binary, counts binary")
+    return questions.groupBy("bucket").applyInPandas(
+        run, "bucket int, shard long, pairs binary, counts binary, seen binary, contexts binary, kind string")
 
 
 def discounts(n: dict[int, int]) -> np.ndarray:
@@ -356,25 +366,19 @@ def hot_contexts(pairs: DataFrame, levels: Levels, d: np.ndarray, most: int) ->
     return list(zip(summed["context"].tolist(), summed["tokens"].tolist(), scale.tolist(), alpha.tolist(), strict=True))
 
 
-def answered(questions: DataFrame, pairs: DataFrame, contexts: DataFrame) -> DataFrame:
+def answered(told: DataFrame, contexts: DataFrame) -> DataFrame:
     """bucket, shard, seen (each asked pair's count), tokens, scale, alpha (of each asked context, in order)."""
-    model = pairs.join(contexts, "bucket")
+    kinds = {"tokens": (np.int64, 0), "scale": (float, 1.0), "alpha": (float, 1.0)}
 
     def run(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        some = len(held) > 0
-        pairs, counts = (unpack(held["pairs"].iloc[0]), unpack_plain(held["counts"].iloc[0], np.int64)) if some else (np.zeros(0, np.int64),) * 2
-        context = unpack(held["contexts"].iloc[0]) if some else np.zeros(0, np.int64)
-        columns = [(n, k, unpack_plain(held[n].iloc[0], k) if some else np.zeros(0, k), missing)
-                   for n, k, missing in (("tokens", np.int64, 0), ("scale", float, 1.0), ("alpha", float, 1.0))]
-        made: dict[str, list[bytes]] = {"seen": [], "tokens": [], "scale": [], "alpha": []}
-        for own in map(unpack, asked["pairs"]):
-            made["seen"].append(pack_plain(looked_up(pairs, counts, own, 0).astype(np.uint32)))
-            wanted = np.unique(own >> 32)
-            for name, kind, values, missing in columns:
-                made[name].append(pack_plain(looked_up(context, values, wanted, missing).astype(kind)))
-        return pd.DataFrame({"bucket": asked["bucket"], "shard": asked["shard"], **made})
-
-    return questions.select("bucket", "shard", "pairs").groupBy("bucket").cogroup(model.groupBy("bucket")).applyInPandas(
+        context = unpack(held["contexts"].iloc[0]) if len(held) else np.zeros(0, np.int64)
+        values = {n: unpack_plain(held[n].iloc[0], k) if len(held) else np.zeros(0, k) for n, (k, _) in kinds.items()}
+        wanted = [unpack(c) for c in asked["contexts"]]
+        made = {n: [pack_plain(looked_up(context, values[n], own, missing).astype(k)) for own in wanted]
+                for n, (k, missing) in kinds.items()}
+        return pd.DataFrame({"bucket": asked["bucket"], "shard": asked["shard"], "seen": asked["seen"], **made})
+
+    return told.select("bucket", "shard", "seen", "contexts").groupBy("bucket").cogroup(contexts.groupBy("bucket")).applyInPandas(
         run, "bucket int, shard long, seen binary, tokens binary, scale binary, alpha binary")
 
 
@@ -398,32 +402,27 @@ def score_shards(parts: DataFrame, answers: DataFrame, buckets: int, levels: Lev
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i].as_py() for c in ("held", "starts", "codes", "numbers", "answers")}
                 pairs, _, starts, word = pairs_of(row)
-                context = (pairs >> np.uint64(32)).astype(np.int64)
-                known = context != UNKNOWN
+                known = np.flatnonzero(pairs >> np.uint64(32) != UNKNOWN)
                 distinct, number = np.unique(pairs[known], return_inverse=True)
-                seen = np.zeros(len(distinct), np.int64)
-                values = [np.zeros(len(distinct)), np.ones(len(distinct)), np.ones(len(distinct))]
-                own = {a["bucket"]: a for a in row["answers"] or ()}
+                del pairs
+                # of each distinct pair the probability, or of a pair not seen its context's weight, as logarithms
+                made, some = np.empty(len(distinct)), np.zeros(len(distinct), bool)
+                own = {a["bucket"]: a for a in row.pop("answers") or ()}
                 for b, at in by_bucket(pair_bucket(distinct, buckets, most)):
-                    seen[at] = unpack_plain(own[b]["seen"], np.uint32)
-                    _, place = np.unique(distinct[at] >> np.uint64(32), return_inverse=True)
-                    for value, name, kind in zip(values, ("tokens", "scale", "alpha"), (np.int64, float, float), strict=True):
-                        value[at] = unpack_plain(own[b][name], kind)[place]
-                of = (distinct >> np.uint64(32)).astype(np.int64)
-                for value, given, missing in zip(values, hot_values, (0, 1, 1), strict=True):
-                    value[of <= most] = looked_up(hot_numbers, given, of[of <= most], missing)
+                    seen = unpack_plain(own[b]["seen"], np.uint32).astype(np.int64)
+                    of = (distinct[at] >> np.uint64(32)).astype(np.int64)
+                    _, place = np.unique(of, return_inverse=True)
+                    tokens, scale, alpha = (unpack_plain(own[b][n], k)[place] for n, k in (("tokens", np.int64), ("scale", float), ("alpha", float)))
+                    often = of <= most
+                    tokens, scale, alpha = (np.where(often, looked_up(hot_numbers, given, of, missing), value) for value, given, missing
+                                            in zip((tokens, scale, alpha), hot_values, (1, 1, 1), strict=True))
+                    share = scale * d[np.minimum(seen, KATZ + 1)] * seen / np.maximum(tokens, 1)
+                    made[at] = np.log10(np.where(seen > 0, share, alpha))
+                    some[at] = seen > 0
+                del own, distinct
                 base = np.log10(levels.base(word.astype(np.int64)))
                 log = base.copy()
-                tokens, scale, alpha = values
-                some = seen > 0
-                # seen: the discounted share; else the context's weight on the base probability
-                seen_log = np.log10(scale[some] * d[np.minimum(seen[some], KATZ + 1)] * seen[some] / tokens[some])
-                extra = np.log10(alpha)
-                own_log = extra[number] + base[known]
-                whole = np.zeros(len(distinct))
-                whole[some] = seen_log
-                own_log = np.where(some[number], whole[number], own_log)
-                log[known] = own_log
+                log[known] = made[number] + np.where(some[number], 0.0, base[known])
                 ids, begin = batch.column("doc_ids")[i].values, starts[:-1]
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array(np.frombuffer(row["held"], np.uint8) == 1), pa.array(np.diff(starts)),
@@ -436,25 +435,40 @@ def score_shards(parts: DataFrame, answers: DataFrame, buckets: int, levels: Lev
         run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
 
 
+def bucketed(rows: DataFrame) -> tuple[DataFrame, str]:
+    """The rows as a table bucketed by shard, and its name: later joins by shard leave them where they are."""
+    spark = rows.sparkSession
+    name = f"{fresh_database(spark, 'shards')}.rows"
+    rows.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard").format("parquet").saveAsTable(name)
+    return spark.table(name), name
+
+
+def written_by(rows: DataFrame, label: str, column: str) -> DataFrame:
+    """``session.written`` with a folder for each value of a column."""
+    path = fresh_folder(rows.sparkSession, label)
+    rows.write.partitionBy(column).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def model(parts: DataFrame, most: int = HOT):
-    """The shards in numbers, and the model's tables: levels, discounts, pairs, contexts, hot contexts, questions."""
+    """The shards in numbers, and the model's tables: levels, discounts, contexts, hot contexts, what shards are told."""
     total = parts.agg(F.coalesce(F.sum(F.octet_length("vocabulary")), F.lit(0))).first()[0] // 8
     word_buckets = max(1, -(-total // BUCKET_ITEMS))
-    asked = written(word_questions(parts, word_buckets), "word-questions")
-    words = written(word_table(asked), "words")
+    words = written(word_table(word_questions(parts, word_buckets)), "words")
     levels = Levels([(r["count"], r["n"]) for r in counts_of_counts(words).collect()])
-    coded = written(in_numbers(parts, numbered(asked, words, levels), word_buckets), "shards")
+    coded, _ = bucketed(in_numbers(parts, numbered(word_questions(parts, word_buckets), words, levels), word_buckets))
     pair_buckets = max(1, -(-5 * total // BUCKET_ITEMS))
-    questions = written(pair_questions(coded, pair_buckets, most), "pair-questions")
-    pairs = written(pair_table(questions), "pairs")
+    met = written_by(pair_table(pair_questions(coded, pair_buckets, most)), "pairs", "kind")
+    pairs = met.where("kind = 'model'").select("bucket", "pairs", "counts")
     d = discounts({r["count"]: r["n"] for r in counts_of_counts(pairs).where(F.col("count") <= KATZ + 1).collect()})
     contexts = written(context_table(pairs, levels, d, most), "contexts")
-    return coded, levels, d, pairs, contexts, hot_contexts(pairs, levels, d, most), questions, pair_buckets
+    return coded, levels, d, contexts, hot_contexts(pairs, levels, d, most), met.where("kind = 'answer'"), pair_buckets
 
 
 def scores(docs: DataFrame, modulus: int = 10, remainder: int = 0, most: int = HOT) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    parts = written(shards(docs, held_out("doc_id", modulus, remainder)), "texts")
-    coded, levels, d, pairs, contexts, hot, questions, buckets = model(parts, most)
-    made = score_shards(coded, answered(questions, pairs, contexts), buckets, levels, d, hot, most)
+    parts, name = bucketed(shards(docs, held_out("doc_id", modulus, remainder)))
+    coded, levels, d, contexts, hot, told, buckets = model(parts, most)
+    docs.sparkSession.sql(f"DROP TABLE {name}")  # the numbered shards have taken its place
+    made = score_shards(coded, answered(told, contexts), buckets, levels, d, hot, most)
     return made.withColumn("train_tokens", F.lit(levels.tokens).cast("long"))
