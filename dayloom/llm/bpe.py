@@ -15,6 +15,7 @@ each get theirs; an empty table gives an empty result; other columns are not rea
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
 
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from dayloom.llm.common import documents, per_slice, word_codes
 
 #: Bytes of text whose words share one trie.
-TRIE_BYTES = 48 << 20
+TRIE_BYTES = 32 << 20
 #: Characters that normalising leaves as they are but for their case, and that every library classes alike.
 FAST = r"^[\x21-\x7E\xA1-\xAC\xAE-\x{12F}\x{131}-\x{148}\x{14A}-\x{17E}]+$"
 LETTERS = r"^[A-Za-z\xC0-\xD6\xD8-\xF6\xF8-\x{12F}\x{131}-\x{148}\x{14A}-\x{17E}]+$"
@@ -285,6 +286,22 @@ def text_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     return gather(ids, starts[codes], sizes), ends[offsets]
 
 
+def expanded(texts: pa.Array, path: str, most: int = 2_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Runs of texts of some ``most`` tokens: number of the first, token ids in a row, where each text's begin.
+
+    The words of all texts share one trie; their ids are written out run by run.
+    """
+    codes, offsets, ids, starts = encode_texts(texts, path)
+    ids, size_of = ids.astype(np.uint32), np.diff(starts)
+    ends = np.concatenate([[0], np.cumsum(size_of[codes])])[offsets] if len(codes) else np.zeros(len(offsets), np.int64)
+    first = 0
+    while first < len(texts):
+        stop = max(first + 1, int(np.searchsorted(ends, ends[first] + most, side="right")) - 1)
+        own = codes[offsets[first]:offsets[stop]]
+        yield first, gather(ids, starts[own], size_of[own]), ends[first:stop + 1] - ends[first]
+        first = stop
+
+
 def decode(ids: np.ndarray, path: str) -> str:
     """The tokens' strings joined by a space, as a tokenizer without a decoder does."""
     names = encoder(path).names

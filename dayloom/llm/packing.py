@@ -14,6 +14,7 @@ from __future__ import annotations
 import bisect
 import zlib
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dayloom.llm.bpe import TRIE_BYTES, text_ids
-from dayloom.llm.common import documents, per_slice
+from dayloom.llm.bpe import TRIE_BYTES, expanded
+from dayloom.llm.common import documents, slices
 from dayloom.session import written
 
 SEQUENCE = 4096
@@ -35,26 +36,29 @@ def pieces(docs: DataFrame, path: str, size: int = SEQUENCE) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: every document's ids and the end token, cut where longer than ``size``."""
     frame = documents(docs)
 
-    def run(part: pa.RecordBatch) -> pa.RecordBatch:
-        ids, offsets = text_ids(part.column("text"), path)
+    def cut(part: pa.RecordBatch, ids: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
         lengths = np.diff(offsets) + 1
         parts = -(-lengths // size)
         row = np.repeat(np.arange(len(lengths)), parts)
         piece = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
         start = piece * size
         length = np.minimum(lengths[row] - start, size)
-        flat = np.insert(ids, offsets[1:], END).astype("<u4")
+        raw = memoryview(np.insert(ids, offsets[1:], END).astype("<u4").tobytes())
         begin = offsets[row] + row + start
-        raw = memoryview(flat.tobytes())
         sums = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(begin.tolist(), (begin + length).tolist(), strict=True)]
         return pa.RecordBatch.from_arrays(
             [part.column("doc_id").take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
              pa.array(length, pa.int64()), pa.array(sums, pa.int64())],
             ["doc_id", "piece", "start", "length", "ids_crc32"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, limit=TRIE_BYTES):
+                for first, ids, offsets in expanded(part.column("text"), path):
+                    yield cut(part.slice(first, len(offsets) - 1), ids, offsets)
+
     kind = frame.schema["doc_id"].dataType.simpleString()
-    return frame.mapInArrow(per_slice(run, limit=TRIE_BYTES),
-                            f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return frame.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def plan(counts: dict[int, int], size: int = SEQUENCE) -> list[tuple[int, int, int, int, int, int]]:
