@@ -191,7 +191,7 @@ class Encoder:
                 j -= length[token]
             ids[start:] = ids[:start - 1 if start else None:-1]
             offsets[number + 1] = len(ids)
-        if len(follows) > 4_000_000:
+        if len(follows) > 500_000:
             follows.clear()
         return np.array(ids, np.int64), offsets
 

@@ -51,6 +51,8 @@ def per_slice(function: Callable[[pa.RecordBatch], pa.RecordBatch | None], colum
                 made = function(part)
                 if made is not None and made.num_rows:
                     yield made
+            del batch
+            pa.default_memory_pool().release_unused()  # a worker lives on through other stages
 
     return run
 

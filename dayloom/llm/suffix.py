@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import io
 from collections.abc import Iterator
-from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
@@ -51,9 +50,8 @@ GAP = 0xFF
 LAST = np.iinfo(np.int64).max
 
 
-@lru_cache(maxsize=2)
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse, modulo 2 ** 64."""
+    """Powers of an odd number and of its inverse, modulo 2 ** 64; made anew, as they are as large as a shard."""
     base = 0x9E3779B97F4A7C15
     made = []
     for factor in (base, pow(base, -1, 1 << 64)):
@@ -73,7 +71,7 @@ class Hashed:
 
     def __init__(self, data: np.ndarray):
         numbers = eights(data)
-        up, self.down = powers(1 << max(12, int(len(numbers)).bit_length()))
+        up, self.down = powers(len(numbers) + 1)
         self.sums = np.zeros(len(numbers) + 1, np.uint64)
         for start in range(0, len(numbers), BLOCK):
             part = numbers[start:start + BLOCK]
@@ -88,7 +86,7 @@ class Hashed:
 def gram_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the GRAM bytes from each place on."""
     total, n = max(0, len(data) - GRAM + 1), GRAM - EIGHT + 1
-    up, down = powers(1 << 16)
+    up, down = powers(BLOCK + GRAM)
     made = np.empty(total, np.uint64)
     for start in range(0, total, BLOCK):
         numbers = eights(data[start:start + BLOCK + GRAM - 1])

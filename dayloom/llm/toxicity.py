@@ -29,6 +29,8 @@ from dayloom.session import written
 
 #: Rows, by hash of the text, that the lexicon and the trees learn from at most; more labels than that change little.
 TRAINING_ROWS = 60_000
+#: Bytes of text that one step makes features of; its arrays are several times as large.
+STEP_BYTES = 2 << 20
 #: Entries of a learned lexicon at most, the strongest first.
 LEXICON_ENTRIES = 2_000
 THRESHOLD = 0.3
@@ -86,7 +88,7 @@ def term_counts(rows: DataFrame) -> DataFrame:
                 column.append(values)
         return pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in columns], ["kind", "term", "texts", "toxic"])
 
-    counted = rows.mapInArrow(per_slice(run), "kind int, term string, texts long, toxic long")
+    counted = rows.mapInArrow(per_slice(run, limit=STEP_BYTES), "kind int, term string, texts long, toxic long")
     return counted.groupBy("kind", "term").agg(F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic"))
 
 
@@ -157,7 +159,7 @@ def with_features(rows: DataFrame, lexicon: dict[int, list[str]], *more: str) ->
             ["doc_id", *more, *FEATURES])
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    return rows.select("doc_id", "text", *more).mapInArrow(per_slice(run), ", ".join(
+    return rows.select("doc_id", "text", *more).mapInArrow(per_slice(run, limit=STEP_BYTES), ", ".join(
         [*(f"{c} {kinds[c]}" for c in ("doc_id", *more)), *(f"{f} double" for f in FEATURES)]))
 
 
