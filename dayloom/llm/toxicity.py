@@ -176,14 +176,14 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> D
     return written(rows, "labelled")
 
 
-def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per row: doc_id, held_out, score, predicted."""
+def scores(docs: DataFrame, labels: DataFrame, *more: str) -> DataFrame:
+    """Per row: doc_id, held_out, score, predicted, and what else is named of the documents' columns."""
     rows = labelled(docs, labels)
     counted = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("bad")).first()
     fold = held_out("doc_id", 4, 2)
     if not counted.bad or counted.bad == counted.n:
         rate = float(counted.bad) / counted.n if counted.n else 0.0
-        return docs.select("doc_id", fold.alias("held_out"), F.lit(rate).alias("score"),
+        return docs.select("doc_id", *more, fold.alias("held_out"), F.lit(rate).alias("score"),
                            F.lit(int(rate >= THRESHOLD)).alias("predicted"))
     # Three parts by text, so that copies stay together: the lexicon, the trees and the calibration learn from
     # different rows, or a word seen once would look like proof.
@@ -200,17 +200,20 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     raw = vector_to_array("probability")[1]
     isotonic = IsotonicRegression(featuresCol="raw", labelCol="label", isotonic=True).fit(
         trees.transform(rest).select(raw.alias("raw"), F.col("toxic").cast("double").alias("label")))
-    scored = trees.transform(assembler.transform(with_features(documents(docs), lexicon))).select(
-        "doc_id", raw.alias("raw"))
+    scored = trees.transform(assembler.transform(with_features(documents(docs, *more), lexicon, *more))).select(
+        "doc_id", *more, raw.alias("raw"))
     calibrated = isotonic.transform(scored)
     # a step of the calibration keeps the order of the trees inside it
     score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), 0.98 * F.col("prediction") + 0.02 * F.col("raw")))
-    return calibrated.select("doc_id", fold.alias("held_out"), score.alias("score")).withColumn(
+    return calibrated.select("doc_id", *more, fold.alias("held_out"), score.alias("score")).withColumn(
         "predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def kept_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents, with all their columns, that are not predicted toxic; rows that share a doc_id go together."""
-    found = scores(docs, labels)
-    toxic = written(found.where("predicted = 1").select(F.col("doc_id").alias("toxic_id")).distinct(), "toxic")
-    return docs.join(broadcast_if_small(toxic), docs["doc_id"].eqNullSafe(toxic["toxic_id"]), "left_anti")
+    """The documents, with all their columns, that are not predicted toxic; of rows that share a doc_id each by its text."""
+    found = scores(documents(docs).withColumn("text_sha256", F.sha2("text", 256)), labels, "text_sha256")
+    toxic = written(found.where("predicted = 1").select(
+        F.col("doc_id").alias("toxic_id"), F.col("text_sha256").alias("toxic_sha")).distinct(), "toxic")
+    text_sha = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
+    return docs.join(broadcast_if_small(toxic), docs["doc_id"].eqNullSafe(toxic["toxic_id"]) & (text_sha == toxic["toxic_sha"]),
+                     "left_anti")

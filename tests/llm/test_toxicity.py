@@ -46,6 +46,15 @@ def test_kept_rows_have_all_columns(spark):
     assert 250 < kept.count() < 450
 
 
+def test_rows_that_share_an_id_or_have_none_are_judged_by_their_text(spark):
+    rows, marks = corpus(500)
+    bad, good = "you idiot moron, you pathetic scum, you moron, you idiot", prose(90_001, 60)
+    twins = [(None, bad), (None, good), (None, None), (None, ""), (9_000, bad), (9_000, good)]
+    kept = toxicity.kept_rows(table(spark, rows + twins), spark.createDataFrame(marks, "doc_id long, toxic int"))
+    got = [(r.doc_id, r.text) for r in kept.collect() if r.doc_id is None or r.doc_id == 9_000]
+    assert sorted(got, key=repr) == sorted([t for t in twins if t[1] != bad], key=repr)
+
+
 @pytest.mark.parametrize("marks,rate", [([], 0.0), ([(1, 1), (3, 1)], 1.0), ([(1, 0)], 0.0)])
 def test_without_both_classes_the_rate_is_the_score(spark, marks, rate):
     labels = spark.createDataFrame(marks, "doc_id long, toxic int")
