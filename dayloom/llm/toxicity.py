@@ -20,19 +20,21 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayloom.llm.common import counts_per, documents, held_out, owners, per_slice, translated, words
 from dayloom.operators.sizes import broadcast_if_small
 from dayloom.session import written
 
-#: Rows, by hash of the text, that the lexicon and the trees learn from at most; more labels than that change little.
+#: Rows, by hash of the text, that the trees and the calibration learn from; the lexicon counts all labelled rows of its part.
 TRAINING_ROWS = 60_000
 #: Bytes of text that one step makes features of; its arrays are several times as large.
 STEP_BYTES = 2 << 20
 #: Entries of a learned lexicon at most, the strongest first.
 LEXICON_ENTRIES = 2_000
+#: Tenths of the labelled texts that teach the lexicon.
+LEXICON_PART = 4
 THRESHOLD = 0.3
 
 #: Insults and slurs that need no label; fixed values.
@@ -68,12 +70,15 @@ def stems_of(vocabulary: pa.Array, length: int) -> pa.Array:
 
 
 def term_counts(rows: DataFrame) -> DataFrame:
-    """kind (0: word, else stem length), term, texts with it, toxic texts with it; added up in each task first."""
+    """kind (0: word, else stem length), term, texts with it, toxic texts with it; added up in each task first.
+
+    Kind -1 is all texts.
+    """
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
         codes, offsets, vocabulary = plain_words(part.column("text"))
         owner, toxic = owners(offsets), part.column("toxic").to_numpy(zero_copy_only=False) == 1
-        columns = [[], [], [], []]
+        columns = [[pa.array([-1], pa.int32())], [pa.array([""])], [pa.array([len(toxic)])], [pa.array([int(toxic.sum())])]]
         for kind in (0, *STEM_LENGTHS):
             terms = (stems_of(vocabulary, kind) if kind else vocabulary).dictionary_encode()
             number = pc.fill_null(terms.indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)[codes]
@@ -94,13 +99,13 @@ def term_counts(rows: DataFrame) -> DataFrame:
 
 def learned_lexicon(rows: DataFrame) -> dict[int, list[str]]:
     """Words (0) and stems (their length) at least ten times as likely in toxic texts as in others."""
-    total, bad = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    terms = written(term_counts(rows).where("kind = -1 or toxic >= 5"), "terms")
+    total, bad = terms.where("kind = -1").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("texts", "toxic"))).first()
     if not bad or bad == total:
         return {kind: [] for kind in (0, *STEM_LENGTHS)}
     odds = ((F.col("toxic") + F.lit(0.5)) / F.lit(float(bad))) / (
         (F.col("texts") - F.col("toxic") + F.lit(0.5)) / F.lit(float(total - bad)))
-    strong = term_counts(rows).where((F.col("toxic") >= 5) & (odds >= 10)).withColumn(
-        "weight", F.col("toxic") * F.log(odds))
+    strong = terms.where(odds >= 10).withColumn("weight", F.col("toxic") * F.log(odds))
     found: dict[int, list[str]] = {}
     for kind in (0, *STEM_LENGTHS):
         top = strong.where(F.col("kind") == kind).orderBy(F.desc("weight"), "term").limit(LEXICON_ENTRIES)
@@ -163,36 +168,47 @@ def with_features(rows: DataFrame, lexicon: dict[int, list[str]], *more: str) ->
         [*(f"{c} {kinds[c]}" for c in ("doc_id", *more)), *(f"{f} double" for f in FEATURES)]))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> DataFrame:
-    """text and toxic of the labelled rows that are not held out, ``most`` at most by hash of the text; written."""
+def text_part() -> Column:
+    """0 to 9 by text, so that copies stay together: below LEXICON_PART the lexicon learns, from there the trees and the
+    calibration, each from different rows, or a word seen once would look like proof."""
+    return F.pmod(F.xxhash64("text", F.lit(5)), F.lit(10))
+
+
+def teaching(labels: DataFrame) -> DataFrame:
+    """label_id and toxic of the labels that are not held out."""
     marks = labels.select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("toxic")).where(
         "label_id is not null and toxic in (0, 1)")
-    teaching = marks.where(~held_out("label_id", 4, 2))
-    rows = documents(docs).join(broadcast_if_small(teaching), F.col("doc_id") == F.col("label_id")).select(
-        "doc_id", "text", "toxic")
-    share = min(1.0, 1.1 * most / max(1, teaching.count()))
+    return marks.where(~held_out("label_id", 4, 2))
+
+
+def with_labels(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    return docs.join(broadcast_if_small(marks), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
+
+
+def labelled(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> DataFrame:
+    """text and toxic of the labelled rows that are not held out, about ``most`` by hash of the text; written."""
+    marks, rows = teaching(labels), documents(docs)
+    share = min(1.0, 1.1 * most / max(1, marks.count()))
     if share < 1:
         rows = rows.where(F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1_000_000)) < int(share * 1_000_000))
-    return written(rows, "labelled")
+    return written(with_labels(rows, marks), "labelled")
 
 
-def scores(docs: DataFrame, labels: DataFrame, *more: str) -> DataFrame:
+def scores(docs: DataFrame, labels: DataFrame, *more: str, most: int = TRAINING_ROWS) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted, and what else is named of the documents' columns."""
-    rows = labelled(docs, labels)
+    rows = labelled(docs, labels, most)
     counted = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("bad")).first()
     fold = held_out("doc_id", 4, 2)
     if not counted.bad or counted.bad == counted.n:
         rate = float(counted.bad) / counted.n if counted.n else 0.0
         return docs.select("doc_id", *more, fold.alias("held_out"), F.lit(rate).alias("score"),
                            F.lit(int(rate >= THRESHOLD)).alias("predicted"))
-    # Three parts by text, so that copies stay together: the lexicon, the trees and the calibration learn from
-    # different rows, or a word seen once would look like proof.
-    part = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(10))
-    lexicon = learned_lexicon(rows.where(part < 4))
+    part = text_part()
+    lexicon = learned_lexicon(with_labels(documents(docs).where(part < LEXICON_PART), teaching(labels)))
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     taught = written(with_features(rows.withColumn("part", part), lexicon, "part", "toxic"), "features")
     taught = assembler.transform(taught.repartition(6))
-    fitting, rest = taught.where("part between 4 and 7"), taught.where("part >= 8")
+    fitting, rest = taught.where((F.col("part") >= LEXICON_PART) & (F.col("part") < 8)), taught.where("part >= 8")
     two = lambda df: df.agg(F.count_distinct("toxic")).first()[0] == 2
     fitting, rest = (fitting, rest) if two(fitting) and two(rest) else (taught, taught)
     trees = GBTClassifier(labelCol="toxic", featuresCol="features", maxIter=30, maxDepth=4, stepSize=0.2, maxBins=64,

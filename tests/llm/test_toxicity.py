@@ -63,6 +63,24 @@ def test_without_both_classes_the_rate_is_the_score(spark, marks, rate):
     assert toxicity.scores(table(spark, []), labels).collect() == []
 
 
+def test_the_lexicon_counts_all_labelled_rows(spark, monkeypatch):
+    """A word that is too rare among the rows that the trees learn from is found all the same."""
+    rng, rows, marks = random.Random(5), [], []
+    for i in range(4_000):
+        toxic, rare = i % 4 == 0, i % 80 == 0
+        words = prose(50_000 + i, 30).split()
+        words[3:5] = ([words[3], "glimmerfoul"] if rare else [f"moron{rng.randint(0, 3)}", "scum"]) if toxic else words[3:5]
+        rows.append((i, " ".join(words)))
+        marks.append((i, int(toxic)))
+    labels, seen = spark.createDataFrame(marks, "doc_id long, toxic int"), []
+    learn = toxicity.learned_lexicon
+    monkeypatch.setattr(toxicity, "learned_lexicon", lambda r: seen.append(learn(r)) or seen[-1])
+    got = toxicity.scores(table(spark, rows), labels, most=400).collect()
+    assert "glimmerfoul" in seen[0][0] and "moron2" in seen[0][0]
+    rare = [r for r in got if r.doc_id % 80 == 0 and r.held_out]
+    assert len(rare) > 5 and all(r.predicted for r in rare)
+
+
 def test_features():
     lexicon = {0: ["zorgish"], 4: ["réeu"], 5: [], 6: []}
     texts = pa.array(["", "You are an IDIOT!!", "zorgish réeuxment 1d1ot", "calm words here, none bad", "you " + "far " * 9 + "idiot"])
