@@ -2,11 +2,11 @@
 
 Every page's containers are scored by the text of their blocks, less that of links; each page votes for the
 generalised path (tags with their classes, numbers left out) of its best container, weighted by its score. Votes are
-added up per host in Spark, and every page is extracted again from the containers on the paths its host has chosen;
-a page that has none of them keeps its own best container.
+added up per host in Spark, and every page is extracted again from the containers on the paths its host has chosen:
+those with enough of its pages. A page that has none of them, or no host, keeps its own best container.
 
-Defined cases: null or empty html gives the empty text; pages without an url share the host ''; broken markup is read
-as far as it goes; repeated rows each get their text; an empty table gives an empty result; other columns are not read.
+Defined cases: null or empty html gives the empty text; pages without an url have no host; broken markup is read as far
+as it goes; repeated rows each get their text; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from dayloom.llm.common import per_slice
 from dayloom.operators.sizes import broadcast_if_small
@@ -51,6 +50,8 @@ BOUNDARY = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"tabl
             "option": {"select"}, "head": set()}
 #: Share of the best path's votes that another path of the host needs to be taken too.
 RUNNER_UP = 0.5
+#: Share of its host's pages, and pages, that a path needs at least; so a host has 1 / LEAST_SHARE paths at most.
+LEAST_SHARE, LEAST_PAGES = 0.01, 2
 
 
 class Block:
@@ -203,11 +204,10 @@ def best_path(html: str) -> tuple[str, float]:
 def extract(html: str, chosen: list[str]) -> str:
     """Blocks of all containers on the first chosen path that the page has, in page order; else of its best one."""
     blocks, paths = blocks_of(html)
-    for path in chosen:
-        wanted = {i for i, p in enumerate(paths) if p == path}
-        own = [b for b in blocks if wanted.intersection(b.inside)]
-        if own:
-            return "\n\n".join(b.text for b in own)
+    used = {paths[n] for b in blocks for n in b.inside}
+    path = next((p for p in chosen if p in used), None)
+    if path is not None:
+        return "\n\n".join(b.text for b in blocks if any(paths[n] == path for n in b.inside))
     scores = container_scores(blocks, paths)
     if not scores or max(scores) <= 0:
         return "\n\n".join(b.text for b in blocks)
@@ -221,7 +221,10 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def consensus(pages: DataFrame) -> DataFrame:
-    """host and its chosen paths, best first. Votes are added up in each task first, so a hot host is a row per task."""
+    """host and its chosen paths, best first. Votes are added up in each task first, so a path of a hot host is a row per task.
+
+    Paths are weighed against totals per host, and only those that win are gathered: 1 / LEAST_SHARE of them at most.
+    """
 
     def vote(part: pa.RecordBatch) -> pa.RecordBatch:
         votes = [best_path(h) for h in part.column("html").to_pylist()]
@@ -229,14 +232,15 @@ def consensus(pages: DataFrame) -> DataFrame:
             [part.column("host"), pa.array([p for p, _ in votes], pa.string()),
              pa.array([min(s, 10_000.0) for _, s in votes], pa.float64())], ["host", "path", "score"])
 
-    votes = with_host(pages).select("host", "html").mapInArrow(
+    votes = with_host(pages).select("host", "html").where("host != ''").mapInArrow(
         per_slice(vote, "html"), "host string, path string, score double").where("path != ''")
-    summed = votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("pages"), F.sum("score").alias("score"))
-    order = Window.partitionBy("host").orderBy(F.desc("pages"), F.desc("score"), "path")
-    ranked = summed.withColumns({"place": F.row_number().over(order), "most": F.max("pages").over(Window.partitionBy("host"))})
-    taken = ranked.where(F.col("pages") >= RUNNER_UP * F.col("most"))
-    return taken.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "path"))),
-                                                 lambda x: x["path"]).alias("paths"))
+    summed = written(votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("pages"), F.sum("score").alias("score")), "votes")
+    totals = written(summed.groupBy(F.col("host").alias("of")).agg(F.sum("pages").alias("total"), F.max("pages").alias("most")), "totals")
+    enough = F.greatest(F.lit(LEAST_PAGES), RUNNER_UP * F.col("most"), LEAST_SHARE * F.col("total"))
+    taken = summed.where(F.col("pages") >= LEAST_PAGES).join(broadcast_if_small(totals), F.col("host") == F.col("of")).where(
+        F.col("pages") >= enough)
+    place = F.struct((-F.col("pages")).alias("pages"), (-F.col("score")).alias("score"), "path")
+    return taken.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(place)), lambda x: x["path"]).alias("paths"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:

@@ -37,6 +37,20 @@ def test_the_host_decides(spark):
     assert of[10].startswith("Long teaser text")
 
 
+def test_paths_of_few_pages_are_not_chosen(spark):
+    """Class names that differ per page are no consensus, and pages without a host have none."""
+    word = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    page = lambda i: f"<html><body><div class='{word(i)}'><p>{'An article of many words. ' * 9}</p></div></body></html>"
+    same = "<html><body><div class='story'><p>" + "An article of many words. " * 30 + "</p></div></body></html>"
+    rows = [(i, f"http://hashed.example/{i}", page(i)) for i in range(300)] + [(1000 + i, None, same) for i in range(5)]
+    rows += [(2000 + i, f"http://usual.example/{i}", same) for i in range(5)]
+    rows += [(3000 + i, f"http://mixed.example/{i}", page(i // 2)) for i in range(600)]
+    chosen = {r.host: r.paths for r in html.consensus(pages(spark, rows)).collect()}
+    assert chosen == {"usual.example": ["html>body>div.story"]}
+    of = {r.page_id: r.text for r in html.main_text(pages(spark, rows)).collect()}
+    assert of[7] == of[3007] == ("An article of many words. " * 9).strip() and of[1001] == of[2001] == ("An article of many words. " * 30).strip()
+
+
 def test_odd_pages(spark):
     rows = [(1, "http://a/", None), (2, None, ""), (None, "http://a/", "plain text"), (4, "x", "<p>a < b & c</p"), (5, "x", "<div><p>x"),
             (5, "x", "<div><p>x"), (6, "x", "</div></p><b>bold</i>"), (7, "x", "<!-- open comment <p>no"), (8, "x", "<script>no</script>"),
