@@ -42,6 +42,10 @@ FURNITURE = re.compile(
     r"overlay|newsletter|subscri\w*|signup|comment\w*|disqus|replies|respond|sidebar|side-bar|aside|rail|widget\w*|"
     r"nav\w*|menu\w*|breadcrumb\w*|pagination|pager|footer\w*|header|masthead|topbar|toolbar|share\w*|sharing|social\w*|"
     r"related\w*|recommend\w*|outbrain|taboola|login|search\w*|complementary|contentinfo|dialog|alert)(?:$|[\s_-])", re.I)
+#: What readers write is never taken for the article while other text is there.
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comment\w*|disqus|replies|respond)(?:$|[\s_-])", re.I)
+#: The head of an article is part of it.
+ARTICLE_HEADER = re.compile(r"(?:^|(?<=\s))(?:article|post|entry|story)[_-]+header(?=$|\s)", re.I)
 #: An open element of the first kind ends where one of the second begins.
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"},
             "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"},
@@ -55,12 +59,13 @@ LEAST_SHARE, LEAST_PAGES = 0.01, 2
 
 
 class Block:
-    """Text of one block: pieces, its nearest containers from the inside out, and characters inside links."""
+    """Text of one block: pieces, its nearest containers from the inside out, the elements around it that are furniture
+    by their class, and characters inside links."""
 
-    __slots__ = ("pieces", "inside", "linked", "heading", "text")
+    __slots__ = ("pieces", "inside", "marked", "linked", "heading", "text")
 
-    def __init__(self, inside: tuple[int, ...], heading: bool):
-        self.pieces, self.inside, self.linked, self.heading, self.text = [], inside, 0, heading, ""
+    def __init__(self, inside: tuple[int, ...], marked: frozenset[int], heading: bool):
+        self.pieces, self.inside, self.marked, self.linked, self.heading, self.text = [], inside, marked, 0, heading, ""
 
 
 def generalised(tag: str, kind: str) -> str:
@@ -77,29 +82,64 @@ def is_furniture(tag: str, attrs: dict[str, str], inside: tuple[str, ...]) -> bo
         return True
     if tag == "header" and "article" not in inside:
         return True
-    if "display:none" in attrs.get("style", "").replace(" ", "").lower():
-        return True
+    return "display:none" in attrs.get("style", "").replace(" ", "").lower()
+
+
+def is_marked(tag: str, attrs: dict[str, str]) -> bool:
+    """Whether a class, an id or a role marks furniture."""
     if tag in ("html", "body", "article", "main"):
         return False
-    return any(attrs.get(k) and FURNITURE.search(attrs[k]) for k in ("class", "id", "role"))
+    return any(attrs.get(k) and FURNITURE.search(ARTICLE_HEADER.sub("", attrs[k])) for k in ("class", "id", "role"))
+
+
+def visible(blocks: list[Block], comments: list[bool], mains: list[tuple[str, frozenset[int]]]) -> list[Block]:
+    """The blocks that no marked element hides.
+
+    A marked element hides nothing if it holds ``main``, or without one most of the page's text that is no link, or ``article`` where
+    none stands outside marked elements and at least half as much text as those leave. If nothing is left, none hides.
+    """
+    hiding = set(range(len(comments)))
+    own = [max(0, len(b.text) - b.linked) for b in blocks]
+    held = [0] * len(comments)
+    for block, n in zip(blocks, own, strict=True):
+        for m in block.marked:
+            held[m] += n
+    total = sum(own)
+    left = sum(n for b, n in zip(blocks, own, strict=True) if not b.marked)
+    outside = any(not around for _, around in mains)
+    inside = {tag: [0] * len(comments) for tag in ("article", "main")}
+    for tag, around in mains:
+        for m in around:
+            inside[tag][m] += 1
+    all_mains = sum(tag == "main" for tag, _ in mains)
+    for m in range(len(comments)):
+        most = 2 * held[m] > total and inside["main"][m] == all_mains
+        article = inside["article"][m] and not outside and 2 * held[m] >= left
+        if not comments[m] and (most or inside["main"][m] or article):
+            hiding.discard(m)
+    return [b for b in blocks if not hiding & b.marked] or blocks
 
 
 def blocks_of(html: str) -> tuple[list[Block], list[str]]:
     """The page's blocks in order, without furniture, and the path of each container by its number."""
     blocks: list[Block] = []
     paths: list[str] = []
-    stack: list[tuple[str, int, bool]] = []  # tag, container's number or -1, whether it is furniture
+    stack: list[tuple[str, int, bool, int]] = []  # tag, container's number or -1, whether it is furniture, its mark or -1
+    marked: frozenset[int] = frozenset()
+    comments: list[bool] = []  # of each marked element
+    mains: list[tuple[str, frozenset[int]]] = []  # article and main with the marked elements around them
     skipped = links = 0
     current: Block | None = None
     at = 0
 
     def close(down_to: int) -> None:
-        nonlocal skipped, links, current
+        nonlocal skipped, links, current, marked
         while len(stack) > down_to:
-            tag, _, furniture = stack.pop()
+            tag, _, furniture, mark = stack.pop()
             skipped -= furniture
             links -= tag == "a"
-            if tag in BLOCKS:
+            marked -= {mark}
+            if tag in BLOCKS or mark >= 0:
                 current = None
 
     def add(text: str) -> None:
@@ -109,9 +149,9 @@ def blocks_of(html: str) -> tuple[list[Block], list[str]]:
         if current is None:
             if text.isspace():
                 return
-            tags = [t for t, _, _ in stack]
+            tags = [t for t, *_ in stack]
             heading = any(t[0] == "h" and t[1:].isdigit() for t in tags if len(t) == 2)
-            current = Block(tuple(n for _, n, _ in reversed(stack) if n >= 0), heading)
+            current = Block(tuple(n for _, n, *_ in reversed(stack) if n >= 0), marked, heading)
             blocks.append(current)
         current.pieces.append(unescape(text) if "&" in text else text)
         if links:
@@ -161,19 +201,28 @@ def blocks_of(html: str) -> tuple[list[Block], list[str]]:
             at = end.end() if end else len(html)
             continue
         attrs = attributes(m["attrs"]) if m["attrs"] else {}
-        furniture = is_furniture(tag, attrs, tuple(t for t, _, _ in stack))
-        number = -1
+        furniture = is_furniture(tag, attrs, tuple(t for t, *_ in stack))
+        number = mark = -1
+        if not skipped and not furniture and is_marked(tag, attrs):
+            if tag in BLOCKS or current is None:
+                mark = len(comments)
+                comments.append(any(COMMENTS.search(attrs.get(k, "")) for k in ("class", "id", "role")))
+                marked |= {mark}
+            else:
+                furniture = True  # inside a line of text
+        if tag in ("article", "main") and not skipped and not furniture:
+            mains.append((tag, marked))
         if tag in CONTAINERS and not skipped and not furniture:
-            above = next((paths[n] for _, n, _ in reversed(stack) if n >= 0), "")
+            above = next((paths[n] for _, n, *_ in reversed(stack) if n >= 0), "")
             paths.append((above + ">" if above else "") + generalised(tag, attrs.get("class", "")))
             number = len(paths) - 1
-        stack.append((tag, number, furniture))
+        stack.append((tag, number, furniture, mark))
         skipped += furniture
         links += tag == "a"
     add(html[at:])
     for block in blocks:
         block.text = " ".join("".join(block.pieces).split())
-    return [b for b in blocks if b.text], paths
+    return visible([b for b in blocks if b.text], comments, mains), paths
 
 
 def container_scores(blocks: list[Block], paths: list[str]) -> list[float]:

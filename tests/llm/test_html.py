@@ -27,6 +27,22 @@ def test_article_without_its_surroundings():
     assert html.extract(PAGE, ["html>body.k#>div.content#"]) == TEXT
 
 
+STORY = "<h1>Title</h1><p>" + "An article of many words. " * 9 + "</p>"
+STORY_TEXT = "Title\n\n" + ("An article of many words. " * 9).strip()
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div class='has-sidebar'><div class='text'>{STORY}</div><div class='sidebar'><p>More to read.</p></div></div></body>",
+    f"<body><div id='main-with-nav'><article>{STORY}</article><div id='comments'><p>{'A comment, long. ' * 40}</p></div></div></body>",
+    f"<body><div class='content-sidebar-wrap'><main>{STORY}</main></div><p class='ad'>{'Buy now. ' * 90}</p></body>",
+    f"<body><article><div class='article-header'><h1>Title</h1></div>{STORY[14:]}</article></body>",
+    f"<body><div id='comments'>{STORY}</div></body>",
+    f"<body><div class='text'>{STORY}</div><div class='comments'><article><p>{'A comment, long. ' * 40}</p></article></div></body>",
+    f"<body><div class='text'>{STORY}<span class='share'>Share</span></div><div class='related'><article><p>Short.</p></article></div></body>"])
+def test_wrappers_are_no_furniture(page):
+    assert html.extract(page, []) == STORY_TEXT
+
+
 def test_the_host_decides(spark):
     """A page whose own best container is another one is read by the path that its host has chosen."""
     short = "<html><body><div class='story'><p>Only a short text here.</p></div><div class='teasers'><p>" + "Long teaser text, many words. " * 20 + "</p></div></body></html>"
