@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from dayloom.llm import bpe, exact, html, katz, licenses, neardup, packing, quality, suffix, toxicity
+from pyspark.sql import functions as F
+
+from dayloom.llm import (
+    bpe, exact, html, katz, langid, licenses, neardup, packing, quality, suffix, toxicity, trie, whitening)
 from dayloom.llm.common import table
 from dayloom.session import written
 
@@ -127,3 +130,45 @@ def exact_dedup(spark, sf_dir):
 def license_scan(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "n_spans")
+
+
+# crc32 of the decimal id, bit by bit.
+CRC_SQL = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS UBIGINT),
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS UBIGINT))),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), list_transform(range(8), lambda k: CAST(k AS UBIGINT))),
+        lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, CAST(3988292384 AS UBIGINT)) ELSE x // 2 END)))"""
+
+
+@query("op11_conversation_trie", f"""
+    WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                      sha256(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS mark
+               FROM conversations WHERE conv_id IS NOT NULL),
+    seqs AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, mark) AS turns FROM t GROUP BY conv_id),
+    heads AS (SELECT *, CAST({CRC_SQL} % 9 AS BIGINT) AS h, conv_id - conv_id % 5 AS first_id FROM seqs),
+    re AS (SELECT a.conv_id, list_concat(coalesce(b.turns[1:h], []), a.turns[h + 1:]) AS turns
+           FROM heads a LEFT JOIN seqs b ON b.conv_id = a.first_id),
+    pre AS (SELECT conv_id, d, turns[1:d] AS p, len(turns) = d AS ends FROM re, unnest(range(0, len(turns) + 1)) u(d)),
+    node AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+                    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256,
+                    CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * strlen(p[d].text) END AS own FROM pre GROUP BY p, d),
+    up AS (SELECT c.p, min(q.conv_id) AS parent_conv_id FROM node c JOIN node q ON q.d = c.d - 1 AND q.p = c.p[1:c.d - 1] GROUP BY c.p),
+    kids AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+    known AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (p)),
+    below AS (SELECT p[1:k] AS p, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(own) AS saved
+              FROM known, unnest(range(0, d + 1)) u(k) GROUP BY ALL)
+    SELECT conv_id, CAST(d AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+           CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
+    FROM known JOIN below USING (p) LEFT JOIN up USING (p)""")
+def conversation_trie(spark, sf_dir):
+    return trie.trie(trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+@query("op12_language_id")
+def language_id(spark, sf_dir):
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
+@query("op13_embedding_whitening")
+def embedding_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), most=4).withColumn(
+        "deviation", F.col("deviation").try_cast("long"))
