@@ -6,12 +6,16 @@ needs the rows grouped by its keys, which is a second scan of the key columns on
 
 from __future__ import annotations
 
+from contextlib import suppress
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, Row, functions as F
 
 from dayloom.functions.predicates import any_null, outside
+from dayloom.operators.fingerprints import difference
+from dayloom.operators.sizes import broadcast_if_small
 
 
 class DataQualityError(Exception):
@@ -117,6 +121,37 @@ def reconcile_landing(valid_records: DataFrame, facts: DataFrame, by: list[str])
                                        F.greatest(-gap, zero).alias("surplus_rows"))
 
 
+def reconcile_rows(landed: DataFrame, facts: DataFrame, by: list[str]) -> DataFrame:
+    """``reconcile_landing`` by the rows themselves: a row that has changed is one lost and one of surplus.
+
+    Groups of ``by`` whose fingerprints agree on both sides are ruled out by two sums; only the rows of the others are
+    counted one by one, over all columns the two have in common.
+    """
+    columns = [c for c in landed.columns if c in facts.columns]
+    differs = broadcast_if_small(difference(landed, facts, by, columns).select(*(F.col(c).alias(f"_{c}") for c in by)))
+    match = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by))
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    ours, theirs = (side.select(*columns).join(differs, match, "left_semi") for side in (landed, facts))
+    both = ours.select(*columns, one.alias("landed_rows"), none.alias("fact_rows")).unionByName(
+        theirs.select(*columns, none.alias("landed_rows"), one.alias("fact_rows")))
+    counted = both.groupBy(*columns).agg(*(F.sum(c).alias(c) for c in ("landed_rows", "fact_rows")))
+    gap = F.col("landed_rows") - F.col("fact_rows")
+    return counted.groupBy(*by).agg(
+        F.sum("landed_rows").alias("landed_rows"), F.sum("fact_rows").alias("fact_rows"),
+        F.sum(F.greatest(gap, none)).alias("lost_rows"), F.sum(F.greatest(-gap, none)).alias("surplus_rows"))
+
+
+def row_counts(checks: list[Check]) -> list[Column]:
+    """What one pass over the rows has to count, ``c<n>`` for check n; a uniqueness check needs more than that."""
+    counted = []
+    for n, check in enumerate(checks):
+        if isinstance(check, RowCheck):
+            counted.append(F.count_if(check.violation).alias(f"c{n}"))
+        elif isinstance(check, MinRowsCheck | ReconcileCheck):
+            counted.append(F.count_if(_in_days(check.day, check.days)).alias(f"c{n}"))
+    return counted
+
+
 def report(facts: DataFrame, checks: list[Check]) -> DataFrame:
     """``(check_name, violations, status)``, one row per check, ordered by name."""
     names = [c.name for c in checks]
@@ -125,16 +160,13 @@ def report(facts: DataFrame, checks: list[Check]) -> DataFrame:
     scopes = {(getattr(c, "day", None), getattr(c, "days", None)) for c in checks}
     if len(scopes) == 1 and None not in next(iter(scopes)):
         facts = facts.where(_in_days(*next(iter(scopes))))  # all look at the same days: read no other partitions
-    single_pass, violations, sides = [], {}, []
+    single_pass, violations, sides = row_counts(checks), {}, []
     for n, check in enumerate(checks):
         if isinstance(check, RowCheck):
-            single_pass.append(F.count_if(check.violation).alias(f"c{n}"))
             violations[check.name] = F.col(f"c{n}")
         elif isinstance(check, MinRowsCheck):
-            single_pass.append(F.count_if(_in_days(check.day, check.days)).alias(f"c{n}"))
             violations[check.name] = F.when(F.col(f"c{n}") >= check.least, 0).otherwise(1)
         elif isinstance(check, ReconcileCheck):
-            single_pass.append(F.count_if(_in_days(check.day, check.days)).alias(f"c{n}"))
             of_days = check.summary.where(_in_days(check.day, check.days))
             sides.append(total(of_days, check.count, f"s{n}"))
             violations[check.name] = F.abs(F.col(f"c{n}") - F.col(f"s{n}"))
@@ -153,9 +185,70 @@ def report(facts: DataFrame, checks: list[Check]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts).withColumn("status", status).orderBy("check_name")
 
 
-def gate(checked: DataFrame) -> list:
+class Watch:
+    """Row checks counted while the rows are written, so that the gate after a write does not read them again.
+
+    The counts are taken in the tasks that write, behind every shuffle: a task that runs again counts once, as its files
+    do. One watch belongs to one write.
+    """
+
+    def __init__(self, checks: list[Check]):
+        self.checks = list(checks)
+        self._seen: Observation | None = None
+
+    def on(self, rows: DataFrame) -> DataFrame:
+        """The rows, counted as the next action on them goes."""
+        counted = row_counts(self.checks)
+        if not counted:
+            return rows
+        self._seen = Observation()
+        return rows.observe(self._seen, *counted)
+
+    def counts(self) -> dict[str, int]:
+        """What was counted; nothing where no row was written."""
+        found = {f"c{n}": 0 for n, c in enumerate(self.checks) if not isinstance(c, UniqueCheck)}
+        if self._seen is not None:
+            with suppress(Py4JJavaError):  # a write without rows is planned away, and what watches it
+                found.update(self._seen.get)
+        return found
+
+    def report(self, written: DataFrame, beside: DataFrame | None = None) -> list[Row]:
+        """The rows of ``report`` for what was seen, and for ``beside``, rows checked along that were written earlier.
+
+        ``written`` is all of it as it lies in the table; only the keys of uniqueness checks are read from it.
+        """
+        counts = self.counts()
+        if beside is not None and counts:
+            more = beside.agg(*row_counts(self.checks)).first()
+            counts = {name: n + more[name] for name, n in counts.items()}
+        sides = []
+        for n, check in enumerate(self.checks):
+            if isinstance(check, UniqueCheck):
+                sides.append(duplicate_groups(written, list(check.keys)).agg(F.count(F.lit(1)).alias("n")))
+            elif isinstance(check, ReconcileCheck):
+                sides.append(total(check.summary.where(_in_days(check.day, check.days)), check.count, "n"))
+        looked_up = [(n, c) for n, c in enumerate(self.checks) if isinstance(c, UniqueCheck | ReconcileCheck)]
+        found = {}
+        if sides:
+            numbered = [s.select(F.lit(n).alias("check"), F.col("n").cast("bigint")) for (n, _), s in zip(looked_up, sides, strict=True)]
+            found = {r["check"]: r["n"] for r in reduce(DataFrame.unionAll, numbered).collect()}
+        rows = []
+        for n, check in enumerate(self.checks):
+            if isinstance(check, UniqueCheck):
+                violations = found[n]
+            elif isinstance(check, ReconcileCheck):
+                violations = abs(counts[f"c{n}"] - found[n])
+            elif isinstance(check, MinRowsCheck):
+                violations = int(counts[f"c{n}"] < check.least)
+            else:
+                violations = counts[f"c{n}"]
+            rows.append(Row(check_name=check.name, violations=violations, status="FAIL" if violations else "PASS"))
+        return sorted(rows, key=lambda row: row.check_name)
+
+
+def gate(checked: DataFrame | list) -> list:
     """Run a report and stop the job when any check fails. One row per check reaches the driver."""
-    rows = checked.collect()
+    rows = checked if isinstance(checked, list) else checked.collect()
     if any(row["status"] == "FAIL" for row in rows):
         raise DataQualityError(rows)
     return rows

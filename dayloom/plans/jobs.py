@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from dayloom.operators import quality, tables
+from dayloom.operators.ledger import Ledger
 from dayloom.operators.rollup import daily_rollup, on_day, rows_per_day
 from dayloom.operators.validate import accepted, classify, rejected
 from dayloom.schemas import WEATHER, Feed
@@ -29,11 +30,22 @@ class Lake:
     lineage: str = "file"
     milliseconds: bool = False
     cluster_by: tuple[str, ...] | None = None
+    ledger: bool = False  # keep what each day of the facts holds in a table beside them
 
     def clustering(self) -> list[str] | None:
         return None if self.cluster_by is None else list(self.cluster_by)
 
 
+def ledger_of(spark: SparkSession, lake: Lake) -> Ledger | None:
+    """The ledger of the facts, if the lake keeps one."""
+    return Ledger(spark, lake.facts, lake.feed.day).create() if lake.ledger else None
+
+
+def summarised(spark: SparkSession, lake: Lake) -> Ledger:
+    """What the fact days held when their summary was last made and reconciled."""
+    return Ledger(spark, lake.summary, lake.feed.day, "_source").create()
+
+
 def create_tables(spark: SparkSession, lake: Lake) -> None:
     """Define the fact, summary and reject tables; the append jobs never create them."""
     feed = lake.feed
@@ -72,7 +84,7 @@ def load_run_date(spark: SparkSession, lake: Lake, run_date: str | date, on_miss
     classified = _classified(scan_run_date(spark, lake.root, run_date, lake.lineage, on_missing), lake)
 
     def fill_facts(rows: DataFrame) -> None:
-        tables.append(accepted(rows, lake.feed), lake.facts, lake.feed.day, lake.clustering())
+        tables.append(accepted(rows, lake.feed), lake.facts, lake.feed.day, lake.clustering(), ledger_of(spark, lake))
 
     if not lake.rejects:
         fill_facts(classified)
@@ -98,6 +110,11 @@ def run_daily(spark: SparkSession, lake: Lake, run_date: str | date, incoming: D
     load_run_date(spark, lake, run_date)
 
     def enough() -> None:
+        if lake.ledger:  # the append has counted the day
+            held = ledger_of(spark, lake).days().get(str(run_date))
+            few = int((held.rows if held else 0) < least_rows)
+            quality.gate([Row(check_name="min_rows_of_day", violations=few, status="FAIL" if few else "PASS")])
+            return
         rows = on_day(spark.table(lake.facts), feed.day, run_date)
         quality.gate(quality.report(rows, [quality.MinRowsCheck("min_rows_of_day", least_rows)]))
 
@@ -120,14 +137,26 @@ def build_all(spark: SparkSession, lake: Lake, full_refresh: bool = False, check
     appended and those whose rows the summary does not have: a day whose test failed, or that a
     crash left without its summary, stays in the next run until it has passed. Other days are
     unchanged since they passed. Returns what was appended and the rows of both reports.
+
+    The tests of the rows appended are counted while they are written; only uniqueness reads them again. With a
+    ledger the days whose summary is stale come from it: those whose rows are not the ones that were last summarised,
+    changed rows of an unchanged number included. Without one the days' row counts are compared.
     """
-    feed = lake.feed
-    landed = tables.append_new_days(
-        staging(spark, lake, start, end), lake.facts, feed.day, full_refresh, lake.clustering())
+    feed, checks = lake.feed, quality.model_checks() if checks is None else checks
     scoped = only_new_days and not full_refresh and spark.catalog.tableExists(lake.summary)
-    days = sorted({*landed.new_days, *unsummarised_days(spark, lake)}, key=str) if scoped else None
+    whole = full_refresh or not spark.catalog.tableExists(lake.facts)
+    ledger, watch = ledger_of(spark, lake), quality.Watch(checks)
+    landed = tables.append_new_days(
+        staging(spark, lake, start, end), lake.facts, feed.day, full_refresh, lake.clustering(), ledger, watch)
+    held = None if ledger is None else ledger.days()
+    stale = None
+    if scoped:
+        stale = unsummarised_days(spark, lake) if ledger is None else stale_days(spark, lake, ledger, held)
+    days = sorted({*landed.new_days, *stale}, key=str) if scoped else None
     facts = _facts(spark, lake, days)
-    passed = quality.gate(quality.report(facts, quality.model_checks() if checks is None else checks))
+    beside = None if whole else _facts(spark, lake, [d for d in days if d not in landed.new_days]) if scoped else (
+        facts.where(~F.col(feed.day).isin(list(landed.new_days))) if landed.new_days else facts)
+    passed = quality.gate(watch.report(facts, beside))
     rollup = summarise(facts, feed, round_digits)
     if scoped:
         tables.refresh_dates_in_source(rollup, lake.summary, feed.day, list(feed.keys))
@@ -136,7 +165,20 @@ def build_all(spark: SparkSession, lake: Lake, full_refresh: bool = False, check
     reconciled = quality.ReconcileCheck(
         "summary_reconciles_source", spark.table(lake.summary), day=feed.day,
         days=tuple(days) if scoped else None)
-    return landed, passed + quality.gate(quality.report(facts, [reconciled]))
+    if ledger is None:
+        return landed, passed + quality.gate(quality.report(facts, [reconciled]))
+    of_days = {d: h for d, h in held.items() if days is None or d in set(map(str, days))}
+    summed = quality.total(reconciled.summary.where(F.col(feed.day).isin(days) if scoped else F.lit(True)), "record_count", "n")
+    gap = abs(sum(h.rows for h in of_days.values()) - summed.first()["n"])
+    passed += quality.gate([Row(check_name=reconciled.name, violations=gap, status="FAIL" if gap else "PASS")])
+    summarised(spark, lake).enter(of_days)
+    return landed, passed
+
+
+def stale_days(spark: SparkSession, lake: Lake, ledger: Ledger, held: dict) -> list:
+    """Fact days whose rows are not those that were last summarised, by the two ledgers; no table is scanned."""
+    made = summarised(spark, lake).entered()
+    return ledger.typed(d for d, h in held.items() if not h.same_rows(made.get(d)))
 
 
 def unsummarised_days(spark: SparkSession, lake: Lake) -> list:
@@ -181,17 +223,20 @@ def quality_report(spark: SparkSession, lake: Lake, checks: list | None = None,
 
 def lost_records(spark: SparkSession, lake: Lake, start: str | date | None = None,
                  end: str | date | None = None) -> DataFrame:
-    """Valid landed records against fact rows, per day and source file: those lost and those doubled.
+    """Valid landed records against fact rows, per day and source file: those lost, and those doubled or other.
+
+    Files whose rows have one fingerprint on both sides are ruled out by it. A record that has changed since is one
+    lost row and one of surplus.
 
     ``start`` and ``end`` bound the landing folders and the fact days: give the days that landing
     still keeps, as facts outlive it. A record late in the day of its folder may be of the day
     before, so facts count by their file where the file is one of a folder read.
     """
     feed = lake.feed
-    rows = staging(spark, lake, start, end).select(feed.day, "source_file")
-    facts = spark.table(lake.facts).select(feed.day, "source_file")
+    rows = staging(spark, lake, start, end)
+    facts = spark.table(lake.facts)
     if start is not None or end is not None:
         folder = F.regexp_extract("source_file", f"{FOLDER_DAY}=([^/]+)", 1)
         first, last = "" if start is None else str(start), "~" if end is None else str(end)
         facts = facts.where(folder.between(first, last))
-    return quality.reconcile_landing(rows, facts, [feed.day, "source_file"])
+    return quality.reconcile_rows(rows, facts, [feed.day, "source_file"])
