@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dayloom.functions.timestamps import day_of, run_stamp, to_milliseconds, utc_marked
+from dayloom.operators.compaction import compact
 from dayloom.operators.rollup import rows_per_day
 from dayloom.operators.validate import accepted, classify, rejected, require
 from dayloom.plans.bindings import (
@@ -14,11 +15,13 @@ from dayloom.plans.bindings import (
 )
 from dayloom.plans.registry import query, table
 from dayloom.schemas import WEATHER
-from dayloom.session import fresh_folder, written
+from dayloom.session import fresh_database, fresh_folder, written
 from dayloom.sources import landing
 from dayloom.sources.landing import FOLDER_DAY
 from dayloom.sources.payloads import flatten_payload, lookup, place_dimension
-from dayloom.streaming.ingest import ingest_available, ingest_rejects, ingested
+from dayloom.streaming.ingest import (
+    BATCH, TAKEN_BY, create_ingest_tables, ingest_available, ingest_into_tables, ingest_rejects, ingested,
+)
 
 SOME_DAY = "2024-01-15"
 FROM_DAY, TO_DAY = "2024-01-10", "2024-01-19"
@@ -294,3 +297,23 @@ def ingest_reject_log(spark, folder):
     ingest_available(spark, landed_lines(spark, folder), target, fresh_folder(spark, "ingest-log"), WEATHER)
     log = ingest_rejects(spark, target, WEATHER)
     return log.groupBy(FOLDER_DAY, "reason").agg(F.count("raw_line").alias("line_count"))
+
+
+@query("compacted_batches", f"""WITH {STAGED_SQL}
+    SELECT load_date, count(*) AS row_count, max(humidity_pct) AS most_humid, TRUE AS few_partitions, TRUE AS batches_kept
+    FROM staged GROUP BY load_date""")
+def compacted_batches(spark, folder):
+    """Tables filled by many small batches, compacted, and taken up by the ingest again: each row once, each day in few partitions."""
+    facts, rejects = (f"{fresh_database(spark, 'ingested')}.{name}" for name in ("facts", "rejects"))
+    create_ingest_tables(spark, facts, rejects, WEATHER)
+    root, log = landed_lines(spark, folder), fresh_folder(spark, "ingest-log")
+    before = None
+    for _ in range(2):
+        ingest_into_tables(spark, root, facts, rejects, log, WEATHER, files_per_batch=60)
+        before = before or spark.table(facts).select(TAKEN_BY).distinct().count()
+        compact(spark, facts)
+    kept = spark.table(facts).select(TAKEN_BY).distinct().count() == before
+    days = spark.table(facts).groupBy("load_date").agg(
+        F.count(F.lit(1)).alias("row_count"), F.max("humidity_pct").alias("most_humid"),
+        (F.count_distinct(BATCH) <= 2).alias("few_partitions"))
+    return days.withColumn("batches_kept", F.lit(kept))

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from dayloom.operators import tables
+from dayloom.operators import rollup_state, tables
+from dayloom.operators.ledger import Ledger
 from dayloom.operators.rollup import (
     absent_days, daily_rollup, landed_days, min_rows, on_day, present_days, rows_per_day, with_day,
 )
 from dayloom.plans.bindings import OBSERVATIONS_SQL, observations
 from dayloom.plans.registry import query, table
+from dayloom.schemas import WEATHER
 from dayloom.session import fresh_database
 
 MEASURES = ["temperature_c", "humidity_pct", "wind_speed_kmh"]
@@ -135,10 +137,13 @@ def truncate_and_append(spark, folder):
     return spark.table(name)
 
 
+def seed_rows(spark, folder) -> DataFrame:
+    """The first days without their errors."""
+    return daily_events(spark, folder).where((F.col("load_date") <= SEED_END) & (F.col("event_type") != "error"))
+
+
 def seeded(spark, folder) -> str:
-    """A table whose first days have landed without their errors."""
-    early = (F.col("load_date") <= SEED_END) & (F.col("event_type") != "error")
-    return event_table(spark, folder, daily_events(spark, folder).where(early))
+    return event_table(spark, folder, seed_rows(spark, folder))
 
 
 LATE = f"load_date <= '{SEED_END}' AND event_type = 'error'"
@@ -163,6 +168,38 @@ def append_new_days_counts(spark, folder):
         [(landed.appended_rows, landed.skipped_rows)], "appended_rows bigint, skipped_rows bigint")
 
 
+def with_ledger(spark, folder, rows: DataFrame | None = None) -> tuple[str, Ledger]:
+    """A table of events whose ledger is kept by every write."""
+    name = event_table(spark, folder)
+    ledger = Ledger(spark, name).create()
+    tables.append(seed_rows(spark, folder) if rows is None else rows, name, cluster_by=["event_type"], ledger=ledger)
+    return name, ledger
+
+
+@query("append_new_days_by_ledger", f"WITH {EVENTS_SQL} SELECT * FROM e WHERE NOT ({LATE})")
+def append_new_days_by_ledger(spark, folder):
+    """The same with the days at hand and the counts from the table's ledger: the table itself is not read."""
+    name, ledger = with_ledger(spark, folder)
+    for _ in range(2):
+        tables.append_new_days(daily_events(spark, folder), name, cluster_by=["event_type"], ledger=ledger)
+    return spark.table(name)
+
+
+@query("ledger_of_days", f"""WITH {EVENTS_SQL} SELECT load_date, count(*) AS row_count, TRUE AS agrees FROM e
+    WHERE NOT ({LATE}) AND load_date <> '{RUN_DATE}' AND CAST(load_date AS DATE) > DATE '2024-01-30' - 25 GROUP BY load_date""")
+def ledger_of_days(spark, folder):
+    """What the ledger says after appends, a date emptied, days replaced and days expired, against a count of the table."""
+    name, ledger = with_ledger(spark, folder)
+    events = daily_events(spark, folder)
+    tables.append_new_days(events, name, cluster_by=["event_type"], ledger=ledger)
+    tables.refresh_one_date(events.limit(0), name, "load_date", RUN_DATE, ledger=ledger)
+    tables.refresh_dates_in_source(events.where(F.col("load_date") >= REFRESH_FROM), name, ledger=ledger)
+    tables.expire(spark, name, "load_date", "2024-01-30", 25, ledger=ledger)
+    counted = ledger.count()
+    rows = [(day, held.rows, counted.get(day) == held) for day, held in ledger.days().items()]
+    return spark.createDataFrame(rows, "load_date string, row_count bigint, agrees boolean")
+
+
 @query("append_full_refresh", f"WITH {EVENTS_SQL} SELECT * FROM e")
 def append_full_refresh(spark, folder):
     """The full refresh of the incremental table takes every row."""
@@ -177,6 +214,12 @@ def late_rows(spark, folder):
     return tables.late_rows(daily_events(spark, folder), seeded(spark, folder))
 
 
+@query("late_rows_by_type", f"WITH {EVENTS_SQL} SELECT * FROM e WHERE {LATE}")
+def late_rows_by_type(spark, folder):
+    """The same, looked for only among the types of a day whose fingerprints differ."""
+    return tables.late_rows(daily_events(spark, folder), seeded(spark, folder), by=["event_type"])
+
+
 def scaled(facts: DataFrame) -> DataFrame:
     """Observations whose temperature has changed since the summary was made."""
     return facts.withColumn("temperature_c", F.col("temperature_c") * 2)
@@ -224,6 +267,18 @@ def rebuild_summary(spark, folder):
     return spark.table(name)
 
 
+@query("rollup_by_batches", f"WITH {OBSERVATIONS_SQL} {summary_sql(where="CAST(load_date AS DATE) > DATE '2024-01-30' - 20")}")
+def rollup_by_batches(spark, folder):
+    """The summary from mergeable sums: batches come late, in any order and twice; old days expire in between."""
+    name = f"{fresh_database(spark, 'states')}.rollup"
+    rollup_state.create_state(spark, name, WEATHER)
+    rows = observations(spark, folder).withColumn("batch", F.when(F.col("city") == "error", 3).otherwise(F.minute("observed_at") % 3))
+    for batch in (1, 3, 0, 1, 2):
+        rollup_state.merge(spark, name, rows.where(F.col("batch") == batch).drop("batch"), f"batch {batch}", WEATHER)
+        tables.expire(spark, name, "load_date", "2024-01-30" if batch == 2 else "2024-01-20", 20)
+    return rollup_state.rollup_of(spark.table(name), WEATHER)
+
+
 @query("expire_partitions", f"""WITH {EVENTS_SQL}
     SELECT * FROM e WHERE CAST(load_date AS DATE) > DATE '2024-01-30' - 7""")
 def expire_partitions(spark, folder):

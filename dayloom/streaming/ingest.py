@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from dayloom.functions.timestamps import day_of
+from dayloom.operators import rollup_state
+from dayloom.operators.compaction import finish_compaction
 from dayloom.operators.tables import overwrite_partitions
 from dayloom.operators.validate import accepted, classify, rejected
 from dayloom.schemas import Feed
@@ -72,29 +74,34 @@ def ingest_rejects(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
 
 
 BATCH = "batch_id"  # partition column below the day, in tables that the ingest fills
+TAKEN_BY = "taken_by"  # the batch that took a row; compaction keeps it
 
 
 def create_ingest_tables(spark: SparkSession, facts: str, rejects: str, feed: Feed) -> None:
     """Define the fact and reject tables that ``ingest_into_tables`` fills, by day and batch."""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in feed.fact_schema().fields)
-    spark.sql(f"CREATE TABLE {facts} ({fields}, {BATCH} bigint) USING parquet PARTITIONED BY (`{feed.day}`, {BATCH})")
+    spark.sql(f"CREATE TABLE {facts} ({fields}, {TAKEN_BY} bigint, {BATCH} bigint) USING parquet PARTITIONED BY (`{feed.day}`, {BATCH})")
     spark.sql(f"CREATE TABLE {rejects} (source_file string, raw_line string, reason string, {FOLDER_DAY} string, "
-              f"{BATCH} bigint) USING parquet PARTITIONED BY ({FOLDER_DAY}, {BATCH})")
+              f"{TAKEN_BY} bigint, {BATCH} bigint) USING parquet PARTITIONED BY ({FOLDER_DAY}, {BATCH})")
 
 
 def ingest_into_tables(spark: SparkSession, root: str, facts: str, rejects: str, checkpoint: str, feed: Feed,
                        files_per_batch: int | None = None, bytes_per_batch: int | None = None,
-                       mode: str = "quarantine") -> None:
+                       mode: str = "quarantine", state: str | None = None) -> None:
     """Process the files landed since the last call into catalog tables, then return.
 
     Each batch is decoded once and overwrites its own partitions only, so a batch that runs again
     after a failure counts once, and no log beside the tables is needed: rollup, refresh, report,
     gate and expiry read and cut them like any other. One checkpoint belongs to one pair of tables.
+    ``compact`` keeps the files of a day few. A ``state`` table takes each batch's sums, so that the summary
+    of days with late rows needs no look at the facts; it takes a batch once, however often that runs.
     """
     use_utc(spark)
+    for table in (facts, rejects):
+        finish_compaction(spark, table)
 
     def fill(rows: DataFrame, table: str, batch: int) -> None:
-        own = rows.withColumn(BATCH, F.lit(batch).cast("bigint"))
+        own = rows.withColumn(TAKEN_BY, F.lit(batch).cast("bigint")).withColumn(BATCH, F.lit(batch).cast("bigint"))
         overwrite_partitions(own, table)
 
     def take(lines: DataFrame, batch: int) -> None:
@@ -102,8 +109,10 @@ def ingest_into_tables(spark: SparkSession, root: str, facts: str, rejects: str,
         with staged(classify(parse_lines(lines, feed), feed, mode), "batch") as once:
             fill(accepted(once, feed), facts, batch)
             fill(rejected(once), rejects, batch)
+            if state:
+                rollup_state.merge(spark, state, accepted(once, feed), f"batch {batch}", feed)
 
     (_landed(spark, root, files_per_batch, bytes_per_batch).writeStream.foreachBatch(take)
      .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
-    for table in (facts, rejects):  # written by other sessions: this one has listed their files before
+    for table in (facts, rejects, *([state] if state else [])):  # written by other sessions: this one has listed their files before
         spark.catalog.refreshTable(table)
