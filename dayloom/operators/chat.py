@@ -10,8 +10,10 @@ from itertools import chain, groupby
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from dayloom.operators.digests import text_digests
 from dayloom.operators.parts import heavy_keys, ordered_parts, split_by_keys
 from dayloom.operators.sizes import measured
+from dayloom.session import staged, written
 
 # Fixed value: the answer to a request without messages.
 MISSING_MESSAGES = "input.messages is required (OpenAI chat format)."
@@ -141,38 +143,35 @@ def pin_request(bodies: DataFrame, model: str, key: str = "conv_id", body: str =
 
     Every other field is kept with its JSON type. A body that is NULL or empty, or has no
     messages, gives the error record; so does one that is no JSON object. Of repeated names the
-    last one counts. Bodies that the JVM's decoder refuses or would round (too large, names that
-    repeat, very long numbers) go through a decoder without those limits; others do not leave it.
+    last one counts. Bodies are decoded once and written in two lanes: those that the JVM's decoder takes
+    stay in it; those it refuses or would round (too large, names that repeat, very long numbers) go
+    through a decoder without its limits, in a branch of their own that reads no others.
     """
     @F.pandas_udf("request string, error string")
     def by_hand(refused: pd.Series) -> pd.DataFrame:
-        made = [(None, None) if text is None else _pinned_by_hand(text, model) for text in refused]
-        return pd.DataFrame(made, columns=["request", "error"])
+        return pd.DataFrame([_pinned_by_hand(text, model) for text in refused], columns=["request", "error"])
 
     given = F.coalesce(body, F.lit("{}"))
     large = F.octet_length("given") > LARGE_BODY
     decoded = bodies.select(key, given.alias("given")).select(
         key, "given", F.explode(F.array(F.try_parse_json(F.when(~large, F.col("given"))))).alias("value"))
-    refused = F.when(large | F.col("value").isNull(), True).otherwise(F.col("given").rlike("[0-9]{39}"))
-    # one pass: a body that was decoded goes by as NULL
-    both = decoded.select(key, "value", by_hand(F.when(refused, F.col("given"))).alias("other"), refused.alias("refused"))
-    fields = (
-        both.select(key, "other", "refused", F.coalesce(F.to_json("value"), F.lit("?")).isin(*FALSY_JSON).alias("nothing"),
-                F.when(F.coalesce(F.schema_of_variant("value").startswith("OBJECT"), F.lit(False)),
-                       F.col("value").cast("map<string,variant>")).alias("fields"))
-    )
+    refused = large | F.col("value").isNull() | F.col("given").rlike("[0-9]{39}")
+    lanes = written(decoded.select(
+        key, F.when(refused, F.col("given")).alias("given"), F.when(~refused, F.col("value")).alias("value"),
+        refused.alias("refused")), "bodies", "refused")
+    other = lanes.where("refused").select(key, by_hand("given").alias("made")).select(key, "made.request", "made.error")
+    taken = lanes.where("NOT refused")
+    fields = taken.select(
+        key, F.coalesce(F.to_json("value"), F.lit("?")).isin(*FALSY_JSON).alias("nothing"),
+        F.try_variant_get("value", "$", "map<string,variant>").alias("fields"))  # NULL unless it is an object
     others = F.map_filter("fields", lambda name, _: ~name.isin(*PINNED))
     pinned = F.create_map(F.lit("model"), F.lit(model).cast("variant"),
                           F.lit("stream"), F.lit(False).cast("variant"))
-    given = F.coalesce(F.to_json(F.try_element_at("fields", F.lit("messages"))), F.lit("null"))
+    messages = F.coalesce(F.to_json(F.try_element_at("fields", F.lit("messages"))), F.lit("null"))
     error = F.when(F.col("nothing"), MISSING_MESSAGES).when(F.col("fields").isNull(), NOT_AN_OBJECT).when(
-        given.isin(*FALSY_JSON), MISSING_MESSAGES)
-    made = fields.select(
-        key, "refused", "other", F.to_json(F.map_concat(others, pinned)).alias("request"), error.alias("error"))
-    return made.select(
-        key, F.when(F.col("refused"), F.col("other.request")).otherwise(
-            F.when(F.col("error").isNull(), F.col("request"))).alias("request"),
-        F.when(F.col("refused"), F.col("other.error")).otherwise(F.col("error")).alias("error"))
+        messages.isin(*FALSY_JSON), MISSING_MESSAGES)
+    made = fields.select(key, F.to_json(F.map_concat(others, pinned)).alias("request"), error.alias("error"))
+    return made.select(key, F.when(F.col("error").isNull(), F.col("request")).alias("request"), "error").unionByName(other)
 
 
 def score(requests: DataFrame, connect: Callable[[], Callable[[list[str]], list[str]]],
@@ -229,6 +228,96 @@ def score(requests: DataFrame, connect: Callable[[], Callable[[list[str]], list[
         ordered.mapInPandas(stream, schema, profile=profile))
 
 
+class ScoringStopped(Exception):
+    """The model failed for some requests; what it answered is kept, and the next call sends only the others."""
+
+    def __init__(self, answered: int, failures: list[str]):
+        self.answered, self.failures = answered, failures
+        super().__init__(f"{len(failures)} tasks stopped after {answered} answers: {failures[0]}")
+
+
+REQUEST_HASH = "request_hash"
+ANSWERS_SCHEMA = f"{REQUEST_HASH} string, response string"
+
+
+def hashed_requests(requests: DataFrame, key: str = "conv_id") -> DataFrame:
+    """The requests with the hash of their whole body: SHA-256, or for a body in parts the digest over its parts."""
+    if "part" not in requests.columns:
+        requests = requests.withColumn("part", F.lit(0).cast("bigint")).withColumn("closes", F.lit(True))
+    whole = (F.col("part") == 0) & F.col("closes")
+    alone = requests.where(whole).withColumn(REQUEST_HASH, F.sha2("request", 256))
+    parted = requests.where(~whole)
+    digests = text_digests(parted, key, "part", "request").select(
+        F.col(key).alias("_key"), F.concat_ws("-", F.lit("parts"), "bytes", "digest").alias(REQUEST_HASH))
+    return alone.unionByName(parted.join(digests, F.col(key).eqNullSafe(F.col("_key"))).drop("_key"))
+
+
+def score_once(requests: DataFrame, connect: Callable[[], Callable[[list[str]], list[str]]], answers: str,
+               key: str = "conv_id", chunks: int = 16, concurrency: int | None = None) -> DataFrame:
+    """``score`` with a ledger of responses: a request that has its answer in the table ``answers`` is not sent.
+
+    Requests are told apart by a hash of their body, equal ones are sent once, and they go in ``chunks`` by that hash, each
+    committed before the next. Bodies are sent one at a time. When the model fails, the task stops sending and
+    hands on what it has; all answers of the chunk are committed, and then ``ScoringStopped`` is raised.
+    Calling again sends what has no answer yet. Only a task that dies with its executor loses answers: those that it
+    alone had in hand.
+    """
+    spark = requests.sparkSession
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {answers} ({ANSWERS_SCHEMA}) USING parquet")
+    hashed = written(hashed_requests(requests, key), "requests")
+    whole = (F.col("part") == 0) & F.col("closes")
+    kind = T.StructType([T.StructField(REQUEST_HASH, T.StringType()), T.StructField("response", T.StringType()),
+                         T.StructField("failure", T.StringType())])
+
+    def sent(rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+        complete = connect()
+        for name, parts in groupby(rows, lambda row: row[0]):
+            first = next(parts)
+            body = first[2] if first[1] is None else chain([first[2]], (row[2] for row in parts))
+            try:
+                made = complete([body])
+                if len(made) != 1:
+                    raise ValueError(f"1 request got {len(made)} responses")
+            except Exception as error:  # whatever the model raises ends this task's sending, not what it has answered
+                yield pd.DataFrame([(name, None, f"{type(error).__name__}: {error}")], columns=kind.names)
+                return
+            yield pd.DataFrame([(name, made[0], None)], columns=kind.names)
+
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from sent(row for batch in batches for row in batch.itertuples(index=False, name=None))
+
+    def pending(rows: DataFrame) -> DataFrame:
+        return rows.join(spark.table(answers).select(F.col(REQUEST_HASH).alias("_known")),
+                         F.col(REQUEST_HASH) == F.col("_known"), "left_anti")
+
+    prompts = hashed.where(whole & F.col("error").isNull())
+    parted = hashed.where(~whole)
+    in_parts = not parted.isEmpty()
+    for chunk in range(chunks):
+        def of_chunk(rows: DataFrame, chunk: int = chunk) -> DataFrame:
+            return pending(rows.where(F.pmod(F.xxhash64(REQUEST_HASH), F.lit(chunks)) == chunk))
+
+        alone = of_chunk(prompts).groupBy(REQUEST_HASH).agg(F.first("request").alias("request")).select(
+            REQUEST_HASH, F.lit(None).cast("bigint").alias("part"), "request")
+        alone = alone if concurrency is None else alone.repartition(concurrency)
+        scored = alone.mapInPandas(send, kind)
+        if in_parts:
+            chosen = of_chunk(parted).groupBy(REQUEST_HASH).agg(F.min(key).alias("_chosen"))
+            pieces = of_chunk(parted).join(
+                chosen.withColumnRenamed(REQUEST_HASH, "_hash"), (F.col(REQUEST_HASH) == F.col("_hash")) & F.col(key).eqNullSafe(F.col("_chosen")))
+            ordered = pieces.select(REQUEST_HASH, "part", "request").repartition(REQUEST_HASH).sortWithinPartitions(REQUEST_HASH, "part")
+            scored = scored.unionByName(ordered.mapInPandas(send, kind))
+        with staged(scored, "answers") as once:
+            once.where("failure IS NULL").select(REQUEST_HASH, "response").write.insertInto(answers)
+            failures = [row.failure for row in once.where("failure IS NOT NULL").select("failure").limit(100).collect()]
+            if failures:
+                raise ScoringStopped(once.where("failure IS NULL").count(), failures)
+    held = spark.table(answers).select(F.col(REQUEST_HASH).alias("_known"), "response")
+    first_parts = hashed.where("part = 0").select(key, "part", REQUEST_HASH, "error")
+    return first_parts.join(held, F.col(REQUEST_HASH) == F.col("_known"), "left").select(
+        key, "part", F.when(F.col("error").isNull(), F.col("response")).alias("response"), "error")
+
+
 def http_connect(url: str, timeout: float = TIMEOUT_SECONDS) -> Callable[[], Callable[[list[str]], list[str]]]:
     """``connect`` for ``score`` that posts each body to a chat-completions endpoint.
 

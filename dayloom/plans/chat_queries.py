@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from dayloom.operators import chat
+from dayloom.operators.digests import text_digests
 from dayloom.plans.registry import query, table
+from dayloom.session import fresh_database
 
 MODEL = "small-instruct"
 PART_BYTES = 600  # so small that most conversations come in several parts
@@ -64,17 +66,32 @@ def chat_requests(spark, folder):
     return requests(spark, folder).select("conv_id", "request", "error")
 
 
-@query("chat_request_parts", f"""WITH {MESSAGES_SQL}, {PARTS_SQL}, counted AS (
-    SELECT conv_id, count(*) AS parts, max(part) AS last_part FROM parts GROUP BY conv_id)
-    SELECT conv_id, parts, last_part, '{{"model":"{MODEL}","stream":false,"messages":' || CAST(messages AS VARCHAR) || '}}' AS request
-    FROM listed JOIN counted USING (conv_id)""")
+FRAGMENTS_SQL = f"""{PARTS_SQL}, inner_messages AS (
+    SELECT conv_id, CAST(CASE WHEN total > {PART_BYTES} THEN before // {PART_BYTES} ELSE 0 END AS BIGINT) AS part,
+           CAST(to_json(list(struct_pack(role := role, content := text) ORDER BY turn)) AS VARCHAR) AS listed
+    FROM placed GROUP BY ALL), fragments AS (
+    SELECT conv_id, part, closes, CASE WHEN part = 0 THEN '{{"model":"{MODEL}","stream":false,"messages":[' WHEN listed IS NULL THEN '' ELSE ',' END
+           || coalesce(substring(listed, 2, length(listed) - 2), '') || CASE WHEN closes THEN ']}}' ELSE '' END AS request
+    FROM parts LEFT JOIN inner_messages USING (conv_id, part))"""
+
+
+@query("chat_request_parts", f"WITH {FRAGMENTS_SQL} SELECT conv_id, part, closes, request FROM fragments")
 def chat_request_parts(spark, folder):
-    """The bodies of long conversations as fragments, which joined in order are the whole body."""
+    """The bodies of long conversations as fragments, each compared by itself."""
     fragments = chat.build_request(messages(spark, folder, max_bytes=PART_BYTES), MODEL)
-    in_order = F.array_sort(F.collect_list(F.struct("part", "request")))
-    return fragments.groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("parts"), F.max("part").alias("last_part"),
-        F.array_join(F.transform(in_order, lambda f: f["request"]), "").alias("request"))
+    return fragments.select("conv_id", "part", "closes", "request")
+
+
+@query("chat_body_digests", f"""WITH {MESSAGES_SQL}
+    SELECT conv_id, CAST(strlen('{{"model":"{MODEL}","stream":false,"messages":' || CAST(messages AS VARCHAR) || '}}') AS BIGINT) AS bytes,
+           TRUE AS same FROM listed""")
+def chat_body_digests(spark, folder):
+    """Two cuts of every body, one of them whole, have one digest: compared without a row that joins the fragments."""
+    cuts = [text_digests(chat.build_request(messages(spark, folder, **options), MODEL), "conv_id", "part", "request")
+            for options in ({"max_bytes": PART_BYTES}, {})]
+    other = cuts[1].select(F.col("conv_id").alias("other_id"), F.col("digest").alias("other_digest"), F.col("bytes").alias("other_bytes"))
+    same = (F.col("digest") == F.col("other_digest")) & (F.col("bytes") == F.col("other_bytes"))
+    return cuts[0].join(other, F.col("conv_id") == F.col("other_id")).select("conv_id", "bytes", same.alias("same"))
 
 
 @query("chat_request_fields", f"""WITH {MESSAGES_SQL} SELECT conv_id,
@@ -150,6 +167,18 @@ def chat_score_parts(spark, folder):
     return chat.parse_response(scored).select("conv_id", "answer", "finish_reason", "total_tokens", "error")
 
 
+@query("chat_score_resumed", f"""WITH {REQUESTS_SQL} SELECT conv_id, CAST(length(request) AS VARCHAR) AS answer,
+    'stop' AS finish_reason, CAST(length(request) // 4 AS BIGINT) AS total_tokens, CAST(NULL AS VARCHAR) AS error
+    FROM requests""")
+def chat_score_resumed(spark, folder):
+    """A run that has answers for half of the requests, as one that was stopped leaves them, taken up by another."""
+    answers = f"{fresh_database(spark, 'scored')}.answers"
+    asked = requests(spark, folder)
+    chat.score_once(asked.where("conv_id % 2 = 0"), measuring_connect(), answers, chunks=2)
+    scored = chat.score_once(asked, measuring_connect(), answers, chunks=2)
+    return chat.parse_response(scored).select("conv_id", "answer", "finish_reason", "total_tokens", "error")
+
+
 @query("chat_responses", """SELECT conv_id, turn, CASE WHEN role = 'system' THEN NULL ELSE text END AS answer,
     CASE role WHEN 'assistant' THEN 'stop' WHEN 'user' THEN 'length' END AS finish_reason,
     CASE WHEN role <> 'system' THEN length(text) END AS total_tokens FROM conversations""")

@@ -70,15 +70,16 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage: what was computed is not computed again, neither for a second consumer nor
-    after an executor is lost. The folder stays for as long as the result may be read.
+    after an executor is lost. The folder stays for as long as the result may be read. A filter on
+    ``partition_by`` reads the files of those rows only.
     """
     spark = df.sparkSession
     path = fresh_folder(spark, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
