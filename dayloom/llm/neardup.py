@@ -9,8 +9,9 @@ Documents of equal sets count as one. Keys that only one document has are screen
 is made of them. No bucket is expanded into all its pairs: first each document is compared with the lowest one of the
 bucket that it shares most keys with; then, in every bucket, only members of different components so far, in blocks
 of bounded size, each pair in the first bucket that it has in common, and only where 16 bits of every shingle leave
-room for enough of them in common: an upper bound, so no link is lost by it. What links inside a component cannot
-change the result, so no class is lost.
+room for enough of them in common: an upper bound, so no link is lost by it. That is done twice: first each document's lowest
+partner is confirmed, which ties families together at a link a document, then all pairs that are still apart.
+What links inside a component cannot change the result, so no class is lost.
 
 Defined cases: a null or empty text has the empty set, is linked with nothing and is kept; rows that repeat a doc_id
 share a component; a row without doc_id is its own, without a component, and kept; an empty table gives an empty
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayloom.llm.common import documents, hashes, mixed, owners, per_slice, window_hashes, word_codes
+from dayloom.llm.common import documents, hashes, mixed, per_slice, slices, tidy, window_hashes, word_codes
 from dayloom.llm.components import components
 from dayloom.llm.katz import by_bucket, pack, pack_plain, unpack_plain
 from dayloom.llm.suffix import gathered, joined, made_rows, repeated_places, rows_of, short_keys
@@ -39,6 +40,9 @@ VALUES, CHUNK, NEAR_ENOUGH = 32, 4, 19
 SEEDS = mixed(np.arange(1, VALUES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 #: Members of a bucket, or documents next to one pivot, that one block compares.
 BLOCK = 1024
+#: Pairs of a document that travel with one copy of its text, about, and bytes of set copies in one batch.
+ROLES, COPY_BYTES = 256, 8 << 20
+KINDS = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
 #: Keys that one bucket of the screen holds, about.
 BUCKET_KEYS = 4_000_000
 #: Keys that a document shares with its bucket's lowest one before the two are compared at once; others wait for the second step.
@@ -192,6 +196,25 @@ def runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Tab
         yield rest
 
 
+def set_copies(batches: Iterator[pa.RecordBatch], size: int, limit: int = COPY_BYTES) -> Iterator[pa.RecordBatch]:
+    """A copy of the document's shingle set for each of its roles, in batches of some ``limit`` bytes."""
+    names = ["a", "block", "role", "id", "shingles"]
+    for part in (p for batch in batches for p in slices(batch)):
+        made: list[tuple] = []
+        held = 0
+        for doc, own, asked in zip(part.column("id").to_pylist(), shingle_sets(part.column("text"), size),
+                                   part.column("roles").to_pylist(), strict=True):
+            data = own.tobytes()
+            for role in asked:
+                made.append((role["a"], role["block"], role["role"], doc, data))
+                held += len(data)
+                if held >= limit:
+                    yield made_rows(made, names, KINDS)
+                    made, held = [], 0
+        if made:
+            yield made_rows(made, names, KINDS)
+
+
 def confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have ``percent`` % or more of their union in common.
 
@@ -203,19 +226,14 @@ def confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> Dat
     dealt = pairs.join(counted.withColumnRenamed("a", "pivot"), F.col("a") == F.col("pivot")).select(
         F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), blocks).cast("int").alias("block"), F.lit(1).alias("role"))
     heads = counted.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(0).alias("role"))
-    roles = written(heads.unionByName(dealt).groupBy("id").agg(F.collect_list(F.struct("a", "block", "role")).alias("roles")), "roles")
+    listed = heads.unionByName(dealt)
+    many = listed.groupBy(F.col("id").alias("of")).agg(F.count(F.lit(1)).alias("roles"))
+    share = F.pmod(F.xxhash64("a", "block"), F.ceil(F.col("roles") / ROLES))
+    roles = written(listed.join(many, F.col("id") == F.col("of")).groupBy("id", share.alias("share")).agg(
+        F.collect_list(F.struct("a", "block", "role")).alias("roles")), "roles")
     wanted = documents(docs).join(broadcast_if_small(roles), F.col("doc_id") == F.col("id")).select("id", "text", "roles")
 
-    def make(part: pa.RecordBatch) -> pa.RecordBatch:
-        sets = pa.array([s.tobytes() for s in shingle_sets(part.column("text"), size)], pa.binary())
-        lists = part.column("roles")
-        row = pa.array(owners(np.asarray(lists.offsets, dtype=np.int64)))
-        role = lists.flatten()
-        return pa.RecordBatch.from_arrays(
-            [role.field("a"), role.field("block"), role.field("role"), part.column("id").take(row), sets.take(row)],
-            ["a", "block", "role", "id", "shingles"])
-
-    dealt_sets = wanted.mapInArrow(per_slice(make), "a long, block int, role int, id long, shingles binary")
+    dealt_sets = wanted.mapInArrow(tidy(lambda batches: set_copies(batches, size)), "a long, block int, role int, id long, shingles binary")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot, heads_seen = None, []
@@ -240,7 +258,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> Dat
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*linked, strict=True)], ["a", "b"])
 
     ordered = dealt_sets.repartition("a", "block").sortWithinPartitions("a", "block", "role", "id")
-    return written(ordered.mapInArrow(compare, "a long, b long"), "confirmed")
+    return written(ordered.mapInArrow(tidy(compare), "a long, b long"), "confirmed")
 
 
 def brief_sets(docs: DataFrame, reps: DataFrame, size: int) -> DataFrame:
@@ -255,9 +273,11 @@ def brief_sets(docs: DataFrame, reps: DataFrame, size: int) -> DataFrame:
     return wanted.mapInArrow(per_slice(make), "rep long, brief binary")
 
 
-def close_pairs(entries: DataFrame, percent: int) -> DataFrame:
+def close_pairs(entries: DataFrame, percent: int, thin: bool) -> DataFrame:
     """Pairs (a, b) of members of one bucket in different components, near enough in signature and size.
 
+    All of them, or ``thin``: of each stranger the one with the lowest member of its block.
+
     ``entries``: key, slot, rep, component, base (component of the bucket's pivot), members, strangers (members outside the
     base component), signature, brief (16 bits of each shingle). Members are dealt into blocks, strangers too; block
     meets block. What two documents have in common is at most what one has of the other's brief.
@@ -297,12 +317,13 @@ def close_pairs(entries: DataFrame, percent: int) -> DataFrame:
                 common = np.add.reduceat(has[np.concatenate([briefs[j] for j in near])].astype(np.int64), starts)
                 has[briefs[i]] = False
                 common = np.minimum(common, np.minimum(n[near], n[i]))
-                for j in near[100 * common >= percent * (n[near] + n[i] - common)].tolist():
+                close = near[100 * common >= percent * (n[near] + n[i] - common)]
+                for j in (close[np.argmin(rep[close])][None] if thin and len(close) else close).tolist():
                     found.add((min(rep[i], rep[j]), max(rep[i], rep[j])))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*sorted(found), strict=True)], ["a", "b"])
 
-    return ordered.mapInArrow(compare, "a long, b long")
+    return ordered.mapInArrow(tidy(compare), "a long, b long")
 
 
 def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -314,19 +335,25 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
     best = votes.groupBy("rep").agg(F.max_by("pivot", F.struct("votes", -F.col("pivot"))).alias("a"), F.max("votes").alias("votes"))
     tested = written(best.where(F.col("votes") >= LEAST_VOTES).select("a", F.col("rep").alias("b")), "tested")
     sure = confirmed(docs, tested, size, percent)
-    groups = components(sure)
-    labelled = met.join(groups, F.col("rep") == F.col("node"), "left").select(
-        "key", "slot", "rep", "pivot", F.coalesce("component", "rep").alias("component"))
-    # the pivot's component is known from its own entry in the bucket
-    spread = labelled.groupBy("key").agg(
-        F.count(F.lit(1)).alias("members"), F.max(F.when(F.col("rep") == F.col("pivot"), F.col("component"))).alias("base"),
-        F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key", "members", "base")
-    mixed_up = written(labelled.join(spread, "key").select("key", "slot", "rep", "component", "base", "members"), "mixed")
-    strangers = mixed_up.where("component != base").groupBy("key").agg(F.count(F.lit(1)).alias("strangers"))
-    briefs = written(brief_sets(docs, mixed_up.select("rep").distinct(), size), "briefs")
-    entries = mixed_up.join(strangers, "key").join(classes.select("rep", "signature"), "rep").join(briefs, "rep")
-    more = written(close_pairs(entries, percent), "close").join(tested, ["a", "b"], "left_anti")
-    return sure.unionByName(confirmed(docs, more, size, percent))
+    briefs = None
+    # first each stranger's lowest partner, which brings families together at a link each; then all pairs still apart
+    for thin in (True, False):
+        groups = components(sure)
+        labelled = met.join(groups, F.col("rep") == F.col("node"), "left").select(
+            "key", "slot", "rep", "pivot", F.coalesce("component", "rep").alias("component"))
+        # the pivot's component is known from its own entry in the bucket
+        spread = labelled.groupBy("key").agg(
+            F.count(F.lit(1)).alias("members"), F.max(F.when(F.col("rep") == F.col("pivot"), F.col("component"))).alias("base"),
+            F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key", "members", "base")
+        mixed_up = written(labelled.join(spread, "key").select("key", "slot", "rep", "component", "base", "members"), "mixed")
+        strangers = mixed_up.where("component != base").groupBy("key").agg(F.count(F.lit(1)).alias("strangers"))
+        briefs = written(brief_sets(docs, mixed_up.select("rep").distinct(), size), "briefs") if briefs is None else briefs
+        entries = mixed_up.join(strangers, "key").join(classes.select("rep", "signature"), "rep").join(briefs, "rep")
+        more = written(close_pairs(entries, percent, thin).distinct(), "close").join(tested, ["a", "b"], "left_anti")
+        more = written(more, "untested")
+        sure = written(sure.unionByName(confirmed(docs, more, size, percent)), "sure")
+        tested = written(tested.select("a", "b").unionByName(more), "tested")
+    return sure
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayloom.llm.common import mixed, slices
+from dayloom.llm.common import mixed, slices, tidy
 from dayloom.llm.katz import by_bucket, pack, pack_plain, unpack, unpack_plain
 from dayloom.operators.sizes import is_small
 from dayloom.session import written
@@ -251,7 +251,7 @@ def shards(docs: DataFrame) -> DataFrame:
                  *(pa.array([v], pa.binary()) for v in (pack_plain(np.sort(ids)), pack(starts), zstandard.compress(b"".join(texts), 1), ipc(rest)))],
                 ["shard", "ids", "starts", "text", "rest"])
 
-    return docs.mapInArrow(run, "shard long, ids binary, starts binary, text binary, rest binary")
+    return docs.mapInArrow(tidy(run), "shard long, ids binary, starts binary, text binary, rest binary")
 
 
 def text_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -279,7 +279,7 @@ def named_places(parts: DataFrame, buckets: int) -> DataFrame:
             if made:
                 yield made_rows(made, ["bucket", "shard", "keys", "twice"], [pa.int32(), pa.int64(), pa.binary(), pa.binary()])
 
-    return parts.select("shard", "starts", "text").mapInArrow(run, "bucket int, shard long, keys binary, twice binary")
+    return parts.select("shard", "starts", "text").mapInArrow(tidy(run), "bucket int, shard long, keys binary, twice binary")
 
 
 def repeated_places(named: DataFrame) -> DataFrame:
@@ -326,7 +326,7 @@ def scanned(parts: DataFrame, buckets: int) -> DataFrame:
                     [batch.column(c).slice(i, 1) for c in ("shard", "ids", "starts", "text", "rest")] + [pa.array([v], pa.binary()) for v in found],
                     ["shard", "ids", "starts", "text", "rest", *names])
 
-    return parts.mapInArrow(run, "shard long, ids binary, starts binary, text binary, rest binary, " + ", ".join(f"{n} binary" for n in names))
+    return parts.mapInArrow(tidy(run), "shard long, ids binary, starts binary, text binary, rest binary, " + ", ".join(f"{n} binary" for n in names))
 
 
 def scan(data: np.ndarray, starts: np.ndarray, answers: list[dict], buckets: int) -> list[bytes]:
@@ -400,7 +400,7 @@ def run_questions(scans: DataFrame) -> DataFrame:
                 yield made_rows(made, ["bucket", "shard", "key", "around", "id"], [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()])
 
     return scans.select("shard", "ids", "run_start", "run_length", "key", "around", "document", "first").mapInArrow(
-        run, "bucket int, shard long, key binary, around binary, id binary")
+        tidy(run), "bucket int, shard long, key binary, around binary, id binary")
 
 
 #: What is known of a run of windows after whole runs have been merged.
@@ -467,7 +467,7 @@ def window_questions(scans: DataFrame, buckets: int) -> DataFrame:
                 yield made_rows(made, ["bucket", "shard", "hashes", "id"], [pa.int32(), pa.int64(), pa.binary(), pa.binary()])
 
     return scans.select("shard", "ids", "starts", "text", "run_start", "run_length", "key", "first", "runs").mapInArrow(
-        run, "bucket int, shard long, hashes binary, id binary")
+        tidy(run), "bucket int, shard long, hashes binary, id binary")
 
 
 def merged_windows(questions: DataFrame) -> DataFrame:
@@ -536,7 +536,7 @@ def removals(docs: DataFrame) -> DataFrame:
                 [from_ipc(row["rest"]).column("doc_id").combine_chunks(), pa.array(np.diff(starts)), pa.array(removed), pa.array(spans(gone, starts)),
                  pa.array(digests)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return scans.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return scans.mapInArrow(tidy(run), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
@@ -566,4 +566,4 @@ def cleaned(docs: DataFrame) -> DataFrame:
             texts = [None if n else kept[a:b].decode() for n, a, b in zip(null, ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
             yield from rest.drop_columns([marked]).append_column("text", pa.array(texts, pa.string())).select(columns).cast(schema).combine_chunks().to_batches()
 
-    return scans.mapInArrow(run, docs.schema)
+    return scans.mapInArrow(tidy(run), docs.schema)

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from dayloom.llm import neardup
@@ -132,3 +133,25 @@ def test_components_agree_with_union_find(spark):
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
     assert sorted(map(tuple, got)) == sorted((n, root(n)) for n in nodes)
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_a_document_near_to_thousands(spark, monkeypatch):
+    """One long document is everyone's partner, and another has nearly as many: all pairs are confirmed, none in one row."""
+    base = prose(5, 400, 4_000).split()
+    rows = [(0, " ".join(base))] + [(i, " ".join([*base[:395], f"own{i}", *base[396:]])) for i in range(1, 1_500)]
+    docs = table(spark, rows)
+    monkeypatch.setattr(neardup, "ROLES", 16)
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 1_500)] + [(i, 1_499) for i in range(1, 1_400)], "a long, b long")
+    assert neardup.confirmed(docs, pairs, 5, 80).count() == 1_499 + 1_399
+    assert {r.component_id for r in neardup.near_duplicates(docs, 5, 80).collect()} == {0}
+
+
+def test_copies_of_a_set_come_in_bounded_batches():
+    text = prose(5, 400, 4_000)
+    roles = [{"a": a, "block": 0, "role": 1} for a in range(500)]
+    batch = pa.RecordBatch.from_pylist([{"id": 7, "text": text, "roles": roles}, {"id": 8, "text": "", "roles": roles[:3]}])
+    own = neardup.shingle_sets(pa.array([text]), 5)[0].tobytes()
+    made = list(neardup.set_copies(iter([batch]), 5, limit=10 * len(own)))
+    assert sum(b.num_rows for b in made) == 503 and max(b.num_rows for b in made) <= 13
+    assert {(r["id"], r["a"]) for b in made for r in b.to_pylist()} == {(7, a) for a in range(500)} | {(8, a) for a in range(3)}
+    assert all(r["shingles"] == (own if r["id"] == 7 else b"") for b in made for r in b.to_pylist())
