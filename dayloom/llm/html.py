@@ -3,7 +3,9 @@
 Every page's containers are scored by the text of their blocks, less that of links; each page votes for the
 generalised path (tags with their classes, numbers left out) of its best container, weighted by its score. Votes are
 added up per host in Spark, and every page is extracted again from the containers on the paths its host has chosen:
-those with enough of its pages. A page that has none of them, or no host, keeps its own best container.
+those with enough of its pages. Of several it is the path that holds most of the page's text times its votes, so a host may
+have several templates. A page that has none of them, or no host, keeps its own best container. From there the
+article is read whole: with the headline, lead and end that stand around the container in the same element.
 
 Defined cases: null or empty html gives the empty text; pages without an url have no host; broken markup is read as far
 as it goes; repeated rows each get their text; an empty table gives an empty result; other columns are not read.
@@ -52,8 +54,10 @@ ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
             "option": {"option"}, "head": {"body"}}
 BOUNDARY = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"},
             "option": {"select"}, "head": set()}
+#: Words in a class that name an article's own element.
+ARTICLE_BOX = re.compile(r"(?:^|[\s_-])(?:h?article|post|h?entry|story)(?:$|[\s_-])", re.I)
 #: Share of the best path's votes that another path of the host needs to be taken too.
-RUNNER_UP = 0.5
+RUNNER_UP = 0.05
 #: Share of its host's pages, and pages, that a path needs at least; so a host has 1 / LEAST_SHARE paths at most.
 LEAST_SHARE, LEAST_PAGES = 0.01, 2
 
@@ -250,18 +254,71 @@ def best_path(html: str) -> tuple[str, float]:
     return paths[best], scores[best]
 
 
-def extract(html: str, chosen: list[str]) -> str:
-    """Blocks of all containers on the first chosen path that the page has, in page order; else of its best one."""
+def unlinked(blocks: list[Block]) -> int:
+    return sum(max(0, len(b.text) - b.linked) for b in blocks)
+
+
+def belongs(block: Block) -> bool:
+    """Whether a block beside an article's box is read with it: a heading, or text that is not mostly links."""
+    return block.heading or 2 * block.linked <= len(block.text)
+
+
+def sentence(block: Block) -> bool:
+    return block.heading or len(block.text) >= 25 and block.text.endswith((".", "!", "?", ":", "…", '"', "”", "»"))
+
+
+def whole_article(blocks: list[Block], paths: list[str], boxes: set[int]) -> list[Block]:
+    """The blocks of the boxes and of what stands around them in the same article, in page order.
+
+    Climbs while the element around holds the article's own head, lead or end. ``article``, ``main`` and elements whose
+    class names an article give all they hold, others only what stands in them directly or in sections, figures and quotes;
+    the body gives headings and sentences of its own if it has no other box. Lists of links are left out.
+    """
+    above = {inner: outer for block in blocks for inner, outer in zip(block.inside, block.inside[1:], strict=False)}
+    kept = {id(b) for b in blocks if any(n in boxes for n in b.inside)}
+    while len(parents := {above.get(n) for n in boxes}) == 1 and (outer := parents.pop()) is not None:
+        tag = paths[outer].rpartition(">")[2].split(".")[0]
+        if tag == "html" or tag == "body" and any(paths[n].rpartition(">")[2].split(".")[0] in ("article", "main") for n in boxes):
+            break
+        beside: dict[int, list[Block]] = {}  # by the box beside ours that holds them, or the element itself
+        for block in blocks:
+            if outer in block.inside and not any(n in boxes for n in block.inside):
+                place = block.inside.index(outer)
+                beside.setdefault(block.inside[place - 1] if place else outer, []).append(block)
+        direct = beside.pop(outer, [])
+        others = {n: box for n, box in beside.items() if 2 * sum(b.linked for b in box) <= sum(len(b.text) for b in box)}
+        kinds = {paths[n].rpartition(">")[2].split(".")[0] for n in others}
+        if tag == "body":
+            if others or not all(map(sentence, direct)):
+                break
+        elif tag not in ("article", "main") and not ARTICLE_BOX.search(paths[outer].rpartition(">")[2].replace(".", " ")) \
+                and kinds - {"section", "figure", "blockquote"}:
+            break
+        kept |= {id(b) for b in direct if belongs(b)}
+        kept |= {id(b) for box in others.values() for b in box}
+        boxes = {outer}
+    return [b for b in blocks if id(b) in kept]
+
+
+def extract(html: str, chosen: list[str], votes: list[int] | None = None) -> str:
+    """Blocks of the article around the boxes on the chosen path that holds most of the page, weighed by its votes, in page
+    order; where the page has none of the paths, around its own best box."""
     blocks, paths = blocks_of(html)
-    used = {paths[n] for b in blocks for n in b.inside}
-    path = next((p for p in chosen if p in used), None)
-    if path is not None:
-        return "\n\n".join(b.text for b in blocks if any(paths[n] == path for n in b.inside))
+    weight = dict(zip(chosen, votes or [1] * len(chosen), strict=True))
+    of_path: dict[str, set[int]] = {}
+    for block in blocks:
+        for n in block.inside:
+            if paths[n] in weight:
+                of_path.setdefault(paths[n], set()).add(n)
+    if of_path:
+        held = {p: unlinked([b for b in blocks if any(n in boxes for n in b.inside)]) for p, boxes in of_path.items()}
+        path = max(of_path, key=lambda p: ((held[p] + 1) * weight[p], weight[p], -chosen.index(p)))
+        return "\n\n".join(b.text for b in whole_article(blocks, paths, of_path[path]))
     scores = container_scores(blocks, paths)
     if not scores or max(scores) <= 0:
         return "\n\n".join(b.text for b in blocks)
     best = max(range(len(scores)), key=lambda i: (scores[i], -i))
-    return "\n\n".join(b.text for b in blocks if best in b.inside)
+    return "\n\n".join(b.text for b in whole_article(blocks, paths, {best}))
 
 
 def with_host(pages: DataFrame) -> DataFrame:
@@ -270,7 +327,7 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def consensus(pages: DataFrame) -> DataFrame:
-    """host and its chosen paths, best first. Votes are added up in each task first, so a path of a hot host is a row per task.
+    """host, its chosen paths, best first, and their pages. Votes are added up in each task first, so a path of a hot host is a row per task.
 
     Paths are weighed against totals per host, and only those that win are gathered: 1 / LEAST_SHARE of them at most.
     """
@@ -279,7 +336,7 @@ def consensus(pages: DataFrame) -> DataFrame:
         votes = [best_path(h) for h in part.column("html").to_pylist()]
         return pa.RecordBatch.from_arrays(
             [part.column("host"), pa.array([p for p, _ in votes], pa.string()),
-             pa.array([min(s, 10_000.0) for _, s in votes], pa.float64())], ["host", "path", "score"])
+             pa.array([s for _, s in votes], pa.float64())], ["host", "path", "score"])
 
     votes = with_host(pages).select("host", "html").where("host != ''").mapInArrow(
         per_slice(vote, "html"), "host string, path string, score double").where("path != ''")
@@ -289,17 +346,20 @@ def consensus(pages: DataFrame) -> DataFrame:
     taken = summed.where(F.col("pages") >= LEAST_PAGES).join(broadcast_if_small(totals), F.col("host") == F.col("of")).where(
         F.col("pages") >= enough)
     place = F.struct((-F.col("pages")).alias("pages"), (-F.col("score")).alias("score"), "path")
-    return taken.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(place)), lambda x: x["path"]).alias("paths"))
+    ranked = taken.groupBy("host").agg(F.array_sort(F.collect_list(place)).alias("ranked"))
+    return ranked.select("host", F.transform("ranked", lambda x: x["path"]).alias("paths"),
+                         F.transform("ranked", lambda x: -x["pages"]).alias("votes"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """Per row: page_id, url, text, n_chars (code points)."""
     chosen = written(consensus(pages), "paths").withColumnRenamed("host", "voted")
     joined = with_host(pages).join(broadcast_if_small(chosen), F.col("host") == F.col("voted"), "left").select(
-        "page_id", "url", "html", "paths")
+        "page_id", "url", "html", "paths", "votes")
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [extract(h, p or []) for h, p in zip(part.column("html").to_pylist(), part.column("paths").to_pylist(), strict=True)]
+        texts = [extract(h, p or [], v or []) for h, p, v in zip(
+            *(part.column(c).to_pylist() for c in ("html", "paths", "votes")), strict=True)]
         return pa.RecordBatch.from_arrays(
             [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()),
              pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])

@@ -1,5 +1,7 @@
+import collections
 import html as references
 import os
+import random
 import re
 
 import pytest
@@ -53,6 +55,67 @@ def test_the_host_decides(spark):
     assert of[10].startswith("Long teaser text")
 
 
+LONG = "".join(f"<p>Sentence {k} of the article, with words enough to count for something.</p>" for k in range(9))
+HEAD = "<h1>The headline</h1><p class='lead'>A lead of one sentence, before the text.</p>"
+END = "<p>And a closing paragraph of its own.</p>"
+NAV = "<nav><ul><li><a href='/a'>A</a></ul></nav><div class='links'><a href='/b'>Something else to read here</a> <a href='/c'>And more of it</a></div>"
+
+
+def plain(page):
+    return [" ".join(re.sub("<[^>]*>", " ", p).split()) for p in re.findall(r"<(?:h1|p)[^>]*>.*?</(?:h1|p)>", page)]
+
+
+@pytest.mark.parametrize("article", [
+    f"<article>{HEAD}<div class='entry-content'>{LONG}</div></article>",
+    f"<div class='post'>{HEAD}<div class='body'>{LONG}</div></div>",
+    f"<article>{HEAD}<section>{LONG}</section><section>{LONG}</section></article>",
+    f"<div class='wrap'><h1>The headline</h1><section>{LONG}</section><section><p>Short.</p></section></div>",
+    f"<article><div class='head'>{HEAD}</div><div class='entry-content'>{LONG}</div><div class='end'>{END}</div></article>",
+    f"<main><div><div class='x'>{HEAD}<blockquote>{LONG}</blockquote>{END}</div></div></main>",
+    f"<h1>The headline</h1><div class='text'>{LONG}</div>"])
+@pytest.mark.parametrize("host", [None, "one.example"])
+def test_articles_are_kept_whole(spark, article, host):
+    rows = [(i, host and f"http://{host}/{i}", f"<html><body>{NAV}{article.replace('headline', f'headline {i}')}<footer><p>Imprint.</p></footer></body></html>")
+            for i in range(6)]
+    for r in html.main_text(pages(spark, rows)).collect():
+        assert r.text.split("\n\n") == plain(article.replace("headline", f"headline {r.page_id}"))
+
+
+def test_a_host_of_two_templates(spark):
+    """Short stories in one box; long reads in another, where the story's box holds a teaser of one line."""
+    story = f"<html><body>{NAV}<div class='story'><h1>A story</h1>{END * 3}</div></body></html>"
+    read = f"<html><body>{NAV}<div class='story'><p>Teaser of one line.</p></div><div class='longread'>{HEAD}{LONG * 5}</div></body></html>"
+    rows = [(i, f"http://two.example/{i}", story if i % 5 else read) for i in range(100)]
+    got = {r.page_id: r.text.split("\n\n") for r in html.main_text(pages(spark, rows)).collect()}
+    assert all(got[i] == (["A story", *plain(END) * 3] if i % 5 else plain(HEAD + LONG * 5)) for i in range(100))
+
+
+def test_what_stands_beside_the_article_stays_out():
+    story = f"<div class='story'><h1>The headline</h1>{LONG}</div>"
+    for beside in ("<div class='teasers'><p>Another story altogether, with a sentence of its own.</p></div>",
+                   "<div class='x'><ul><li><a href='/1'>One more to read</a><li><a href='/2'>Two more to read</a></ul></div>"):
+        assert html.extract(f"<body><div class='wrap'>{story}{beside}</div></body>", []).split("\n\n") == plain(story)
+        assert html.extract(f"<body>{story}{beside}</body>", []).split("\n\n") == plain(story)
+
+
+def test_votes_are_those_of_the_pages(spark):
+    """The vote by brute force: each page's best path, those of enough pages, by pages."""
+    rng = random.Random(4)
+    boxes = ["div class='a'", "div class='b7'", "section", "article"]
+    rows = [(i, f"http://h{rng.randint(0, 3)}.example/{i}", "<html><body>" + "".join(
+        f"<{b}>{'<p>Some words of this page stand here.</p>' * rng.randint(0, 6)}</{b.split()[0]}>" for b in boxes) + "</body></html>")
+        for i in range(160)]
+    votes = collections.defaultdict(collections.Counter)
+    for _, url, page in rows:
+        path = html.best_path(page)[0]
+        if path:
+            votes[url.split("/")[2]][path] += 1
+    want = {h: {p: n for p, n in c.items() if n >= max(html.LEAST_PAGES, html.RUNNER_UP * max(c.values()), html.LEAST_SHARE * sum(c.values()))}
+            for h, c in votes.items()}
+    got = {r.host: dict(zip(r.paths, r.votes, strict=True)) for r in html.consensus(pages(spark, rows)).collect()}
+    assert got == want and len(got) == 4
+
+
 def test_paths_of_few_pages_are_not_chosen(spark):
     """Class names that differ per page are no consensus, and pages without a host have none."""
     word = lambda i: "".join(chr(97 + int(c)) for c in str(i))
@@ -63,6 +126,7 @@ def test_paths_of_few_pages_are_not_chosen(spark):
     rows += [(3000 + i, f"http://mixed.example/{i}", page(i // 2)) for i in range(600)]
     chosen = {r.host: r.paths for r in html.consensus(pages(spark, rows)).collect()}
     assert chosen == {"usual.example": ["html>body>div.story"]}
+    assert {r.host: r.votes for r in html.consensus(pages(spark, rows)).collect()} == {"usual.example": [5]}
     of = {r.page_id: r.text for r in html.main_text(pages(spark, rows)).collect()}
     assert of[7] == of[3007] == ("An article of many words. " * 9).strip() and of[1001] == of[2001] == ("An article of many words. " * 30).strip()
 
