@@ -6,9 +6,10 @@ are one candidate span, which is verified word by word against the template in t
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-cased: digits, letters, all beyond ASCII.
 
-Defined cases: a null or empty text has no words, no label and score 0; a null doc_id keeps its row but only its base
-labels; rows that repeat a doc_id each get the spans that verify in their own text; an empty table gives an empty
-result; other columns are not read.
+Votes and spans are kept by doc_id and text, so that rows without a doc_id, or that share one, have their own.
+
+Defined cases: a null or empty text has no words, no label and score 0; rows without doc_id, and rows that repeat one, each
+get the spans of their own text; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -52,11 +53,38 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "licensed under the mit license",
         "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
         "documentation files the software to deal in the software without restriction",
+        "the above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+        "the software",
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the "
+        "warranties of merchantability fitness for a particular purpose and noninfringement",
     ),
     "bsd": (
         "redistribution and use in source and binary forms with or without modification are permitted provided that "
         "the following conditions are met",
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following "
+        "disclaimer",
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following "
+        "disclaimer in the documentation and or other materials provided with the distribution",
+    ),
+    "bsd-3-clause": (
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission",
+    ),
+    "isc": (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies",
+    ),
+    "unlicense": ("this is free and unencumbered software released into the public domain",),
+    "cc0-1.0": ("to the extent possible under law the author has waived all copyright and related or neighboring rights",),
+    "agpl-3.0": (
+        "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by "
+        "the free software foundation",
+    ),
+    "lgpl": (
+        "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+        "the free software foundation",
     ),
+    "epl-2.0": ("this program and the accompanying materials are made available under the terms of the eclipse public license 2 0",),
     "cc-by-nc": ("licensed under cc by nc 4 0", "creative commons attribution noncommercial 4 0 international"),
     "cc-by-sa": ("licensed under cc by sa 4 0", "creative commons attribution sharealike 4 0 international"),
     "gpl-3.0": (
@@ -69,6 +97,26 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 }
 
 
+#: Names as short statements write them, in words; each makes the statements of SHORT_FORMS.
+NAMES: dict[str, tuple[str, ...]] = {
+    "agpl-3.0": ("agpl 3 0",),
+    "apache-2.0": ("apache 2 0",),
+    "bsd-2-clause": ("bsd 2 clause",),
+    "bsd-3-clause": ("bsd 3 clause",),
+    "cc0-1.0": ("cc0 1 0",),
+    "epl-2.0": ("epl 2 0",),
+    "gpl-2.0": ("gpl 2 0", "gpl v2"),
+    "gpl-3.0": ("gpl 3 0", "gpl v3"),
+    "isc": ("isc",),
+    "lgpl": ("lgpl 2 1", "lgpl 3 0"),
+    "mit": ("mit",),
+    "mpl-2.0": ("mpl 2 0",),
+    "unlicense": ("unlicense",),
+}
+SHORT_FORMS = ("spdx license identifier {}", "licensed under the {} license", "released under the {} license",
+               "distributed under the {} license")
+
+
 def license_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Words of all texts in a row, and where each text's begin."""
     return words(translated(texts, WORD_BYTES))
@@ -84,12 +132,18 @@ def template_grams(spark: SparkSession) -> DataFrame:
 
 
 def statements() -> list[tuple[str, str]]:
-    return [(label, line) for label, lines in TEMPLATES.items() for line in lines]
+    """label and line of every template; each line once."""
+    short = [(label, form.format(name)) for label, names in NAMES.items() for name in names for form in SHORT_FORMS]
+    return list(dict.fromkeys([*((label, line) for label, lines in TEMPLATES.items() for line in lines), *short]))
+
+
+def text_mark():
+    return F.xxhash64("text")
 
 
 def grams(docs: DataFrame) -> DataFrame:
-    """doc_id, start, gram: all rolling K-word hashes of every whole text."""
-    frame = documents(docs)
+    """doc_id, mark of the text, start, gram: all rolling K-word hashes of every whole text."""
+    frame = documents(docs).withColumn("mark", text_mark())
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
         flat, offsets = license_words(part.column("text"))
@@ -100,26 +154,26 @@ def grams(docs: DataFrame) -> DataFrame:
         inside = np.flatnonzero(np.arange(len(gram)) + K <= offsets[1:][owner[:len(gram)]])
         owner = owner[inside]
         return pa.RecordBatch.from_arrays(
-            [part.column("doc_id").take(pa.array(owner)), pa.array(inside - offsets[owner], pa.int64()),
-             pa.array(gram[inside].view(np.int64))], ["doc_id", "start", "gram"])
+            [part.column("doc_id").take(pa.array(owner)), part.column("mark").take(pa.array(owner)),
+             pa.array(inside - offsets[owner], pa.int64()), pa.array(gram[inside].view(np.int64))], ["doc_id", "mark", "start", "gram"])
 
     kind = frame.schema["doc_id"].dataType.simpleString()
-    return frame.mapInArrow(per_slice(run), f"doc_id {kind}, start long, gram long")
+    return frame.mapInArrow(per_slice(run), f"doc_id {kind}, mark long, start long, gram long")
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """Spans by diagonal votes: doc_id, template, first and last start of a matching run of words, votes.
+    """Spans by diagonal votes: doc_id, mark, template, first and last start of a matching run of words, votes.
 
     The join is with the templates' few runs of words, sent to every task; only matches are shuffled, counted by
     diagonal before that.
     """
     votes = grams(docs).join(F.broadcast(template_grams(docs.sparkSession)), "gram").groupBy(
-        "doc_id", "template", (F.col("start") - F.col("place")).alias("diagonal")).agg(
+        "doc_id", "mark", "template", (F.col("start") - F.col("place")).alias("diagonal")).agg(
         F.count(F.lit(1)).alias("votes"), F.min("start").alias("low"), F.max("start").alias("high"))
-    order = Window.partitionBy("doc_id", "template").orderBy("diagonal")
+    order = Window.partitionBy("doc_id", "mark", "template").orderBy("diagonal")
     apart = (F.col("diagonal") - F.lag("diagonal").over(order) <= NEIGHBOURS)
     numbered = votes.withColumn("new", F.when(apart, 0).otherwise(1)).withColumn("cluster", F.sum("new").over(order))
-    return numbered.groupBy("doc_id", "template", "cluster").agg(
+    return numbered.groupBy("doc_id", "mark", "template", "cluster").agg(
         F.sum("votes").alias("votes"), F.min("low").alias("low"), F.max("high").alias("high"))
 
 
@@ -140,13 +194,14 @@ def scan(docs: DataFrame) -> DataFrame:
 
     ``score`` is the largest share of a template that a span holds, and 1 where a base phrase stands.
     """
-    frame = documents(docs)
+    frame = documents(docs).withColumn("mark", text_mark())
     least = F.create_map(*(F.lit(x) for i, (_, line) in enumerate(statements())
                            for x in (i, least_votes(line.split()))))
-    spans = candidates(docs).where(F.col("votes") >= least[F.col("template")]).groupBy("doc_id").agg(
+    spans = candidates(docs).where(F.col("votes") >= least[F.col("template")]).groupBy("doc_id", "mark").agg(
         F.collect_list(F.struct("template", "low", "high")).alias("spans"))
-    spans = written(spans.withColumnRenamed("doc_id", "span_id"), "spans")
-    joined = frame.join(broadcast_if_small(spans), F.col("doc_id") == F.col("span_id"), "left").select(
+    spans = written(spans.withColumnsRenamed({"doc_id": "span_id", "mark": "span_mark"}), "spans")
+    same = F.col("doc_id").eqNullSafe(F.col("span_id")) & (F.col("mark") == F.col("span_mark"))
+    joined = frame.join(broadcast_if_small(spans), same, "left").select(
         "doc_id", "text", "spans")
     lines = [(label, line.split()) for label, line in statements()]
     phrases = [(label, hashes(pa.array(phrase.split()))) for phrase, label in PHRASES.items()]

@@ -13,6 +13,8 @@ training rows every score is their rate of toxic rows (0 without any); an empty
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,12 +29,13 @@ from dayloom.llm.common import counts_per, documents, held_out, owners, per_slic
 from dayloom.operators.sizes import broadcast_if_small
 from dayloom.session import written
 
-#: Rows, by hash of the text, that the trees and the calibration learn from; the lexicon counts all labelled rows of its part.
+#: Labelled rows, by hash of id and text, that the trees and the calibration learn from; the lexicon counts all of its part.
 TRAINING_ROWS = 60_000
 #: Bytes of text that one step makes features of; its arrays are several times as large.
 STEP_BYTES = 2 << 20
-#: Entries of a learned lexicon at most, the strongest first.
-LEXICON_ENTRIES = 2_000
+#: How sure an entry of the learned lexicon must be: its log-likelihood ratio, beyond twice the logarithm of the number of
+#: terms that were looked at. Chance makes none however many terms there are, so the lexicon needs no cap.
+LEAST_EVIDENCE = 8.0
 #: Tenths of the labelled texts that teach the lexicon.
 LEXICON_PART = 4
 THRESHOLD = 0.3
@@ -105,14 +108,25 @@ def learned_lexicon(rows: DataFrame) -> dict[int, list[str]]:
         return {kind: [] for kind in (0, *STEM_LENGTHS)}
     odds = ((F.col("toxic") + F.lit(0.5)) / F.lit(float(bad))) / (
         (F.col("texts") - F.col("toxic") + F.lit(0.5)) / F.lit(float(total - bad)))
-    strong = terms.where(odds >= 10).withColumn("weight", F.col("toxic") * F.log(odds))
-    found: dict[int, list[str]] = {}
-    for kind in (0, *STEM_LENGTHS):
-        top = strong.where(F.col("kind") == kind).orderBy(F.desc("weight"), "term").limit(LEXICON_ENTRIES)
-        found[kind] = [r.term for r in top.select("term").collect()]
+    evidence = log_likelihood(F.col("texts"), F.col("toxic"), total, bad)
+    bound = LEAST_EVIDENCE + 2 * math.log(max(1, terms.count()))
+    found: dict[int, list[str]] = {kind: [] for kind in (0, *STEM_LENGTHS)}
+    for row in terms.where((F.col("kind") >= 0) & (odds >= 10) & (evidence >= bound)).select("kind", "term").orderBy("kind", "term").collect():
+        found[row.kind].append(row.term)
     return found
 
 
+def log_likelihood(texts: Column, toxic: Column, total: int, bad: int) -> Column:
+    """Dunning's ratio: how much better two rates of toxic texts, with the term and without, explain the counts than one."""
+    def part(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+
+    rate, rest = F.lit(bad / total), F.lit(1 - bad / total)
+    without, clean = F.lit(total) - texts, F.lit(bad) - toxic
+    return 2 * (part(toxic, texts * rate) + part(texts - toxic, texts * rest)
+                + part(clean, without * rate) + part(without - clean, without * rest))
+
+
 def features(texts: pa.Array, lexicon: dict[int, list[str]]) -> np.ndarray:
     """One row of FEATURES per text."""
     n = len(texts)
@@ -186,11 +200,14 @@ def with_labels(docs: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> DataFrame:
-    """text and toxic of the labelled rows that are not held out, about ``most`` by hash of the text; written."""
+    """text and toxic of the labelled rows that are not held out, at most about ``most`` by hash of id and text; written.
+
+    Copies of a text are drawn one by one, so that a group of them is in the sample as often as among the labels.
+    """
     marks, rows = teaching(labels), documents(docs)
-    share = min(1.0, 1.1 * most / max(1, marks.count()))
+    share = min(1.0, most / max(1, marks.count()))
     if share < 1:
-        rows = rows.where(F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1_000_000)) < int(share * 1_000_000))
+        rows = rows.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(1_000_000)) < int(share * 1_000_000))
     return written(with_labels(rows, marks), "labelled")
 
 

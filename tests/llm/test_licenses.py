@@ -1,3 +1,4 @@
+import random
 import re
 
 import pyarrow as pa
@@ -50,3 +51,50 @@ def test_words_keep_what_is_beyond_ascii():
 
 def test_empty_table(spark):
     assert licenses.scan(table(spark, [])).collect() == []
+
+
+def test_rows_without_an_id_or_that_share_one_have_their_own_labels(spark):
+    lines = ["Released under the MIT License.", "Licensed under the Apache License, Version 2.0", None, "", prose(3, 40)]
+    rows = [(None, t) for t in lines] * 3 + [(7, t) for t in lines] + [(8, lines[0])]
+    got = licenses.scan(table(spark, rows)).select("doc_id", "labels", "score").collect()
+    labels = ["mit", "apache-2.0", "", "", ""]
+    want = [(None, x, float(bool(x))) for x in labels] * 3 + [(7, x, float(bool(x))) for x in labels] + [(8, "mit", 1.0)]
+    assert sorted((tuple(r) for r in got), key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("line,label", [
+    ("SPDX-License-Identifier: MIT", "mit"), ("// SPDX-License-Identifier: BSD-3-Clause", "bsd-3-clause"),
+    ("Licensed under the BSD 3-Clause License", "bsd-3-clause"), ("distributed under the MPL 2.0 license", "mpl-2.0"),
+    ("SPDX-License-Identifier: GPL-2.0", "gpl-2.0"), ("licensed under the mitigation license", ""), ("under the mit", "")])
+def test_short_forms(spark, line, label):
+    rows = [(1, line), (2, f"{prose(4, 30)} {line}\n{prose(5, 30)}")]
+    assert {r.labels for r in licenses.scan(table(spark, rows)).collect()} == {label}
+
+
+def test_method_labels_agree_with_a_search_of_all_windows(spark):
+    """Every statement whole or with words put in, left out or changed, against the best window of each text."""
+    rng = random.Random(9)
+    rows = []
+    for i, (_, line) in enumerate(licenses.statements()):
+        words = line.split()
+        for k in range(3):
+            own = list(words)
+            for _ in range(k * (len(words) // 15)):
+                at = rng.randrange(len(own))
+                own[at:at + 1] = rng.choice([[], ["other"], [own[at], "more"]])
+            rows.append((3 * i + k, " ".join([prose(i, 12), *own, prose(i + 1, 12)])))
+    got = {r.doc_id: (set(r.labels.split(",")) - {""}, r.score) for r in licenses.scan(table(spark, rows)).collect()}
+    for i, text in rows:
+        words, want, base = text.lower().split(), set(brute(text)[4].split(",")) - {""}, brute(text)[1] > 0
+        best = 0.0
+        for label, line in licenses.statements():
+            template = line.split()
+            size = len(template) + 2 * licenses.K
+            if len(set(template) & set(words)) < 0.8 * len(set(template)):
+                continue
+            share = max(licenses.share_in_order(template, words[a:a + size]) for a in range(max(1, len(words) - size + 1)))
+            if share >= (1 if len(template) < licenses.SHORT else licenses.LEAST_SHARE):
+                want.add(label)
+                best = max(best, share)
+        assert got[i][0] == want, text
+        assert got[i][1] == pytest.approx(1.0 if base else best, abs=0.1)
