@@ -40,6 +40,8 @@ VALUES, CHUNK, NEAR_ENOUGH = 32, 4, 19
 SEEDS = mixed(np.arange(1, VALUES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 #: Members of a bucket, or documents next to one pivot, that one block compares.
 BLOCK = 1024
+#: Bytes of text that one step makes shingles of; its arrays are many times as large.
+STEP_BYTES = 3 << 20
 #: Pairs of a document that travel with one copy of its text, about, and bytes of set copies in one batch.
 ROLES, COPY_BYTES = 256, 8 << 20
 KINDS = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
@@ -98,7 +100,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
             ["doc_id", "n_shingles", "set_a", "set_b", "signature"])
 
     kind = frame.schema["doc_id"].dataType.simpleString()
-    return frame.mapInArrow(per_slice(run), f"doc_id {kind}, n_shingles long, set_a long, set_b long, signature binary")
+    return frame.mapInArrow(per_slice(run, limit=STEP_BYTES), f"doc_id {kind}, n_shingles long, set_a long, set_b long, signature binary")
 
 
 def all_keys(values: np.ndarray) -> np.ndarray:
@@ -199,7 +201,7 @@ def runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Tab
 def set_copies(batches: Iterator[pa.RecordBatch], size: int, limit: int = COPY_BYTES) -> Iterator[pa.RecordBatch]:
     """A copy of the document's shingle set for each of its roles, in batches of some ``limit`` bytes."""
     names = ["a", "block", "role", "id", "shingles"]
-    for part in (p for batch in batches for p in slices(batch)):
+    for part in (p for batch in batches for p in slices(batch, limit=STEP_BYTES)):
         made: list[tuple] = []
         held = 0
         for doc, own, asked in zip(part.column("id").to_pylist(), shingle_sets(part.column("text"), size),
@@ -270,7 +272,7 @@ def brief_sets(docs: DataFrame, reps: DataFrame, size: int) -> DataFrame:
         briefs = [(s >> np.uint64(48)).astype(np.uint16).tobytes() for s in shingle_sets(part.column("text"), size)]
         return pa.RecordBatch.from_arrays([part.column("rep"), pa.array(briefs, pa.binary())], ["rep", "brief"])
 
-    return wanted.mapInArrow(per_slice(make), "rep long, brief binary")
+    return wanted.mapInArrow(per_slice(make, limit=STEP_BYTES), "rep long, brief binary")
 
 
 def close_pairs(entries: DataFrame, percent: int, thin: bool) -> DataFrame:

@@ -40,7 +40,7 @@ from dayloom.operators.sizes import is_small
 from dayloom.session import written
 
 LENGTH, GRAM = 100, 32
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 BUCKET_BYTES = 16 << 20
 EIGHT = 8
 #: Places that one step of a pass works on, so that its arrays stay in the processor's cache.
