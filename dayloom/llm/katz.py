@@ -16,6 +16,11 @@ belong to; a bucket adds them up, and answers each shard in the order of its que
 P(w | h) = s(h) d(r) r / c(h) for a pair seen r > 0 times, else alpha(h) P(w); P(w) = (c + 0.1) / (N + 0.1 (V + 1)).
 A context never seen has alpha 1. A text begins in the context BEGIN and ends with the token END.
 
+With ``order`` 3 the same is done once more: P(w | g h) = s(g h) d(r) r / c(g h) for a triple seen, else alpha(g h) P(w | h).
+A shard settles the triples of pairs that stand in its own training texts alone, and asks for the others. What it is
+told of a pair are sums that make the pair's weights once all triples have been counted. The HOT commonest pairs are
+spread as the words are.
+
 Defined cases: a null or empty text is the token END alone; rows that repeat a doc_id count and are scored each; a null
 doc_id counts as an empty text when rows are held out; without training rows every probability is the base one of a
 single unknown word, 1; an empty table gives an empty result; other columns are not read.
@@ -36,11 +41,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dayloom.llm.common import documents, hashes, held_out, mixed, slices, word_codes
+from dayloom.llm.common import documents, hashes, held_out, mixed, slices, tidy, word_codes
 from dayloom.session import fresh_database, fresh_folder, written
 
 KATZ = 5
 HOT = 4096
+#: Words of the longest n-grams that the registered query counts.
+ORDER = 2
 SHARD_BYTES = 8 << 20
 #: Distinct words, or pairs, of one bucket, about.
 BUCKET_ITEMS = 1_000_000
@@ -290,7 +297,7 @@ def pair_table(questions: DataFrame) -> DataFrame:
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         asked = [unpack(p) for p in frame["pairs"]]
         pairs, counts = add_up(asked, [unpack_plain(c, np.uint32).astype(np.int64) for c in frame["counts"]])
-        seen = [pack_plain(counts[np.searchsorted(pairs, own)].astype(np.uint32)) for own in asked]
+        seen = [pack_plain(counts[np.searchsorted(pairs, own)]) for own in asked]
         known, n = counts > 0, len(asked)
         return pd.DataFrame({
             "bucket": frame["bucket"].iloc[0], "shard": [*frame["shard"], 0], "pairs": [None] * n + [pack(pairs[known])],
@@ -389,50 +396,250 @@ def looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing)
     return np.where(keys[at] == wanted, values[at], missing)
 
 
+class PairLevel:
+    """A shard's tokens with what its buckets have answered about their pairs."""
+
+    def __init__(self, row: dict, buckets: int, levels: Levels, d: np.ndarray, hot: tuple[np.ndarray, list[np.ndarray]], most: int):
+        pairs, self.teaches, self.starts, self.word = pairs_of(row)
+        self.known = np.flatnonzero(pairs >> np.uint64(32) != UNKNOWN)
+        self.distinct, self.number = np.unique(pairs[self.known], return_inverse=True)
+        distinct = self.distinct
+        # of each distinct pair the probability, or of a pair not seen its context's weight, as logarithms
+        made, self.seen = np.empty(len(distinct)), np.zeros(len(distinct), np.int64)
+        own = {a["bucket"]: a for a in row.pop("answers") or ()}
+        for b, at in by_bucket(pair_bucket(distinct, buckets, most)):
+            seen = unpack_plain(own[b]["seen"], np.int64)
+            of = (distinct[at] >> np.uint64(32)).astype(np.int64)
+            _, place = np.unique(of, return_inverse=True)
+            tokens, scale, alpha = (unpack_plain(own[b][n], k)[place] for n, k in (("tokens", np.int64), ("scale", float), ("alpha", float)))
+            often = of <= most
+            tokens, scale, alpha = (np.where(often, looked_up(hot[0], given, of, missing), value) for value, given, missing
+                                    in zip((tokens, scale, alpha), hot[1], (1, 1, 1), strict=True))
+            share = scale * d[np.minimum(seen, KATZ + 1)] * seen / np.maximum(tokens, 1)
+            made[at] = np.log10(np.where(seen > 0, share, alpha))
+            self.seen[at] = seen
+        self.base = np.log10(levels.base(self.word.astype(np.int64)))
+        self.log = self.base.copy()
+        self.log[self.known] = made[self.number] + np.where(self.seen[self.number] > 0, 0.0, self.base[self.known])
+
+
+def of_hot(hot: list[tuple]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Numbers of the hot contexts, and their tokens, scale and alpha."""
+    return np.array([h[0] for h in hot], np.int64), [np.array([h[i] for h in hot], float) for i in (1, 2, 3)]
+
+
+def score_rows(batch: pa.RecordBatch, i: int, held: bytes, level: PairLevel, log: np.ndarray) -> pa.RecordBatch:
+    begin = level.starts[:-1]
+    return pa.RecordBatch.from_arrays(
+        [batch.column("doc_ids")[i].values, pa.array(np.frombuffer(held, np.uint8) == 1), pa.array(np.diff(level.starts)),
+         pa.array(np.add.reduceat((level.word != UNKNOWN).astype(np.int64), begin)), pa.array(np.add.reduceat(level.base, begin)),
+         pa.array(np.add.reduceat(log, begin))],
+        ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+
+def scored_schema(parts: DataFrame) -> str:
+    kind = dict(parts.dtypes)["doc_ids"].removeprefix("array<").removesuffix(">")
+    return f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def with_answers(parts: DataFrame, answers: DataFrame, *columns: str, name: str = "answers") -> DataFrame:
+    """The shards with all that their buckets have answered."""
+    collected = answers.groupBy("shard").agg(F.collect_list(F.struct("bucket", *columns)).alias(name))
+    return parts.join(collected, "shard", "left")
+
+
+ANSWERED = ("seen", "tokens", "scale", "alpha")
+
+
 def score_shards(parts: DataFrame, answers: DataFrame, buckets: int, levels: Levels, d: np.ndarray,
                  hot: list[tuple[int, int, float, float]], most: int) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, base_score, score."""
-    collected = answers.groupBy("shard").agg(F.collect_list(F.struct("bucket", "seen", "tokens", "scale", "alpha")).alias("answers"))
-    hot_numbers = np.array([h[0] for h in hot], np.int64)
-    hot_values = [np.array([h[i] for h in hot], float) for i in (1, 2, 3)]
-    kinds = {f.name: f.dataType.simpleString() for f in parts.schema}
+    often = of_hot(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i].as_py() for c in ("held", "starts", "codes", "numbers", "answers")}
-                pairs, _, starts, word = pairs_of(row)
-                known = np.flatnonzero(pairs >> np.uint64(32) != UNKNOWN)
-                distinct, number = np.unique(pairs[known], return_inverse=True)
-                del pairs
-                # of each distinct pair the probability, or of a pair not seen its context's weight, as logarithms
-                made, some = np.empty(len(distinct)), np.zeros(len(distinct), bool)
-                own = {a["bucket"]: a for a in row.pop("answers") or ()}
-                for b, at in by_bucket(pair_bucket(distinct, buckets, most)):
-                    seen = unpack_plain(own[b]["seen"], np.uint32).astype(np.int64)
-                    of = (distinct[at] >> np.uint64(32)).astype(np.int64)
-                    _, place = np.unique(of, return_inverse=True)
-                    tokens, scale, alpha = (unpack_plain(own[b][n], k)[place] for n, k in (("tokens", np.int64), ("scale", float), ("alpha", float)))
-                    often = of <= most
-                    tokens, scale, alpha = (np.where(often, looked_up(hot_numbers, given, of, missing), value) for value, given, missing
-                                            in zip((tokens, scale, alpha), hot_values, (1, 1, 1), strict=True))
-                    share = scale * d[np.minimum(seen, KATZ + 1)] * seen / np.maximum(tokens, 1)
-                    made[at] = np.log10(np.where(seen > 0, share, alpha))
-                    some[at] = seen > 0
-                del own, distinct
-                base = np.log10(levels.base(word.astype(np.int64)))
-                log = base.copy()
-                log[known] = made[number] + np.where(some[number], 0.0, base[known])
-                ids, begin = batch.column("doc_ids")[i].values, starts[:-1]
+                level = PairLevel(row, buckets, levels, d, often, most)
+                yield score_rows(batch, i, row["held"], level, level.log)
+
+    return with_answers(parts, answers, *ANSWERED).mapInArrow(tidy(run), scored_schema(parts))
+
+
+class Triples:
+    """A shard's triples (pair before, word): those whose pair stands in other shards' training texts too are asked for.
+
+    Of the others all is known here. A text's first token has no pair before it, and a pair never seen gives no context.
+    """
+
+    def __init__(self, level: PairLevel, tokens: int, often: int):
+        pair = np.full(len(level.word), -1, np.int64)
+        pair[level.known] = level.number
+        context = np.full(len(level.word), -1, np.int64)
+        context[1:] = pair[:-1]
+        context[level.starts[:-1]] = -1
+        there = np.flatnonzero(context >= 0)
+        there = there[level.seen[context[there]] > 0]
+        self.there = there
+        self.distinct, first, self.number = np.unique(
+            context[there].astype(np.uint64) << np.uint64(32) | level.word[there], return_index=True, return_inverse=True)
+        self.counts = np.bincount(self.number, weights=level.teaches[there], minlength=len(self.distinct)).astype(np.int64)
+        self.lower = 10.0 ** level.log[there[first]]
+        self.context = (self.distinct >> np.uint64(32)).astype(np.int64)  # the number of a distinct pair of the shard
+        self.word = self.distinct & np.uint64(UNKNOWN)
+        own = np.bincount(level.number, weights=level.teaches[level.known], minlength=len(level.distinct)).astype(np.int64)
+        self.alone = level.seen == own
+        self.hot = level.seen * often > tokens
+        self.asked = np.flatnonzero(~self.alone[self.context])
+
+    def buckets(self, level: PairLevel, buckets: int) -> np.ndarray:
+        """Bucket of each asked triple: by its pair, or spread by pair and word where the pair is one of the HOT commonest."""
+        pairs, words = level.distinct[self.context[self.asked]], self.word[self.asked]
+        spread = np.where(self.hot[self.context[self.asked]], mixed(words + np.uint64(1)), np.uint64(0))
+        return bucket_of(mixed(pairs) ^ spread ^ np.uint64(9), buckets)
+
+
+def few_counts(context: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+    """For each of n contexts how many of its triples are seen r times, r from 1 to KATZ."""
+    own = (counts > 0) & (counts <= KATZ)
+    return np.bincount(context[own] * KATZ + counts[own] - 1, minlength=n * KATZ).reshape(n, KATZ).astype(np.int64)
+
+
+QUESTION = "bucket int, shard long, contexts binary, hot binary, triples binary, counts binary, lower binary, alone array<long>"
+
+
+def triple_questions(parts: DataFrame, answers: DataFrame, buckets: int, levels: Levels, d: np.ndarray, hot: list[tuple], most: int,
+                     common: int, triple_buckets: int) -> DataFrame:
+    """What each shard asks of each bucket: pairs, triples by the place of their pair, counts, probability by the pair before.
+
+    ``alone``: numbers of the triples that need no answer, by count up to KATZ + 1; in one row of each shard.
+    """
+    often = of_hot(hot)
+    names = [f.split()[0] for f in QUESTION.split(", ")]
+    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5, pa.list_(pa.int64())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in ("shard", "held", "starts", "codes", "numbers", "answers")}
+                level = PairLevel(row, buckets, levels, d, often, most)
+                t = Triples(level, levels.tokens, common)
+                settled = t.counts[t.alone[t.context]]
+                alone = np.bincount(settled[(settled > 0) & (settled <= KATZ + 1)], minlength=KATZ + 2).tolist()
+                made = []
+                for b, at in by_bucket(t.buckets(level, triple_buckets)):
+                    own = t.asked[at]
+                    contexts, place = np.unique(t.context[own], return_inverse=True)
+                    made.append((b, row["shard"], pack(level.distinct[contexts].view(np.int64)), np.packbits(t.hot[contexts]).tobytes(),
+                                 pack((place.astype(np.int64) << 32) | t.word[own].astype(np.int64)), pack_plain(t.counts[own]),
+                                 pack_plain(t.lower[own]), None))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(np.frombuffer(row["held"], np.uint8) == 1), pa.array(np.diff(starts)),
-                     pa.array(np.add.reduceat((word != UNKNOWN).astype(np.int64), begin)), pa.array(np.add.reduceat(base, begin)),
-                     pa.array(np.add.reduceat(log, begin))],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+                    [pa.array(list(c), k) for c, k in zip(zip(*made, (0, -1, b"", b"", b"", b"", b"", alone), strict=True), kinds, strict=True)], names)
+
+    return with_answers(parts, answers, *ANSWERED).mapInArrow(tidy(run), QUESTION)
 
-    kind = kinds["doc_ids"].removeprefix("array<").removesuffix(">")
-    return parts.join(collected, "shard", "left").mapInArrow(
-        run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+
+TRIPLED = ("kind string, bucket int, shard long, seen binary, few binary, lower binary, counted array<long>, "
+           "hot_pairs binary, hot_few binary, hot_lower binary")
+
+
+def triple_table(questions: DataFrame) -> DataFrame:
+    """kind 'answer': for each question the counts of its triples, and of its pairs ``few_counts`` and the lower probability
+    of all that was seen after them. kind 'model': numbers of triples by count, and the sums of this bucket's part of hot pairs."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        counted = np.zeros(KATZ + 2, np.int64)
+        for alone in frame["alone"]:
+            if alone is not None:
+                counted += np.asarray(alone, np.int64)
+        frame = frame[frame["shard"] >= 0]
+        asked = [unpack(c) for c in frame["contexts"]]
+        pairs = np.unique(np.concatenate(asked)) if asked else np.zeros(0, np.int64)
+        hot = np.zeros(len(pairs), bool)
+        places, keys = [np.searchsorted(pairs, own) for own in asked], []
+        for at, bits, triples in zip(places, frame["hot"], frame["triples"], strict=True):
+            hot[at] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=len(at)).astype(bool)
+            own = unpack(triples)
+            keys.append(at[own >> 32] << 32 | own & UNKNOWN)
+        distinct, first, number = np.unique(np.concatenate(keys) if keys else np.zeros(0, np.int64), return_index=True, return_inverse=True)
+        counts = np.bincount(number, weights=np.concatenate([unpack_plain(c, np.int64) for c in frame["counts"]]) if keys else None,
+                             minlength=len(distinct)).astype(np.int64)
+        lower = np.concatenate([unpack_plain(v, float) for v in frame["lower"]])[first] if keys else np.zeros(0)
+        context = distinct >> 32
+        few = few_counts(context, counts, len(pairs))
+        summed = np.bincount(context, weights=np.where(counts > 0, lower, 0.0), minlength=len(pairs))
+        own = counts[(counts > 0) & (counts <= KATZ + 1)]
+        counted += np.bincount(own, minlength=KATZ + 2)
+        ends = np.cumsum([len(k) for k in keys])[:-1] if keys else []
+        answers = [(int(b), int(shard), pack_plain(counts[n]), pack_plain(few[at].ravel()), pack_plain(summed[at]))
+                   for b, shard, n, at in zip(frame["bucket"], frame["shard"], np.split(number, ends) if keys else [], places, strict=True)]
+        rows = [("answer", *a, None, None, None, None) for a in answers]
+        rows.append(("model", 0, 0, None, None, None, counted.tolist(), pack(pairs[hot]), pack_plain(few[hot].ravel()), pack_plain(summed[hot])))
+        return pd.DataFrame(rows, columns=[f.split()[0] for f in TRIPLED.split(", ")])
+
+    return questions.groupBy("bucket").applyInPandas(run, TRIPLED)
+
+
+def hot_pairs(models: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The HOT commonest pairs at most: numbers, few_counts and lower probability, added up over the buckets."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            for row in frame.itertuples(index=False):
+                few = unpack_plain(row.hot_few, np.int64).reshape(-1, KATZ)
+                yield pd.DataFrame({"pair": unpack(row.hot_pairs), "lower": unpack_plain(row.hot_lower, float)} | {
+                    f"n{r}": few[:, r] for r in range(KATZ)})
+
+    counted = ", ".join(f"n{r} long" for r in range(KATZ))
+    summed = models.select("hot_pairs", "hot_few", "hot_lower").mapInPandas(run, f"pair long, lower double, {counted}").groupBy("pair").agg(
+        F.sum("lower").alias("lower"), *(F.sum(f"n{r}").alias(f"n{r}") for r in range(KATZ))).orderBy("pair").toPandas()
+    return (summed["pair"].to_numpy(np.int64), summed[[f"n{r}" for r in range(KATZ)]].to_numpy(np.int64).reshape(-1, KATZ),
+            summed["lower"].to_numpy(float))
+
+
+def score_triples(parts: DataFrame, pair_answers: DataFrame, buckets: int, levels: Levels, d: np.ndarray, hot: list[tuple], most: int,
+                  common: int, triple_buckets: int) -> DataFrame:
+    """``score_shards`` with contexts of two words: from the triple to the pair to the word, as far as each was seen."""
+    pair_answers = written(pair_answers, "pair-answers")
+    met = written_by(triple_table(triple_questions(parts, pair_answers, buckets, levels, d, hot, most, common, triple_buckets)), "triples", "kind")
+    models = met.where("kind = 'model'")
+    by_count = models.select(F.posexplode("counted").alias("count", "n")).groupBy("count").agg(F.sum("n").alias("n")).collect()
+    d3 = discounts({r["count"]: r["n"] for r in by_count if r["count"]})
+    often, commonest = of_hot(hot), hot_pairs(models)
+    both = with_answers(with_answers(parts, pair_answers, *ANSWERED), met.where("kind = 'answer'"), "seen", "few", "lower", name="triples")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        times = np.arange(1, KATZ + 1)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in ("held", "starts", "codes", "numbers", "answers", "triples")}
+                level = PairLevel(row, buckets, levels, d, often, most)
+                t = Triples(level, levels.tokens, common)
+                n = len(level.distinct)
+                seen, few = t.counts.copy(), few_counts(t.context, t.counts, n)
+                lower = np.bincount(t.context, weights=np.where(t.counts > 0, t.lower, 0.0), minlength=n)
+                own = {a["bucket"]: a for a in row.pop("triples") or ()}
+                for b, at in by_bucket(t.buckets(level, triple_buckets)):
+                    asked = t.asked[at]
+                    contexts = np.unique(t.context[asked])
+                    seen[asked] = unpack_plain(own[b]["seen"], np.int64)
+                    few[contexts] = unpack_plain(own[b]["few"], np.int64).reshape(-1, KATZ)
+                    lower[contexts] = unpack_plain(own[b]["lower"], float)
+                spread = np.flatnonzero(t.hot & ~t.alone)
+                if len(spread) and len(commonest[0]):
+                    place = np.minimum(np.searchsorted(commonest[0], level.distinct[spread].view(np.int64)), len(commonest[0]) - 1)
+                    real = commonest[0][place] == level.distinct[spread].view(np.int64)
+                    few[spread[real]], lower[spread[real]] = commonest[1][place[real]], commonest[2][place[real]]
+                tokens = np.maximum(level.seen, 1)
+                kept = (few * times * d3[1:KATZ + 1]).sum(axis=1) + level.seen - (few * times).sum(axis=1)
+                scale, alpha = weights(tokens, kept, lower)
+                share = scale[t.context] * d3[np.minimum(seen, KATZ + 1)] * seen / tokens[t.context]
+                made = np.log10(np.where(seen > 0, share, alpha[t.context]))
+                log = level.log.copy()
+                log[t.there] = made[t.number] + np.where(seen[t.number] > 0, 0.0, level.log[t.there])
+                yield score_rows(batch, i, row["held"], level, log)
+
+    return both.mapInArrow(tidy(run), scored_schema(parts))
 
 
 def bucketed(rows: DataFrame) -> tuple[DataFrame, str]:
@@ -465,10 +672,19 @@ def model(parts: DataFrame, most: int = HOT):
     return coded, levels, d, contexts, hot_contexts(pairs, levels, d, most), met.where("kind = 'answer'"), pair_buckets
 
 
-def scores(docs: DataFrame, modulus: int = 10, remainder: int = 0, most: int = HOT) -> DataFrame:
-    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+def scores(docs: DataFrame, modulus: int = 10, remainder: int = 0, most: int = HOT, order: int = ORDER,
+           common: int = HOT) -> DataFrame:
+    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score by contexts of ``order`` - 1 words.
+
+    ``most`` words and pairs that are more than one in ``common`` tokens are spread over all buckets.
+    """
+    if order not in (2, 3):
+        raise ValueError("order must be 2 or 3")
     parts, name = bucketed(shards(docs, held_out("doc_id", modulus, remainder)))
     coded, levels, d, contexts, hot, told, buckets = model(parts, most)
     docs.sparkSession.sql(f"DROP TABLE {name}")  # the numbered shards have taken its place
-    made = score_shards(coded, answered(told, contexts), buckets, levels, d, hot, most)
+    if order == 2:
+        made = score_shards(coded, answered(told, contexts), buckets, levels, d, hot, most)
+    else:
+        made = score_triples(coded, answered(told, contexts), buckets, levels, d, hot, most, common, buckets)
     return made.withColumn("train_tokens", F.lit(levels.tokens).cast("long"))

@@ -40,6 +40,37 @@ class Brute:
             self.weights[h] = (total, (1 - least) / kept if left < least else 1.0,
                                max(left, least) / (1 - sum(self.base(w) for w, _ in seen)))
 
+        self.triples = collections.Counter(
+            x for t in taught for x in zip(["<begin>", *t[:-2]][:len(t) - 1], t[:-1], t[1:], strict=True))
+        self.d3 = katz.discounts(dict(collections.Counter(self.triples.values())))
+        after = collections.defaultdict(list)
+        for (g, h, w), r in self.triples.items():
+            after[g, h].append((w, r))
+        self.weights3 = {}
+        for pair, seen in after.items():
+            total = sum(r for _, r in seen)
+            kept = sum(r * self.d3[min(r, katz.KATZ + 1)] for _, r in seen) / total
+            left, least = 1 - kept, 1 / (2 * total + 2)
+            self.weights3[pair] = (total, (1 - least) / kept if left < least else 1.0,
+                                   max(left, least) / (1 - sum(self.p(pair[1], w) for w, _ in seen)))
+        self.after = after
+
+    def p3(self, g, h, w):
+        """The triple's probability, else the weight of its pair times the pair's."""
+        if g is None:
+            return self.p(h, w)
+        r = self.triples.get((g, h, w), 0)
+        if r:
+            total, scale, _ = self.weights3[g, h]
+            return scale * self.d3[min(r, katz.KATZ + 1)] * r / total
+        return self.p(h, w) * (self.weights3[g, h][2] if (g, h) in self.weights3 else 1)
+
+    def score(self, own, order):
+        before = ["<begin>", *own[:-1]]
+        if order == 2:
+            return sum(math.log10(self.p(h, w)) for h, w in zip(before, own, strict=True))
+        return sum(math.log10(self.p3(g, h, w)) for g, h, w in zip([None, *before[:-1]], before, own, strict=True))
+
     def base(self, w):
         return (self.c[w] + 0.1) / (self.n + 0.1 * (self.v + 1))
 
@@ -54,8 +85,9 @@ class Brute:
 ROWS = [*odd_rows(), *((100 + i, prose(i % 17, 30 + i, 150)) for i in range(150)), (400, "novel unseen words here"), (410, "THE the The")]
 
 
-@pytest.mark.parametrize("hot,items", [(4096, 1_000_000), (3, 60)])
-def test_scores_agree_with_dictionaries(spark, monkeypatch, hot, items):
+@pytest.mark.parametrize("order", [2, 3])
+@pytest.mark.parametrize("hot,items,often", [(4096, 1_000_000, 4096), (3, 60, 1_000)])
+def test_scores_agree_with_dictionaries(spark, monkeypatch, hot, items, often, order):
     monkeypatch.setattr(katz, "BUCKET_ITEMS", items)
     monkeypatch.setattr(katz, "SHARD_BYTES", 5000)
     brute = Brute(ROWS)
@@ -64,8 +96,8 @@ def test_scores_agree_with_dictionaries(spark, monkeypatch, hot, items):
         own = tokens(t)
         expected.append((i, is_held(i), len(own), sum(brute.c[w] > 0 for w in own), brute.n,
                          sum(math.log10(brute.base(w)) for w in own),
-                         sum(math.log10(brute.p(h, w)) for h, w in zip(["<begin>", *own[:-1]], own, strict=True))))
-    got = katz.scores(table(spark, ROWS, clash=True), most=hot).select(
+                         brute.score(own, order)))
+    got = katz.scores(table(spark, ROWS, clash=True), most=hot, order=order, common=often).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score").collect()
     order = lambda r: (repr(tuple(r[:5])), round(r[6], 6))
     for own, want in zip(sorted(got, key=order), sorted(expected, key=order), strict=True):
@@ -80,6 +112,9 @@ def test_every_context_adds_up_to_one():
         rest = 1 - sum(brute.base(w) for w in words)
         alpha = brute.weights[h][2]
         assert sum(brute.p(h, w) for w in words) + alpha * rest == pytest.approx(1, abs=1e-9)
+    for (g, h), seen in brute.after.items():
+        rest = 1 - sum(brute.p(h, w) for w, _ in seen)
+        assert sum(brute.p3(g, h, w) for w, _ in seen) + brute.weights3[g, h][2] * rest == pytest.approx(1, abs=1e-9)
 
 
 def test_discounts_follow_good_turing():
@@ -101,9 +136,10 @@ def test_packed_arrays_round_trip():
             assert (katz.unpack_plain(katz.pack_plain(values), kind) == values).all()
 
 
-def test_empty_table_and_nothing_to_learn_from(spark):
-    assert katz.scores(table(spark, [])).collect() == []
+@pytest.mark.parametrize("order", [2, 3])
+def test_empty_table_and_nothing_to_learn_from(spark, order):
+    assert katz.scores(table(spark, []), order=order).collect() == []
     held = next(i for i in range(100) if is_held(i))
-    row = katz.scores(table(spark, [(held, "a b")])).collect()[0]
+    row = katz.scores(table(spark, [(held, "a b")]), order=order).collect()[0]
     assert (row.n_tokens, row.n_known, row.train_tokens) == (3, 0, 0)
     assert row.score == pytest.approx(0) and row.base_score == pytest.approx(0)
