@@ -28,6 +28,7 @@ single unknown word, 1; an empty table gives an empty result; other columns are
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from dayloom.llm.common import documents, hashes, held_out, mixed, slices, tidy, word_codes
-from dayloom.session import fresh_database, fresh_folder, written
+from dayloom.session import fresh_folder, remove_folder, written
 
 KATZ = 5
 HOT = 4096
@@ -643,11 +644,18 @@ def score_triples(parts: DataFrame, pair_answers: DataFrame, buckets: int, level
 
 
 def bucketed(rows: DataFrame) -> tuple[DataFrame, str]:
-    """The rows as a table bucketed by shard, and its name: later joins by shard leave them where they are."""
+    """The rows written in buckets by shard, and where: later joins by shard leave them where they are.
+
+    Buckets need a table to be defined by; its name goes again at once, as the files are all that is read.
+    """
     spark = rows.sparkSession
-    name = f"{fresh_database(spark, 'shards')}.rows"
-    rows.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard").format("parquet").saveAsTable(name)
-    return spark.table(name), name
+    path = fresh_folder(spark, "shards")
+    name = f"shards_{uuid.uuid4().hex}"
+    rows.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard").format("parquet").option("path", path).saveAsTable(name)
+    held = spark.table(name)
+    held.schema  # resolved now, before its name goes  # noqa: B018
+    spark.sql(f"DROP TABLE {name}")
+    return held, path
 
 
 def written_by(rows: DataFrame, label: str, column: str) -> DataFrame:
@@ -680,9 +688,9 @@ def scores(docs: DataFrame, modulus: int = 10, remainder: int = 0, most: int = H
     """
     if order not in (2, 3):
         raise ValueError("order must be 2 or 3")
-    parts, name = bucketed(shards(docs, held_out("doc_id", modulus, remainder)))
+    parts, path = bucketed(shards(docs, held_out("doc_id", modulus, remainder)))
     coded, levels, d, contexts, hot, told, buckets = model(parts, most)
-    docs.sparkSession.sql(f"DROP TABLE {name}")  # the numbered shards have taken its place
+    remove_folder(docs.sparkSession, path)  # the numbered shards have taken its place
     if order == 2:
         made = score_shards(coded, answered(told, contexts), buckets, levels, d, hot, most)
     else:

@@ -9,11 +9,13 @@ earlier in its own. Strings are judged on the input.
 2. Each shard sorts the suffixes of what is left by prefix doubling (Larsson and Sadakane: only groups not told apart
    yet are refined) until LENGTH bytes are told apart, and takes common prefixes with Kasai's bound where the last
    refinement has split. Runs of the array that share LENGTH bytes are classes; each has its first place in the shard.
-3. Shards are merged by their classes' first places, in sorted arrays searched by halves: first by whole runs of
+3. Shards are merged by their classes' first places, sorted together bucket by bucket: first by whole runs of
    windows that name one hash, which settles long repeats at a few numbers a run; then, for hashes that stand in
-   different surroundings only, window by window.
+   different surroundings only, window by window. Each shard finds its answers in its own sorted keys by halving.
 
-The screen and the merge compare 64-bit hashes of the windows, the arrays their bytes.
+Inside a shard bytes are compared. Across shards they are not sent: a run is told by 96 bits of two hashes, a window by
+128 bits of two, which leaves some 10 ** -14 of a chance of one false match among 10 ** 12 windows. The screen's 64 bits only add
+candidates.
 
 Defined cases: a null or empty text has nothing to remove; a row without doc_id comes after all others; rows that
 repeat a doc_id are in the order of their shards; an empty table gives an empty result; other columns come back as
@@ -50,9 +52,12 @@ GAP = 0xFF
 LAST = np.iinfo(np.int64).max
 
 
-def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+#: Odd numbers, one for each of two independent hashes; fixed values.
+BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+
+
+def powers(size: int, base: int = BASES[0]) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse, modulo 2 ** 64; made anew, as they are as large as a shard."""
-    base = 0x9E3779B97F4A7C15
     made = []
     for factor in (base, pow(base, -1, 1 << 64)):
         steps = np.full(size, factor, np.uint64)
@@ -69,13 +74,13 @@ def eights(data: np.ndarray) -> np.ndarray:
 class Hashed:
     """Hashes of all runs of a text by sums over its eight-byte numbers."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, base: int = BASES[0]):
         numbers = eights(data)
-        up, self.down = powers(len(numbers) + 1)
+        up, self.down = powers(len(numbers) + 1, base)
         self.sums = np.zeros(len(numbers) + 1, np.uint64)
         for start in range(0, len(numbers), BLOCK):
             part = numbers[start:start + BLOCK]
-            self.sums[start + 1:start + 1 + len(part)] = mixed(part) * up[start:start + len(part)]
+            self.sums[start + 1:start + 1 + len(part)] = mixed(part + np.uint64(base)) * up[start:start + len(part)]
         np.cumsum(self.sums, out=self.sums)
 
     def at(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -445,29 +450,31 @@ def run_states(row: dict) -> tuple[np.ndarray, ...]:
     return start, length, first, window, state
 
 
-def open_windows(row: dict, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def open_windows(row: dict, data: np.ndarray, base: int = BASES[0]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Windows, whether each is known to be repeated, numbers of those still open, and their hashes."""
     _, length, first, window, state = run_states(row)
     state = np.repeat(state, length)
     asked = np.flatnonzero(first & (state == OPEN))
-    hashed = Hashed(data).at(window[asked], window[asked] + LENGTH) if len(asked) else np.zeros(0, np.uint64)
+    hashed = Hashed(data, base).at(window[asked], window[asked] + LENGTH) if len(asked) else np.zeros(0, np.uint64)
     return window, ~first | (state == REPEATED), asked, hashed
 
 
 def window_questions(scans: DataFrame, buckets: int) -> DataFrame:
-    """bucket, shard, hashes, id of the first windows in open runs."""
+    """bucket, shard, hashes, others (a second hash), id of the first windows in open runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             data, starts = text_of(row)
             window, _, asked, hashed = open_windows(row, data)
+            other = Hashed(data, BASES[1]).at(window[asked], window[asked] + LENGTH) if len(asked) else hashed
             ids = unpack_plain(row["ids"], np.int64)[np.searchsorted(starts, window[asked], side="right") - 1] if len(asked) else asked
-            made = [(b, row["shard"], pack_plain(hashed[at]), pack(ids[at])) for b, at in by_bucket((hashed % np.uint64(buckets)).astype(np.int64))]
+            made = [(b, row["shard"], pack_plain(hashed[at]), pack_plain(other[at]), pack(ids[at]))
+                    for b, at in by_bucket((hashed % np.uint64(buckets)).astype(np.int64))]
             if made:
-                yield made_rows(made, ["bucket", "shard", "hashes", "id"], [pa.int32(), pa.int64(), pa.binary(), pa.binary()])
+                yield made_rows(made, ["bucket", "shard", "hashes", "others", "id"], [pa.int32(), pa.int64(), *[pa.binary()] * 3])
 
     return scans.select("shard", "ids", "starts", "text", "run_start", "run_length", "key", "first", "runs").mapInArrow(
-        tidy(run), "bucket int, shard long, hashes binary, id binary")
+        tidy(run), "bucket int, shard long, hashes binary, others binary, id binary")
 
 
 def merged_windows(questions: DataFrame) -> DataFrame:
@@ -477,9 +484,10 @@ def merged_windows(questions: DataFrame) -> DataFrame:
         parts = [unpack_plain(h, np.uint64) for h in frame["hashes"]]
         sizes = [len(p) for p in parts]
         hashed, ids = np.concatenate(parts), np.concatenate([unpack(i) for i in frame["id"]])
-        order = np.lexsort((np.repeat(frame["shard"].to_numpy(), sizes), ids, hashed))
+        other = np.concatenate([unpack_plain(o, np.uint64) for o in frame["others"]])
+        order = np.lexsort((np.repeat(frame["shard"].to_numpy(), sizes), ids, other, hashed))
         owner = np.ones(len(hashed), bool)
-        owner[1:] = hashed[order][1:] != hashed[order][:-1]
+        owner[1:] = (hashed[order][1:] != hashed[order][:-1]) | (other[order][1:] != other[order][:-1])
         repeated = np.empty(len(hashed), bool)
         repeated[order] = ~owner
         return pd.DataFrame({"shard": frame["shard"], "bucket": frame["bucket"],

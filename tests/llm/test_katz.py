@@ -143,3 +143,12 @@ def test_empty_table_and_nothing_to_learn_from(spark, order):
     row = katz.scores(table(spark, [(held, "a b")]), order=order).collect()[0]
     assert (row.n_tokens, row.n_known, row.train_tokens) == (3, 0, 0)
     assert row.score == pytest.approx(0) and row.base_score == pytest.approx(0)
+
+
+def test_nothing_is_left_in_the_catalog(spark):
+    def names():
+        return {d.name for d in spark.catalog.listDatabases()}, {t.name for t in spark.catalog.listTables() if not t.isTemporary}
+
+    before = names()
+    plan = katz.scores(table(spark, ROWS))
+    assert plan.count() == len(ROWS) and names() == before
