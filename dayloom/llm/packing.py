@@ -22,12 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dayloom.llm.bpe import TRIE_BYTES, expanded
-from dayloom.llm.common import documents, slices
+from dayloom.llm.bpe import expanded
+from dayloom.llm.common import documents, slices, tidy
 from dayloom.session import written
 
 SEQUENCE = 4096
 END = 1
+#: Bytes of text whose words share one trie, and tokens that are written out at once.
+STEP_BYTES, STEP_TOKENS = 12 << 20, 500_000
 #: Rows of one length that are numbered in one task, about.
 RANKED_ROWS = 200_000
 
@@ -53,12 +55,12 @@ def pieces(docs: DataFrame, path: str, size: int = SEQUENCE) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, limit=TRIE_BYTES):
-                for first, ids, offsets in expanded(part.column("text"), path):
+            for part in slices(batch, limit=STEP_BYTES):
+                for first, ids, offsets in expanded(part.column("text"), path, STEP_TOKENS):
                     yield cut(part.slice(first, len(offsets) - 1), ids, offsets)
 
     kind = frame.schema["doc_id"].dataType.simpleString()
-    return frame.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return frame.mapInArrow(tidy(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def plan(counts: dict[int, int], size: int = SEQUENCE) -> list[tuple[int, int, int, int, int, int]]:
