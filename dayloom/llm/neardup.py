@@ -13,7 +13,7 @@ room for enough of them in common: an upper bound, so no link is lost by it. Tha
 partner is confirmed, which ties families together at a link a document, then all pairs that are still apart.
 What links inside a component cannot change the result, so no class is lost.
 
-Defined cases: a null or empty text has the empty set, is linked with nothing and is kept; rows that repeat a doc_id
+Defined cases: a doc_id is a whole number, or text that reads as one; a null or empty text has the empty set, is linked with nothing and is kept; rows that repeat a doc_id
 share a component; a row without doc_id is its own, without a component, and kept; an empty table gives an empty
 result; columns other than doc_id and text are not read.
 """

@@ -55,20 +55,31 @@ QUALITY_SQL = r"""
                  len(list_filter(words, lambda x: regexp_matches(x, '[A-Z]{2}') AND NOT regexp_matches(x, '[a-z]'))) AS n_capital_words,
                  len(list_filter(words, lambda x: regexp_matches(x, '\p{L}'))) AS n_letter_words
           FROM w LEFT JOIN covered USING (doc_id)),
-    f AS (SELECT *, CAST(RULE_BITS AS BIGINT) AS failed FROM m)
-    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & BASE_MASK) <> 0 AS base_failed,
-           (failed & POLICY_MASK) = 0 AS kept, failed FROM f""".replace("RULE_BITS", " + ".join(
-    f"CASE WHEN {rule} THEN {1 << k} ELSE 0 END" for k, rule in enumerate(quality.RULES.values()))).replace(
-    "BASE_MASK", str(quality.mask(quality.BASE))).replace("POLICY_MASK", str(quality.mask(quality.POLICIES["v2"])))
+    f AS (SELECT *, CAST(RULE_BITS AS BIGINT) AS failed FROM m)""".replace("RULE_BITS", " + ".join(
+    f"CASE WHEN {rule} THEN {1 << k} ELSE 0 END" for k, rule in enumerate(quality.RULES.values())))
+POLICY = quality.mask(quality.POLICIES["v2"])
 
 
-@query("op3_quality_rules", QUALITY_SQL)
+@query("op3_quality_rules", f"""{QUALITY_SQL}
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & {quality.mask(quality.BASE)}) <> 0 AS base_failed,
+           (failed & {POLICY}) = 0 AS kept, failed FROM f""")
 def quality_rules(spark, sf_dir):
     entries = written(quality.ledger(table(spark, sf_dir, "documents")), "ledger")
     return quality.apply_policy(entries, "v2").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed")
 
 
+@query("quality_ablations", QUALITY_SQL + " UNION ALL ".join(f"""
+    SELECT '{rule}' AS rule, count(*) FILTER (failed & {quality.mask([rule])} <> 0) AS n_failed,
+           count(*) FILTER (failed & {POLICY} = {quality.mask([rule])}) AS n_failed_alone,
+           count(*) FILTER (failed & {POLICY & ~quality.mask([rule])} = 0) AS n_kept_without FROM f"""
+    for rule in quality.POLICIES["v2"]))
+def quality_ablations(spark, sf_dir):
+    """What each rule of the policy rejects, alone and with others, from the ledger's bits."""
+    entries = written(quality.ledger(table(spark, sf_dir, "documents")), "ledger")
+    return quality.ablations(entries, "v2")
+
+
 @query("op4_suffix_array_dedup", """
     WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
     win AS (SELECT doc_id, p, substr(h, 2 * p + 1, 200) AS s FROM d, unnest(range(0, greatest(0, n - 99))) t(p)),
