@@ -35,8 +35,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document without the strings of 100 bytes or more that stand earlier; n_chars follows the text."""
-    return suffix.cleaned(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """Every document without the strings of 100 bytes or more that stand earlier; n_chars, if there is one, follows the text."""
+    made = suffix.cleaned(docs)
+    return made.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else made
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
