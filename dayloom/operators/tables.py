@@ -77,6 +77,7 @@ class Landed:
     appended_rows: int
     skipped_rows: int
     new_days: tuple = ()
+    unwatched_days: tuple = ()  # of the new days those that a second write has filled, past the watch
 
 
 def append_new_days(df: DataFrame, table: str, day: str = "load_date", full_refresh: bool = False,
@@ -137,7 +138,7 @@ def append_new_days(df: DataFrame, table: str, day: str = "load_date", full_refr
     # from the new partitions: tasks behind a shuffle may run twice and count their rows twice
     written_days = spark.table(table).where(F.col(day).isin(list(new)) if known else F.lit(True))
     appended = written_days.count() if new else 0
-    return Landed(appended, rows - appended, new)
+    return Landed(appended, rows - appended, new, tuple(sorted(empty, key=str)))
 
 
 def _typed(spark: SparkSession, table: str, day: str, days: list[str]) -> tuple:

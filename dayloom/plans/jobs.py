@@ -154,8 +154,13 @@ def build_all(spark: SparkSession, lake: Lake, full_refresh: bool = False, check
         stale = unsummarised_days(spark, lake) if ledger is None else stale_days(spark, lake, ledger, held)
     days = sorted({*landed.new_days, *stale}, key=str) if scoped else None
     facts = _facts(spark, lake, days)
-    beside = None if whole else _facts(spark, lake, [d for d in days if d not in landed.new_days]) if scoped else (
-        facts.where(~F.col(feed.day).isin(list(landed.new_days))) if landed.new_days else facts)
+    seen = [d for d in landed.new_days if d not in landed.unwatched_days]
+    if whole:
+        beside = None
+    elif scoped:
+        beside = _facts(spark, lake, [d for d in days if d not in seen])
+    else:
+        beside = facts.where(~F.col(feed.day).isin(seen)) if seen else facts
     passed = quality.gate(watch.report(facts, beside))
     rollup = summarise(facts, feed, round_digits)
     if scoped:

@@ -159,6 +159,17 @@ def test_a_crash_after_the_append_is_made_up_for(spark, models):
     assert spark.table(models.summary).where("load_date = '2026-07-13'").count() == 4
 
 
+def test_days_that_fill_an_empty_partition_are_tested_too(spark, models):
+    """A partition without rows, as a failed write leaves it, is filled by a second write, past what the first has counted."""
+    jobs.land_ndjson(readings(spark), models.root, datetime(2026, 7, 12, 7, 44))
+    jobs.build_all(spark, models)
+    spark.sql(f"ALTER TABLE {models.facts} ADD PARTITION (load_date = '2026-07-13')")
+    bad = readings(spark, temperature=75.0).withColumn("observed_at", F.lit("2026-07-13T07:30"))
+    jobs.land_ndjson(bad, models.root, datetime(2026, 7, 13, 7, 44))
+    with pytest.raises(quality.DataQualityError, match="accepted_range_temperature_c=4"):
+        jobs.build_all(spark, models, only_new_days=True)
+
+
 def test_only_new_days_gives_the_same_tables(spark, models, tmp_path):
     others = replace(models, facts=models.facts + "_full", summary=models.summary + "_full")
     for day in ("2026-07-12", "2026-07-13", "2026-07-13", "2026-07-14"):
