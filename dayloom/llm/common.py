@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import sys
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,19 @@ def per_slice(function: Callable[[pa.RecordBatch], pa.RecordBatch | None], colum
     return run
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Python gets at most so many rows at a time from what is run inside: rows that hold texts or arrays are large, and
+    both sides keep a batch whole. No result depends on it."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def release_memory() -> None:
     """Give back to the system what this worker holds and does not use; it lives on through other stages."""
     pa.default_memory_pool().release_unused()

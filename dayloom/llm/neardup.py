@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayloom.llm.common import documents, hashes, mixed, per_slice, slices, tidy, window_hashes, word_codes
+from dayloom.llm.common import documents, hashes, mixed, per_slice, slices, small_batches, tidy, window_hashes, word_codes
 from dayloom.llm.components import components
 from dayloom.llm.katz import by_bucket, pack, pack_plain, unpack_plain
 from dayloom.llm.suffix import gathered, joined, made_rows, repeated_places, rows_of, short_keys
@@ -40,6 +40,8 @@ VALUES, CHUNK, NEAR_ENOUGH = 32, 4, 19
 SEEDS = mixed(np.arange(1, VALUES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 #: Members of a bucket, or documents next to one pivot, that one block compares.
 BLOCK = 1024
+#: Documents, or sets of shingles, that a worker is handed at once.
+BATCH_ROWS = 1_000
 #: Bytes of text that one step makes shingles of; its arrays are many times as large.
 STEP_BYTES = 3 << 20
 #: Pairs of a document that travel with one copy of its text, about, and bytes of set copies in one batch.
@@ -360,6 +362,11 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (lowest doc_id reachable by links), kept."""
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        return _near_duplicates(docs, size, percent)
+
+
+def _near_duplicates(docs: DataFrame, size: int, percent: int) -> DataFrame:
     rows = written(signatures(docs, size), "signatures")
     known = rows.where("doc_id is not null")
     mark = ["n_shingles", "set_a", "set_b"]

@@ -23,13 +23,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from dayloom.llm.bpe import expanded
-from dayloom.llm.common import documents, slices, tidy
+from dayloom.llm.common import documents, slices, small_batches, tidy
 from dayloom.session import written
 
 SEQUENCE = 4096
 END = 1
 #: Bytes of text whose words share one trie, and tokens that are written out at once.
 STEP_BYTES, STEP_TOKENS = 12 << 20, 500_000
+#: Documents that a worker is handed at once.
+BATCH_ROWS = 4_000
 #: Rows of one length that are numbered in one task, about.
 RANKED_ROWS = 200_000
 
@@ -126,7 +128,8 @@ def pack(docs: DataFrame, path: str, size: int = SEQUENCE) -> DataFrame:
     bounded by ``size`` alone.
     """
     spark = docs.sparkSession
-    rows = written(pieces(docs, path, size), "pieces")
+    with small_batches(spark, BATCH_ROWS):
+        rows = written(pieces(docs, path, size), "pieces")
     counts = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}
     runs = plan(counts, size)
     planned = spark.createDataFrame(runs, "of_length long, first_rank long, ranks long, first long, each long, at long")

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayloom.llm.common import mixed, slices, tidy
+from dayloom.llm.common import mixed, slices, small_batches, tidy
 from dayloom.llm.katz import by_bucket, pack, pack_plain, unpack, unpack_plain
 from dayloom.operators.sizes import is_small
 from dayloom.session import written
@@ -44,6 +44,8 @@ from dayloom.session import written
 LENGTH, GRAM = 100, 32
 SHARD_BYTES = 2 << 20
 BUCKET_BYTES = 16 << 20
+#: Documents, and shards, that a worker is handed at once.
+BATCH_ROWS, BATCH_SHARDS = 2_000, 4
 EIGHT = 8
 #: Places that one step of a pass works on, so that its arrays stay in the processor's cache.
 BLOCK = 1 << 15
@@ -511,12 +513,15 @@ def removed_bytes(row: dict, data: np.ndarray, buckets: int) -> np.ndarray:
 
 def merged_scans(docs: DataFrame) -> tuple[DataFrame, int]:
     """The shards of ``docs`` with all that ``removed_bytes`` needs, and the number of buckets."""
-    parts = written(shards(docs), "texts")
-    total = parts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    buckets = max(1, -(-total // BUCKET_BYTES))
-    scans = written(scanned(joined(parts, gathered(repeated_places(named_places(parts, buckets)), "bucket", "repeated"), "named"), buckets), "scans")
-    with_runs = joined(scans, gathered(merged_runs(run_questions(scans)), "bucket", "state"), "runs")
-    return joined(with_runs, gathered(merged_windows(window_questions(with_runs, buckets)), "bucket", "repeated"), "windows"), buckets
+    spark = docs.sparkSession
+    with small_batches(spark, BATCH_ROWS):
+        parts = written(shards(docs), "texts")
+    with small_batches(spark, BATCH_SHARDS):
+        total = parts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        buckets = max(1, -(-total // BUCKET_BYTES))
+        scans = written(scanned(joined(parts, gathered(repeated_places(named_places(parts, buckets)), "bucket", "repeated"), "named"), buckets), "scans")
+        with_runs = joined(scans, gathered(merged_runs(run_questions(scans)), "bucket", "state"), "runs")
+        return joined(with_runs, gathered(merged_windows(window_questions(with_runs, buckets)), "bucket", "repeated"), "windows"), buckets
 
 
 def spans(gone: np.ndarray, starts: np.ndarray) -> np.ndarray:

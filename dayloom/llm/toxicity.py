@@ -25,7 +25,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayloom.llm.common import counts_per, documents, held_out, owners, per_slice, translated, words
+from dayloom.llm.common import counts_per, documents, held_out, owners, per_slice, small_batches, translated, words
 from dayloom.operators.sizes import broadcast_if_small
 from dayloom.session import written
 
@@ -33,6 +33,8 @@ from dayloom.session import written
 TRAINING_ROWS = 60_000
 #: Bytes of text that one step makes features of; its arrays are several times as large.
 STEP_BYTES = 2 << 20
+#: Documents that a worker is handed at once, where the stage is run here.
+BATCH_ROWS = 1_000
 #: How sure an entry of the learned lexicon must be: its log-likelihood ratio, beyond twice the logarithm of the number of
 #: terms that were looked at. Chance makes none however many terms there are, so the lexicon needs no cap.
 LEAST_EVIDENCE = 8.0
@@ -244,9 +246,10 @@ def scores(docs: DataFrame, labels: DataFrame, *more: str, most: int = TRAINING_
 
 def kept_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents, with all their columns, that are not predicted toxic; of rows that share a doc_id each by its text."""
-    found = scores(documents(docs).withColumn("text_sha256", F.sha2("text", 256)), labels, "text_sha256")
-    toxic = written(found.where("predicted = 1").select(
-        F.col("doc_id").alias("toxic_id"), F.col("text_sha256").alias("toxic_sha")).distinct(), "toxic")
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        found = scores(documents(docs).withColumn("text_sha256", F.sha2("text", 256)), labels, "text_sha256")
+        toxic = written(found.where("predicted = 1").select(
+            F.col("doc_id").alias("toxic_id"), F.col("text_sha256").alias("toxic_sha")).distinct(), "toxic")
     text_sha = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
     return docs.join(broadcast_if_small(toxic), docs["doc_id"].eqNullSafe(toxic["toxic_id"]) & (text_sha == toxic["toxic_sha"]),
                      "left_anti")
