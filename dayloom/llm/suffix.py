@@ -42,7 +42,7 @@ from dayloom.operators.sizes import is_small
 from dayloom.session import written
 
 LENGTH, GRAM = 100, 32
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 3 << 20
 BUCKET_BYTES = 16 << 20
 #: Documents, and shards, that a worker is handed at once.
 BATCH_ROWS, BATCH_SHARDS = 2_000, 4
@@ -153,32 +153,34 @@ def suffix_order(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """
     n = len(data) - 128
     numbers = eights(data)[:n]
-    order = np.argsort(numbers)
+    order = np.argsort(numbers).astype(np.int32)
     numbers = numbers[order]
     head = np.ones(n, bool)
     head[1:] = numbers[1:] != numbers[:-1]
-    rank = np.full(n + 128, n + 1)  # what lies beyond is all gap bytes, the highest
-    slots = np.arange(n)
-    rank[order] = np.maximum.accumulate(np.where(head, slots, 0)) + 1
+    del numbers
+    rank = np.full(n + 128, n + 1, np.int32)  # what lies beyond is all gap bytes, the highest
+    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n, dtype=np.int32), np.int32(0))) + np.int32(1)
     split = head.copy()
     told = EIGHT
     while told < LENGTH:
         alone = head & np.append(head[1:], True)
-        open_slots = np.flatnonzero(~alone)
+        open_slots = np.flatnonzero(~alone).astype(np.int32)
         split = np.zeros(n, bool)
         if not len(open_slots):
             break
         places = order[open_slots]
-        key = rank[places] << 32 | rank[places + told]
+        key = rank[places].astype(np.int64) << 32 | rank[places + np.int32(told)]
         by = np.argsort(key)
         key, places = key[by], places[by]
+        del by
         order[open_slots] = places
         new = np.ones(len(key), bool)
         new[1:] = key[1:] != key[:-1]
+        del key
         fresh = open_slots[new]
         split[fresh] = ~head[fresh]
         head[fresh] = True
-        rank[places] = np.maximum.accumulate(np.where(new, open_slots, 0)) + 1
+        rank[places] = np.maximum.accumulate(np.where(new, open_slots, np.int32(0))) + np.int32(1)
         told *= 2
     return order, head, split
 
@@ -191,7 +193,7 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, slots: np.ndarray, leas
     """
     numbers = eights(data)
     limit = len(numbers) - 1
-    place, other = order[slots], order[slots - 1]
+    place, other = order[slots].astype(np.int64), order[slots - 1].astype(np.int64)
     shared = np.full(len(slots), least, np.int64)
     by_place = np.argsort(place)
     first = np.zeros(len(slots), bool)
@@ -229,7 +231,7 @@ def classes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     slots = np.flatnonzero(split)
     if len(slots):
         new[slots] = common_prefixes(data, order, slots, LENGTH // 2 + 14, LENGTH + EIGHT) < LENGTH
-    return order, np.cumsum(new) - 1
+    return order, np.cumsum(new, dtype=np.int32) - np.int32(1)
 
 
 def ipc(table: pa.RecordBatch) -> bytes:
@@ -355,29 +357,38 @@ def scan(data: np.ndarray, starts: np.ndarray, answers: list[dict], buckets: int
     length = run_stop - run_start
     if not len(run_start):
         return [pack(run_start), pack_plain(length), pack_plain(run_key), pack_plain(run_start), pack_plain(run_start), b""]
-    covered = np.zeros(len(data) + 1, np.int64)
+    del named, inside, begins, ends, places_of_ends, repeated, keys
+    covered = np.zeros(len(data) + 1, np.int32)
     np.add.at(covered, run_start, 1)
     np.add.at(covered, run_stop + LENGTH - 1, -1)
-    covered = np.cumsum(covered[:-1]) > 0
-    kept = np.flatnonzero(covered)
+    covered = np.cumsum(covered[:-1], dtype=np.int32) > 0
+    kept = np.flatnonzero(covered).astype(np.int32)
     breaks = np.ones(len(kept), bool)
     breaks[1:] = np.diff(kept) > 1
     begin_of_document = np.zeros(len(data) + 1, bool)
     begin_of_document[starts[:-1]] = True
     breaks |= begin_of_document[kept]
-    spot = np.arange(len(kept)) + np.cumsum(breaks)  # a gap byte before each stretch
-    packed = np.full(spot[-1] + 1 + 128, GAP, np.uint8)
+    spot = np.arange(len(kept), dtype=np.int32) + np.cumsum(breaks, dtype=np.int32)  # a gap byte before each stretch
+    packed = np.full(int(spot[-1]) + 1 + 128, GAP, np.uint8)
     packed[spot] = data[kept]
+    del covered, breaks, begin_of_document
     order, number = classes(packed)
-    class_of = np.empty(len(order), np.int64)
+    del packed
+    class_of = np.empty(len(order), np.int32)
     class_of[order] = number
-    window = np.repeat(run_start - (np.cumsum(length) - length), length) + np.arange(length.sum())
-    spot_of = np.zeros(len(data), np.int64)
+    count = len(order)
+    del order, number
+    spot_of = np.zeros(len(data), np.int32)
     spot_of[kept] = spot
+    del kept, spot
+    window = (np.repeat((run_start - (np.cumsum(length) - length)).astype(np.int32), length) + np.arange(length.sum(), dtype=np.int32))
     own_class = class_of[spot_of[window]]
-    first_window = np.empty(len(order), np.int64)
-    first_window[own_class[::-1]] = np.arange(len(window))[::-1]
-    first = first_window[own_class] == np.arange(len(window))
+    del class_of, spot_of, window
+    turns = np.arange(len(own_class), dtype=np.int32)
+    first_window = np.empty(count, np.int32)
+    first_window[own_class[::-1]] = turns[::-1]
+    first = first_window[own_class] == turns
+    del first_window, own_class, turns
     around = Hashed(data).at(run_start, run_stop + LENGTH - 1)
     document = np.searchsorted(starts, run_start, side="right") - 1
     return [pack(run_start), pack_plain(length), pack_plain(run_key), pack_plain(around), pack(document), np.packbits(first).tobytes()]
