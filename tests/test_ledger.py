@@ -211,7 +211,7 @@ def test_jobs_do_not_grow_with_the_days_offered(spark, database, tracked):
 
     tables.append_new_days(days(60), name, ledger=ledger)
     with setting(spark, "spark.sql.sources.parallelPartitionDiscovery.threshold", "1000"):  # else long lists of paths are a job
-        few = jobs_run(spark, lambda: tables.append_new_days(days(3), name, ledger=ledger))
+        few = jobs_run(spark, lambda: tables.append_new_days(days(20), name, ledger=ledger))
         many = jobs_run(spark, lambda: tables.append_new_days(days(60), name, ledger=ledger))
     assert many <= few + 1 and many < 15
     assert spark.table(name).count() == 60
