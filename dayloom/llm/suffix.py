@@ -42,7 +42,7 @@ from dayloom.operators.sizes import is_small
 from dayloom.session import written
 
 LENGTH, GRAM = 100, 32
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 2 << 20
 BUCKET_BYTES = 16 << 20
 #: Documents, and shards, that a worker is handed at once.
 BATCH_ROWS, BATCH_SHARDS = 2_000, 4
@@ -58,14 +58,22 @@ LAST = np.iinfo(np.int64).max
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
-def powers(size: int, base: int = BASES[0]) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse, modulo 2 ** 64; made anew, as they are as large as a shard."""
-    made = []
-    for factor in (base, pow(base, -1, 1 << 64)):
-        steps = np.full(size, factor, np.uint64)
-        steps[0] = 1
-        made.append(np.cumprod(steps))
-    return made[0], made[1]
+def powers(size: int, base: int) -> np.ndarray:
+    """Powers of an odd number from 0 on, modulo 2 ** 64."""
+    steps = np.full(size, base, np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps)
+
+
+class Powers:
+    """Powers of an odd number at any places, from a table for the places in a block and one for the blocks."""
+
+    def __init__(self, size: int, base: int):
+        self.inside = powers(BLOCK, base)
+        self.blocks = powers(size // BLOCK + 1, pow(base, BLOCK, 1 << 64))
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        return self.inside[places % BLOCK] * self.blocks[places // BLOCK]
 
 
 def eights(data: np.ndarray) -> np.ndarray:
@@ -77,23 +85,24 @@ class Hashed:
     """Hashes of all runs of a text by sums over its eight-byte numbers."""
 
     def __init__(self, data: np.ndarray, base: int = BASES[0]):
-        numbers = eights(data)
-        up, self.down = powers(len(numbers) + 1, base)
-        self.sums = np.zeros(len(numbers) + 1, np.uint64)
-        for start in range(0, len(numbers), BLOCK):
-            part = numbers[start:start + BLOCK]
-            self.sums[start + 1:start + 1 + len(part)] = mixed(part + np.uint64(base)) * up[start:start + len(part)]
+        size = max(0, len(data) - EIGHT + 1)
+        up = Powers(size + 1, base)
+        self.down = Powers(size + 1, pow(base, -1, 1 << 64))
+        self.sums = np.zeros(size + 1, np.uint64)
+        for start in range(0, size, BLOCK):
+            part = mixed(eights(data[start:start + BLOCK + EIGHT - 1]) + np.uint64(base))
+            self.sums[start + 1:start + 1 + len(part)] = part * up.inside[:len(part)] * up.blocks[start // BLOCK]
         np.cumsum(self.sums, out=self.sums)
 
     def at(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         """Hash of the bytes from start to stop, at least eight."""
-        return mixed((self.sums[stop - EIGHT + 1] - self.sums[start]) * self.down[start] + (stop - start).astype(np.uint64))
+        return mixed((self.sums[stop - EIGHT + 1] - self.sums[start]) * self.down.at(start) + (stop - start).astype(np.uint64))
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the GRAM bytes from each place on."""
     total, n = max(0, len(data) - GRAM + 1), GRAM - EIGHT + 1
-    up, down = powers(BLOCK + GRAM)
+    up, down = (powers(BLOCK + GRAM, base) for base in (BASES[0], pow(BASES[0], -1, 1 << 64)))
     made = np.empty(total, np.uint64)
     for start in range(0, total, BLOCK):
         numbers = eights(data[start:start + BLOCK + GRAM - 1])
