@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 from dayloom.operators import chat
 from dayloom.operators.digests import text_digests
 from dayloom.plans.registry import query, table
-from dayloom.session import fresh_database
+from dayloom.session import fresh_database, written
 
 MODEL = "small-instruct"
 PART_BYTES = 600  # so small that most conversations come in several parts
+PIECE_PARTS = chat.REQUEST_BYTES // PART_BYTES  # parts that one row can hold joined
 
 
 def messages(spark, folder, **options) -> DataFrame:
@@ -75,11 +76,30 @@ FRAGMENTS_SQL = f"""{PARTS_SQL}, inner_messages AS (
     FROM parts LEFT JOIN inner_messages USING (conv_id, part))"""
 
 
-@query("chat_request_parts", f"WITH {FRAGMENTS_SQL} SELECT conv_id, part, closes, request FROM fragments")
+@query("chat_request_parts", f"""WITH {MESSAGES_SQL}, {FRAGMENTS_SQL}, counted AS (
+    SELECT conv_id, count(*) AS parts, max(part) AS last_part FROM parts GROUP BY conv_id), pieces AS (
+    SELECT conv_id, min(part) AS part, string_agg(request, '' ORDER BY part) AS joined FROM fragments GROUP BY conv_id, part // {PIECE_PARTS})
+    SELECT fragments.conv_id, fragments.part, closes, request, parts, last_part,
+           CASE WHEN last_part < {PIECE_PARTS} THEN '{{"model":"{MODEL}","stream":false,"messages":' || CAST(messages AS VARCHAR) || '}}' ELSE joined END AS body
+    FROM fragments LEFT JOIN pieces ON fragments.conv_id = pieces.conv_id AND fragments.part = pieces.part
+    LEFT JOIN counted ON pieces.conv_id = counted.conv_id LEFT JOIN listed ON pieces.conv_id = listed.conv_id""")
 def chat_request_parts(spark, folder):
-    """The bodies of long conversations as fragments, each compared by itself."""
-    fragments = chat.build_request(messages(spark, folder, max_bytes=PART_BYTES), MODEL)
-    return fragments.select("conv_id", "part", "closes", "request")
+    """The bodies of long conversations as fragments, which joined in order are the whole body.
+
+    The first fragment has the number of parts, the last one and the body joined from them. A body too long for a row
+    is joined in pieces, each beside its first fragment: no group holds more than ``REQUEST_BYTES`` and one message.
+    """
+    fragments = written(chat.build_request(messages(spark, folder, max_bytes=PART_BYTES), MODEL).select(
+        "conv_id", "part", "closes", "request"), "fragments")
+    in_order = F.array_sort(F.collect_list(F.struct("part", "request")))
+    pieces = fragments.groupBy("conv_id", F.expr(f"part div {PIECE_PARTS}").alias("piece")).agg(
+        F.min("part").alias("first"), F.array_join(F.transform(in_order, lambda f: f["request"]), "").alias("body"))
+    counted = fragments.groupBy(F.col("conv_id").alias("counted_id")).agg(
+        F.count(F.lit(1)).alias("parts"), F.max("part").alias("last_part"))
+    heads = pieces.join(counted, F.col("conv_id").eqNullSafe(F.col("counted_id"))).select(
+        F.col("conv_id").alias("head_id"), "first", "parts", "last_part", "body")
+    return fragments.join(heads, F.col("conv_id").eqNullSafe(F.col("head_id")) & (F.col("part") == F.col("first")), "left").select(
+        "conv_id", "part", "closes", "request", "parts", "last_part", "body")
 
 
 @query("chat_body_digests", f"""WITH {MESSAGES_SQL}

@@ -8,6 +8,7 @@ import xxhash
 
 from dayloom.operators import chat
 from dayloom.operators.parts import heavy_keys, ordered_parts, split_by_keys
+from dayloom.plans import chat_queries
 from plan_text import executed_plan
 
 SCHEMA = "conv_id bigint, turn bigint, role string, text string"
@@ -255,3 +256,23 @@ def test_both_response_shapes(spark):
     rows = sorted(tuple(r)[0:1] + tuple(r)[2:] for r in chat.parse_response(df).collect())
     assert rows == [(0, "Hello", "stop", 20), (1, "legacy", "length", 7), (2, None, None, None),
                     (3, None, None, None), (4, None, None, None), (5, "plain", None, None)]
+
+
+@pytest.mark.parametrize("piece", [None, 2])
+def test_request_parts_come_with_the_joined_body(spark, tmp_path, monkeypatch, piece):
+    if piece:
+        monkeypatch.setattr(chat_queries, "PIECE_PARTS", piece)
+    rows = TURNS + [(9, k, "user", "word " * (k % 7) * 40) for k in range(30)] + [(None, 0, "user", "none " * 200), (None, 1, "user", "end")]
+    turns(spark, rows).write.parquet(f"{tmp_path}/conversations.parquet")
+    whole = bodies_of(chat.build_request(chat.build_messages(turns(spark, rows)), chat_queries.MODEL))
+    got = chat_queries.chat_request_parts(spark, str(tmp_path))
+    assert bodies_of(got) == whole
+    held = {}
+    for row in got.collect():
+        held.setdefault(row.conv_id, []).append(row)
+    for key, parts in held.items():
+        heads = sorted((r for r in parts if r.body is not None), key=lambda r: r.part)
+        assert "".join(r.body for r in heads) == whole[key]
+        assert {(r.parts, r.last_part) for r in heads} == {(len(parts), max(r.part for r in parts))}
+        assert len(heads) == (len({r.part // piece for r in parts}) if piece else 1)
+    assert max(map(len, held.values())) > 5
