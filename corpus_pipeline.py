@@ -41,8 +41,11 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 4096 tokens with their sequence and offset."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Pieces of at most 4096 tokens with their sequence and offset.
+
+    Workers and heaps live on through all stages, so that this one goes in small steps and leaves nothing behind.
+    """
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), batch=1_000, keep=False)
 
 
 STAGES = [("toxicity", drop_toxic), ("exact dedup", drop_copies), ("MinHash near-dedup", drop_near_copies),

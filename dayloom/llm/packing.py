@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dayloom.llm.bpe import expanded
+from dayloom.llm.bpe import encoder, expanded
 from dayloom.llm.common import documents, slices, small_batches, tidy
 from dayloom.session import written
 
@@ -36,8 +36,11 @@ BATCH_ROWS = 4_000
 RANKED_ROWS = 200_000
 
 
-def pieces(docs: DataFrame, path: str, size: int = SEQUENCE) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32: every document's ids and the end token, cut where longer than ``size``."""
+def pieces(docs: DataFrame, path: str, size: int = SEQUENCE, keep: bool = True) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32: every document's ids and the end token, cut where longer than ``size``.
+
+    Without ``keep`` a worker gives its vocabulary back after each task, and loads it again for the next.
+    """
     frame = documents(docs)
 
     def cut(part: pa.RecordBatch, ids: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
@@ -60,6 +63,8 @@ def pieces(docs: DataFrame, path: str, size: int = SEQUENCE) -> DataFrame:
             for part in slices(batch, limit=STEP_BYTES):
                 for first, ids, offsets in expanded(part.column("text"), path, STEP_TOKENS):
                     yield cut(part.slice(first, len(offsets) - 1), ids, offsets)
+        if not keep:
+            encoder.cache_clear()
 
     kind = frame.schema["doc_id"].dataType.simpleString()
     return frame.mapInArrow(tidy(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
@@ -121,15 +126,15 @@ def ranked(rows: DataFrame, parts: int) -> DataFrame:
         "rank", F.col("before") + F.col("own")).drop("own", "before", "of_length", "of_part", "part")
 
 
-def pack(docs: DataFrame, path: str, size: int = SEQUENCE) -> DataFrame:
+def pack(docs: DataFrame, path: str, size: int = SEQUENCE, batch: int = BATCH_ROWS, keep: bool = True) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     The driver sees one count per length, ``size`` at most, and the plan, whose runs are a few per length; both are
-    bounded by ``size`` alone.
+    bounded by ``size`` alone. A smaller ``batch`` and no ``keep`` take less of a worker's memory and more of its time.
     """
     spark = docs.sparkSession
-    with small_batches(spark, BATCH_ROWS):
-        rows = written(pieces(docs, path, size), "pieces")
+    with small_batches(spark, batch):
+        rows = written(pieces(docs, path, size, keep), "pieces")
     counts = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}
     runs = plan(counts, size)
     planned = spark.createDataFrame(runs, "of_length long, first_rank long, ranks long, first long, each long, at long")

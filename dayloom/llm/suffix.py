@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayloom.llm.common import mixed, slices, small_batches, tidy
+from dayloom.llm.common import mixed, release_memory, slices, small_batches, tidy
 from dayloom.llm.katz import by_bucket, pack, pack_plain, unpack, unpack_plain
 from dayloom.operators.sizes import is_small
 from dayloom.session import written
@@ -96,7 +96,11 @@ class Hashed:
 
     def at(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         """Hash of the bytes from start to stop, at least eight."""
-        return mixed((self.sums[stop - EIGHT + 1] - self.sums[start]) * self.down.at(start) + (stop - start).astype(np.uint64))
+        made = np.empty(len(start), np.uint64)
+        for low in range(0, len(start), BLOCK):
+            a, b = start[low:low + BLOCK], stop[low:low + BLOCK]
+            made[low:low + BLOCK] = mixed((self.sums[b - EIGHT + 1] - self.sums[a]) * self.down.at(a) + (b - a).astype(np.uint64))
+        return made
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -408,8 +412,8 @@ def runs_of(row: dict) -> tuple[np.ndarray, ...]:
     start, length = unpack(row["run_start"]), unpack_plain(row["run_length"], np.int64)
     total = int(length.sum())
     first = np.unpackbits(np.frombuffer(row["first"], np.uint8), count=total).astype(bool) if total else np.zeros(0, bool)
-    window = np.repeat(start - (np.cumsum(length) - length), length) + np.arange(total)
-    some = np.add.reduceat(first.astype(np.int64), np.cumsum(length) - length) > 0 if total else np.zeros(0, bool)
+    window = np.repeat((start - (np.cumsum(length) - length)).astype(np.int32), length) + np.arange(total, dtype=np.int32)
+    some = np.logical_or.reduceat(first, np.cumsum(length) - length) if total else np.zeros(0, bool)
     return start, length, first, window, some
 
 
@@ -476,7 +480,7 @@ def open_windows(row: dict, data: np.ndarray, base: int = BASES[0]) -> tuple[np.
     """Windows, whether each is known to be repeated, numbers of those still open, and their hashes."""
     _, length, first, window, state = run_states(row)
     state = np.repeat(state, length)
-    asked = np.flatnonzero(first & (state == OPEN))
+    asked = np.flatnonzero(first & (state == OPEN)).astype(np.int32)
     hashed = Hashed(data, base).at(window[asked], window[asked] + LENGTH) if len(asked) else np.zeros(0, np.uint64)
     return window, ~first | (state == REPEATED), asked, hashed
 
@@ -488,10 +492,14 @@ def window_questions(scans: DataFrame, buckets: int) -> DataFrame:
         for row in rows_of(batches):
             data, starts = text_of(row)
             window, _, asked, hashed = open_windows(row, data)
-            other = Hashed(data, BASES[1]).at(window[asked], window[asked] + LENGTH) if len(asked) else hashed
-            ids = unpack_plain(row["ids"], np.int64)[np.searchsorted(starts, window[asked], side="right") - 1] if len(asked) else asked
-            made = [(b, row["shard"], pack_plain(hashed[at]), pack_plain(other[at]), pack(ids[at]))
-                    for b, at in by_bucket((hashed % np.uint64(buckets)).astype(np.int64))]
+            window = window[asked]
+            other = Hashed(data, BASES[1]).at(window, window + LENGTH) if len(asked) else hashed
+            document = (np.searchsorted(starts, window, side="right") - 1).astype(np.int32)
+            ids = unpack_plain(row["ids"], np.int64)
+            del window, asked
+            made = [(b, row["shard"], pack_plain(hashed[at]), pack_plain(other[at]), pack(ids[document[at]]))
+                    for b, at in by_bucket((hashed % np.uint64(buckets)).astype(np.int32))]
+            del hashed, other, document
             if made:
                 yield made_rows(made, ["bucket", "shard", "hashes", "others", "id"], [pa.int32(), pa.int64(), *[pa.binary()] * 3])
 
@@ -499,36 +507,60 @@ def window_questions(scans: DataFrame, buckets: int) -> DataFrame:
         tidy(run), "bucket int, shard long, hashes binary, others binary, id binary")
 
 
+def repeats(hashed: np.ndarray, other: np.ndarray, ids: np.ndarray, shard: np.ndarray) -> np.ndarray:
+    """Whether a window of both hashes comes earlier, by id and shard; one range of hashes after the other."""
+    step = (hashed >> np.uint64(61)).astype(np.uint8)
+    repeated = np.zeros(len(hashed), bool)
+    for number in range(8):
+        at = np.flatnonzero(step == number)
+        at = at[np.lexsort((shard[at], ids[at], other[at], hashed[at]))]
+        first, second = hashed[at], other[at]
+        repeated[at[1:]] = (first[1:] == first[:-1]) & (second[1:] == second[:-1])
+    return repeated
+
+
 def merged_windows(questions: DataFrame) -> DataFrame:
-    """shard, bucket, repeated: a bit for each asked window, set where an equal one comes in an earlier document."""
+    """shard, bucket, repeated: a bit for each asked window, set where an equal one comes in an earlier document.
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        parts = [unpack_plain(h, np.uint64) for h in frame["hashes"]]
-        sizes = [len(p) for p in parts]
-        hashed, ids = np.concatenate(parts), np.concatenate([unpack(i) for i in frame["id"]])
-        other = np.concatenate([unpack_plain(o, np.uint64) for o in frame["others"]])
-        order = np.lexsort((np.repeat(frame["shard"].to_numpy(), sizes), ids, other, hashed))
-        owner = np.ones(len(hashed), bool)
-        owner[1:] = (hashed[order][1:] != hashed[order][:-1]) | (other[order][1:] != other[order][:-1])
-        repeated = np.empty(len(hashed), bool)
-        repeated[order] = ~owner
-        return pd.DataFrame({"shard": frame["shard"], "bucket": frame["bucket"],
-                             "repeated": [np.packbits(r).tobytes() for r in np.split(repeated, np.cumsum(sizes)[:-1])]})
+    Rows are taken as they come, so that a worker holds a bucket's numbers only, not what they are packed in as well.
+    """
 
-    return questions.groupBy("bucket").applyInPandas(run, "shard long, bucket int, repeated binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
+        shard, bucket, columns = [], [], ([], [], [])
+        for row in rows_of(batches):
+            shard.append(row["shard"])
+            bucket.append(row["bucket"])
+            for made, values in zip(columns, (unpack_plain(row["hashes"], np.uint64), unpack_plain(row["others"], np.uint64), unpack(row["id"])), strict=True):
+                made.append(values)
+        sizes = [len(h) for h in columns[0]]
+        whole = []
+        for parts in columns:
+            whole.append(np.concatenate(parts))
+            parts.clear()
+        turn = np.argsort(np.argsort(np.array(shard))).astype(np.int32)
+        repeated = repeats(*whole, np.repeat(turn, sizes))
+        del whole, parts, values
+        release_memory()
+        made = [(s, b, np.packbits(r).tobytes()) for s, b, r in zip(shard, bucket, np.split(repeated, np.cumsum(sizes)[:-1]), strict=True)]
+        yield made_rows(made, ["shard", "bucket", "repeated"], [pa.int64(), pa.int32(), pa.binary()])
+
+    return questions.groupBy("bucket").applyInArrow(run, "shard long, bucket int, repeated binary")
 
 
 def removed_bytes(row: dict, data: np.ndarray, buckets: int) -> np.ndarray:
     """Whether each byte of the shard goes."""
     window, repeated, asked, hashed = open_windows(row, data)
     own = {a["bucket"]: a["repeated"] for a in row["windows"] or ()}
-    for b, at in by_bucket((hashed % np.uint64(buckets)).astype(np.int64)):
+    for b, at in by_bucket((hashed % np.uint64(buckets)).astype(np.int32)):
         repeated[asked[at]] = np.unpackbits(np.frombuffer(own[b], np.uint8), count=len(at)).astype(bool)
-    mark = np.zeros(len(data) + 1, np.int32)
-    mark[window[repeated]] += 1  # every window is there once
-    last = window[repeated] + LENGTH
-    np.add.at(mark, last, -1)
-    return np.cumsum(mark[:-1]) > 0
+    del asked, hashed
+    window = window[repeated]
+    mark = np.zeros(len(data) + 1, np.int8)
+    mark[window] += np.int8(1)  # every window is there once
+    mark[window + LENGTH] -= np.int8(1)
+    del window
+    return np.cumsum(mark[:-1], dtype=np.int32) > 0
 
 
 def merged_scans(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -544,13 +576,20 @@ def merged_scans(docs: DataFrame) -> tuple[DataFrame, int]:
         return joined(with_runs, gathered(merged_windows(window_questions(with_runs, buckets)), "bucket", "repeated"), "windows"), buckets
 
 
+def gone_before(gone: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """How many bytes go before each place."""
+    sums = np.zeros(len(gone) + 1, np.int32)
+    np.cumsum(gone, dtype=np.int32, out=sums[1:])
+    return sums[places].astype(np.int64)
+
+
 def spans(gone: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Runs of removed bytes in each document."""
     begins = gone.copy()
     begins[1:] &= ~gone[:-1]
     begin_of_document = starts[:-1][np.diff(starts) > 0]
     begins[begin_of_document] |= gone[begin_of_document]
-    return np.diff(np.concatenate([[0], np.cumsum(begins)])[starts])
+    return np.diff(gone_before(begins, starts))
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -562,8 +601,9 @@ def removals(docs: DataFrame) -> DataFrame:
         for row in rows_of(batches):
             data, starts = text_of(row)
             gone = removed_bytes(row, data, buckets)
-            removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[starts])
-            kept, ends = data[~gone].tobytes(), starts - np.concatenate([[0], np.cumsum(gone)])[starts]
+            before = gone_before(gone, starts)
+            removed = np.diff(before)
+            kept, ends = data[~gone].tobytes(), starts - before
             digests = [sha256(kept[a:b]).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [from_ipc(row["rest"]).column("doc_id").combine_chunks(), pa.array(np.diff(starts)), pa.array(removed), pa.array(spans(gone, starts)),
@@ -589,11 +629,10 @@ def cleaned(docs: DataFrame) -> DataFrame:
         for row in rows_of(batches):
             data, starts = text_of(row)
             gone = removed_bytes(row, data, buckets)
-            begins = np.flatnonzero((data & 0xC0) != 0x80)
-            if len(begins):
-                whole = np.minimum.reduceat(gone, begins)
-                gone = np.repeat(whole, np.diff(np.append(begins, len(data))))
-            kept, ends = data[~gone].tobytes(), starts - np.concatenate([[0], np.cumsum(gone)])[starts]
+            first = (data & 0xC0) != 0x80  # of a character
+            if not first.all():
+                gone = np.minimum.reduceat(gone, np.flatnonzero(first))[np.cumsum(first, dtype=np.int32) - np.int32(1)]
+            kept, ends = data[~gone].tobytes(), starts - gone_before(gone, starts)
             rest = from_ipc(row["rest"])
             null = rest.column(marked).to_pylist()
             texts = [None if n else kept[a:b].decode() for n, a, b in zip(null, ends[:-1].tolist(), ends[1:].tolist(), strict=True)]

@@ -97,3 +97,9 @@ def test_ranks_are_gapless_per_length_in_parts(spark):
         for length in range(3):
             own = sorted(r["rank"] for r in got if r["length"] == length)
             assert own == list(range(len(own)))
+
+
+def test_small_steps_pack_alike(spark):
+    frame = table(spark, [(i, prose(i, 300)) for i in range(40)])
+    made = collected(packing.pack(frame, PATH).select("doc_id", "piece", "length", "ids_crc32"))
+    assert collected(packing.pack(frame, PATH, batch=3, keep=False).select("doc_id", "piece", "length", "ids_crc32")) == made

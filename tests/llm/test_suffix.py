@@ -1,10 +1,14 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from dayloom.llm import suffix
+from dayloom.llm.katz import pack, pack_plain
 from llm_rows import CLASHES, collected, odd_rows, prose, table
 
 
@@ -94,3 +98,56 @@ def test_cleaned_texts_keep_columns_and_whole_characters(spark):
         elif t is not None:
             assert len(by_id[i].text.encode()) - (cut[i].n_bytes - cut[i].n_removed) in range(0, 4 * cut[i].n_spans + 1)
     assert suffix.cleaned(table(spark, [])).collect() == []
+
+
+def most_memory(function):
+    tracemalloc.start()
+    try:
+        made = function()
+        return made, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+class Bucket:
+    """Stands in for the questions of one bucket: hands them over as Spark does."""
+
+    def __init__(self, rows):
+        self.rows = rows
+
+    def groupBy(self, column):
+        return self
+
+    def applyInPandas(self, run, schema):
+        return run(pd.DataFrame(self.rows))
+
+    def applyInArrow(self, run, schema):
+        batches = pa.Table.from_pylist(self.rows).to_batches(max_chunksize=4)
+        return pa.Table.from_batches(run(iter(batches))).to_pandas()
+
+
+def test_merging_a_bucket_holds_little_more_than_its_numbers():
+    rng, rows, seen, true = np.random.default_rng(3), [], {}, []
+    for shard in (7, 3, 5, 9):
+        hashed = rng.permutation(rng.integers(0, 2**64, 400_000, np.uint64))[:100_000]
+        hashed[:500] = np.arange(500, dtype=np.uint64) << np.uint64(54)
+        other = np.arange(len(hashed), dtype=np.uint64) % np.uint64(3) + np.uint64(shard == 9)
+        rows.append({"bucket": 2, "shard": shard, "hashes": pack_plain(hashed), "others": pack_plain(other), "id": pack(np.full(len(hashed), 10 - shard))})
+        seen[shard] = list(zip(hashed[:500].tolist(), other[:500].tolist(), strict=True))
+    earlier = set()
+    for shard in sorted(seen, reverse=True):  # the lowest id first
+        true.append((shard, [pair in earlier for pair in seen[shard]]))
+        earlier |= set(seen[shard])
+    made, most = most_memory(lambda: suffix.merged_windows(Bucket(rows)))
+    got = {r.shard: np.unpackbits(np.frombuffer(r.repeated, np.uint8), count=100_000)[:500].astype(bool).tolist() for r in made.itertuples()}
+    assert got == dict(true) and any(got[3]) and not all(got[7])
+    assert most < 50 * 400_000
+
+
+def test_hashing_windows_holds_little_more_than_their_hashes():
+    data = np.random.default_rng(1).integers(0, 255, 600_000).astype(np.uint8)
+    start = np.arange(len(data) - suffix.LENGTH + 1)
+    hashed, stop = suffix.Hashed(data), start + suffix.LENGTH
+    made, most = most_memory(lambda: hashed.at(start, stop))
+    assert len(np.unique(made)) == len(made)
+    assert most < 20 * len(start)
